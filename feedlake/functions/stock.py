@@ -1,0 +1,17 @@
+"""FN9: stock name list -> ``name=code&name=code`` using a name -> aliases map."""
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def stock_pairs(names, dictionary) -> Column:
+    """``names`` is a comma list; ``dictionary`` a MAP<STRING, ARRAY<STRING>>
+    column. Each name becomes ``name=first alias that is not the name``."""
+    names = F.col(names) if isinstance(names, str) else names
+    dictionary = F.col(dictionary) if isinstance(dictionary, str) else dictionary
+    pairs = F.transform(
+        F.split(names, ","),
+        lambda c: F.concat(c, F.lit("="),
+                           F.filter(F.element_at(dictionary, c), lambda x: x != c).getItem(0)))
+    return F.array_join(pairs, "&")
