@@ -115,7 +115,7 @@ SQL["feed_events"] = f"""
          CAST(40001 + user_id % 5 AS INTEGER) AS platform_id, user_id, event_id,
          '{FEED_HOST}/p/' || CAST(event_id AS VARCHAR) AS url,
          event_type || '#' || json_extract_string(props, '$.k') AS title,
-         epoch_ms(ts) AS ts_ms, ts, value
+         epoch_us(ts) // 1000 AS ts_ms, ts, value
   FROM events"""
 
 MARKER_LAG_DAYS = 10
