@@ -55,7 +55,7 @@ def page_markers(spark: SparkSession, d: str) -> DataFrame:
         F.broadcast(schemas.platforms(spark).select("platform_id", "marker_kind")), "platform_id")
     arr = extract.list_items("html")
     k = F.col("page_id") % 4
-    pick = F.when(k == 0, F.element_at(arr, 3)).when(k == 1, F.element_at(arr, 1))
+    pick = F.when(k == 0, F.try_element_at(arr, F.lit(3))).when(k == 1, F.try_element_at(arr, F.lit(1)))
     key = item_key(F.col("marker_kind"), extract.absolute("url", pick["href"]), pick["text"])
     gone = item_key(F.col("marker_kind"), F.concat(extract.origin("url"), F.lit("/gone")),
                     F.lit("gone"))

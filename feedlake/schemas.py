@@ -106,3 +106,44 @@ USER_INFO = T.StructType([T.StructField(n, T.StringType()) for n in
 # Unified article table: one table, per-platform views give the legacy
 # column names. Partitioned by platform_id on write.
 ARTICLE_COLUMNS = ["platform_id", "user_id", "title", "url", "ts", "summary"]
+
+# ---------------------------------------------------------------------------
+# Task url prefixes per platform (a task url is prefix + id).
+# ---------------------------------------------------------------------------
+URLS = {
+    40001: {
+        "friend_list": "http://xueqiu.com/friendships/groups/members.json?page=1&count=2000&gid=0&uid=",
+        "home_page": "https://xueqiu.com/",
+        "image": "https://xavatar.imedao.com/",
+    },
+    40002: {
+        "article_list": "http://blog.cnfol.com/index.php/article/blogarticlelist/",
+    },
+    40003: {
+        "list_page": "http://moer.jiemian.com/investment_findPageList.htm?onColumns=all&industrys=all&fieldColumn=all&price=all&authorType=1&sortType=time&page=",
+        "author": "http://moer.jiemian.com/authorHome.htm?theId=",
+        "article": "http://moer.jiemian.com/articleDetails.htm?articleId=",
+        "home_page": "http://moer.jiemian.com/",
+    },
+    40004: {
+        "home_page": "http://www.taoguba.com.cn/",
+        "user_info": "http://www.taoguba.com.cn/getBlogerInfo?userID=",
+        "friend_list": "http://www.taoguba.com.cn/getFriends?userID=",
+        "blog": "http://www.taoguba.com.cn/blog/",
+        "image": "http://image.taoguba.com.cn/img/",
+    },
+    40005: {
+        "home_page": "http://weibo.com/",
+    },
+}
+# Operating constants.
+TOPK_ARTICLES = 3000          # recrawl and summary back-fill
+LIST_PAGES_40003 = 2024       # list pages seeded for platform 40003
+FOLLOWER_GATE_EXPAND = 100    # > 100: expand (40001)
+FOLLOWER_GATE_VIP = 500       # > 500: VIP candidate (40002); < 500: badge check
+SUMMARY_CUT_40005 = 200
+SUMMARY_CUT = 300             # 40001 and 40004
+DIGEST_CUT = 500              # digest and stock string (40004)
+HEADLINE_CUT = 30
+TITLE_SUFFIX = "的观点："        # title fallback suffix (40001, 40005)
+ACTION_TITLE_SUFFIX = "的观点: "  # action title suffix (40004)
