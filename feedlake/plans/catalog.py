@@ -1,5 +1,5 @@
 """Imports every proof-query module so the registry is complete."""
-from . import q_flagship, q_functions, q_messages, q_relational  # noqa: F401
+from . import q_flagship, q_functions, q_messages, q_relational, q_increments  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
