@@ -259,3 +259,29 @@ def with_ctes(*names: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",\n".join(f"{n} AS ({SQL[n]})" for n in order)
+
+
+# --------------------------------------------------------------------------- profile pages
+def profile_index(spark: SparkSession, d: str) -> DataFrame:
+    """(user_id, page_id): a stored page is a user's home / list page when
+    the first number in its url path is the user id; the lowest page id
+    wins. Only keys cross the shuffle here, never html."""
+    s = page_store(spark, d).select(
+        F.regexp_extract("url", r"/([0-9]+)", 1).try_cast("bigint").alias("user_id"), "page_id")
+    return s.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.min("page_id").alias("page_id"))
+
+
+SQL["profile_index"] = """
+  SELECT user_id, min(page_id) AS page_id FROM (
+    SELECT TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS user_id, page_id FROM page_store) t
+  WHERE user_id IS NOT NULL GROUP BY user_id"""
+DEPS["profile_index"] = ["page_store"]
+
+
+def profile_lookup(spark: SparkSession, d: str, requests: DataFrame, key: str = "user_id") -> DataFrame:
+    """Requests + (page_url, page_html) of the user's stored page (NULL on
+    miss)."""
+    idx = profile_index(spark, d).withColumnRenamed("user_id", key)
+    store = page_store(spark, d).select("page_id", F.col("url").alias("page_url"),
+                                        F.col("html").alias("page_html"))
+    return requests.join(idx, key, "left").join(store, "page_id", "left").drop("page_id")
