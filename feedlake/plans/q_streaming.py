@@ -86,7 +86,9 @@ def q_str_dedupe(spark, d):
     stream (only the key columns are returned: which duplicate survives is
     not specified)."""
     ev = table(spark, d, "events")
-    st = spark.readStream.schema(ev.schema).parquet(f"{d.rstrip('/')}/events.parquet")
+    # a file stream reads a folder; the glob keeps it to the events table
+    st = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
+          .parquet(d.rstrip("/")))
     out, ck = scratch_path(spark, "dedupe"), scratch_path(spark, "dedupe_ckpt")
     st = st.withColumn("ets", F.col("ts").cast("timestamp"))
     dd = (st.withWatermark("ets", "1 day").dropDuplicatesWithinWatermark(["user_id", "event_type", "props"])
