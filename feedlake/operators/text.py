@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 SENTENCE = r"[^.!?\n]+[.!?]?"
 
@@ -49,9 +51,15 @@ def remove_stop_words(tokens: DataFrame, stops: DataFrame) -> DataFrame:
     return tokens.join(F.broadcast(stops), "token", "left_anti")
 
 
-def term_counts(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(doc, token, tf): combined map-side before the shuffle."""
-    return tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+def term_counts(tokens: DataFrame, id_col: str = "doc_id", materialize: bool = False) -> DataFrame:
+    """(doc, token, tf): combined map-side before the shuffle. With
+    ``materialize`` the counts are written once to the shared checkpoint
+    folder (lineage cut), for plans that read them several times."""
+    tf = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+    if materialize:
+        ensure_checkpoint_dir(tf.sparkSession)
+        tf = tf.checkpoint(eager=True)
+    return tf
 
 
 # ---------------------------------------------------------------- dictionary tags
@@ -71,23 +79,30 @@ def dictionary_tags(tokens: DataFrame, dictionary: DataFrame, docs: DataFrame,
 
 
 # ---------------------------------------------------------------- naive Bayes
-def nb_train(labeled_tokens: DataFrame, labeled_docs: DataFrame, label_col: str = "label",
-             id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """NLP5 training (multinomial, Laplace smoothing).
+def nb_train(tf: DataFrame, labels: DataFrame, label_col: str = "label",
+             id_col: str = "doc_id", materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """NLP5 training (multinomial, Laplace smoothing) from term counts
+    ``tf(doc, token, tf)`` and ``labels(doc, label)``.
 
     Returns ``(model, classes)``:
       model(label, token, n, log_p)      observed pairs only (sparse)
       classes(label, n_docs, n_tokens, log_prior, log_norm, vocab)
     with ``log_p = ln((n + 1) / (n_tokens + V))`` and
     ``log_norm = ln(n_tokens + V)``; an unseen in-vocabulary token scores
-    ``-log_norm``.
+    ``-log_norm``. Training and scoring share the same ``tf`` plan, so the
+    corpus is tokenised once (the shuffle is reused).
     """
-    pairs = labeled_tokens.groupBy(label_col, "token").agg(F.count(F.lit(1)).alias("n"))
-    vocab = pairs.select("token").distinct()
-    v_size = vocab.agg(F.count(F.lit(1))).scalar()
-    n_docs_all = labeled_docs.agg(F.count(F.lit(1))).scalar()
+    lab = labels.select(id_col, label_col)
+    pairs = (tf.join(lab, id_col).groupBy(label_col, "token").agg(F.sum("tf").alias("n")))
+    if materialize:
+        # the model's counts are written once; vocabulary size, class totals
+        # and the model itself are all read from them
+        ensure_checkpoint_dir(pairs.sparkSession)
+        pairs = pairs.checkpoint(eager=True)
+    v_size = pairs.select("token").distinct().agg(F.count(F.lit(1))).scalar()
+    n_docs_all = lab.agg(F.count(F.lit(1))).scalar()
     per_class = pairs.groupBy(label_col).agg(F.sum("n").alias("n_tokens"))
-    docs_per_class = labeled_docs.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_docs"))
+    docs_per_class = lab.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_docs"))
     classes = (docs_per_class.join(per_class, label_col, "left")
                .select(label_col, "n_docs", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"),
                        F.ln(F.col("n_docs") / n_docs_all).alias("log_prior"),
@@ -99,31 +114,43 @@ def nb_train(labeled_tokens: DataFrame, labeled_docs: DataFrame, label_col: str
     return model, classes
 
 
+_T = "\u0000T"   # marker entry: counts a document's in-vocabulary tokens
+
+
 def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFrame,
                label_col: str = "label", id_col: str = "doc_id") -> DataFrame:
     """NLP5 scoring: ``score(d, c) = log_prior(c) - T_d * log_norm(c) +
     sum_t tf * ln(n_ct + 1)`` where ``T_d`` counts the document's
-    in-vocabulary tokens. The sparse sum is a join on token; the per-class
-    constants reach every document through a scalar subquery (one small
-    array, computed once), so no cross join is planned. Ties -> smallest
-    label."""
-    vocab = model.select("token").distinct()
-    in_vocab = tf.join(vocab, "token", "left_semi")
-    t_doc = in_vocab.groupBy(id_col).agg(F.sum("tf").alias("t_doc"))
-    sparse = (in_vocab.join(model.select(label_col, "token", "n"), "token")
-              .groupBy(id_col, label_col)
-              .agg(F.sum(F.col("tf") * F.ln(F.col("n") + 1)).alias("s")))
-    cls = classes.agg(F.collect_list(F.struct(F.col(label_col).alias("c"), "log_prior", "log_norm"))
-                      .alias("cls")).scalar()
-    base = (docs.select(id_col).join(t_doc, id_col, "left")
-            .select(id_col, F.coalesce("t_doc", F.lit(0)).alias("t_doc"), F.explode(cls).alias("k"))
-            .select(id_col, F.col("k.c").alias(label_col),
-                    (F.col("k.log_prior") - F.col("t_doc") * F.col("k.log_norm")).alias("b")))
-    scored = (base.join(sparse, [id_col, label_col], "left")
-              .select(id_col, label_col, (F.col("b") + F.coalesce("s", F.lit(0.0))).alias("score")))
-    best = F.struct((-F.col("score")).alias("ns"), F.col(label_col).alias("c"))
-    return scored.groupBy(id_col).agg(F.min_by(label_col, best).alias("predicted"),
-                                      F.max("score").alias("score"))
+    in-vocabulary tokens.
+
+    One join: term counts x (token -> [(class, ln(n+1))..., (T, 1)]), the
+    per-token list bounded by the number of classes. Sums per (doc, class)
+    are combined map-side; per document the class sums become a map and all
+    class scores are formed with higher-order functions against the class
+    constants (a scalar subquery: one small array computed once). Every
+    document gets a score (documents without a known token score by prior).
+    Ties -> smallest label."""
+    w = (model.groupBy("token")
+         .agg(F.collect_list(F.struct(F.col(label_col).cast("string").alias("c"),
+                                      F.ln(F.col("n") + 1).alias("w"))).alias("ws"))
+         .select("token", F.concat("ws", F.array(F.struct(F.lit(_T).alias("c"), F.lit(1.0).alias("w"))))
+                 .alias("ws")))
+    contrib = (tf.join(w, "token")
+               .select(id_col, F.explode("ws").alias("e"), "tf")
+               .select(id_col, F.col("e.c").alias("c"), (F.col("tf") * F.col("e.w")).alias("s")))
+    every = docs.select(id_col, F.lit(_T).alias("c"), F.lit(0.0).alias("s"))
+    sums = contrib.unionByName(every).groupBy(id_col, "c").agg(F.sum("s").alias("s"))
+    per_doc = sums.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("c", "s"))).alias("m"))
+    cls = classes.agg(F.collect_list(F.struct(F.col(label_col).cast("string").alias("c"), "log_prior",
+                                              "log_norm")).alias("cls")).scalar()
+    per_doc = per_doc.select(id_col, "m", cls.alias("cls"))   # evaluate the subquery once, outside lambdas
+    m = F.col("m")
+    t_doc = F.coalesce(F.element_at(m, F.lit(_T)), F.lit(0.0))
+    scored = F.transform("cls", lambda k: F.struct(
+        (-(k["log_prior"] - t_doc * k["log_norm"] + F.coalesce(F.try_element_at(m, k["c"]), F.lit(0.0))))
+        .alias("ns"), k["c"].alias("c")))
+    best = F.array_min(scored)
+    return per_doc.select(id_col, best["c"].alias("predicted"), (-best["ns"]).alias("score"))
 
 
 # ---------------------------------------------------------------- digest

@@ -10,23 +10,22 @@ from .. import schemas
 from ..operators import text as tx
 from ..operators.dictionary import stock_pairs_join
 from ..sources.dictionaries_text import keyword_dictionary
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 
 def sentiment_model(spark: SparkSession, d: str):
     """Two-class model trained on labelled documents: quality 0 -> 'neg'."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     lab = (table(spark, d, "labels").select(
         "doc_id", F.when(F.col("quality") == 0, "neg").otherwise("pos").alias("label"))
         .join(docs, "doc_id"))
-    toks = tx.doc_tokens(lab).join(lab.select("doc_id", "label"), "doc_id")
-    return tx.nb_train(toks, lab.select("doc_id", "label"))
+    return tx.nb_train(tx.term_counts(tx.doc_tokens(lab)), lab.select("doc_id", "label"))
 
 
 def digests(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, temp_digest): NULL when no sentence can be scored; '' for an
     empty body."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     dg = tx.digest(docs)
     return (docs.join(dg, "doc_id", "left")
             .select("doc_id", F.when(F.col("text") == "", F.lit("")).otherwise(F.col("digest"))

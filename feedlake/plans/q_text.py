@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import text as tx
 from ..sources.dictionaries_text import KEYWORD_SQL, keyword_dictionary
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from . import enrich
 from .registry import query
 
@@ -67,7 +67,7 @@ SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM t
 WHERE token NOT IN (SELECT token FROM stops) GROUP BY token""")
 def q_nlp_tokens(spark, d):
     """NLP3: tokens with the 50 most frequent corpus tokens as stop words."""
-    toks = tx.doc_tokens(table(spark, d, "documents"))
+    toks = tx.doc_tokens(spread(table(spark, d, "documents").select("doc_id", "text")))
     kept = tx.remove_stop_words(toks, tx.stop_words(toks, 50))
     return kept.groupBy("token").agg(F.count(F.lit(1)).alias("n"),
                                      F.countDistinct("doc_id").alias("n_docs"))
@@ -86,14 +86,14 @@ SELECT d.doc_id, coalesce(a.stock, '') AS stock, coalesce(a.industry, '') AS ind
 FROM documents d LEFT JOIN agg a USING (doc_id)""")
 def q_nlp_dictionary_tags(spark, d):
     """NLP4: three facets of dictionary terms per document."""
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return tx.dictionary_tags(tx.doc_tokens(docs), keyword_dictionary(spark, d), docs)
 
 
 def _lang_model(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label"))
-    toks = tx.doc_tokens(docs).join(docs.select("doc_id", "label"), "doc_id")
-    return docs, toks, tx.nb_train(toks, docs.select("doc_id", "label"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label")))
+    tf = tx.term_counts(tx.doc_tokens(docs), materialize=True)
+    return docs, tf, tx.nb_train(tf, docs.select("doc_id", "label"))
 
 
 LANG_NB = f"""
@@ -116,8 +116,8 @@ def q_nlp_nb_train(spark, d):
 @query("nlp_nb_predict", LANG_NB + "\nSELECT doc_id, predicted, round(score, 4) AS score FROM best")
 def q_nlp_nb_predict(spark, d):
     """NLP5 scoring of every document."""
-    docs, toks, (model, classes) = _lang_model(spark, d)
-    pred = tx.nb_predict(tx.term_counts(toks.select("doc_id", "token")), model, classes, docs)
+    docs, tf, (model, classes) = _lang_model(spark, d)
+    pred = tx.nb_predict(tf, model, classes, docs)
     return pred.select("doc_id", "predicted", F.round("score", 4).alias("score"))
 
 
