@@ -137,3 +137,32 @@ def visited_new(candidates: DataFrame, visited: DataFrame, key: str) -> DataFram
 
 def visited_add(visited: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return visited.select(key).unionByName(new.select(key)).distinct()
+
+
+# ---------------------------------------------------------------------------
+# Array form: when a page's items arrive as one array (one page document =
+# one row), the walk is a pure row-local expression: no aggregation, no join
+# back, no shuffle beyond the marker lookup.
+# ---------------------------------------------------------------------------
+def take_until_seen_array(items: Column, key_field: str, last_key: Column) -> Column:
+    """INC2 on an item array: the prefix before the first item whose key
+    equals ``last_key`` (no marker -> the whole array)."""
+    keys = F.transform(items, lambda x: x[key_field])
+    at = F.array_position(keys, last_key)            # 1-based, 0 when absent
+    return (F.when(last_key.isNull() | (at == 0), items)
+            .otherwise(F.slice(items, F.lit(1), at - F.lit(1))))
+
+
+def take_while_array(items: Column, valid) -> Column:
+    """Prefix of items while ``valid(item)`` holds."""
+    flags = F.transform(items, lambda x: F.coalesce(valid(x), F.lit(False)))
+    at = F.array_position(flags, False)
+    return F.when(at == 0, items).otherwise(F.slice(items, F.lit(1), at - F.lit(1)))
+
+
+def page_changed_array(items: Column, key_field: str, last_key: Column, valid=None) -> Column:
+    """INC4 on an item array: nothing when the newest key equals the marker,
+    else every item up to the first invalid one."""
+    head = F.try_element_at(items, F.lit(1))[key_field]
+    rest = items if valid is None else take_while_array(items, valid)
+    return F.when(head.eqNullSafe(last_key), F.slice(items, F.lit(1), F.lit(0))).otherwise(rest)

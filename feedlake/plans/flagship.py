@@ -16,11 +16,11 @@ from ..functions.urls import numeric_id
 from ..operators import extract, increments, lookup, messages
 from ..sources import standins
 
-ITEM_COLS = ["platform_id", "marker_kind", "needs_login", "page_url", "pos", "title", "url"]
 
 
-def notices_to_items(notices: DataFrame, store: DataFrame, platforms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """-> (items, rejects, misses). ``items`` has no html column."""
+def notices_to_pages(notices: DataFrame, store: DataFrame, platforms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """-> (pages, rejects, misses). ``pages`` has one row per announced page
+    with its ordered item array (title, url, key) and no html column."""
     good, rejects = messages.parse(notices)
     routed, unknown = messages.route(good, platforms)
     # A page announced twice is looked up once: the store holds one version
@@ -28,17 +28,16 @@ def notices_to_items(notices: DataFrame, store: DataFrame, platforms: DataFrame)
     requests = routed.dropDuplicates(["key_name", "pos_name"])
     looked = lookup.lookup(requests, store)
     hits, misses = lookup.split_hits(looked, lookup.MISS_NULL_OR_EMPTY)
-    items = extract.explode_items(
-        hits, extract.list_items("page_html"),
-        keep=["platform_id", "marker_kind", "needs_login", "page_url"])
-    items = items.select(
-        "platform_id", "marker_kind", "needs_login", "page_url", "pos",
-        F.col("item.text").alias("title"),
-        extract.absolute("page_url", F.col("item.href")).alias("url"))
+    kind = F.col("marker_kind")
+    arr = F.transform(extract.list_items("page_html"), lambda x: F.struct(
+        x["text"].alias("title"), extract.absolute(F.col("page_url"), x["href"]).alias("url")))
+    arr = F.transform(arr, lambda x: F.struct(x["title"].alias("title"), x["url"].alias("url"),
+                                             item_key(kind, x["url"], x["title"]).alias("key")))
+    pages = hits.select("platform_id", "marker_kind", "needs_login", "page_url", arr.alias("items"))
     all_rejects = rejects.select("msg_seq", "value", "reason").unionByName(
         unknown.select("msg_seq", "value", "reason"))
     miss_rows = misses.select("msg_seq", "platform_id", "key_name", "pos_name")
-    return items, all_rejects, miss_rows
+    return pages, all_rejects, miss_rows
 
 
 def item_key(kind, url, title):
@@ -63,16 +62,20 @@ def page_markers(spark: SparkSession, d: str) -> DataFrame:
                                   F.when(k == 3, gone).otherwise(key).alias("last_key"))
 
 
-def new_items(items: DataFrame, markers: DataFrame) -> DataFrame:
-    """Per platform marker rule: key equality (take-until-seen) or whole-page
-    change (head)."""
-    keyed = items.withColumn("key", item_key(F.col("marker_kind"), F.col("url"), F.col("title")))
-    by_key = keyed.where(F.col("marker_kind") != "head")
-    seen = increments.take_until_seen(by_key, markers, "page_url", F.col("pos"), "key", "last_key")
-    head = keyed.where(F.col("marker_kind") == "head")
-    changed = increments.page_changed(head, markers, "page_url", F.col("pos"), "url", "last_key",
-                                      valid=F.col("url").startswith("http"))
-    return seen.unionByName(changed).drop("key")
+def new_items(pages: DataFrame, markers: DataFrame) -> DataFrame:
+    """Per platform marker rule, applied inside each page row: key equality
+    (take-until-seen) or whole-page change (head). One join with the marker
+    table; the kept prefix is exploded with its original positions."""
+    j = pages.join(markers.select("page_url", "last_key"), "page_url", "left")
+    last = F.col("last_key")
+    kept = F.when(F.col("marker_kind") == "head",
+                  increments.page_changed_array(F.col("items"), "key", last,
+                                                valid=lambda x: x["url"].startswith("http"))) \
+        .otherwise(increments.take_until_seen_array(F.col("items"), "key", last))
+    ex = j.select("platform_id", "marker_kind", "needs_login", "page_url",
+                  F.posexplode(kept).alias("pos", "it"))
+    return ex.select("platform_id", "marker_kind", "needs_login", "page_url", "pos",
+                     F.col("it.title").alias("title"), F.col("it.url").alias("url"))
 
 
 def article_rows(new: DataFrame) -> DataFrame:
@@ -83,6 +86,6 @@ def article_rows(new: DataFrame) -> DataFrame:
 
 
 def feed_increments(spark: SparkSession, d: str) -> DataFrame:
-    items, _, _ = notices_to_items(standins.messages(spark, d), standins.page_store(spark, d),
+    pages, _, _ = notices_to_pages(standins.messages(spark, d), standins.page_store(spark, d),
                                    schemas.platforms(spark))
-    return article_rows(new_items(items, page_markers(spark, d)))
+    return article_rows(new_items(pages, page_markers(spark, d)))
