@@ -32,29 +32,45 @@ def expand(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, has_page: DataF
     edges(src, dst)               friend lists
     nodes(user_id, followers)     attributes of every node
     has_page(user_id)             nodes whose list page is stored (hit)
-    save_gate(Column)             which friends are saved (None = all)
+    save_gate(Column)             which friends are saved (None = all), on
+                                  the friend's ``followers``
     expand_gate(Column)           which saved nodes with a page are expanded
     Returns visited(user_id, hop, followers, has_page).
+
+    The gated edge list is materialised once, hash-partitioned by ``src``
+    (the checkpoint keeps that partitioning, so each round's frontier join
+    does not re-shuffle the edges). Each round checkpoints only its new
+    nodes; the visited set is the union of the rounds, never rewritten.
     """
     pages = has_page.select("user_id").distinct()
     attrs = nodes.select("user_id", "followers")
-    visited = _cut(seeds.select("user_id").distinct().withColumn("hop", F.lit(0)))
-    frontier = visited.join(pages, "user_id", "left_semi").select("user_id")
+    cand = edges.select("src", "dst").join(attrs.withColumnRenamed("user_id", "dst"), "dst")
+    if save_gate is not None:
+        cand = cand.where(save_gate)
+    cand = _cut(cand.select("src", "dst").distinct().repartition("src"))
+    parts = [_cut(seeds.select("user_id").distinct().withColumn("hop", F.lit(0)))]
+
+    def visited_ids():
+        out = parts[0].select("user_id")
+        for p in parts[1:]:
+            out = out.unionByName(p.select("user_id"))
+        return out
+
+    frontier = parts[0].join(pages, "user_id", "left_semi").select("user_id")
     for r in range(1, max_rounds + 1):
-        friends = (frontier.join(edges.withColumnRenamed("src", "user_id"), "user_id")
+        friends = (frontier.join(cand.withColumnRenamed("src", "user_id"), "user_id")
                    .select(F.col("dst").alias("user_id")).distinct())
-        cand = friends.join(attrs, "user_id")
-        if save_gate is not None:
-            cand = cand.where(save_gate)
-        new = cand.select("user_id").join(visited.select("user_id"), "user_id", "left_anti")
-        new = _cut(new.withColumn("hop", F.lit(r)))
+        new = _cut(friends.join(visited_ids(), "user_id", "left_anti").withColumn("hop", F.lit(r)))
         if new.isEmpty():
             break
-        visited = _cut(visited.unionByName(new))
+        parts.append(new)
         nxt = new.join(pages, "user_id", "left_semi")
         if expand_gate is not None:
             nxt = nxt.join(attrs, "user_id").where(expand_gate)
         frontier = nxt.select("user_id")
+    visited = parts[0]
+    for p in parts[1:]:
+        visited = visited.unionByName(p)
     return (visited.join(attrs, "user_id", "left")
             .join(pages.withColumn("has_page", F.lit(True)), "user_id", "left")
             .select("user_id", "hop", "followers",
