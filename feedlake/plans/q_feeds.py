@@ -151,3 +151,14 @@ def q_feed_quote_cut(spark, d):
     return r.select(F.col("r.actionID").alias("action_id"),
                     fn.literal_split_first(F.col("r.body"), "[quote]").alias("body"),
                     F.col("r.body").contains("[quote]").alias("had_quote"))
+
+
+@query("src_json_page", IT + f"""
+SELECT {APAGE} AS page_url, CAST(count(*) AS INTEGER) AS size, CAST(chunk AS INTEGER) AS page_no,
+       CAST(count(*) FILTER (WHERE event_type <> 'error') AS INTEGER) AS kept
+FROM it GROUP BY user_id, chunk""")
+def q_src_json_page(spark, d):
+    """SRC7: a whole page is one JSON document, parsed with a fixed schema."""
+    p = fp.action_pages(spark, d).select("page_url", F.from_json("doc", schemas.ACTION_PAGE).alias("p"))
+    return p.select("page_url", F.col("p.size").alias("size"), F.col("p.pageNo").alias("page_no"),
+                    F.size(F.filter("p.record", lambda r: r["OtherID"] != "0")).alias("kept"))

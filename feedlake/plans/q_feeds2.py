@@ -187,3 +187,32 @@ def q_grf_author_links(spark, d):
     visited = s.where(F.col("page_id") % 2 == 0).select(F.col("url").alias("author_url"))
     new = inc.visited_new(links, visited, "author_url")
     return new.select("author_url", messages.crawl_task(F.lit(40003), "author_url", schemas.RESULT_CRAWL).alias("task"))
+
+
+@query("job_post_fill", CARDS_SQL + f""",
+e AS (SELECT page_url, event_id, ts, k, event_type,
+  ['', '', '', CASE WHEN k % 3 = 0 THEN '{LABEL_FORWARD}' ELSE CAST(k AS VARCHAR) END, '',
+   CAST(event_id % 13 AS VARCHAR), CAST(event_id % 17 AS VARCHAR),
+   CASE WHEN k % 4 = 0 THEN '{LABEL_LIKE}' ELSE CAST(k * 2 AS VARCHAR) END] AS ems FROM c)
+SELECT page_url, event_id, split_part(link_url, 'ref=home', 1) || 'type=comment' AS url,
+  CAST((epoch_us(ts) // 1000) // 1000 AS BIGINT) AS ts_s, '' AS title,
+  CASE WHEN starts_with(ems[4], '{LABEL_FORWARD}') THEN 0 ELSE TRY_CAST(ems[4] AS INTEGER) END AS retweet,
+  CASE WHEN starts_with(ems[6], '{LABEL_COMMENT}') THEN 0 ELSE TRY_CAST(ems[6] AS INTEGER) END AS reply,
+  CASE WHEN starts_with(ems[8], '{LABEL_LIKE}') THEN 0 ELSE TRY_CAST(ems[8] AS INTEGER) END AS like_count
+FROM (SELECT e.*, c.link AS link_url FROM e JOIN c USING (page_url, event_id)) x""")
+def q_job_post_fill(spark, d):
+    """JOB12 / FEED9: every card of the scanned users -> post url, ts in
+    seconds, retweet / reply / like counters, empty title."""
+    c = _cards(spark, d)
+    k = F.col("k")
+    ems = F.array(F.lit(""), F.lit(""), F.lit(""),
+                  F.when(k % 3 == 0, F.lit(LABEL_FORWARD)).otherwise(k.cast("string")), F.lit(""),
+                  (F.col("event_id") % 13).cast("string"), (F.col("event_id") % 17).cast("string"),
+                  F.when(k % 4 == 0, F.lit(LABEL_LIKE)).otherwise((k * 2).cast("string")))
+    x = c.select("page_url", "event_id", "ts", "link", ems.alias("ems"))
+    return x.select("page_url", "event_id",
+                    F.concat(F.substring_index("link", "ref=home", 1), F.lit("type=comment")).alias("url"),
+                    F.floor(inc.newest_first().getField("neg_ts") * -1 / 1000000).cast("bigint").alias("ts_s"),
+                    F.lit("").alias("title"), counter(F.col("ems"), 3, LABEL_FORWARD).alias("retweet"),
+                    counter(F.col("ems"), 5, LABEL_COMMENT).alias("reply"),
+                    counter(F.col("ems"), 7, LABEL_LIKE).alias("like_count"))

@@ -197,3 +197,20 @@ def q_nlp_news_rows(spark, d):
     Its columns are each checked by the queries above."""
     news, _ = enrich.enrich(spark, d)
     return news.drop("doc_id")
+
+
+@query("snk_chained_write", f"""WITH {DIGEST_SQL}
+SELECT doc_id, CASE WHEN length(temp_digest) > 300 THEN substring(temp_digest, 1, 300) ELSE temp_digest END AS summary
+FROM digests WHERE temp_digest IS NOT NULL""")
+def q_snk_chained_write(spark, d):
+    """SNK11: the digest row is written first; the news row is written only
+    for digests that were written (read back), in that order."""
+    from ..operators import sinks
+    from ..session import scratch_path
+    news, _ = enrich.enrich(spark, d)
+    news = news.checkpoint(eager=True)    # enrich once; both writes read the staged rows
+    info_path, news_path = scratch_path(spark, "article_info"), scratch_path(spark, "news_info")
+    sinks.append(news.select("doc_id", "url", "digest", "summary", "stock"), info_path)
+    written = spark.read.parquet(info_path).select("doc_id")
+    sinks.append(news.join(written, "doc_id", "left_semi"), news_path)
+    return spark.read.parquet(news_path).select("doc_id", "summary")
