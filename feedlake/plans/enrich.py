@@ -10,6 +10,7 @@ from .. import schemas
 from ..operators import text as tx
 from ..operators.dictionary import stock_pairs_join
 from ..sources.dictionaries_text import keyword_dictionary
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import spread, table
 
 
@@ -19,7 +20,7 @@ def sentiment_model(spark: SparkSession, d: str):
     lab = (table(spark, d, "labels").select(
         "doc_id", F.when(F.col("quality") == 0, "neg").otherwise("pos").alias("label"))
         .join(docs, "doc_id"))
-    return tx.nb_train(tx.term_counts(tx.doc_tokens(lab)), lab.select("doc_id", "label"))
+    return tx.nb_train(tx.term_counts(tx.doc_tokens(lab), materialize=True), lab.select("doc_id", "label"))
 
 
 def digests(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +36,10 @@ def digests(spark: SparkSession, d: str) -> DataFrame:
 def enrich(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """-> (news rows without the clock column, rejects)."""
     docs = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
-    dg = digests(spark, d)
+    # digests feed five branches (words, tags, sentiment, stock, rows):
+    # written once to the shared checkpoint folder, read by all of them
+    ensure_checkpoint_dir(spark)
+    dg = digests(spark, d).checkpoint(eager=True)
     ok_rows = dg.where(F.col("temp_digest").isNotNull())
     rejects = dg.where(F.col("temp_digest").isNull()).select("doc_id", F.lit("no_digest").alias("reason"))
     base = ok_rows.select(
