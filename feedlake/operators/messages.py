@@ -62,7 +62,7 @@ def route(good: DataFrame, platforms: DataFrame) -> tuple[DataFrame, DataFrame]:
 def article_task(platform_id, url, islogin) -> Column:
     """MSG5: article task JSON without the clock id (added at the sink)."""
     return F.to_json(F.struct(
-        F.col(islogin).cast("int").alias("islogin") if isinstance(islogin, str) else islogin.alias("islogin"),
+        _c(islogin).cast("int").alias("islogin"),
         _c(platform_id).cast("int").alias("attrid"),
         F.lit(schemas.TASK_DEPTH).alias("depth"),
         F.lit(schemas.TASK_CUR_DEPTH).alias("cur_depth"),

@@ -71,10 +71,8 @@ GROUP BY route""")
 def q_msg_route_counts(spark, d):
     """MSG3: notices per handler; unmatched and bad notices per reason."""
     c = messages.classify(standins.messages(spark, d))
-    j = c.join(F.broadcast(schemas.platforms(spark)),
-               (F.col("reason").isNull()) & (c.platform_id == F.col("p.platform_id")), "left") \
-        if False else c.join(F.broadcast(schemas.platforms(spark).withColumnRenamed("platform_id", "_pid")),
-                             F.col("reason").isNull() & (F.col("platform_id") == F.col("_pid")), "left")
+    p = F.broadcast(schemas.platforms(spark).withColumnRenamed("platform_id", "_pid"))
+    j = c.join(p, F.col("reason").isNull() & (F.col("platform_id") == F.col("_pid")), "left")
     route = (F.when(F.col("platform_name").isNotNull(), F.col("platform_name"))
              .when(F.col("reason").isNotNull(), F.concat(F.lit("reject:"), F.col("reason")))
              .otherwise(F.lit("reject:unknown_platform")))
