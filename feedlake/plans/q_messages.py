@@ -267,6 +267,7 @@ def q_src_fans_count(spark, d):
 def q_src_decode(spark, d):
     """SRC4: stored bytes decoded by a UTF-8 / GBK cascade (rows-only: the
     GBK codec exists only on the Spark side)."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")   # GBK codec
     p = table(spark, d, "pages")
     # odd pages land as GBK bytes: a CJK prefix plus the page with non-ASCII
     # characters masked (GBK cannot encode every Latin letter).
