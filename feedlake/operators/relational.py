@@ -30,9 +30,30 @@ def group_max_ordered(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def not_in(spark: SparkSession, outer: DataFrame, inner: DataFrame, key: str,
            inner_key: str | None = None) -> DataFrame:
-    """REL3: SQL ``NOT IN`` with its three-valued semantics (a NULL in the
-    subquery empties the result, NULL outer keys never pass). Catalyst plans
-    a null-aware anti join; ``left_anti`` would be wrong when NULLs occur."""
+    """REL3: SQL ``x NOT IN (subquery)`` with its three-valued semantics,
+    planned so that it scales: Spark's null-aware anti join only becomes a
+    hash join when the subquery side can be broadcast (else a nested loop),
+    so the semantics are spelled out instead:
+
+      subquery empty            -> every outer row (even NULL keys)
+      subquery holds a NULL     -> no row
+      otherwise                 -> non-NULL outer keys absent from the subquery
+
+    Both tests are uncorrelated EXISTS subqueries (evaluated once); the
+    membership test is an ordinary anti join that can shuffle either side.
+    """
+    ik = inner_key or key
+    ins = inner.select(F.col(ik).alias(key))
+    any_row = ins.exists()
+    any_null = ins.where(F.col(key).isNull()).exists()
+    keep = (~any_row) | (F.col(key).isNotNull() & ~any_null)
+    return outer.where(keep).join(ins.where(F.col(key).isNotNull()), key, "left_anti")
+
+
+def not_in_sql(spark: SparkSession, outer: DataFrame, inner: DataFrame, key: str,
+               inner_key: str | None = None) -> DataFrame:
+    """The same written as SQL ``NOT IN`` (Catalyst's null-aware anti join;
+    right when the subquery side is small enough to broadcast)."""
     ik = inner_key or key
     return spark.sql(f"SELECT * FROM {{o}} WHERE `{key}` NOT IN (SELECT `{ik}` FROM {{i}})",
                      o=outer, i=inner)

@@ -102,3 +102,14 @@ def test_page_changed_and_argmax(spark):
     assert got == {"w1": ["u1", "u2"]}
     best = {r.page: r.key for r in inc.argmax_latest(items, "page", "ts", F.col("pos"), ["key"]).collect()}
     assert best == {"w1": "u2", "w2": "v1"}
+
+
+def test_not_in_three_valued(spark):
+    from feedlake.operators.relational import not_in
+    o = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    inner = spark.createDataFrame([(2,)], "k int")
+    assert sorted(r.k for r in not_in(spark, o, inner, "k").collect()) == [1]
+    with_null = spark.createDataFrame([(2,), (None,)], "k int")
+    assert not_in(spark, o, with_null, "k").count() == 0
+    empty = spark.createDataFrame([], "k int")
+    assert not_in(spark, o, empty, "k").count() == 3
