@@ -70,3 +70,72 @@ def start(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms:
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
     return w.start()
+
+
+# ---------------------------------------------------------------------------
+# Two-stage layout for very large page stores.
+#
+# Stage A (stateless, foreachBatch): notices -> parse / route -> lookup that
+# reads only the store partitions of the batch's keys -> page items, written
+# to an items table (one folder per batch id, overwritten on replay).
+# Stage B: the items table as a stream -> keyed marker state -> sink.
+# A micro-batch is bounded by the source option (maxFilesPerTrigger /
+# maxOffsetsPerTrigger), which bounds the keys and therefore the partitions
+# read; the requests are broadcast under that bound.
+# ---------------------------------------------------------------------------
+from ..sources import page_store as ps  # noqa: E402
+
+ITEM_TABLE_COLS = ["msg_seq", "platform_id", "marker_kind", "needs_login", "page_url", "pos", "title", "url",
+                   "key", "seed_key"]
+
+
+def lookup_stage_sink(store_path: str, platforms: DataFrame, seed_markers: DataFrame, items_dir: str,
+                      buckets: int, max_requests: int = 1_000_000):
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        good, _ = messages.parse(batch)
+        routed, _ = messages.route(good, platforms)
+        req = routed.withColumn("key_bucket", ps.key_bucket("pos_name", buckets))
+        store = ps.read_for_keys(spark, store_path, req, "key_name", "pos_name", buckets)
+        n = req.limit(max_requests + 1).count()
+        small = F.broadcast(req) if n <= max_requests else req
+        s = store.select(F.col("table_name").alias("_t"), F.col("key_bucket").alias("_b"),
+                         F.col("row_key").alias("_k"), F.col("url").alias("page_url"),
+                         F.col("html").alias("page_html"))
+        hits = (s.join(small, (F.col("_t") == F.col("key_name")) & (F.col("_b") == F.col("key_bucket"))
+                       & (F.col("_k") == F.col("pos_name")))
+                .where(~lookup.is_miss(lookup.MISS_NULL_OR_EMPTY)))
+        items = hits.select("msg_seq", "platform_id", "marker_kind", "needs_login", "page_url",
+                            F.posexplode(extract.list_items("page_html")).alias("pos", "it"))
+        items = items.select(
+            "msg_seq", "platform_id", "marker_kind", F.col("needs_login").cast("int").alias("needs_login"),
+            "page_url", F.col("pos").cast("int").alias("pos"), F.col("it.text").alias("title"),
+            extract.absolute("page_url", F.col("it.href")).alias("url"))
+        items = items.withColumn("key", item_key(F.col("marker_kind"), F.col("url"), F.col("title")))
+        seeds = seed_markers.select("page_url", F.col("last_key").alias("seed_key"))
+        out = items.join(seeds, "page_url", "left").select(*ITEM_TABLE_COLS)
+        out.write.mode("overwrite").parquet(f"{items_dir}/batch={batch_id}")
+    return sink
+
+
+ITEM_TABLE_SCHEMA = ("msg_seq BIGINT, platform_id INT, marker_kind STRING, needs_login INT, page_url STRING, "
+                     "pos INT, title STRING, url STRING, key STRING, seed_key STRING")
+
+
+def start_two_stage(spark: SparkSession, notices: DataFrame, store_path: str, platforms: DataFrame,
+                    seed_markers: DataFrame, work_dir: str, out_dir: str, buckets: int = ps.DEFAULT_BUCKETS,
+                    available_now: bool = False):
+    """Runs stage A then stage B; returns both queries (B last)."""
+    items_dir = f"{work_dir}/items"
+    a = (notices.writeStream.foreachBatch(lookup_stage_sink(store_path, platforms, seed_markers, items_dir,
+                                                            buckets))
+         .option("checkpointLocation", f"{work_dir}/ckpt_a"))
+    a = a.trigger(availableNow=True) if available_now else a.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
+    qa = a.start()
+    if available_now:
+        qa.awaitTermination()
+    items = spark.readStream.schema(ITEM_TABLE_SCHEMA).parquet(items_dir)
+    new = new_items_stream(items.drop("batch") if "batch" in items.columns else items)
+    b = (new.writeStream.foreachBatch(write_batch(out_dir)).option("checkpointLocation", f"{work_dir}/ckpt_b"))
+    b = b.trigger(availableNow=True) if available_now else b.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
+    return qa, b.start()
