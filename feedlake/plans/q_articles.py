@@ -127,13 +127,15 @@ def q_art_price_defaults(spark, d):
 
 @query("art_strip_tags", """
 SELECT page_id, substring(regexp_replace(html, '<[^>]*>', '', 'g'), 1, 200) AS text200,
-       length(regexp_replace(html, '<[^>]*>', '', 'g')) AS text_len
+       length(regexp_replace(html, '<[^>]*>', '', 'g')) AS text_len,
+       md5(regexp_replace(html, '<[^>]*>', '', 'g')) AS text_md5
 FROM pages""")
 def q_art_strip_tags(spark, d):
     """ART8."""
     p = table(spark, d, "pages")
     t = fn.strip_tags("html")
-    return p.select("page_id", F.substring(t, 1, 200).alias("text200"), F.length(t).alias("text_len"))
+    return p.select("page_id", F.substring(t, 1, 200).alias("text200"), F.length(t).alias("text_len"),
+                    F.md5(t).alias("text_md5"))
 
 
 @query("art_class_blocks", """
