@@ -1,7 +1,7 @@
 """Keyword dictionary for the tag facets, derived from ``benchmark`` texts:
 every distinct token of 4+ letters becomes a term; its facet is fixed by its
-length (stock / industry / section by length % 3) and its code is the
-upper-cased term with its length appended."""
+length (stock / industry / section by length % 3) and its code is 'K', the
+term's length and the term (no case mapping: engines differ on it)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +16,13 @@ def keyword_dictionary(spark: SparkSession, d: str) -> DataFrame:
     t = b.where(F.length("term") >= 4).distinct()
     facet = F.element_at(F.array(*[F.lit(f) for f in FACETS]), (F.length("term") % 3 + 1).cast("int"))
     return t.select("term", facet.alias("facet"),
-                    F.array(F.col("term"), F.concat(F.upper("term"), F.length("term").cast("string")))
-                    .alias("aliases"))
+                    F.array(F.col("term"), F.concat(F.lit("K"), F.length("term").cast("string"), F.lit(":"),
+                                                    F.col("term"))).alias("aliases"))
 
 
 KEYWORD_SQL = f"""
   SELECT term, ['stock', 'industry', 'section'][length(term) % 3 + 1] AS facet,
-         [term, upper(term) || CAST(length(term) AS VARCHAR)] AS aliases
+         [term, 'K' || CAST(length(term) AS VARCHAR) || ':' || term] AS aliases
   FROM (SELECT DISTINCT term FROM (
           SELECT unnest(regexp_split_to_array(lower(text), '{TOKEN_SPLIT}')) AS term FROM benchmark) t
         WHERE term <> '' AND length(term) >= 4) u"""
