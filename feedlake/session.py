@@ -31,7 +31,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.legacy.javaCharsets", "true")
          # local runs only: one JVM holds driver and executors; a cluster
          # deployment sizes its own driver / executor memory
-         .config("spark.driver.memory", "8g")
+         .config("spark.driver.memory", os.environ.get("FEEDLAKE_DRIVER_MEMORY", "4g"))
          .config("spark.sql.ui.retainedExecutions", "50"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
