@@ -127,7 +127,7 @@ def q_art_price_defaults(spark, d):
 
 @query("art_strip_tags", """
 SELECT page_id, substring(regexp_replace(html, '<[^>]*>', '', 'g'), 1, 200) AS text200,
-       length(regexp_replace(html, '<[^>]*>', '', 'g')) AS text_len,
+       CAST(length(regexp_replace(html, '<[^>]*>', '', 'g')) AS INTEGER) AS text_len,
        md5(regexp_replace(html, '<[^>]*>', '', 'g')) AS text_md5
 FROM pages""")
 def q_art_strip_tags(spark, d):

@@ -49,7 +49,7 @@ SELECT page_id, unnest(range(len(regexp_extract_all(html, '<p>(.*?)</p>', 1))))
        unnest(list_transform(regexp_extract_all(html, '<p>(.*?)</p>', 1),
               lambda x: substring(regexp_replace(x, '<[^>]*>', '', 'g'), 1, 40))) AS title,
        regexp_extract(url, '/([0-9]+)', 1) AS user_id,
-       0 AS read_count, 0 AS buy_count, 0.0 AS price
+       0 AS read_count, 0 AS buy_count, CAST(0.0 AS DOUBLE) AS price
 FROM pages""")
 def q_feed_table_items(spark, d):
     """FEED2: table rows -> items; user id from the page url; read, buy and

@@ -53,7 +53,7 @@ def q_job_backfill_300(spark, d):
 
 
 @query("job_history_missing", W + """
-SELECT a.url, length(s.html) AS content_len FROM articles a LEFT JOIN page_store s ON s.row_key = a.url
+SELECT a.url, CAST(length(s.html) AS INTEGER) AS content_len FROM articles a LEFT JOIN page_store s ON s.row_key = a.url
 WHERE a.summary IS NULL""")
 def q_job_history_missing(spark, d):
     """JOB3."""
@@ -70,7 +70,7 @@ def q_job_recrawl(spark, d):
 
 @query("job_materialise", W + f""",
 urls AS (SELECT url, ts FROM articles WHERE platform_id IN (40001, 40002, 40003, 40004) AND summary != '')
-SELECT u.url, length(s.html) AS content_len, {TITLE.format(h='s.html')} AS title
+SELECT u.url, CAST(length(s.html) AS INTEGER) AS content_len, {TITLE.format(h='s.html')} AS title
 FROM urls u JOIN page_store s ON s.row_key = u.url WHERE s.html IS NOT NULL""")
 def q_job_materialise(spark, d):
     """JOB5."""

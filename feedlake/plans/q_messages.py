@@ -80,14 +80,14 @@ def q_msg_route_counts(spark, d):
 
 
 @query("src_page_lookup", W_ROUTED + """
-SELECT msg_seq, page_url, length(page_html) AS html_len FROM looked""")
+SELECT msg_seq, page_url, CAST(length(page_html) AS INTEGER) AS html_len FROM looked""")
 def q_src_page_lookup(spark, d):
     """SRC2: (table, row key) -> (url, html); NULL on miss."""
     return _looked(spark, d).select("msg_seq", "page_url", F.length("page_html").alias("html_len"))
 
 
 @query("src_content_lookup", W_ROUTED + """
-SELECT r.msg_seq, length(s.html) AS content_len
+SELECT r.msg_seq, CAST(length(s.html) AS INTEGER) AS content_len
 FROM routed r LEFT JOIN page_store s ON s.table_name = r.key_name AND s.row_key = r.pos_name""")
 def q_src_content_lookup(spark, d):
     """SRC3: content cell only."""

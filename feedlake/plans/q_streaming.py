@@ -65,7 +65,7 @@ def q_src_message_stream(spark, d):
 
 
 @query("str_enrich", W_ROUTED + """
-SELECT msg_seq, page_url, length(page_html) AS html_len FROM looked""")
+SELECT msg_seq, page_url, CAST(length(page_html) AS INTEGER) AS html_len FROM looked""")
 def q_str_enrich(spark, d):
     """STR2: stream-static left join of notices with the page table."""
     src = _land_notices(spark, d)
