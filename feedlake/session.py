@@ -42,14 +42,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when
-    the session has none (tests)."""
+    """Return the shared checkpoint folder. The cluster names it in
+    ``spark.checkpoint.dir``; only when the session has none (tests, a
+    laptop) a local folder is registered with the SparkContext (the conf
+    itself cannot be changed on a running session)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
         d = _LOCAL_FALLBACK
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
