@@ -6,7 +6,7 @@ edges     consecutive lines of one order: supplier of line n -> supplier of
           within a group), distinct, no self loops
 has_page  list pages that were crawled: s_nationkey % 3 <> 1
 has_info  info pages that were crawled: s_nationkey % 2 = 0
-seeds     the supplier with the largest balance in nation 0
+seeds     the crawled account (list page stored) with the most followers
 """
 from __future__ import annotations
 
@@ -38,9 +38,9 @@ def has_info(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seeds(spark: SparkSession, d: str) -> DataFrame:
-    n = nodes(spark, d).where(F.col("nation") == 0)
-    return n.groupBy("nation").agg(F.max_by("user_id", F.struct("followers", "user_id")).alias("user_id")) \
-        .select("user_id")
+    n = nodes(spark, d).join(has_page(spark, d), "user_id", "left_semi")
+    return n.agg(F.max_by("user_id", F.struct("followers", "user_id")).alias("user_id")) \
+        .where(F.col("user_id").isNotNull())
 
 
 SQL = {
@@ -50,7 +50,7 @@ SQL = {
                 WHERE a.l_suppkey <> b.l_suppkey""",
     "has_page": "SELECT user_id FROM nodes WHERE nation % 3 <> 1",
     "has_info": "SELECT user_id FROM nodes WHERE nation % 2 = 0",
-    "seeds": """SELECT user_id FROM (SELECT *, row_number() OVER (PARTITION BY nation
-                ORDER BY followers DESC, user_id DESC) AS rn FROM nodes WHERE nation = 0) t WHERE rn = 1""",
+    "seeds": """SELECT user_id FROM (SELECT *, row_number() OVER (ORDER BY followers DESC, user_id DESC) AS rn
+                FROM nodes WHERE user_id IN (SELECT user_id FROM has_page)) t WHERE rn = 1""",
 }
 WITH = "WITH RECURSIVE " + ",\n".join(f"{k} AS ({v})" for k, v in SQL.items())
