@@ -91,9 +91,10 @@ def q_nlp_dictionary_tags(spark, d):
 
 
 def _lang_model(spark, d):
-    docs = spread(table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label")))
-    tf = tx.term_counts(tx.doc_tokens(docs), materialize=True)
-    return docs, tf, tx.nb_train(tf, docs.select("doc_id", "label"))
+    texts = spread(table(spark, d, "documents").select("doc_id", "text"))
+    labels = table(spark, d, "documents").select("doc_id", F.col("lang").alias("label"))   # narrow scan
+    tf = tx.term_counts(tx.doc_tokens(texts), materialize=True)
+    return labels, tf, tx.nb_train(tf, labels)
 
 
 LANG_NB = f"""
