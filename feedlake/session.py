@@ -67,7 +67,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def utc(spark: SparkSession) -> None:
     """Pin the session zone; every clock-free result is then zone-stable."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def local_dir_exists(path: str) -> bool:
-    return os.path.isdir(path)

@@ -88,3 +88,49 @@ def test_html_walker_nesting(spark):
     cards = sorted((r.pos, r.text) for r in rows if r.block == "card")
     assert cards == [(0, "one boldinner tail"), (1, "two")]
     assert [r.attr for r in rows if r.block == "img"] == ["a.png"]
+
+
+def test_profile_json_rules(spark):
+    from feedlake.functions import json_get_or_default, json_int_or_default
+    docs = spark.createDataFrame([
+        ('{"userID":"7","be":"3","us":"9","vipAuth":"1"}',),
+        ('{"userID":"8"}',),                       # keys missing -> "0"
+        ('{"userID":"9","be":null,"us":"x"}',),    # JSON null stays NULL, bad int -> NULL
+    ], "j string")
+    rows = docs.select(json_get_or_default("j", "userID").alias("id"),
+                       json_int_or_default("j", "be").alias("marrow"),
+                       json_int_or_default("j", "us").alias("recommend"),
+                       json_int_or_default("j", "vipAuth").alias("vip")).collect()
+    assert [(r.id, r.marrow, r.recommend, r.vip) for r in rows] == [
+        ("7", 3, 9, 1), ("8", 0, 0, 0), ("9", None, None, 0)]
+
+
+def test_user_list_page(spark):
+    doc = json.dumps({"users": [
+        {"id": 1001, "followers_count": 150, "screen_name": "a", "description": None,
+         "profile_image_url": "x1.png,x2.png"},
+        {"id": 1002, "followers_count": 90, "screen_name": "b", "description": "hi",
+         "profile_image_url": "y.png"}]})
+    p = spark.createDataFrame([(doc,)], "doc string").select(F.from_json("doc", schemas.USER_LIST_PAGE).alias("p"))
+    rows = p.select(F.explode("p.users").alias("u")).select(
+        F.col("u.id").cast("string").alias("id"), F.coalesce("u.description", F.lit("")).alias("intro"),
+        F.concat(F.lit(schemas.URLS[40001]["image"]), F.split("u.profile_image_url", ",").getItem(0)).alias("img"),
+        (F.col("u.followers_count") > schemas.FOLLOWER_GATE_EXPAND).alias("expand")).collect()
+    assert [(r.id, r.intro, r.img, r.expand) for r in rows] == [
+        ("1001", "", schemas.URLS[40001]["image"] + "x1.png", True),
+        ("1002", "hi", schemas.URLS[40001]["image"] + "y.png", False)]
+
+
+def test_permalink_take_while(spark):
+    from feedlake.operators import increments as inc
+    from feedlake.plans.q_feeds2 import PERMALINK_MARK
+    cards = spark.createDataFrame([
+        ("p", 0, "http://w/1/10" + PERMALINK_MARK + "5"),
+        ("p", 1, "http://w/1/11" + PERMALINK_MARK + "6"),
+        ("p", 2, "http://w/1/12"),                       # no permalink: the walk stops here
+        ("p", 3, "http://w/1/13" + PERMALINK_MARK + "7"),
+    ], "page string, pos int, link string")
+    kept = inc.take_while(cards, "page", F.col("pos"), ~F.col("link").contains(PERMALINK_MARK))
+    links = [r.p for r in kept.orderBy("pos").select(
+        F.concat(F.substring_index("link", "ref=home", 1), F.lit("type=comment")).alias("p")).collect()]
+    assert links == ["http://w/1/10?type=comment", "http://w/1/11?type=comment"]
