@@ -43,7 +43,7 @@ def main(argv=None) -> int:
     from pyspark.sql import SparkSession
 
     from feedlake.session import ensure_checkpoint_dir, scratch_path
-    b = SparkSession.builder.appName(f"feedlake-{a.cmd}")
+    b = SparkSession.builder.appName(f"feedlake-{a.cmd}").config("spark.ui.enabled", "false")
     if a.master:
         b = b.master(a.master)
     spark = b.getOrCreate()

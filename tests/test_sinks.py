@@ -36,3 +36,19 @@ def test_top_n_salted_equals_window(spark, rows, n):
     w = Window.partitionBy("key").orderBy(F.col("ts").desc())
     want = sorted((r.key, r.ts) for r in df.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).collect())
     assert got == want
+
+
+def test_article_views_prune_and_rename(spark, tmp_path):
+    from feedlake.plans import views
+    rows = [(40004, "u1", "t1", "http://a/1", 10, "s1", {"recommend": 3, "read": 40}),
+            (40001, "u2", "t2", "http://a/2", 11, None, {"retweet": 1})]
+    df = spark.createDataFrame(rows, "platform_id int, user_id string, title string, url string, ts long, "
+                                     "summary string, metrics map<string,bigint>")
+    sinks.append(df, str(tmp_path / "articles"), ["platform_id"])
+    table = spark.read.parquet(str(tmp_path / "articles"))
+    v = views.article_view(table, 40004)
+    assert v.columns == views.ARTICLE_VIEWS[40004]
+    assert [tuple(r) for r in v.collect()] == [("u1", "t1", 3, 40, 0, "http://a/1", 10, "s1")]
+    v.createOrReplaceTempView("v40004")
+    plan = spark.sql("EXPLAIN SELECT * FROM v40004").first()[0]
+    assert "PartitionFilters" in plan and "40004" in plan
