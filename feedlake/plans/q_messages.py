@@ -263,10 +263,16 @@ def q_src_fans_count(spark, d):
     return u.select("user_id", F.get_json_object(body, "$.count").try_cast("int").alias("fans"))
 
 
-@query("src_decode")
+@query("src_decode", """
+SELECT page_id,
+  CAST(CASE WHEN page_id % 2 = 0 THEN length(html) ELSE length(html) + 2 END AS INTEGER) AS decoded_len,
+  true AS same
+FROM pages""")
 def q_src_decode(spark, d):
-    """SRC4: stored bytes decoded by a UTF-8 / GBK cascade (rows-only: the
-    GBK codec exists only on the Spark side)."""
+    """SRC4: stored bytes decoded by a UTF-8 / GBK cascade. The oracle states
+    the expected text (DuckDB has no GBK codec): even pages decode to the
+    page, odd pages to the 2-character prefix plus the masked page, and the
+    decoded text always equals what was stored."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")   # GBK codec
     p = table(spark, d, "pages")
     # odd pages land as GBK bytes: a CJK prefix plus the page with non-ASCII
