@@ -4,8 +4,9 @@
     python -m feedlake run <query-or-job> --input DIR --output DIR [--master local[8]]
     python -m feedlake stream --notices DIR --input DIR --output DIR [--once]
 
-``run`` executes any registered query / job over the tables in ``--input``
-and writes its result as Parquet to ``--output``. ``stream`` starts the
+``run`` executes any registered query / job (or one of the job aliases
+below) over the tables in ``--input`` and writes its result as Parquet to
+``--output``. ``stream`` starts the
 flagship feed-increment stream over a folder of notice files (JSON lines
 ``{"msg_seq":..,"value":..}``); on a cluster the source is Kafka.
 """
@@ -16,6 +17,30 @@ import os
 import sys
 
 
+# The application's batch entry points, by what they do.
+JOBS = {
+    "summary-backfill-40005": "job_backfill_200",
+    "digest-backfill-40001": "job_backfill_300",
+    "history-missing-summaries": "job_history_missing",
+    "article-recrawl": "job_recrawl",
+    "content-materialise": "job_materialise",
+    "vip-home-pages-40002": "job_vip_home",
+    "blog-pages-40002": "job_blog_pages",
+    "portrait-update-40002": "prof_portrait_update",
+    "vip-badge-check-40002": "str_seed_then_check",
+    "vip-fill-40004": "job_vip_fill",
+    "article-fill-40004": "job_article_fill",
+    "known-user-recrawl-40004": "msg_fanout_two",
+    "article-fill-40003": "feed_links_hit_miss",
+    "missing-articles-40001": "job_missing_articles",
+    "extra-vip-seeds-40001": "src_seed_list",
+    "follower-expansion-40001": "grf_threshold_bfs",
+    "follower-refresh": "job_follower_refresh",
+    "post-fill-40005": "job_post_fill",
+    "news-enrichment-40004": "snk_chained_write",
+}
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="feedlake")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -37,6 +62,8 @@ def main(argv=None) -> int:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from feedlake.plans.catalog import QUERIES
     if a.cmd == "list":
+        for alias, n in sorted(JOBS.items()):
+            print(f"{alias:32s} -> {n}")
         for n in sorted(QUERIES):
             print(n)
         return 0
@@ -49,7 +76,7 @@ def main(argv=None) -> int:
     spark = b.getOrCreate()
     ensure_checkpoint_dir(spark)
     if a.cmd == "run":
-        QUERIES[a.name](spark, a.input).write.mode("overwrite").parquet(a.output)
+        QUERIES[JOBS.get(a.name, a.name)](spark, a.input).write.mode("overwrite").parquet(a.output)
         return 0
     from feedlake import schemas
     from feedlake.plans import flagship
