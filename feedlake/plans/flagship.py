@@ -3,8 +3,9 @@
 notices -> parse/reject -> route by platform -> page lookup -> ordered items
 -> keep only what is newer than the page's marker -> article rows + tasks.
 
-The same function body runs per micro-batch inside ``foreachBatch`` in
-``feedlake.streaming.feed``; here it runs over a whole notice table.
+This is the batch form over a whole notice table with a stored marker
+table. ``feedlake.streaming.feed`` runs the same steps as a stream, with the
+marker kept as keyed state (snapshots of one page applied in arrival order).
 """
 from __future__ import annotations
 
@@ -17,7 +18,6 @@ from ..operators import extract, increments, lookup, messages
 from ..sources import standins
 
 
-
 def notices_to_pages(notices: DataFrame, store: DataFrame, platforms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (pages, rejects, misses). ``pages`` has one row per announced page
     with its ordered item array (title, url, key) and no html column."""

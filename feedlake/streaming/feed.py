@@ -7,6 +7,12 @@ with the batch; the sink writes each batch to its own folder
 (``batch=<id>``, overwritten on replay), so a replayed batch yields the same
 files and no duplicate tasks. Executor loss re-runs tasks; driver loss
 restarts from the checkpoint.
+
+``start`` joins each micro-batch with the page table as a stream-static
+join, which reads the whole table per batch: right for a page table of
+moderate size. For a page table at the 100 TB scale use
+``start_two_stage``, whose lookup reads only the partitions of the batch's
+keys (``sources.page_store`` layout).
 """
 from __future__ import annotations
 
