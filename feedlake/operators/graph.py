@@ -37,17 +37,21 @@ def expand(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, has_page: DataF
     expand_gate(Column)           which saved nodes with a page are expanded
     Returns visited(user_id, hop, followers, has_page).
 
-    The gated edge list is materialised once, hash-partitioned by ``src``
-    (the checkpoint keeps that partitioning, so each round's frontier join
-    does not re-shuffle the edges). Each round checkpoints only its new
-    nodes; the visited set is the union of the rounds, never rewritten.
+    The gated edge list is materialised once. It is deliberately *not*
+    partitioned by ``src``: one account may own a third of all edges, and a
+    pre-partitioned side can neither be rebalanced nor skew-split. Each round
+    AQE broadcasts the frontier when its measured size is small (the usual
+    case: the frontier is tiny next to the edges) and otherwise plans a
+    shuffle join whose hot partitions it can split. Each round checkpoints
+    only its new nodes; the visited set is the union of the rounds, never
+    rewritten.
     """
     pages = has_page.select("user_id").distinct()
     attrs = nodes.select("user_id", "followers")
     cand = edges.select("src", "dst").join(attrs.withColumnRenamed("user_id", "dst"), "dst")
     if save_gate is not None:
         cand = cand.where(save_gate)
-    cand = _cut(cand.select("src", "dst").distinct().repartition("src"))
+    cand = _cut(cand.select("src", "dst").distinct())
     parts = [_cut(seeds.select("user_id").distinct().withColumn("hop", F.lit(0)))]
 
     def visited_ids():

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import splittable_join
+
 ORD = "_ord"
 CUT = "_cut"
 
@@ -40,7 +42,12 @@ def apply_cuts(items: DataFrame, cuts: DataFrame, page_cols, inclusive: bool = F
     it when ``inclusive``). ``items`` must carry ``_ord``; ``cuts`` one row
     per page with ``_cut``."""
     keys = _keys(page_cols)
-    j = items.join(cuts, keys, "left")
+    # Join on (page, hash(page)): the cut table comes out of an aggregation
+    # partitioned by page alone, which no longer satisfies the join's
+    # distribution, so both inputs become plain shuffle stages. That is the
+    # shape AQE's skew-join handling needs to split a hot page's items (and
+    # replicate its single cut row) instead of sending them to one task.
+    j = splittable_join(items, cuts, keys, "left")
     before = (F.col(ORD) <= F.col(CUT)) if inclusive else (F.col(ORD) < F.col(CUT))
     return j.where(F.col(CUT).isNull() | before).drop(ORD, CUT)
 
@@ -102,7 +109,7 @@ def page_changed(items: DataFrame, markers: DataFrame, page_cols, order: Column,
     changed = (h.join(m, keys, "left")
                .where(~F.col("head_" + key).eqNullSafe(F.col("_mk")))
                .select(*keys))
-    fresh = items.join(changed, keys, "left_semi")
+    fresh = splittable_join(items, changed, keys, "left_semi")   # hot page stays splittable
     if valid is None:
         return fresh
     return take_while(fresh, keys, order, ~F.coalesce(valid, F.lit(False)))

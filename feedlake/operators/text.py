@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import splittable_join
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 SENTENCE = r"[^.!?\n]+[.!?]?"
@@ -70,7 +71,7 @@ def dictionary_tags(tokens: DataFrame, dictionary: DataFrame, docs: DataFrame,
                     id_col: str = "doc_id") -> DataFrame:
     """NLP4: for each document and facet, the sorted set of dictionary terms
     it mentions, comma-joined ('' when none). ``dictionary(term, facet)``."""
-    hits = tokens.join(dictionary.select(F.col("term").alias("token"), "facet"), "token")
+    hits = splittable_join(tokens, dictionary.select(F.col("term").alias("token"), "facet"), ["token"])
     agg = hits.groupBy(id_col).agg(*[
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("facet") == f, F.col("token")))), ",")
         .alias(f) for f in FACETS])
@@ -135,7 +136,8 @@ def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFr
                                       F.ln(F.col("n") + 1).alias("w"))).alias("ws"))
          .select("token", F.concat("ws", F.array(F.struct(F.lit(_T).alias("c"), F.lit(1.0).alias("w"))))
                  .alias("ws")))
-    contrib = (tf.join(w, "token")
+    # a common token occurs in almost every document: keep it splittable
+    contrib = (splittable_join(tf, w, ["token"])
                .select(id_col, F.explode("ws").alias("e"), "tf")
                .select(id_col, F.col("e.c").alias("c"), (F.col("tf") * F.col("e.w")).alias("s")))
     every = docs.select(id_col, F.lit(_T).alias("c"), F.lit(0.0).alias("s"))
