@@ -121,3 +121,27 @@ def q_inc_preload(spark, d):
     """INC7: every known user mapped to its friend-list url (visited seed)."""
     u = standins.users(spark, d)
     return u.select("user_id", messages.build_url(schemas.URLS[40001]["friend_list"], "user_id").alias("url"))
+
+
+# Conversations as feed pages: one page per conversation, turns newest
+# first; the previous crawl saw the first half of every conversation.
+CONV_SQL = """
+WITH c AS (SELECT conv_id, turn, role, text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) - 1 AS pos FROM conversations),
+m AS (SELECT conv_id, max(turn) // 2 AS last_turn FROM conversations GROUP BY conv_id),
+cuts AS (SELECT c.conv_id, min(c.pos) AS cut FROM c JOIN m USING (conv_id) WHERE c.turn <= m.last_turn
+         GROUP BY c.conv_id)
+SELECT c.conv_id, c.turn, c.role, length(c.text) AS text_len, md5(c.text) AS text_md5
+FROM c LEFT JOIN cuts USING (conv_id) WHERE cuts.cut IS NULL OR c.pos < cuts.cut"""
+
+
+@query("inc_conversation_newer", CONV_SQL)
+def q_inc_conversation_newer(spark, d):
+    """INC3 on the conversations table: per conversation (page), the turns
+    newer than the one reached at the previous crawl (half way)."""
+    from ..sources.tables import table
+    c = table(spark, d, "conversations")
+    markers = c.groupBy("conv_id").agg(F.expr("max(turn) div 2").alias("last_turn"))
+    kept = inc.take_while_newer(c, markers, "conv_id", F.struct((-F.col("turn")).alias("t")), "turn", "last_turn")
+    return kept.select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("text_len"),
+                       F.md5("text").alias("text_md5"))
