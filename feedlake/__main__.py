@@ -51,7 +51,12 @@ def main(argv=None) -> int:
     r.add_argument("--output", required=True)
     r.add_argument("--master", default=None)
     s = sub.add_parser("stream")
-    s.add_argument("--notices", required=True)
+    s.add_argument("--notices", help="folder of notice files (JSON lines msg_seq, value)")
+    s.add_argument("--bootstrap", help="Kafka bootstrap servers (notices and tasks)")
+    s.add_argument("--topic", default="self_media", help="Kafka topic of page notices")
+    s.add_argument("--task-topic", default="newsparser_news", help="Kafka topic for article tasks")
+    s.add_argument("--max-per-trigger", type=int, default=None,
+                   help="bound each micro-batch (maxOffsetsPerTrigger / maxFilesPerTrigger)")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", default=None)
@@ -82,10 +87,23 @@ def main(argv=None) -> int:
     from feedlake.plans import flagship
     from feedlake.sources import standins
     from feedlake.streaming import feed
-    notices = spark.readStream.schema("msg_seq BIGINT, value STRING").json(a.notices)
+    task_kafka = None
+    if a.bootstrap:
+        from feedlake.sources.tables import message_stream
+        opts = {"kafka.bootstrap.servers": a.bootstrap, "subscribe": a.topic}
+        if a.max_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(a.max_per_trigger)
+        notices = message_stream(spark, "kafka", **opts)          # value, msg_seq = offset
+        task_kafka = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.task_topic}
+    else:
+        r = spark.readStream.schema("msg_seq BIGINT, value STRING")
+        if a.max_per_trigger:
+            r = r.option("maxFilesPerTrigger", a.max_per_trigger)
+        notices = r.json(a.notices)
     q = feed.start(spark, notices, standins.page_store(spark, a.input), schemas.platforms(spark),
                    flagship.page_markers(spark, a.input), a.output,
-                   a.checkpoint or scratch_path(spark, "stream"), available_now=a.once)
+                   a.checkpoint or scratch_path(spark, "stream"), available_now=a.once,
+                   task_kafka=task_kafka)
     q.awaitTermination()
     return 0
 

@@ -56,23 +56,32 @@ def article_rows(new: DataFrame) -> DataFrame:
         messages.article_task("platform_id", "url", F.col("needs_login")).alias("task"))
 
 
-def write_batch(out_dir: str):
+def write_batch(out_dir: str, task_kafka: dict | None = None):
     """foreachBatch sink: articles first, then tasks read back from the
-    written files (SNK10 / SNK11 ordering)."""
+    written files (SNK10 / SNK11 ordering). Tasks land as text files, or go
+    to a Kafka topic when ``task_kafka`` holds the producer options
+    (``kafka.bootstrap.servers``, ``topic``); the clock id is stamped here."""
+    from ..operators.sinks import with_clock_id
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = article_rows(batch)
         path = f"{out_dir}/articles/batch={batch_id}"
         rows.write.mode("overwrite").parquet(path)
         written = batch.sparkSession.read.parquet(path)
-        written.select(F.col("task").alias("value")).write.mode("overwrite").text(
-            f"{out_dir}/tasks/batch={batch_id}")
+        if task_kafka:
+            (written.select(with_clock_id(F.col("task")).alias("value"))
+             .write.format("kafka").options(**task_kafka).save())
+        else:
+            written.select(F.col("task").alias("value")).write.mode("overwrite").text(
+                f"{out_dir}/tasks/batch={batch_id}")
     return sink
 
 
 def start(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms: DataFrame,
-          seed_markers: DataFrame, out_dir: str, checkpoint: str, available_now: bool = False):
+          seed_markers: DataFrame, out_dir: str, checkpoint: str, available_now: bool = False,
+          task_kafka: dict | None = None):
     new = new_items_stream(items_stream(notices, store, platforms, seed_markers))
-    w = (new.writeStream.foreachBatch(write_batch(out_dir)).option("checkpointLocation", checkpoint)
+    w = (new.writeStream.foreachBatch(write_batch(out_dir, task_kafka)).option("checkpointLocation", checkpoint)
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
     return w.start()
