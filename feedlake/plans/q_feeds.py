@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import schemas
-from ..operators import extract, feeds, increments as inc, lookup, messages
+from ..operators import extract, feeds
 from ..sources import feed_pages as fp
-from ..sources import standins
 from ..sources.tables import table
-from .oracle_common import LI_HREF, LI_TEXT, absolute_sql, crawl_task_sql
+from .oracle_common import LI_HREF, LI_TEXT
 from .registry import query
 
 SFX = schemas.TITLE_SUFFIX

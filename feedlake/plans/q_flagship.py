@@ -1,14 +1,10 @@
 """Proof queries: flagship feed increments, messages, lookups (SRC/MSG/STR)."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from .. import schemas
-from ..operators import lookup, messages
 from ..sources import standins
 from . import flagship
 from .oracle_common import (LI_HREF, LI_TEXT, ORIGIN, PARSED_SQL, PLATFORMS_SQL, absolute_sql,
-                            article_task_sql, crawl_task_sql)
+                            article_task_sql)
 from .registry import query
 
 W_MSG = standins.with_ctes("page_store", "messages")

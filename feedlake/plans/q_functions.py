@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..functions import dates
 from ..operators.dictionary import stock_pairs_join
-from ..sources import dictionaries, standins
+from ..sources import dictionaries
 from ..sources.tables import table
 from .registry import query
 

@@ -7,7 +7,6 @@ from .. import schemas
 from ..operators import extract, lookup, messages, sinks
 from ..sources import graph as g
 from ..sources import standins
-from ..sources.tables import table
 from .oracle_common import crawl_task_sql
 from .registry import query
 
