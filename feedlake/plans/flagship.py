@@ -89,3 +89,47 @@ def feed_increments(spark: SparkSession, d: str) -> DataFrame:
     pages, _, _ = notices_to_pages(standins.messages(spark, d), standins.page_store(spark, d),
                                    schemas.platforms(spark))
     return article_rows(new_items(pages, page_markers(spark, d)))
+
+
+# ---------------------------------------------------------------------------
+# Scheduled batch runs with a versioned marker table (INC1, batch form).
+# markers/run=<id>  the marker state after run <id>
+# articles/run=<id>, tasks/run=<id>
+# A run reads the newest marker version *before* its id, so re-running an id
+# overwrites its own folders with the same content (idempotent).
+# ---------------------------------------------------------------------------
+def next_markers(pages: DataFrame, markers: DataFrame) -> DataFrame:
+    """Marker after a run: the newest item's key of every page seen (pages
+    with items); other pages keep theirs."""
+    heads = (pages.where(F.size("items") > 0)
+             .select("page_url", F.col("items")[0]["key"].alias("_new")))
+    j = markers.select("page_url", F.col("last_key").alias("_old")).join(heads, "page_url", "full_outer")
+    return j.select("page_url", F.coalesce("_new", "_old").alias("last_key"))
+
+
+def read_markers(spark: SparkSession, markers_path: str, run_id: int, initial: DataFrame | None = None) -> DataFrame:
+    """Newest marker version before ``run_id`` (a scalar subquery picks it;
+    no folder listing on the driver); ``initial`` when there is none."""
+    import os
+    if not os.path.isdir(markers_path) and not markers_path.startswith(("hdfs:", "s3", "gs:", "abfs")):
+        return initial if initial is not None else spark.createDataFrame([], "page_url string, last_key string")
+    m = spark.read.parquet(markers_path).where(F.col("run") < run_id)
+    latest = m.agg(F.max("run")).scalar()
+    newest = m.where(F.col("run") == latest).select("page_url", "last_key")
+    if initial is None:
+        return newest
+    # no version before this run (first run, or a re-run of it): initial state
+    return newest.unionByName(initial.select("page_url", "last_key").where(latest.isNull()))
+
+
+def run_increment(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms: DataFrame,
+                  root: str, run_id: int, initial_markers: DataFrame | None = None) -> None:
+    pages, rejects, _ = notices_to_pages(notices, store, platforms)
+    pages = pages.checkpoint(eager=True)    # read three times below; html already dropped
+    markers = read_markers(spark, f"{root}/markers", run_id, initial_markers)
+    rows = article_rows(new_items(pages, markers))
+    rows.write.mode("overwrite").parquet(f"{root}/articles/run={run_id}")
+    written = spark.read.parquet(f"{root}/articles/run={run_id}")
+    written.select(F.col("task").alias("value")).write.mode("overwrite").text(f"{root}/tasks/run={run_id}")
+    rejects.write.mode("overwrite").parquet(f"{root}/rejects/run={run_id}")
+    next_markers(pages, markers).write.mode("overwrite").parquet(f"{root}/markers/run={run_id}")

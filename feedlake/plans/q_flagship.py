@@ -1,6 +1,7 @@
 """Proof queries: flagship feed increments, messages, lookups (SRC/MSG/STR)."""
 from __future__ import annotations
 
+from .. import schemas
 from ..sources import standins
 from . import flagship
 from .oracle_common import (LI_HREF, LI_TEXT, ORIGIN, PARSED_SQL, PLATFORMS_SQL, absolute_sql,
@@ -61,3 +62,18 @@ FROM new"""
 def q_str_flagship(spark, d):
     """STR1/STR2 + INC2/INC4 in batch form: new article rows and their tasks."""
     return flagship.feed_increments(spark, d)
+
+
+@query("inc_marker_table_run", FLAGSHIP_SQL.split("\ncuts AS (")[0].rstrip().rstrip(",") + """,
+heads AS (SELECT page_url, key AS new_key FROM keyed WHERE pos = 0)
+SELECT coalesce(h.page_url, m.page_url) AS page_url, coalesce(h.new_key, m.last_key) AS last_key
+FROM heads h FULL OUTER JOIN markers m ON h.page_url = m.page_url""")
+def q_inc_marker_table_run(spark, d):
+    """INC1 batch form: one scheduled run over the notices writes articles,
+    tasks and the next version of the marker table; the marker table after
+    the run is returned (read back from its folder)."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "increment_runs")
+    flagship.run_increment(spark, standins.messages(spark, d), standins.page_store(spark, d),
+                           schemas.platforms(spark), root, 1, flagship.page_markers(spark, d))
+    return spark.read.parquet(f"{root}/markers/run=1")
