@@ -110,10 +110,11 @@ def next_markers(pages: DataFrame, markers: DataFrame) -> DataFrame:
 def read_markers(spark: SparkSession, markers_path: str, run_id: int, initial: DataFrame | None = None) -> DataFrame:
     """Newest marker version before ``run_id`` (a scalar subquery picks it;
     no folder listing on the driver); ``initial`` when there is none."""
-    import os
-    if not os.path.isdir(markers_path) and not markers_path.startswith(("hdfs:", "s3", "gs:", "abfs")):
+    from pyspark.errors import AnalysisException
+    try:
+        m = spark.read.parquet(markers_path).where(F.col("run") < run_id)
+    except AnalysisException:        # no marker table yet (first run ever)
         return initial if initial is not None else spark.createDataFrame([], "page_url string, last_key string")
-    m = spark.read.parquet(markers_path).where(F.col("run") < run_id)
     latest = m.agg(F.max("run")).scalar()
     newest = m.where(F.col("run") == latest).select("page_url", "last_key")
     if initial is None:
