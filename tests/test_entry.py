@@ -52,3 +52,25 @@ def test_all_queries_match_oracle(spark):
         if s != d:
             bad.append((name, "values"))
     assert bad == []
+
+
+def test_cli_lists_queries_and_aliases(capsys):
+    from feedlake.__main__ import JOBS, main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out
+    assert all(alias in out for alias in JOBS) and all(n in out for n in E.queries())
+    assert set(JOBS.values()) <= set(E.queries())
+
+
+def test_bench_prints_one_json_line(spark, capsys, monkeypatch):
+    import json
+
+    import bench
+    monkeypatch.setenv("BENCH_SF_DIR", SF0001)
+    monkeypatch.setenv("BENCH_WARMUP_DIR", "/nonexistent")
+    bench.main()
+    lines = [ln for ln in capsys.readouterr().out.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and rec["sf"] == "0.001" and set(rec["queries"]) == set(bench.HEADLINE)
+    assert abs(rec["value"] - sum(rec["queries"].values())) < 0.01
