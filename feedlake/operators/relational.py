@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from .joins import splittable_join
 
 
 def one_row_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -93,4 +94,5 @@ def per_key_count(left: DataFrame, right: DataFrame, key: str, right_key: str |
     shuffle), attached to every ``left`` row, 0 when absent."""
     rk = right_key or key
     counts = right.groupBy(F.col(rk).alias(key)).agg(F.count(F.lit(1)).alias(out))
-    return left.join(counts, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
+    return (splittable_join(left, counts, [key], "left")
+            .withColumn(out, F.coalesce(F.col(out), F.lit(0))))

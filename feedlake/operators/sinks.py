@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import splittable_join
+
 
 # ---------------------------------------------------------------- tasks
 def stamp_id_ms() -> Column:
@@ -65,7 +67,7 @@ def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str], cols: l
     key matched (a ``matched`` flag, not coalesce, so NULL can be written).
     Updates are assumed unique per key (one UPDATE per key)."""
     u = updates.select(*keys, *[F.col(c).alias("_u_" + c) for c in cols]).withColumn("_m", F.lit(True))
-    j = target.join(u, keys, "left")
+    j = splittable_join(target, u, keys, "left")
     out = [F.when(F.col("_m").isNotNull(), F.col("_u_" + c)).otherwise(F.col(c)).alias(c)
            if c in cols else F.col(c) for c in target.columns]
     return j.select(*out, F.coalesce("_m", F.lit(False)).alias("updated"))

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_to_millis
+
+from ..operators.joins import splittable_join
 from .tables import table
 
 SQL: dict[str, str] = {}
@@ -284,4 +286,4 @@ def profile_lookup(spark: SparkSession, d: str, requests: DataFrame, key: str =
     idx = profile_index(spark, d).withColumnRenamed("user_id", key)
     store = page_store(spark, d).select("page_id", F.col("url").alias("page_url"),
                                         F.col("html").alias("page_html"))
-    return requests.join(idx, key, "left").join(store, "page_id", "left").drop("page_id")
+    return splittable_join(requests, idx, [key], "left").join(store, "page_id", "left").drop("page_id")
