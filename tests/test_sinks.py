@@ -52,3 +52,28 @@ def test_article_views_prune_and_rename(spark, tmp_path):
     v.createOrReplaceTempView("v40004")
     plan = spark.sql("EXPLAIN SELECT * FROM v40004").first()[0]
     assert "PartitionFilters" in plan and "40004" in plan
+
+
+def test_page_store_pruning_fallback(spark, tmp_path):
+    from feedlake.sources import page_store as ps
+    pages = spark.createDataFrame([("40001", f"k{i}", f"http://a/{i}", f"<p>{i}</p>") for i in range(40)],
+                                  "table_name string, row_key string, url string, html string")
+    ps.write_store(pages, str(tmp_path / "store"), buckets=8)
+    keys = spark.createDataFrame([("40001", f"k{i}") for i in range(0, 40, 3)], "key_name string, pos_name string")
+    pruned = ps.read_for_keys(spark, str(tmp_path / "store"), keys, "key_name", "pos_name", 8)
+    unpruned = ps.read_for_keys(spark, str(tmp_path / "store"), keys, "key_name", "pos_name", 8, max_pairs=1)
+    got = lambda s: sorted(r.row_key for r in s.join(keys, s.row_key == keys.pos_name, "left_semi").collect())
+    assert got(pruned) == got(unpruned) == sorted(f"k{i}" for i in range(0, 40, 3))
+    assert unpruned.count() == 40 and pruned.count() <= 40
+
+
+def test_profile_view(spark):
+    from feedlake.plans import views
+    prof = spark.createDataFrame([(40005, 7, 120, "n", "hi", "http://h", "p.png", "1"),
+                                  (40002, 8, 5, "m", "yo", "http://g", "q.png", "0")],
+                                 "platform_id int, user_id long, followers_count long, name string, "
+                                 "introduction string, home_page string, portrait string, official_vip string")
+    v = views.profile_view(prof, 40005)
+    assert v.columns == views.PROFILE_VIEWS[40005]
+    assert [tuple(r) for r in v.collect()] == [(7, 120, "1", "n", "hi", "http://h", "p.png")]
+    assert views.profile_view(prof, 40002).first()["vip"] is None     # column absent -> typed NULL
