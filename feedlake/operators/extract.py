@@ -61,3 +61,30 @@ def paragraphs(html) -> Column:
 def text_of(html_fragment) -> Column:
     """Tags stripped, whitespace kept (ART8 applied to a fragment)."""
     return F.regexp_replace(_c(html_fragment), "<[^>]*>", "")
+
+
+# Markers around the status JSON embedded in 40001 pages.
+STATUS_START = "SNB.data.statuses = "
+STATUS_END = ";\n  SNB.data.statusType"
+PROFILE_START = "SNB.profileUser ="
+PROFILE_END = "</script>"
+
+
+def between(text, start: str, end: str) -> Column:
+    """SRC10: text between the first ``start`` and the next ``end`` (NULL when
+    ``start`` is absent); literal markers, no regex."""
+    t = _c(text)
+    after = F.substring_index(t, start, -1)
+    return F.when(F.instr(t, start) > 0, F.substring_index(after, end, 1))
+
+
+def last_script_with(html, marker: str) -> Column:
+    """SRC8: the last ``<script>`` body containing ``marker`` (NULL if none)."""
+    scripts = F.regexp_extract_all(_c(html), F.lit(r"(?s)<script[^>]*>(.*?)</script>"), 1)
+    return F.element_at(F.filter(scripts, lambda s: s.contains(marker)), -1)
+
+
+def status_doc(html) -> Column:
+    """40001 page -> ``{"statuses": [...]}`` JSON text from its script."""
+    return F.concat(F.lit('{"statuses":'),
+                    between(last_script_with(html, STATUS_START), STATUS_START, STATUS_END), F.lit("}"))

@@ -134,3 +134,21 @@ def test_permalink_take_while(spark):
     links = [r.p for r in kept.orderBy("pos").select(
         F.concat(F.substring_index("link", "ref=home", 1), F.lit("type=comment")).alias("p")).collect()]
     assert links == ["http://w/1/10?type=comment", "http://w/1/11?type=comment"]
+
+
+def test_status_page_from_script(spark):
+    """SRC8 + SRC10 + FEED3 on a hand-made page: the statuses JSON sits in the
+    last script holding the marker, between two literal markers."""
+    from feedlake.operators import extract
+    statuses = json.dumps([
+        {"id": 5, "user_id": 21, "title": "t5", "description": "d", "target": "/21/5", "retweet_count": 1,
+         "reply_count": 0, "created_at": 1468463935000, "retweeted_status": None, "user": {"screen_name": "z"}},
+        {"id": 4, "user_id": 21, "title": "t4", "description": "d", "target": "/21/4",
+         "retweeted_status": {"id": 1}, "user": {"screen_name": "z"}}])
+    html = ("<html><script>var SNB = {};</script><script>SNB.data.statuses = [];\n  SNB.data.statusType = 0;</script>"
+            "<script>SNB.data.statuses = " + statuses + ";\n  SNB.data.statusType = 1;</script></html>")
+    pages = spark.createDataFrame([("http://s/21", "owner", html)], "page_url string, owner string, html string")
+    docs = pages.select("page_url", "owner", extract.status_doc("html").alias("doc"))
+    rows = feeds.status_items(docs, ["page_url", "owner"]).orderBy("pos").collect()
+    assert [(r.id, r.is_original) for r in rows] == [(5, True), (4, False)]
+    assert rows[0].created_at == 1468463935000
