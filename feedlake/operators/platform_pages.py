@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import dates
-from ..functions.urls import last_segment, query_param
+from ..functions.urls import after_marker, last_segment
 
 VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "embed", "source", "wbr"}
 
@@ -63,6 +63,29 @@ SPECS = {
         },
     },
 }
+# Profile page structure (one item = the whole page).
+PROFILE_SPECS = {
+    40002: {
+        "item": ("html", (), None),
+        "fields": {
+            "name": ("strong", (), "text", None, 0, "BloggerName"),
+            "intro": (None, ("#BlogNameLoad",), "text", None, 0, None),
+            "badges": (None, ("ApproveIco",), "count", None, 0, None),
+        },
+    },
+    40003: {
+        "item": ("html", (), None),
+        "fields": {
+            "portrait": ("img", (), "attr", "src", 0, "author-avatar"),
+            "name": ("span", (), "text", None, 0, "author-msg"),
+            "field": ("span", (), "text", None, 0, ("author-msg", "<p")),
+            "blue": (None, ("moerv-blue",), "count", None, 0, None),
+            "red": (None, ("moerv-red",), "count", None, 0, None),
+            "fans": (None, ("#fansCount",), "text", None, 0, None),
+            "intro": ("tr", (), "text", None, 3, "anthor_left_bottom"),
+        },
+    },
+}
 MOER_HOST = "http://moer.jiemian.com/"
 WEIBO_HOST = "http://weibo.com"
 OUT_SCHEMA = "id LONG, pos INT, fields MAP<STRING, STRING>"
@@ -72,10 +95,22 @@ def _classes(attrs) -> set[str]:
     return set((dict(attrs).get("class") or "").split())
 
 
-def _has(cls: set[str], needed) -> bool:
+def _has(cls: set[str], needed, el_id: str | None = None) -> bool:
+    """``needed``: class names, and ``#id`` entries matched against the id."""
     if needed is None:
         return True
-    return set(needed.split() if isinstance(needed, str) else needed) <= cls
+    needed = needed.split() if isinstance(needed, str) else needed
+    ids = [n[1:] for n in needed if n.startswith("#")]
+    return set(n for n in needed if not n.startswith("#")) <= cls and all(el_id == i for i in ids)
+
+
+def _cond_ok(cond: str, tag: str, cls: set[str], el_id: str | None) -> bool:
+    """Ancestor condition: ``<tag``, ``#id`` or a class set."""
+    if cond.startswith("<"):
+        return tag == cond[1:]
+    if cond.startswith("#"):
+        return el_id == cond[1:]
+    return set(cond.split()) <= cls
 
 
 class _ItemWalker(HTMLParser):
@@ -92,24 +127,28 @@ class _ItemWalker(HTMLParser):
         self.items = []
         self._cid = 0
 
-    def _inside(self, cls_name, from_depth=0):
-        if cls_name is None:
+    def _inside(self, within, from_depth=0):
+        """Every condition is met by some open ancestor (from ``from_depth``)."""
+        if within is None:
             return True
-        need = set(cls_name.split())
-        return any(need <= c for _, c, _ in self.stack[from_depth:])
+        conds = [within] if isinstance(within, str) else list(within)
+        scope = self.stack[from_depth:]
+        return all(any(_cond_ok(c, t, k, i) for t, k, i, _ in scope) for c in conds)
 
     def handle_starttag(self, tag, attrs):
         cls = _classes(attrs)
         a = dict(attrs)
+        el_id = a.get("id")
         opened = []
         if self.item_depth is None:
-            if tag == self.item_tag and _has(cls, self.item_classes) and self._inside(self.item_within):
+            if tag == self.item_tag and _has(cls, self.item_classes, el_id) and self._inside(self.item_within):
                 self.item_depth = len(self.stack)
                 self.cur = {"_cover": "1" if self.cover_class and self.cover_class in cls else "0"}
                 self.counts = {}
         else:
             for name, (ftag, fcls, mode, attr, nth, within) in self.fields.items():
-                if tag != ftag or not _has(cls, fcls) or not self._inside(within, self.item_depth):
+                if (ftag is not None and tag != ftag) or not _has(cls, fcls, el_id) \
+                        or not self._inside(within, self.item_depth):
                     continue
                 k = self.counts.get(name, 0)
                 self.counts[name] = k + 1
@@ -125,7 +164,7 @@ class _ItemWalker(HTMLParser):
             for c in opened:
                 self._close_cap(c)
             return
-        self.stack.append((tag, cls, opened))
+        self.stack.append((tag, cls, el_id, opened))
 
     def handle_data(self, data):
         for _, parts in self.caps.values():
@@ -142,7 +181,7 @@ class _ItemWalker(HTMLParser):
     def handle_endtag(self, tag):
         for j in range(len(self.stack) - 1, -1, -1):
             if self.stack[j][0] == tag:
-                for _, _, opened in reversed(self.stack[j:]):
+                for _, _, _, opened in reversed(self.stack[j:]):
                     for c in opened:
                         self._close_cap(c)
                 del self.stack[j:]
@@ -184,11 +223,33 @@ def _walk(spec):
     return run
 
 
-def page_items(pages: DataFrame, platform_id: int, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+def page_items(pages: DataFrame, platform_id: int, id_col: str = "page_id", html_col: str = "html",
+               specs: dict | None = None) -> DataFrame:
     """(id, pos, fields) per item of each page, for one platform's spec."""
     from ..sources.tables import spread
     p = spread(pages.select(pages[id_col].cast("long").alias("id"), pages[html_col].alias("html")))
-    return p.mapInPandas(_walk(SPECS[platform_id]), OUT_SCHEMA)
+    return p.mapInPandas(_walk((specs or SPECS)[platform_id]), OUT_SCHEMA)
+
+
+def profile_40002(items: DataFrame, page_url: Column) -> DataFrame:
+    """PROF1: id = page url after its first 22 chars; name; trimmed intro; vip = any
+    approval badge."""
+    return items.select("id", F.substring(page_url, 23, 1 << 20).alias("user_id"), _f("name").alias("name"),
+                        F.trim(_f("intro")).alias("introduction"),
+                        (F.coalesce(_f("badges").cast("int"), F.lit(0)) > 0).alias("vip"))
+
+
+def profile_40003(items: DataFrame, page_url: Column) -> DataFrame:
+    """PROF4: portrait, name, vip 0/1/2 (red beats blue), field, fans,
+    intro; a page whose fan count does not parse is a recrawl (result 0),
+    else acknowledged (result 1)."""
+    fans = F.trim(_f("fans")).try_cast("int")
+    vip = (F.when(F.coalesce(_f("red").cast("int"), F.lit(0)) > 0, 2)
+           .when(F.coalesce(_f("blue").cast("int"), F.lit(0)) > 0, 1).otherwise(0))
+    return items.select("id", after_marker(page_url, "theId=").alias("user_id"), _f("portrait").alias("portrait"),
+                        F.trim(_f("name")).alias("name"), vip.alias("vip"), F.trim(_f("field")).alias("field"),
+                        fans.alias("followers_count"), F.trim(_f("intro")).alias("introduction"),
+                        F.when(fans.isNull(), 0).otherwise(1).alias("result"))
 
 
 def _f(name: str) -> Column:
@@ -215,7 +276,7 @@ def table_items_40003(items: DataFrame, page_url: Column) -> DataFrame:
     page url; read, buy and price 0; absolute url."""
     return items.select("id", "pos", _f("title").alias("title"),
                         F.concat(F.lit(MOER_HOST), _f("href")).alias("url"),
-                        query_param(page_url, "theId").alias("user_id"),
+                        after_marker(page_url, "theId=").alias("user_id"),
                         F.lit(0).alias("read_count"), F.lit(0).alias("buy_count"), F.lit(0.0).alias("price"))
 
 

@@ -106,21 +106,25 @@ def q_art_metrics(spark, d):
 @query("art_price_defaults", """
 SELECT o_orderkey,
   CAST(trunc(o_totalprice) AS BIGINT) AS read_count,
-  epoch_ms(timezone('Asia/Shanghai', strptime(strftime(o_orderdate, '%Y年%m月%d日 %H:%M:%S'), '%Y年%m月%d日 %H:%M:%S'))) AS ts_ms,
+  CAST(epoch_ms(timezone('Asia/Shanghai', strptime(strftime(o_orderdate, '%Y年%m月%d日 %H:%M:%S'),
+                                                  '%Y年%m月%d日 %H:%M:%S'))) // 1000 AS INTEGER) AS ts,
   CASE WHEN o_orderstatus = 'O' THEN 0 ELSE CAST(o_custkey % 50 AS INTEGER) END AS buy_count,
   CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE o_totalprice END AS price
 FROM orders""")
 def q_art_price_defaults(spark, d):
-    """ART7: read count = text from char 3 minus the unit; ts from the
-    Chinese date format; buy count and price default to 0 when absent."""
+    """ART7: read count = the text after its 3-character label with every
+    unit character removed; ts (seconds) from the labelled Chinese date;
+    buy count and price default to 0 when absent."""
     o = table(spark, d, "orders")
-    read_txt = F.concat(F.lit("阅读"), F.col("o_totalprice").cast("bigint").cast("string"), F.lit("次"))
+    read_txt = F.concat(F.lit("阅读："), F.col("o_totalprice").cast("bigint").cast("string"), F.lit("次"))
+    time_txt = F.concat(F.lit("时间："), F.date_format("o_orderdate", dates.FMT_CN))
     buy_txt = F.when(F.col("o_orderstatus") != "O", (F.col("o_custkey") % 50).cast("string"))
     price_txt = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice").cast("string"))
+    ms = fn.string_to_millis(F.substring(time_txt, 4, 1 << 20), dates.FMT_CN, "Asia/Shanghai")
     return o.select(
         "o_orderkey",
-        F.regexp_replace(F.substring(read_txt, 3, 1 << 20), "次$", "").try_cast("bigint").alias("read_count"),
-        fn.string_to_millis(F.date_format("o_orderdate", dates.FMT_CN), dates.FMT_CN, "Asia/Shanghai").alias("ts_ms"),
+        F.replace(F.substring(read_txt, 4, 1 << 20), F.lit("次"), F.lit("")).try_cast("bigint").alias("read_count"),
+        F.floor(ms / 1000).cast("int").alias("ts"),
         F.coalesce(buy_txt.try_cast("int"), F.lit(0)).alias("buy_count"),
         F.coalesce(price_txt.try_cast("double"), F.lit(0.0)).alias("price"))
 

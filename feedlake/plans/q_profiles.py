@@ -25,16 +25,16 @@ def _lk(spark, d):
 
 
 @query("prof_home_page", W + f""", {LK}
-SELECT user_id, substring(page_url, 22) AS url_tail, {TITLE} AS name,
+SELECT user_id, substring(page_url, 23) AS url_tail, {TITLE} AS name,
        substring(regexp_replace(regexp_extract(page_html, '<p>(.*?)</p>', 1), '<[^>]*>', '', 'g'), 1, 60) AS intro,
        strpos(page_html, '<b>') > 0 AS vip
 FROM lk WHERE NOT {MISS}""")
 def q_prof_home_page(spark, d):
-    """PROF1: id from the url (char 22 on), name, intro, vip = badge present."""
+    """PROF1: id = the url after its first 22 chars, name, intro, vip = badge present."""
     lk, miss = _lk(spark, d)
     h = F.col("page_html")
     return lk.where(~miss).select(
-        "user_id", F.substring("page_url", 22, 1 << 20).alias("url_tail"), extract.title(h).alias("name"),
+        "user_id", F.substring("page_url", 23, 1 << 20).alias("url_tail"), extract.title(h).alias("name"),
         F.substring(extract.text_of(F.regexp_extract(h, "<p>(.*?)</p>", 1)), 1, 60).alias("intro"),
         (F.regexp_count(h, F.lit("<b>")) > 0).alias("vip"))
 

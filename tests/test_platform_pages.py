@@ -87,3 +87,30 @@ def test_cards_40005(spark):
     # the walk stops at the first card without a permalink (A3): A4 is not kept
     kept = inc.take_while(cards, "id", F.col("pos"), ~F.col("has_permalink"))
     assert [r.pos for r in kept.orderBy("pos").collect()] == [rows[0].pos, rows[1].pos]
+
+
+HOME_40002 = """<html><body><div class="BloggerName"><strong>Eve Lin</strong></div>
+<div id="BlogNameLoad">  Macro notes, weekly.  </div><span class="ApproveIco"></span></body></html>"""
+
+HOME_40003 = """<html><body><div class="author-avatar"><img src="http://img.example/a.png"></div>
+<div class="author-msg"><span> Kai </span><p><span>Energy</span></p></div>
+<i class="moerv-blue"></i><i class="moerv-red"></i><b id="fansCount">1024</b>
+<table class="anthor_left_bottom"><tr><td>a</td></tr><tr><td>b</td></tr><tr><td>c</td></tr>
+<tr><td><p> Covers oil and gas. </p></td></tr></table></body></html>"""
+
+
+def test_profile_pages(spark):
+    p2 = spark.createDataFrame([(1, "http://blog.example/u/eve_lin", HOME_40002)], "page_id long, url string, html string")
+    it2 = pp.page_items(p2, 40002, specs=pp.PROFILE_SPECS).join(p2.select(F.col("page_id").alias("id"), "url"), "id")
+    r = pp.profile_40002(it2, F.col("url")).first()
+    assert (r.user_id, r.name, r.introduction, r.vip) == ("eve_lin", "Eve Lin", "Macro notes, weekly.", True)
+    p3 = spark.createDataFrame([(2, "http://moer.example/authorHome.htm?theId=88", HOME_40003),
+                                (3, "http://moer.example/authorHome.htm?theId=89",
+                                 HOME_40003.replace("1024", "n/a").replace('<i class="moerv-red"></i>', ""))],
+                               "page_id long, url string, html string")
+    it3 = pp.page_items(p3, 40003, specs=pp.PROFILE_SPECS).join(p3.select(F.col("page_id").alias("id"), "url"), "id")
+    rows = {r.user_id: r for r in pp.profile_40003(it3, F.col("url")).collect()}
+    a, b = rows["88"], rows["89"]
+    assert (a.portrait, a.name, a.vip, a.field, a.followers_count, a.introduction, a.result) == (
+        "http://img.example/a.png", "Kai", 2, "Energy", 1024, "Covers oil and gas.", 1)
+    assert (b.vip, b.followers_count, b.result) == (1, None, 0)
