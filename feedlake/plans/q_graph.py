@@ -64,17 +64,21 @@ bfs(user_id, hop) AS (
   SELECT e.dst, b.hop + 1 FROM bfs b JOIN has_page p ON p.user_id = b.user_id
   JOIN edges e ON e.src = b.user_id WHERE b.hop < 50),
 v AS (SELECT user_id, min(hop) AS hop FROM bfs GROUP BY user_id)
-SELECT v.user_id, v.hop, (i.user_id IS NOT NULL) AS info_hit, (p.user_id IS NOT NULL) AS list_hit
+SELECT v.user_id, v.hop, (i.user_id IS NOT NULL) AS info_hit, (p.user_id IS NOT NULL) AS list_hit,
+       (p.user_id IS NOT NULL AND v.user_id NOT IN (SELECT src FROM edges)) AS empty_list_ack
 FROM v LEFT JOIN has_info i USING (user_id) LEFT JOIN has_page p USING (user_id)""")
 def q_grf_two_edge_bfs(spark, d):
     """GRF3: each friend yields an info lookup and a list lookup; hits on the
-    list recurse, misses of either kind become tasks."""
+    list recurse, misses of either kind become tasks; a stored list that is
+    empty is acknowledged."""
     s, e, n, p = _inputs(spark, d)
     v = graph.expand(s, e, n, p)
     info = g.has_info(spark, d).withColumn("info_hit", F.lit(True))
-    return (v.join(info, "user_id", "left")
+    has_friends = e.select(F.col("src").alias("user_id")).distinct().withColumn("_f", F.lit(True))
+    return (v.join(info, "user_id", "left").join(has_friends, "user_id", "left")
             .select("user_id", "hop", F.coalesce("info_hit", F.lit(False)).alias("info_hit"),
-                    F.col("has_page").alias("list_hit")))
+                    F.col("has_page").alias("list_hit"),
+                    (F.col("has_page") & F.col("_f").isNull()).alias("empty_list_ack")))
 
 
 @query("grf_seeds", g.WITH.replace("WITH RECURSIVE", "WITH") + """
