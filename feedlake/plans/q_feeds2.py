@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.dates import ntz_to_millis
 from ..operators import extract, increments as inc, lookup, messages
 from ..sources import standins
 from ..sources.tables import table
@@ -212,7 +213,7 @@ def q_job_post_fill(spark, d):
     x = c.select("page_url", "event_id", "ts", "link", ems.alias("ems"))
     return x.select("page_url", "event_id",
                     F.concat(F.substring_index("link", "ref=home", 1), F.lit("type=comment")).alias("url"),
-                    F.floor(inc.newest_first().getField("neg_ts") * -1 / 1000000).cast("bigint").alias("ts_s"),
+                    F.floor(ntz_to_millis("ts") / 1000).cast("bigint").alias("ts_s"),
                     F.lit("").alias("title"), counter(F.col("ems"), 3, LABEL_FORWARD).alias("retweet"),
                     counter(F.col("ems"), 5, LABEL_COMMENT).alias("reply"),
                     counter(F.col("ems"), 7, LABEL_LIKE).alias("like_count"))
