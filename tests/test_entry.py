@@ -1,6 +1,5 @@
 """Driver contract and an oracle check of every registered query at sf0.001."""
 import collections
-import math
 
 import duckdb
 
