@@ -106,16 +106,25 @@ def vip_home(spark: SparkSession, d: str) -> DataFrame:
                      F.when(miss, messages.crawl_task(F.lit(40002), home, schemas.RESULT_CRAWL)).alias("task"))
 
 
-def blog_pages(spark: SparkSession, d: str) -> DataFrame:
+def blog_pages(spark: SparkSession, d: str, month: str = "2016-05") -> DataFrame:
     """JOB7: VIP users -> list page -> page count label (items on the page)
-    -> list pages 2..N."""
+    -> list pages 2..N -> each looked up: month links counted, or a crawl
+    task (month is a parameter, Q13)."""
     v = standins.users(spark, d).where("vip").select("user_id")
     lk, miss = _profile_hits(spark, d, v)
     n = lk.where(~miss).select("user_id", F.size(extract.list_items("page_html")).alias("n_pages"))
     r = messages.page_range(n, F.lit(2), F.col("n_pages"))
-    return r.select("user_id", F.col("page_no").cast("int").alias("page_no"),
-                    F.concat(F.lit(schemas.URLS[40002]["article_list"]), F.col("user_id").cast("string"),
-                             F.lit("/"), F.col("page_no").cast("string")).alias("url"))
+    pages = r.select("user_id", F.col("page_no").cast("int").alias("page_no"),
+                     F.concat(F.lit(schemas.URLS[40002]["article_list"]), F.col("user_id").cast("string"),
+                              F.lit("/"), F.col("page_no").cast("string")).alias("url"))
+    # each list page is looked up: a stored page yields its links of the month
+    # (FEED11), a missing one a crawl task
+    lk = lookup.lookup_by_url(pages, standins.page_store(spark, d), "url", ("html",))
+    miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None)
+    links = F.filter(extract.list_items("page_html"), lambda x: x["text"].contains(month))
+    return lk.select("user_id", "page_no", "url",
+                     F.when(~miss, F.size(links)).alias("month_links"),
+                     F.when(miss, messages.crawl_task(F.lit(40002), "url", schemas.RESULT_CRAWL)).alias("task"))
 
 
 def vip_fill(spark: SparkSession, d: str) -> DataFrame:

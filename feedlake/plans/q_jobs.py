@@ -92,10 +92,16 @@ def q_job_vip_home(spark, d):
 @query("job_blog_pages", W + f""",
 cand AS (SELECT user_id FROM users WHERE vip),
 lk AS ({profile_lk('cand')}),
-n AS (SELECT user_id, len(regexp_extract_all(page_html, {LI_HREF}, 1)) AS n_pages FROM lk WHERE NOT {MISS})
-SELECT user_id, CAST(page_no AS INTEGER) AS page_no,
+n AS (SELECT user_id, len(regexp_extract_all(page_html, {LI_HREF}, 1)) AS n_pages FROM lk WHERE NOT {MISS}),
+pg AS (SELECT user_id, CAST(page_no AS INTEGER) AS page_no,
        {_lit(schemas.URLS[40002]['article_list'])} || CAST(user_id AS VARCHAR) || '/' || CAST(page_no AS VARCHAR) AS url
-FROM (SELECT user_id, unnest(range(2, n_pages + 1)) AS page_no FROM n) t""")
+       FROM (SELECT user_id, unnest(range(2, n_pages + 1)) AS page_no FROM n) t)
+SELECT pg.user_id, pg.page_no, pg.url,
+  CASE WHEN s.html IS NULL OR s.html = '' THEN NULL
+       ELSE CAST(len(list_filter(regexp_extract_all(s.html, {LI_TEXT}, 1), lambda t: contains(t, '2016-05'))) AS INTEGER)
+  END AS month_links,
+  CASE WHEN s.html IS NULL OR s.html = '' THEN {crawl_task_sql('40002', 'pg.url', '0')} END AS task
+FROM pg LEFT JOIN page_store s ON s.row_key = pg.url""")
 def q_job_blog_pages(spark, d):
     """JOB7."""
     return jobs.blog_pages(spark, d)
