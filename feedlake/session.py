@@ -7,15 +7,11 @@ shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Local fallback used only when the session does not name a shared folder
-# (tests, a laptop). On a cluster ``spark.checkpoint.dir`` is set by the
-# deployment and points at shared storage.
-_LOCAL_FALLBACK = "/tmp/feedlake-checkpoints"
-
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "feedlake", extra: dict | None = None) -> SparkSession:
@@ -43,16 +39,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder. The cluster names it in
-    ``spark.checkpoint.dir``; only when the session has none (tests, a
-    laptop) a local folder is registered with the SparkContext (the conf
-    itself cannot be changed on a running session)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    ``spark.checkpoint.dir``. A local-mode session that names none (tests, a
+    laptop; driver and executors are one process there) gets a fresh folder of
+    its own, registered once with its SparkContext; a cluster session that
+    names none is an error, as no machine-local folder would do."""
     sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = _LOCAL_FALLBACK
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(d)
-    elif sc.getCheckpointDir() is None:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="feedlake-")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
