@@ -3,12 +3,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, simhash, substring
+from . import bpe, chat, forest, langid, simhash, substring, threshold
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_exact_topk(spark, sf_dir):
+    """Ten largest integer inner products for every hundredth vector id."""
+    return threshold.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     """Encode and decode every text of ``documents`` by the public multilingual ranks."""
     import public_tokenizers
@@ -16,6 +21,11 @@ def op4_byte_bpe(spark, sf_dir):
                         public_tokenizers.PATTERN, with_ids=False)
 
 
+def op5_ann_forest(spark, sf_dir):
+    """Five nearest by cosine for every fiftieth vector id."""
+    return forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_chat_format(spark, sf_dir):
     """Format all conversations and one that holds control strings; read them back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -28,6 +38,11 @@ def op6_chat_format(spark, sf_dir):
     return chat.digests(chat.read_back(chat.format_chats(turns.unionByName(extra))))
 
 
+def op8_language_id(spark, sf_dir):
+    """Language of every document, learned from the folds that are not held out."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark, sf_dir):
     """Fingerprints and components of all ``documents``."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -47,5 +62,5 @@ def op10_substring(spark, sf_dir):
                     F.coalesce("kept_sha256", empty).alias("kept_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op6_chat_format, op9_simhash, op10_substring)}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op4_byte_bpe, op5_ann_forest, op6_chat_format, op8_language_id, op9_simhash, op10_substring)}
 ORACLE: dict[str, str] = {}
