@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, forest, langid, simhash, substring, threshold
+from . import bpe, chat, forest, langid, mixing, simhash, substring, threshold
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -38,6 +38,11 @@ def op6_chat_format(spark, sf_dir):
     return chat.digests(chat.read_back(chat.format_chats(turns.unionByName(extra))))
 
 
+def op7_mixing(spark, sf_dir):
+    """Raked weights, probabilities and draws of all ``documents``."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark, sf_dir):
     """Language of every document, learned from the folds that are not held out."""
     return langid.identify(table(spark, sf_dir, "documents"))
@@ -62,5 +67,5 @@ def op10_substring(spark, sf_dir):
                     F.coalesce("kept_sha256", empty).alias("kept_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op4_byte_bpe, op5_ann_forest, op6_chat_format, op8_language_id, op9_simhash, op10_substring)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op4_byte_bpe, op5_ann_forest, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_substring)}
+ORACLE: dict[str, str] = {"op7_mixing": mixing.oracle()}
