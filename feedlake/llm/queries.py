@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, forest, langid, mixing, simhash, substring, threshold
+from . import bpe, chat, extraction, forest, langid, mixing, simhash, substring, threshold, warc
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -14,6 +14,17 @@ def op1_exact_topk(spark, sf_dir):
     return threshold.exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op2_warc(spark, sf_dir):
+    """Write, normalise and read back a WARC record of every page."""
+    return warc.round_trip(table(spark, sf_dir, "pages"), with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_main_text(spark, sf_dir):
+    """Main text of every page."""
+    return extraction.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     """Encode and decode every text of ``documents`` by the public multilingual ranks."""
     import public_tokenizers
@@ -67,5 +78,5 @@ def op10_substring(spark, sf_dir):
                     F.coalesce("kept_sha256", empty).alias("kept_sha256")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op4_byte_bpe, op5_ann_forest, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_substring)}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_warc, op3_main_text, op4_byte_bpe, op5_ann_forest, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_substring)}
 ORACLE: dict[str, str] = {"op7_mixing": mixing.oracle()}
