@@ -3,17 +3,63 @@ mixing to target weights, byte-level BPE.
 
 Each stage is ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and
 returns a DataFrame that is written as Parquet and reread as the next stage's
-``docs``. All but the last return the columns of ``documents``.
+``docs``. All but the last return the columns of ``documents`` (and any others
+the table has); the last returns ``doc_id, n_tokens, ids``.
+
+Null, empty, repeated and clashing inputs have the results the operators define;
+beyond those: the first stage drops texts without a letter and texts no language
+has half of; a text of which substring dedup leaves nothing is dropped, one that
+it does not touch stays as it is, with its white space; ``n_chars`` follows a
+changed text.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedlake.llm import bpe, langid, mixing, simhash, substring
 from feedlake.llm.common import materialise, table
+from feedlake.llm.queries import RANKS
+
+#: Share of the words that the predicted language must have.
+LEAST_SHARE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose words are mostly of one learned language."""
+    label = langid.label_column(F.col("text").cast("string"), langid.learn(docs))
+    return docs.where(label["score"] >= LEAST_SHARE)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return simhash.first_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of repeated 35-word windows."""
+    found = substring.remove_repeats(docs).where("n_removed = 0 or n_removed < n_words")
+    changed = F.col("n_removed") > 0
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return found.select(*[(F.when(changed, new[c]).otherwise(F.col(f"row.`{c}`")) if c in new
+                           else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def mixing_sample(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample calibrated to the source, language and topic targets."""
+    return mixing.sample(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids; decoding them gives the text back, else the stage fails."""
+    import public_tokenizers
+    return bpe.tokenize(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, result="ids")
+
 
-STAGES: list = []
+STAGES = [("language_id", language), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup),
+          ("mixing", mixing_sample), ("byte_bpe", tokens)]
 
-#: Fingerprints, components and a trained language model are beyond SQL; the
+#: A trained language model, fingerprints and components are beyond SQL; the
 #: tests hold the rows against a brute-force version.
 ORACLE_SQL = None
 

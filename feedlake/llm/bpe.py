@@ -18,6 +18,8 @@ import functools
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,37 +63,45 @@ def decode(enc, ids: list[int]) -> bytes:
     return enc.decode_bytes(ids)
 
 
+#: Columns beside key and ``n_tokens``, by kind of result.
+RESULTS = {"full": "ids array<int>, decoded binary", "ids": "ids array<int>",
+           "digests": "ids_sha256 string, decoded_sha256 string"}
+
+
 def tokenize(docs: DataFrame, rank_file: str, pattern: str, *, key: str = "doc_id", text: str = "text",
-             with_ids: bool = True) -> DataFrame:
-    """``key, n_tokens, ids, decoded`` (``decoded`` binary) for every row;
-    with ``with_ids=False`` the ids and bytes are replaced by their digests
-    ``ids_sha256`` (decimal ids joined by commas) and ``decoded_sha256``."""
-    import pyarrow as pa
+             result: str = "full") -> DataFrame:
+    """A row for every row of ``docs``: ``key, n_tokens`` and, by ``result``,
+
+    * ``full``: ``ids`` and ``decoded`` (the bytes the ids decode to);
+    * ``ids``: ``ids`` alone, after a check that they decode to the text;
+    * ``digests``: ``ids_sha256`` (of decimal ids joined by commas) and
+      ``decoded_sha256``.
+    """
 
     def run(batches):
         enc = encoding(rank_file, pattern)
         for batch in batches:
-            keys, rows = batch.column(0), []
+            n, left, right = [], [], []
             for t in batch.column(1):
-                ids = encode(enc, t.as_py() or "")
+                t = t.as_py() or ""
+                ids = encode(enc, t)
                 raw = decode(enc, ids)
-                rows.append((ids, raw) if with_ids else
-                            (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
-                             hashlib.sha256(raw).hexdigest()))
-            if with_ids:
-                cols = [pa.array([len(r[0]) for r in rows], pa.int64()),
-                        pa.array([r[0] for r in rows], pa.list_(pa.int32())),
-                        pa.array([r[1] for r in rows], pa.binary())]
-                names = ["n_tokens", "ids", "decoded"]
-            else:
-                cols = [pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([r[1] for r in rows], pa.string()),
-                        pa.array([r[2] for r in rows], pa.string())]
-                names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-            yield pa.RecordBatch.from_arrays([keys, *cols], names=[key, *names])
+                n.append(len(ids))
+                if result == "digests":
+                    left.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                    right.append(hashlib.sha256(raw).hexdigest())
+                    continue
+                left.append(np.array(ids, np.int32))
+                if result == "full":
+                    right.append(raw)
+                elif raw != t.encode():
+                    raise ValueError("the ids do not decode to the text")
+            names = [c.split()[0] for c in RESULTS[result].split(", ")]
+            cols = [pa.array(left, pa.string() if result == "digests" else pa.list_(pa.int32()))]
+            if len(names) > 1:
+                cols.append(pa.array(right, pa.string() if result == "digests" else pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *cols],
+                                             names=[key, "n_tokens", *names])
 
     d = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias("text"))
-    kind = d.schema[key].dataType.simpleString()
-    out = ("n_tokens long, ids array<int>, decoded binary" if with_ids
-           else "n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return d.mapInArrow(run, f"`{key}` {kind}, {out}")
+    return d.mapInArrow(run, f"`{key}` {d.schema[key].dataType.simpleString()}, n_tokens long, {RESULTS[result]}")

@@ -20,8 +20,10 @@ words. ``lang``, ``source`` and ``doc_id`` are never inputs of a prediction.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,8 +33,8 @@ from .crf import LONGEST_WORD, Model, posteriors, train
 DOCS_PER_LANG, SNIPPET, MOST_LANGS = 300, 600, 256
 FOLDS, UNKNOWN = 5, "und"
 _RUN = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
-#: Words of a batch that are labelled together, and entries of a task's word cache.
-_WORDS, _CACHE = 1 << 18, 300_000
+#: Characters labelled together, and entries of a task's word cache.
+_CHARS, _CACHE = 3 << 19, 300_000
 
 
 def fold(doc_id: Column) -> Column:
@@ -128,32 +130,35 @@ class Labeller:
         return out
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, lang_pred, score`` for every row; the text alone is read."""
-    import pyarrow as pa
+def label_column(text: Column, model: Model) -> Column:
+    """Struct ``lang_pred, score`` of a text column."""
 
-    def run(batches):
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         labeller = Labeller(model)
         names = np.array([*model.labels, UNKNOWN], dtype=object)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.to_pylist()]
             best, score = np.full(len(texts), len(model.labels)), np.zeros(len(texts))
             begin = size = 0
             for end, t in enumerate(texts, 1):
                 size += len(t)
-                if (size > 6 * _WORDS or end == len(texts)) and model.labels:
+                if (size > _CHARS or end == len(texts)) and model.labels:
                     share = labeller.shares(texts[begin:end])
                     some = ~np.isnan(share[:, 0])
                     best[begin:end][some] = share[some].argmax(axis=1)
                     score[begin:end][some] = np.minimum(share[some].max(axis=1), 1.0)
                     begin, size = end, 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
-                names=["doc_id", "lang_pred", "score"])
+            yield pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score)],
+                                             ["lang_pred", "score"])
+
+    return label(text)
 
-    d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kind = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, lang_pred, score`` for every row; the text alone is read."""
+    return (docs.select("doc_id", label_column(F.col("text").cast("string"), model).alias("p"))
+            .select("doc_id", "p.lang_pred", "p.score"))
 
 
 def identify(docs: DataFrame) -> DataFrame:

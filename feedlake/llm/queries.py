@@ -29,7 +29,7 @@ def op4_byte_bpe(spark, sf_dir):
     """Encode and decode every text of ``documents`` by the public multilingual ranks."""
     import public_tokenizers
     return bpe.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS),
-                        public_tokenizers.PATTERN, with_ids=False)
+                        public_tokenizers.PATTERN, result="digests")
 
 
 def op5_ann_forest(spark, sf_dir):
@@ -67,15 +67,8 @@ def op9_simhash(spark, sf_dir):
 
 def op10_substring(spark, sf_dir):
     """Remove all words of repeated 35-word windows from ``documents``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
-    found = substring.remove_repeats(docs).select("tid", "n_words", "n_removed",
-                                                  F.sha2("kept", 256).alias("kept_sha256"))
-    ids = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("tid"))
-    empty = F.sha2(F.lit(""), 256)
-    return (substring.splittable_join(ids, found, ["tid"], "left")
-            .select("doc_id", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
-                    F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-                    F.coalesce("kept_sha256", empty).alias("kept_sha256")))
+    found = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_warc, op3_main_text, op4_byte_bpe, op5_ann_forest, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_substring)}

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import splittable_join
 from .bktree import Forest, spanning
-from .common import materialise
+from .common import materialise, packed
 from .components import stars
 
 WIDTH, RADIUS, SEED = 4, 4, 42
@@ -190,7 +190,8 @@ def near_links(values: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SI
 
 def near_duplicates(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS,
                     tree_size: int = TREE_SIZE) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row; see the module's text."""
+    """``doc_id, fp, component_id, root`` for every row (``root`` is a fingerprint
+    that names the component); see the module's text."""
     prints = materialise(docs.select("doc_id", fingerprint_column(F.col("text").cast("string"), width).alias("fp")),
                          "fingerprints")
     by_fp = prints.groupBy("fp").agg(F.min("doc_id").alias("m"))
@@ -198,8 +199,25 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS
     rooted = (by_fp.join(star.withColumnRenamed("node", "fp"), "fp", "left")
               .select("fp", "m", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("m").alias("component_id"))
-    named = splittable_join(rooted.select("fp", "root"), least, ["root"]).select("fp", "component_id")
-    return splittable_join(prints, named, ["fp"]).select("doc_id", "fp", "component_id")
+    named = splittable_join(rooted.select("fp", "root"), least, ["root"])
+    return splittable_join(prints, named, ["fp"]).select("doc_id", "fp", "component_id", "root")
+
+
+def first_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest
+    ``doc_id`` (of rows sharing it, one with the smallest fingerprint)."""
+    found = materialise(near_duplicates(docs, width=width, radius=radius), "near-duplicates")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    row = packed(docs, "row")
+    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+        # written before it is joined, so the planner knows its size
+        gone = materialise(found.where(~first).select(F.col("doc_id").alias("id")), "duplicates")
+        return row.join(gone, F.col("row.doc_id").eqNullSafe(F.col("id")), "left_anti").select("row.*")
+    # ids repeat: rows are told apart by id and fingerprint
+    kept = found.where(first).groupBy("doc_id", "root").agg(F.min("fp").alias("least"))
+    asked = row.withColumn("fp", fingerprint_column(F.col("row.text").cast("string"), width))
+    return (asked.join(kept, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("fp") == F.col("least")),
+                       "left_semi").withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "fp"]).select("row.*"))
 
 
 def hex_fingerprint(fp: Column) -> Column:

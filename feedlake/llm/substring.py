@@ -27,11 +27,12 @@ Kept words are joined by one space. Texts are processed whole.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import splittable_join
-from .common import materialise
+from .common import materialise, packed
 
 WINDOW, MINIMISER, SPLIT = 35, 8, 1000
 #: Multiplier of the rolling combination of word hashes (odd, so no bits are lost).
@@ -78,7 +79,6 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 def _locate(texts: DataFrame, window: int, m: int) -> DataFrame:
     """``mini, tid, copies, start, n`` of all super-k-mers; no text."""
-    import pyarrow as pa
     names = ["mini", "tid", "copies", "start", "n"]
 
     def run(batches):
@@ -103,7 +103,6 @@ def _locate(texts: DataFrame, window: int, m: int) -> DataFrame:
 def _packed_strings(located: DataFrame, texts: DataFrame, window: int, split: int) -> DataFrame:
     """``mini, sub, packed, n, tid, start, copies`` of the super-k-mers whose
     minimiser occurs more than once; ``sub`` is 0 but in split buckets."""
-    import pyarrow as pa
     # a text with copies repeats every minimiser it has
     counts = located.groupBy("mini").agg(F.count("*").alias("c"))
     near = (splittable_join(located, counts, ["mini"]).where("c > 1 or copies > 1")
@@ -149,7 +148,6 @@ def _count_windows(strings: DataFrame, window: int) -> DataFrame:
     """``pid, repeated``: the mask (one byte a window) of each packed string that
     holds a window occurring more than once. Rows: different packed strings of
     a bucket with their number of occurrences."""
-    import pyarrow as pa
 
     def bucket(rows):
         """Sort the windows of one bucket; equal neighbours are repeats."""
@@ -198,14 +196,14 @@ def _count_windows(strings: DataFrame, window: int) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW, m: int = MINIMISER, split: int = SPLIT) -> DataFrame:
     """``tid, spans``: (start, mask) of every super-k-mer of a text with repeated windows."""
-    packed = materialise(
+    travel = materialise(
         _packed_strings(_locate(texts, window, m), texts, window, split)
         .withColumn("pid", F.unhex(F.md5(F.concat_ws("|", F.hex("packed"), "n")))), "superkmers")
-    strings = (packed.groupBy("pid").agg(F.first("mini").alias("mini"), F.first("sub").alias("sub"),
+    strings = (travel.groupBy("pid").agg(F.first("mini").alias("mini"), F.first("sub").alias("sub"),
                                          F.first("packed").alias("packed"), F.first("n").alias("n"),
                                          F.sum("copies").alias("c")))
     masks = _count_windows(strings, window)
-    return (splittable_join(packed.select("pid", "tid", "start"), masks, ["pid"])
+    return (splittable_join(travel.select("pid", "tid", "start"), masks, ["pid"])
             .groupBy("tid").agg(F.collect_list(F.struct("start", "repeated")).alias("spans")))
 
 
@@ -220,24 +218,23 @@ def keep(words: list, spans, window: int = WINDOW) -> list:
 
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, m: int = MINIMISER, split: int = SPLIT) -> DataFrame:
-    """``tid, n_words, n_removed, kept`` for every different text (``tid`` is the
-    binary md5 of the text): ``kept`` holds the kept words joined by one space."""
-    import pyarrow as pa
-    texts = distinct_texts(docs)
-    spans = repeated_spans(texts, window, m, split)
-
-    def run(batches):
-        for batch in batches:
-            n, removed, kept = [], [], []
-            for text, found in zip(batch.column(1), batch.column(2)):
-                words = text.as_py().encode().split()
-                left = keep(words, [(s["start"], s["repeated"]) for s in found.as_py() or []], window)
-                n.append(len(words))
-                removed.append(len(words) - len(left))
-                kept.append(b" ".join(left).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=["tid", "n_words", "n_removed", "kept"])
-
-    return (texts.join(spans, "tid", "left").select("tid", "text", "spans")
-            .mapInArrow(run, "tid binary, n_words long, n_removed long, kept string"))
+    """``row, n_words, n_removed, kept`` for every row of ``docs``: ``row`` is the
+    struct of its columns, ``kept`` its kept words joined by one space."""
+    spans = repeated_spans(distinct_texts(docs), window, m, split)
+
+    @F.arrow_udf("struct<n_words: long, n_removed: long, kept: string>")
+    def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
+        n, removed, kept = [], [], []
+        for text, spans in zip(texts, found):
+            words = (text.as_py() or "").encode().split()
+            left = keep(words, [(s["start"], s["repeated"]) for s in spans.as_py() or []], window)
+            n.append(len(words))
+            removed.append(len(words) - len(left))
+            kept.append(b" ".join(left).decode())
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                                           pa.array(kept, pa.string())], ["n_words", "n_removed", "kept"])
+
+    text = F.col("row.text").cast("string")
+    rows = packed(docs, "row").withColumn("tid", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
+    return (splittable_join(rows, spans, ["tid"], "left").select("row", cut(text, F.col("spans")).alias("r"))
+            .select("row", "r.n_words", "r.n_removed", "r.kept"))
