@@ -15,6 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 
 BLOCK = 128
+#: First squared gradient of AdaGrad: a smaller one lets rounding noise grow where gradients vanish.
+_FIRST = 0.1
 #: Longer letter runs are read as several words of this many letters.
 LONGEST_WORD = 64
 
@@ -107,7 +109,7 @@ def posteriors(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, block: int
 
 
 def train(sequences: list[tuple[list[str], list[int]]], labels: list, *, epochs: int = 10, batch: int = 32,
-          rate: float = 0.3, decay: float = 1e-4, seed: int = 7, lexicon_least: int = 2) -> Model:
+          rate: float = 0.2, decay: float = 1e-4, seed: int = 7, lexicon_least: int = 2) -> Model:
     """Fit weights and transitions on ``(words, label numbers)`` sequences."""
     number: dict = {}
     words = [number.setdefault(w, len(number)) for ws, _ in sequences for w in ws]
@@ -124,7 +126,7 @@ def train(sequences: list[tuple[list[str], list[int]]], labels: list, *, epochs:
     flat = np.array([j for f in per_word for j in f])
     size = np.array([len(f) for f in per_word])
     start = np.cumsum(size) - size
-    w2, m2 = np.full(model.weights.shape, 1e-8), np.full((nl, nl), 1e-8)
+    w2, m2 = np.full(model.weights.shape, _FIRST), np.full((nl, nl), _FIRST)
     ids = [np.array([number[w] for w in ws]) for ws, _ in sequences]
     ys = [np.array(y) for _, y in sequences]
     rng = np.random.default_rng(seed)
