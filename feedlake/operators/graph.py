@@ -13,10 +13,13 @@ reference could save a missing page once per parent.
 """
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import splittable_join
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -24,8 +27,15 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def friends_of(frontier: DataFrame, edges: DataFrame) -> DataFrame:
+    """``user_id`` of all friends of the frontier, with repeats; the edges of a
+    hot account can be split over tasks."""
+    return (splittable_join(edges.withColumnRenamed("src", "user_id"), frontier, ["user_id"])
+            .select(F.col("dst").alias("user_id")))
+
+
 def expand(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, has_page: DataFrame,
-           save_gate=None, expand_gate=None, max_rounds: int = 50) -> DataFrame:
+           save_gate=None, expand_gate=None, max_rounds: int | None = None) -> DataFrame:
     """Breadth-first expansion.
 
     seeds(user_id)                start nodes (hop 0, never gated)
@@ -35,6 +45,8 @@ def expand(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, has_page: DataF
     save_gate(Column)             which friends are saved (None = all), on
                                   the friend's ``followers``
     expand_gate(Column)           which saved nodes with a page are expanded
+    max_rounds                    fail beyond so many rounds (None: run until
+                                  no new node is found; never a silent stop)
     Returns visited(user_id, hop, followers, has_page).
 
     The gated edge list is materialised once. It is deliberately *not*
@@ -42,7 +54,9 @@ def expand(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, has_page: DataF
     pre-partitioned side can neither be rebalanced nor skew-split. Each round
     AQE broadcasts the frontier when its measured size is small (the usual
     case: the frontier is tiny next to the edges) and otherwise plans a
-    shuffle join whose hot partitions it can split. Each round checkpoints
+    shuffle join whose hot partitions it can split: the frontier comes out of
+    joins on ``user_id``, so that takes the extra key of ``splittable_join``
+    (else both sides would keep that partitioning). Each round checkpoints
     only its new nodes; the visited set is the union of the rounds, never
     rewritten.
     """
@@ -61,12 +75,13 @@ def expand(seeds: DataFrame, edges: DataFrame, nodes: DataFrame, has_page: DataF
         return out
 
     frontier = parts[0].join(pages, "user_id", "left_semi").select("user_id")
-    for r in range(1, max_rounds + 1):
-        friends = (frontier.join(cand.withColumnRenamed("src", "user_id"), "user_id")
-                   .select(F.col("dst").alias("user_id")).distinct())
+    for r in count(1):
+        friends = friends_of(frontier, cand).distinct()
         new = _cut(friends.join(visited_ids(), "user_id", "left_anti").withColumn("hop", F.lit(r)))
         if new.isEmpty():
             break
+        if max_rounds is not None and r > max_rounds:
+            raise ValueError(f"nodes beyond {max_rounds} rounds")
         parts.append(new)
         nxt = new.join(pages, "user_id", "left_semi")
         if expand_gate is not None:

@@ -84,7 +84,8 @@ def take_while_newer(items: DataFrame, markers: DataFrame, page_cols, order: Col
     keys = _keys(page_cols)
     it = items.withColumn(ORD, order)
     m = markers.select(*keys, F.col(marker_ts).alias("_mts"))
-    stops = (it.join(m, keys, "left")
+    # markers may come out of an aggregation on the page key: see splittable_join
+    stops = (splittable_join(it, m, keys, "left")
              .where(F.col(ts) <= F.coalesce(F.col("_mts"), F.lit(0))))
     cuts = stops.groupBy(*keys).agg(F.min(ORD).alias(CUT))
     return apply_cuts(it, cuts, keys)

@@ -17,13 +17,13 @@ def _inputs(spark, d):
 
 
 @query("grf_threshold_bfs", g.WITH + f""",
-bfs(user_id, hop) AS (
+bfs(user_id, hop) USING KEY (user_id) AS (
   SELECT user_id, 0 FROM seeds
   UNION
-  SELECT e.dst, b.hop + 1 FROM bfs b JOIN has_page p ON p.user_id = b.user_id
+  SELECT e.dst, min(b.hop) + 1 FROM bfs b JOIN has_page p ON p.user_id = b.user_id
   JOIN edges e ON e.src = b.user_id JOIN nodes n ON n.user_id = e.dst
-  WHERE n.followers > {GATE} AND b.hop < 50),
-v AS (SELECT user_id, min(hop) AS hop FROM bfs GROUP BY user_id)
+  WHERE n.followers > {GATE} AND e.dst NOT IN (SELECT user_id FROM recurring.bfs) GROUP BY e.dst),
+v AS (SELECT user_id, hop FROM bfs)
 SELECT v.user_id, v.hop, n.followers, (p.user_id IS NOT NULL) AS has_page,
   CASE WHEN p.user_id IS NULL THEN to_json({{'id': '', 'attrid': '40001', 'cookie': '', 'referer': '',
        'url': '{LIST_URL}' || CAST(v.user_id AS VARCHAR), 'result': '2'}})::VARCHAR END AS task
@@ -39,12 +39,12 @@ def q_grf_threshold_bfs(spark, d):
 
 
 @query("grf_profile_bfs", g.WITH + f""",
-bfs(user_id, hop) AS (
+bfs(user_id, hop) USING KEY (user_id) AS (
   SELECT user_id, 0 FROM seeds
   UNION
-  SELECT e.dst, b.hop + 1 FROM bfs b JOIN has_page p ON p.user_id = b.user_id
-  JOIN edges e ON e.src = b.user_id WHERE b.hop < 50),
-v AS (SELECT user_id, min(hop) AS hop FROM bfs GROUP BY user_id)
+  SELECT e.dst, min(b.hop) + 1 FROM bfs b JOIN has_page p ON p.user_id = b.user_id
+  JOIN edges e ON e.src = b.user_id WHERE e.dst NOT IN (SELECT user_id FROM recurring.bfs) GROUP BY e.dst),
+v AS (SELECT user_id, hop FROM bfs)
 SELECT v.user_id, v.hop, n.followers, (p.user_id IS NOT NULL) AS has_page,
        (p.user_id IS NULL AND n.followers > {GATE}) AS emit_task
 FROM v JOIN nodes n USING (user_id) LEFT JOIN has_page p USING (user_id)""")
@@ -58,12 +58,12 @@ def q_grf_profile_bfs(spark, d):
 
 
 @query("grf_two_edge_bfs", g.WITH + """,
-bfs(user_id, hop) AS (
+bfs(user_id, hop) USING KEY (user_id) AS (
   SELECT user_id, 0 FROM seeds
   UNION
-  SELECT e.dst, b.hop + 1 FROM bfs b JOIN has_page p ON p.user_id = b.user_id
-  JOIN edges e ON e.src = b.user_id WHERE b.hop < 50),
-v AS (SELECT user_id, min(hop) AS hop FROM bfs GROUP BY user_id)
+  SELECT e.dst, min(b.hop) + 1 FROM bfs b JOIN has_page p ON p.user_id = b.user_id
+  JOIN edges e ON e.src = b.user_id WHERE e.dst NOT IN (SELECT user_id FROM recurring.bfs) GROUP BY e.dst),
+v AS (SELECT user_id, hop FROM bfs)
 SELECT v.user_id, v.hop, (i.user_id IS NOT NULL) AS info_hit, (p.user_id IS NOT NULL) AS list_hit,
        (p.user_id IS NOT NULL AND v.user_id NOT IN (SELECT src FROM edges)) AS empty_list_ack
 FROM v LEFT JOIN has_info i USING (user_id) LEFT JOIN has_page p USING (user_id)""")

@@ -2,6 +2,7 @@
 on hand-written documents."""
 from collections import deque
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -41,6 +42,16 @@ def test_bfs_matches_python(spark, edges, followers, pages):
     assert got == want
 
 
+def test_bfs_runs_to_the_end_of_a_long_chain(spark):
+    n = 54
+    e = spark.createDataFrame([(i, i + 1) for i in range(n)], "src long, dst long").coalesce(1)
+    nodes = spark.createDataFrame([(i, 200) for i in range(n + 1)], "user_id long, followers long").coalesce(1)
+    s = nodes.where("user_id = 0").select("user_id")
+    assert {r.user_id: r.hop for r in graph.expand(s, e, nodes, nodes).collect()} == {i: i for i in range(n + 1)}
+    with pytest.raises(ValueError):
+        graph.expand(s, e, nodes, nodes, max_rounds=3)
+
+
 def test_digest_and_nb(spark):
     docs = spark.createDataFrame([
         (1, "Markets rose today. Markets rose again on strong demand. The weather was fine. Demand stays strong!"),

@@ -7,6 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from feedlake.operators import graph
 from feedlake.operators import increments as inc
 from feedlake.operators import sinks
 
@@ -36,8 +37,8 @@ def _py(rows, markers):
     return out
 
 
-def test_take_until_seen_hot_page(spark):
-    rows, marks = _skewed_feed()
+@contextlib.contextmanager
+def _small_thresholds(spark):
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
@@ -47,6 +48,25 @@ def test_take_until_seen_hot_page(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()                      # final adaptive plan after execution
+    return buf.getvalue()
+
+
+def test_take_until_seen_hot_page(spark):
+    rows, marks = _skewed_feed()
+    with _small_thresholds(spark):
         items = spark.createDataFrame(rows, "page string, pos int, key string")
         m = spark.createDataFrame(list(marks.items()), "page string, last_key string")
         df = inc.take_until_seen(items, m, "page", F.col("pos"), "key", "last_key")
@@ -54,16 +74,35 @@ def test_take_until_seen_hot_page(spark):
         for r in df.collect():
             got.setdefault(r.page, []).append(r.pos)
         assert {p: sorted(v) for p, v in got.items()} == _py(rows, marks)
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()                      # final adaptive plan after execution
-        assert "skew=true" in buf.getvalue()  # the hot page was split, not sent to one task
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        assert "skew=true" in _plan(df)   # the hot page was split, not sent to one task
+
+
+def test_take_while_newer_hot_page_and_aggregated_markers(spark):
+    """The marker side comes out of an aggregation on the page key."""
+    rows = [("hot" if i % 3 else f"p{i % 60}", i, 10_000 - i) for i in range(6000)]
+    seen = [(p, t) for p, _, t in rows if t % 1000 == 0]
+    with _small_thresholds(spark):
+        items = spark.createDataFrame(rows, "page string, pos int, ts int")
+        m = spark.createDataFrame(seen, "page string, t int").groupBy("page").agg(F.min("t").alias("last_ts"))
+        df = inc.take_while_newer(items, m, "page", F.col("pos"), "ts", "last_ts")
+        got = {(r.page, r.pos) for r in df.collect()}
+        last = {}
+        for p, t in seen:
+            last[p] = min(t, last.get(p, t))
+        assert got == {(p, i) for p, i, t in rows if t > last.get(p, 0)}
+        assert "skew=true" in _plan(df)
+
+
+def test_friends_of_hot_account(spark):
+    """The frontier comes out of a semi join on the account id."""
+    edges = [(0, i) for i in range(1, 4000)] + [(i % 300, i) for i in range(4000)]
+    with _small_thresholds(spark):
+        e = spark.createDataFrame(edges, "src long, dst long")
+        pages = spark.range(0, 200).toDF("user_id")
+        front = spark.range(0, 300).toDF("user_id").join(pages, "user_id", "left_semi")
+        df = graph.friends_of(front, e)
+        assert sorted(r.user_id for r in df.collect()) == sorted(d for s, d in edges if s < 200)
+        assert "skew=true" in _plan(df)
 
 
 def test_keep_versions_hot_key(spark):
