@@ -60,7 +60,7 @@ def title_fallback(title: Column, screen_name: Column, owner: Column, descriptio
 
 def action_items(pages: DataFrame, keep: list[str], zone: str = "Asia/Shanghai") -> DataFrame:
     """FEED5: explode ``record``; drop OtherID '0'; ts from actionDate;
-    title = user + suffix; url = blog base / objectID / OtherID; body cut
+    title = user + suffix; url = article base / objectID / OtherID; body cut
     at the literal ``[quote]`` (FEED5a, Q1 fixed)."""
     p = pages.select(*keep, F.from_json("doc", schemas.ACTION_PAGE).alias("p"))
     ex = p.select(*keep, F.posexplode("p.record").alias("pos", "r"))
@@ -70,6 +70,6 @@ def action_items(pages: DataFrame, keep: list[str], zone: str = "Asia/Shanghai")
         r["actionID"].alias("action_id"), r["userID"].alias("user_id"), r["userName"].alias("user_name"),
         r["actionDate"].alias("action_date"),
         F.concat(r["userName"], F.lit(schemas.ACTION_TITLE_SUFFIX)).alias("title"),
-        F.concat(F.lit(schemas.URLS[40004]["blog"]), r["objectID"], F.lit("/"), r["OtherID"]).alias("url"),
+        F.concat(F.lit(schemas.URLS[40004]["article"]), r["objectID"], F.lit("/"), r["OtherID"]).alias("url"),
         fn.string_to_millis(r["actionDate"], dates.FMT_ACTION, zone).alias("ts_ms"),
         fn.literal_split_first(r["body"], "[quote]").alias("body"))

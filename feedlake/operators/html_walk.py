@@ -98,7 +98,6 @@ def html_blocks(pages: DataFrame, specs: list[tuple[str, str, str | None, str |
                 id_col: str = "page_id", html_col: str = "html", partitions: int | None = None) -> DataFrame:
     """``specs``: (block name, tag, class or None, attribute or None).
     Returns (id, block, pos, text, attr) per matching element."""
-    from ..sources.tables import spread
     p = pages.select(pages[id_col].cast("long").alias("id"), pages[html_col].alias("html"))
-    p = p.repartition(partitions, "id") if partitions else spread(p)
+    p = p.repartition(partitions, "id") if partitions else p
     return p.mapInPandas(_walk(specs), OUT_SCHEMA)

@@ -12,19 +12,27 @@ per row. Here every step is a DataFrame job over exploded tokens:
   digest      sentence scores from document term counts, top-k per
               document, rejoined in text order (NLP1)
 
+Counting inside one document (term counts, digest) is a small Arrow helper over
+the rows as they are scanned, so no token occurrence is shuffled for it.
 Nothing is collected to the driver; all groups are per document (bounded by
 one text) or per token / class (combined map-side before the shuffle).
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from .joins import splittable_join
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 SENTENCE = r"[^.!?\n]+[.!?]?"
+_TOKEN, _SENTENCE = regex.compile(r"[\p{L}\p{N}]+"), regex.compile(SENTENCE)
 
 
 def _c(x) -> Column:
@@ -52,15 +60,24 @@ def remove_stop_words(tokens: DataFrame, stops: DataFrame) -> DataFrame:
     return tokens.join(F.broadcast(stops), "token", "left_anti")
 
 
-def term_counts(tokens: DataFrame, id_col: str = "doc_id", materialize: bool = False) -> DataFrame:
-    """(doc, token, tf): combined map-side before the shuffle. With
-    ``materialize`` the counts are written once to the shared checkpoint
-    folder (lineage cut), for plans that read them several times."""
-    tf = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
-    if materialize:
-        ensure_checkpoint_dir(tf.sparkSession)
-        tf = tf.checkpoint(eager=True)
-    return tf
+def token_counts(text) -> Column:
+    """Array of (token, tf) of one text. Counting inside a row has no built-in
+    expression; as an Arrow UDF it needs no shuffle of token occurrences."""
+    return F.arrow_udf(_token_counts, "array<struct<token: string, tf: bigint>>")(_c(text))
+
+
+def _token_counts(texts: pa.Array) -> pa.Array:
+    found = [Counter(_TOKEN.findall((t.as_py() or "").lower())) for t in texts]
+    ends = np.cumsum([0, *map(len, found)])
+    rows = pa.StructArray.from_arrays(
+        [pa.array([t for c in found for t in c], pa.string()), pa.array([n for c in found for n in c.values()], pa.int64())],
+        ["token", "tf"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+
+
+def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:
+    """(doc, kept columns, token, tf) in one pass over the documents."""
+    return docs.select(id_col, *keep, F.inline(token_counts(text_col)))
 
 
 # ---------------------------------------------------------------- dictionary tags
@@ -81,25 +98,20 @@ def dictionary_tags(tokens: DataFrame, dictionary: DataFrame, docs: DataFrame,
 
 # ---------------------------------------------------------------- naive Bayes
 def nb_train(tf: DataFrame, labels: DataFrame, label_col: str = "label",
-             id_col: str = "doc_id", materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+             id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """NLP5 training (multinomial, Laplace smoothing) from term counts
-    ``tf(doc, token, tf)`` and ``labels(doc, label)``.
+    ``tf(doc, label, token, tf)`` and ``labels(doc, label)`` (one row per
+    document, those without tokens included).
 
     Returns ``(model, classes)``:
       model(label, token, n, log_p)      observed pairs only (sparse)
       classes(label, n_docs, n_tokens, log_prior, log_norm, vocab)
     with ``log_p = ln((n + 1) / (n_tokens + V))`` and
     ``log_norm = ln(n_tokens + V)``; an unseen in-vocabulary token scores
-    ``-log_norm``. Training and scoring share the same ``tf`` plan, so the
-    corpus is tokenised once (the shuffle is reused).
+    ``-log_norm``. Only (label, token) sums are shuffled, combined map-side.
     """
     lab = labels.select(id_col, label_col)
-    pairs = (tf.join(lab, id_col).groupBy(label_col, "token").agg(F.sum("tf").alias("n")))
-    if materialize:
-        # the model's counts are written once; vocabulary size, class totals
-        # and the model itself are all read from them
-        ensure_checkpoint_dir(pairs.sparkSession)
-        pairs = pairs.checkpoint(eager=True)
+    pairs = tf.groupBy(label_col, "token").agg(F.sum("tf").alias("n"))
     v_size = pairs.select("token").distinct().agg(F.count(F.lit(1))).scalar()
     n_docs_all = lab.agg(F.count(F.lit(1))).scalar()
     per_class = pairs.groupBy(label_col).agg(F.sum("n").alias("n_tokens"))
@@ -156,29 +168,26 @@ def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFr
 
 
 # ---------------------------------------------------------------- digest
-def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, sent_pos, sentence) in text order."""
-    return docs.select(id_col, F.posexplode(F.regexp_extract_all(text_col, F.lit(SENTENCE), 0))
-                       .alias("sent_pos", "sentence"))
-
-
-def digest(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """NLP1 re-aimed: score each sentence by the mean in-document count of
-    its tokens (rounded to 6 places), keep the top ``k`` per document (ties
-    by position) and rejoin them in text order with ' '. Documents without a
-    scorable sentence get NULL (the reference's failure value)."""
-    sents = sentences(docs, id_col, text_col)
-    st = sents.select(id_col, "sent_pos", F.explode(token_array("sentence")).alias("token"))
-    tf = term_counts(st.select(id_col, "token"), id_col)
-    scores = (st.join(tf, [id_col, "token"])
-              .groupBy(id_col, "sent_pos").agg(F.round(F.avg("tf"), 6).alias("score")))
-    w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("sent_pos"))
-    top = (scores.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-           .join(sents, [id_col, "sent_pos"]))
-    joined = top.groupBy(id_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sent_pos", F.trim("sentence").alias("s")))),
-                                 lambda x: x["s"]), " ").alias("digest"))
-    return docs.select(id_col).join(joined, id_col, "left")
+def digest_of(text: str, k: int) -> str | None:
+    """NLP1 re-aimed, for one text: score each sentence by the mean in-document
+    count of its tokens (rounded to 6 places, halves up), keep the top ``k`` (ties
+    by position), joined in text order by ' '. None when no sentence has a token."""
+    low = [(i, s, _TOKEN.findall(s.lower())) for i, s in enumerate(_SENTENCE.findall(text))]
+    counts = Counter(t for _, _, ts in low for t in ts)
+    scored = [(-math.floor(sum(counts[t] for t in ts) / len(ts) * 1e6 + 0.5), i, s) for i, s, ts in low if ts]
+    best = sorted(sorted(scored)[:k], key=lambda x: x[1])
+    return " ".join(s.strip(" ") for _, _, s in best) if best else None
+
+
+def digest(text, k: int = 3) -> Column:
+    """Digest column of a text column: one pass over each row, no shuffle. NULL
+    (the reference's failure value) for a text without a scorable sentence."""
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([digest_of(t.as_py() or "", k) for t in texts], pa.string())
+
+    return run(_c(text))
 
 
 def cut_before_last_if_truncated(s, n: int, sep: str) -> Column:

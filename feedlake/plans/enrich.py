@@ -1,77 +1,90 @@
-"""Text enrichment plan for action posts (NLP1-NLP9): digest, cuts, tags,
-sentiment, stock string, news rows, rejects."""
+"""Text enrichment for action posts (NLP1-NLP9), in steps: digests, cuts, tags,
+sentiment, stock pairs, article and news rows, rejects. Each step is a lazy
+DataFrame over the tables it is given; only ``news`` writes something (the
+digests, which its branches share)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import schemas
 from ..operators import text as tx
 from ..operators.dictionary import stock_pairs_join
-from ..sources.dictionaries_text import keyword_dictionary
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import spread, table
 
 
-def sentiment_model(spark: SparkSession, d: str):
+def digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, temp_digest): NULL when no sentence can be scored; '' for an
+    empty body."""
+    return docs.select("doc_id", F.when(F.col("text") == "", F.lit("")).otherwise(tx.digest("text"))
+                       .alias("temp_digest"))
+
+
+def rejects(dg: DataFrame) -> DataFrame:
+    """NLP9: a document whose digest failed is not written."""
+    return dg.where(F.col("temp_digest").isNull()).select("doc_id", F.lit("no_digest").alias("reason"))
+
+
+def cuts(dg: DataFrame) -> DataFrame:
+    """NLP2: ``summary`` (digest cut 300), ``digest`` (text before the first tab)
+    and ``short_digest`` (that cut 500)."""
+    head = fn.before_first("temp_digest", "\t")
+    return dg.where(F.col("temp_digest").isNotNull()).select(
+        "doc_id", "temp_digest", fn.intercept("temp_digest", schemas.SUMMARY_CUT).alias("summary"),
+        head.alias("digest"), fn.intercept(head, schemas.DIGEST_CUT).alias("short_digest"))
+
+
+def tags(ok: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """NLP4 on the digests: doc_id, stock, industry, section."""
+    words = tx.doc_tokens(ok.where(F.col("temp_digest") != ""), "doc_id", "temp_digest")
+    return tx.dictionary_tags(words, dictionary, ok.select("doc_id"))
+
+
+def sentiment_model(docs: DataFrame, labels: DataFrame):
     """Two-class model trained on labelled documents: quality 0 -> 'neg'."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    lab = (table(spark, d, "labels").select(
-        "doc_id", F.when(F.col("quality") == 0, "neg").otherwise("pos").alias("label"))
-        .join(docs, "doc_id"))
-    return tx.nb_train(tx.term_counts(tx.doc_tokens(lab), materialize=True), lab.select("doc_id", "label"))
+    lab = (labels.select("doc_id", F.when(F.col("quality") == 0, "neg").otherwise("pos").alias("label"))
+           .join(docs.select("doc_id", "text"), "doc_id"))
+    return tx.nb_train(tx.term_counts(lab, keep=("label",)), lab.select("doc_id", "label"))
 
 
-def digests(spark: SparkSession, d: str) -> DataFrame:
-    """(doc_id, temp_digest): NULL when no sentence can be scored; '' for an
-    empty body."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    dg = tx.digest(docs)
-    return (docs.join(dg, "doc_id", "left")
-            .select("doc_id", F.when(F.col("text") == "", F.lit("")).otherwise(F.col("digest"))
-                    .alias("temp_digest")))
-
-
-def enrich(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """-> (news rows without the clock column, rejects)."""
-    docs = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
-    # digests feed five branches (words, tags, sentiment, stock, rows):
-    # written once to the shared checkpoint folder, read by all of them
-    ensure_checkpoint_dir(spark)
-    dg = digests(spark, d).checkpoint(eager=True)
-    ok_rows = dg.where(F.col("temp_digest").isNotNull())
-    rejects = dg.where(F.col("temp_digest").isNull()).select("doc_id", F.lit("no_digest").alias("reason"))
-    base = ok_rows.select(
-        "doc_id", "temp_digest",
-        fn.before_first("temp_digest", "\t").alias("digest_head"))
-    base = base.select(
-        "doc_id", "temp_digest",
-        fn.intercept("temp_digest", schemas.SUMMARY_CUT).alias("summary"),
-        fn.intercept("digest_head", schemas.DIGEST_CUT).alias("digest"))
-    # words of the digest -> tags and sentiment
-    words = tx.doc_tokens(base.where(F.col("temp_digest") != ""), "doc_id", "temp_digest")
-    kd = keyword_dictionary(spark, d)
-    tags = tx.dictionary_tags(words, kd, base.select("doc_id"))
-    model, classes = sentiment_model(spark, d)
-    pred = tx.nb_predict(tx.term_counts(words), model, classes,
-                         base.where(F.col("temp_digest") != "").select("doc_id"))
-    senti = (F.when(F.col("temp_digest") == "", F.lit(-1))
+def sentiment(ok: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """NLP6: (doc_id, sentiment): 'neg' -> 0, otherwise 1; empty digest -> -1."""
+    model, classes = sentiment_model(docs, labels)
+    full = ok.where(F.col("temp_digest") != "")
+    pred = tx.nb_predict(tx.term_counts(full, text_col="temp_digest"), model, classes, full.select("doc_id"))
+    value = (F.when(F.col("temp_digest") == "", F.lit(-1))
              .when(F.col("predicted") == "neg", F.lit(0)).otherwise(F.lit(1)))
-    stock_dict = kd.where(F.col("facet") == "stock").select(F.col("term").alias("name"), "aliases")
-    stocks = stock_pairs_join(tags.where(F.col("stock") != ""), "doc_id", "stock", stock_dict,
-                              out="stock_pairs")
-    rows = (base.join(tags, "doc_id", "left").join(pred, "doc_id", "left")
-            .join(stocks, "doc_id", "left").join(docs, "doc_id"))
-    stock_str = F.coalesce(tx.cut_before_last_if_truncated("stock_pairs", schemas.DIGEST_CUT, "&"),
-                           F.lit(""))
-    news = rows.select(
-        F.lit(2).alias("type"), F.lit(40004).alias("platform"),
-        fn.before_first("text", "\n").alias("title"),
-        F.concat(F.lit(schemas.URLS[40004]["blog"]), F.col("doc_id").cast("string")).alias("url"),
+    return ok.join(pred, "doc_id", "left").select("doc_id", value.alias("sentiment"))
+
+
+def stock_strings(tagged: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """NLP7: (doc_id, stock): name=code pairs, cut 500 (tail dropped only when cut)."""
+    known = dictionary.where(F.col("facet") == "stock").select(F.col("term").alias("name"), "aliases")
+    pairs = stock_pairs_join(tagged.where(F.col("stock") != ""), "doc_id", "stock", known, out="pairs")
+    cut = tx.cut_before_last_if_truncated("pairs", schemas.DIGEST_CUT, "&")
+    return (tagged.select("doc_id").join(pairs, "doc_id", "left")
+            .select("doc_id", F.coalesce(cut, F.lit("")).alias("stock")))
+
+
+def article_url(doc_id="doc_id"):
+    return F.concat(F.lit(schemas.URLS[40004]["blog"]), F.col(doc_id).cast("string"))
+
+
+def news(docs: DataFrame, labels: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """NLP8: -> (article_info rows, news_info rows). The article row has the
+    whole digest and the stock pairs, the news row the cut digest and the tag
+    names. The clock column of the news row is added at the sink."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    ok = cuts(digests(docs)).checkpoint(eager=True)   # small; read by four branches
+    tagged = tags(ok, dictionary)
+    info = ok.join(stock_strings(tagged, dictionary), "doc_id").select(
+        "doc_id", article_url().alias("url"), "digest", "summary", "stock")
+    rows = (ok.join(tagged, "doc_id").join(sentiment(ok, docs, labels), "doc_id")
+            .join(docs.select("doc_id", fn.before_first("text", "\n").alias("title")), "doc_id"))
+    out = rows.select(
+        F.lit(2).alias("type"), F.lit(40004).alias("platform"), "title", article_url().alias("url"),
         (F.lit(1460000000000) + F.col("doc_id") * 60000).alias("news_time"),
-        F.coalesce("industry", F.lit("")).alias("industry"),
-        F.coalesce("section", F.lit("")).alias("section"),
-        stock_str.alias("stock"), "digest", "summary", senti.alias("sentiment"),
+        "industry", "section", "stock", F.col("short_digest").alias("digest"), "summary", "sentiment",
         F.lit(schemas.PLATFORMS[3][1]).alias("source"), "doc_id")
-    return news, rejects
+    return info, out

@@ -51,15 +51,15 @@ def backfill_300(spark: SparkSession, d: str) -> DataFrame:
     lk = _by_url(spark, d, todo)
     hits = lk.where(~lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None))
     docs = hits.select(F.col("url").alias("doc_id"), article_text("page_html").alias("text"))
-    dg = tx.digest(docs)
-    return dg.select(F.col("doc_id").alias("url"), "digest",
-                     fn.intercept("digest", schemas.SUMMARY_CUT).alias("summary"))
+    dg = docs.select(F.col("doc_id").alias("url"), tx.digest("text").alias("digest"))
+    return dg.select("url", "digest", fn.intercept("digest", schemas.SUMMARY_CUT).alias("summary"))
 
 
 def history_missing(spark: SparkSession, d: str) -> DataFrame:
     """JOB3: urls without summary and their stored content (listed only)."""
     a = standins.articles(spark, d).where(F.col("summary").isNull()).select("url")
-    return _by_url(spark, d, a).select("url", F.length("page_html").alias("content_len"))
+    return _by_url(spark, d, a).select("url", F.length("page_html").alias("content_len"),
+                                       F.md5("page_html").alias("content_md5"))
 
 
 def recrawl(spark: SparkSession, d: str) -> DataFrame:
@@ -82,7 +82,7 @@ def materialise(spark: SparkSession, d: str) -> DataFrame:
     latest = urls.groupBy("url").agg(F.max("ts").alias("ts"))
     lk = lookup.lookup_by_url(latest, standins.page_store(spark, d), "url", ("html",))
     hits = lk.where(F.col("page_html").isNotNull())
-    return hits.select("url", F.length("page_html").alias("content_len"),
+    return hits.select("url", F.length("page_html").alias("content_len"), F.md5("page_html").alias("content_md5"),
                        extract.title("page_html").alias("title"))
 
 
@@ -99,7 +99,7 @@ def vip_home(spark: SparkSession, d: str) -> DataFrame:
         standins.user_rows(spark, d).where((F.col("followers_count") > schemas.FOLLOWER_GATE_VIP) | F.col("vip")),
         "user_id", [F.col("followers_count"), F.col("vip"), -F.col("row_id")]).select("user_id")
     lk, miss = _profile_hits(spark, d, cand)
-    home = messages.build_url(schemas.URLS[40005]["home_page"], "user_id")
+    home = messages.build_url(schemas.URLS[40002]["home_page"], "user_id")
     return lk.select("user_id",
                      F.when(~miss, extract.title("page_html")).alias("name"),
                      F.when(~miss, F.regexp_count("page_html", F.lit("<b>")) > 0).alias("vip"),
@@ -146,7 +146,7 @@ def _rows_minus_ends(lk: DataFrame, miss) -> DataFrame:
     ex = hits.select("user_id", F.size("rows").alias("n"), F.posexplode("rows").alias("pos", "row"))
     return ex.where((F.col("pos") > 0) & (F.col("pos") < F.col("n") - 1)).select(
         "user_id", F.col("pos").cast("int").alias("pos"),
-        F.substring(extract.text_of("row"), 1, 40).alias("title"))
+        extract.text_of("row").alias("title"))
 
 
 def article_fill(spark: SparkSession, d: str) -> DataFrame:

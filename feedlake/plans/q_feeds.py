@@ -14,7 +14,8 @@ from .registry import query
 SFX = schemas.TITLE_SUFFIX
 ASFX = schemas.ACTION_TITLE_SUFFIX
 HOME1 = schemas.URLS[40001]["home_page"]
-BLOG4 = schemas.URLS[40004]["blog"]
+ARTICLE4 = schemas.URLS[40004]["article"]
+STATUS1 = schemas.URLS[40001]["status"]
 IT = f"WITH it AS ({fp.ITEMS_SQL})"
 SPAGE = f"'{fp.STATUS_HOST}' || CAST(user_id AS VARCHAR) || '/' || CAST(chunk AS VARCHAR)"
 APAGE = f"'{fp.ACTION_HOST}' || CAST(user_id AS VARCHAR) || '/' || CAST(chunk AS VARCHAR)"
@@ -22,6 +23,7 @@ TITLE_SQL = ("CASE WHEN k % 7 = 0 THEN NULL WHEN event_type = 'purchase' THEN ''
              "ELSE event_type || ' <i>' || CAST(k AS VARCHAR) || '</i>' END")
 DESC_SQL = ("'<p>' || event_type || ' value ' || CAST(value AS VARCHAR) || ' for user ' "
             "|| CAST(user_id AS VARCHAR) || '</p>'")
+RETWEET_SQL, REPLY_SQL = "k", "CAST(event_id % 13 AS INTEGER)"
 SNAME_SQL = "CASE WHEN k % 5 = 0 THEN '' ELSE 'u' || CAST(user_id AS VARCHAR) END"
 
 
@@ -46,7 +48,7 @@ def q_feed_list_items(spark, d):
 @query("feed_table_items", """
 SELECT page_id, unnest(range(len(regexp_extract_all(html, '<p>(.*?)</p>', 1)))) AS pos,
        unnest(list_transform(regexp_extract_all(html, '<p>(.*?)</p>', 1),
-              lambda x: substring(regexp_replace(x, '<[^>]*>', '', 'g'), 1, 40))) AS title,
+              lambda x: regexp_replace(x, '<[^>]*>', '', 'g'))) AS title,
        regexp_extract(url, '/([0-9]+)', 1) AS user_id,
        0 AS read_count, 0 AS buy_count, CAST(0.0 AS DOUBLE) AS price
 FROM pages""")
@@ -56,7 +58,7 @@ def q_feed_table_items(spark, d):
     p = table(spark, d, "pages")
     ex = p.select("page_id", "url", F.posexplode(extract.paragraphs("html")).alias("pos", "row"))
     return ex.select("page_id", F.col("pos").cast("bigint").alias("pos"),
-                     F.substring(extract.text_of("row"), 1, 40).alias("title"),
+                     extract.text_of("row").alias("title"),
                      fn.numeric_id("url").alias("user_id"), F.lit(0).alias("read_count"),
                      F.lit(0).alias("buy_count"), F.lit(0.0).alias("price"))
 
@@ -106,21 +108,23 @@ def q_feed_short_headline(spark, d):
 
 @query("feed_statuses_batch", IT + f"""
 SELECT event_id AS id, coalesce({TITLE_SQL}, '') AS title,
-       '{HOME1}' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) AS url,
-       CAST((epoch_us(ts) // 1000) // 1000 AS BIGINT) AS ts_s
+       '{STATUS1}' || CAST(event_id AS VARCHAR) AS url,
+       CAST((epoch_us(ts) // 1000) // 1000 AS BIGINT) AS ts_s,
+       CAST(user_id AS VARCHAR) AS user_id, {RETWEET_SQL} AS retweet, {REPLY_SQL} AS reply
 FROM it""")
 def q_feed_statuses_batch(spark, d):
     """FEED7: every status, NULL title -> '', url by id, ts in seconds."""
     s = _status(spark, d)
     return s.select("id", F.coalesce("title", F.lit("")).alias("title"),
-                    F.concat(F.lit(HOME1), F.col("user_id"), F.lit("/"), F.col("id").cast("string")).alias("url"),
-                    F.floor(F.col("created_at") / 1000).cast("bigint").alias("ts_s"))
+                    F.concat(F.lit(STATUS1), F.col("id").cast("string")).alias("url"),
+                    F.floor(F.col("created_at") / 1000).cast("bigint").alias("ts_s"),
+                    "user_id", "retweet", "reply")
 
 
 ACT_SQL = IT + f"""
 SELECT {APAGE} AS page_url, CAST(pos AS INTEGER) AS pos, CAST(event_id AS VARCHAR) AS action_id,
   CAST(user_id AS VARCHAR) AS user_id, 'u' || CAST(user_id AS VARCHAR) || '{ASFX}' AS title,
-  '{BLOG4}' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) AS url,
+  '{ARTICLE4}' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) AS url,
   epoch_ms(timezone('Asia/Shanghai', strptime(strftime(ts, '%Y-%m-%d %H:%M'), '%Y-%m-%d %H:%M'))) AS ts_ms,
   strftime(ts, '%Y-%m-%d %H:%M') AS action_date, 'u' || CAST(user_id AS VARCHAR) AS user_name,
   event_type || ' k=' || CAST(k AS VARCHAR) AS body

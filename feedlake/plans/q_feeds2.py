@@ -24,7 +24,7 @@ PERMALINK_MARK = "?ref=home&rid="
 WITH c AS (SELECT page_id,
   list_concat(list_transform(regexp_extract_all(html, {LI_TEXT}, 1), lambda t: 'cover:' || t),
               list_transform(list_filter(regexp_extract_all(html, '<p>(.*?)</p>', 1), lambda p: NOT contains(p, '<b>')),
-                             lambda p: 'card:' || substring(regexp_replace(p, '<[^>]*>', '', 'g'), 1, 30))) AS cards
+                             lambda p: 'card:' || regexp_replace(p, '<[^>]*>', '', 'g'))) AS cards
   FROM pages)
 SELECT page_id, unnest(range(len(cards))) AS pos, unnest(cards) AS card FROM c""")
 def q_feed_two_lists_concat(spark, d):
@@ -34,7 +34,7 @@ def q_feed_two_lists_concat(spark, d):
     covers = F.transform(F.regexp_extract_all("html", F.lit(extract.LI_TEXT), 1),
                          lambda t: F.concat(F.lit("cover:"), t))
     normal = F.transform(F.filter(extract.paragraphs("html"), lambda x: ~x.contains("<b>")),
-                         lambda x: F.concat(F.lit("card:"), F.substring(extract.text_of(x), 1, 30)))
+                         lambda x: F.concat(F.lit("card:"), extract.text_of(x)))
     ex = p.select("page_id", F.posexplode(F.concat(covers, normal)).alias("pos", "card"))
     return ex.select("page_id", F.col("pos").cast("bigint").alias("pos"), "card")
 
@@ -119,7 +119,7 @@ def q_feed_counter_default(spark, d):
 @query("feed_trim_header_footer", """
 WITH r AS (SELECT page_id, regexp_extract_all(html, '<p>(.*?)</p>', 1) AS rows FROM pages),
 ex AS (SELECT page_id, len(rows) AS n, unnest(range(len(rows))) AS pos, unnest(rows) AS row FROM r)
-SELECT page_id, CAST(pos AS INTEGER) AS pos, substring(regexp_replace(row, '<[^>]*>', '', 'g'), 1, 40) AS title,
+SELECT page_id, CAST(pos AS INTEGER) AS pos, regexp_replace(row, '<[^>]*>', '', 'g') AS title,
        contains(row, '<b>') AS icon,
        TRY_CAST(split_part(CAST(length(row) AS VARCHAR) || '/' || CAST(pos AS VARCHAR), '/', 1) AS INTEGER) AS read_count,
        TRY_CAST(split_part(CAST(length(row) AS VARCHAR) || '/' || CAST(pos AS VARCHAR), '/', 2) AS INTEGER) AS comment_count
@@ -132,7 +132,7 @@ def q_feed_trim_header_footer(spark, d):
     cell = F.concat(F.length("row").cast("string"), F.lit("/"), F.col("pos").cast("string"))
     parts = F.split(cell, "/")
     return ex.where((F.col("pos") > 0) & (F.col("pos") < F.col("n") - 1)).select(
-        "page_id", F.col("pos").cast("int").alias("pos"), F.substring(extract.text_of("row"), 1, 40).alias("title"),
+        "page_id", F.col("pos").cast("int").alias("pos"), extract.text_of("row").alias("title"),
         F.col("row").contains("<b>").alias("icon"), parts.getItem(0).try_cast("int").alias("read_count"),
         parts.getItem(1).try_cast("int").alias("comment_count"))
 

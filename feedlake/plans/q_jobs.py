@@ -53,7 +53,7 @@ def q_job_backfill_300(spark, d):
 
 
 @query("job_history_missing", W + """
-SELECT a.url, CAST(length(s.html) AS INTEGER) AS content_len FROM articles a LEFT JOIN page_store s ON s.row_key = a.url
+SELECT a.url, CAST(length(s.html) AS INTEGER) AS content_len, md5(s.html) AS content_md5 FROM articles a LEFT JOIN page_store s ON s.row_key = a.url
 WHERE a.summary IS NULL""")
 def q_job_history_missing(spark, d):
     """JOB3."""
@@ -70,7 +70,7 @@ def q_job_recrawl(spark, d):
 
 @query("job_materialise", W + f""",
 urls AS (SELECT url, ts FROM articles WHERE platform_id IN (40001, 40002, 40003, 40004) AND summary != '')
-SELECT u.url, CAST(length(s.html) AS INTEGER) AS content_len, {TITLE.format(h='s.html')} AS title
+SELECT u.url, CAST(length(s.html) AS INTEGER) AS content_len, md5(s.html) AS content_md5, {TITLE.format(h='s.html')} AS title
 FROM urls u JOIN page_store s ON s.row_key = u.url WHERE s.html IS NOT NULL""")
 def q_job_materialise(spark, d):
     """JOB5."""
@@ -82,7 +82,7 @@ cand AS (SELECT DISTINCT user_id FROM user_rows WHERE followers_count > 500 OR v
 lk AS ({profile_lk('cand')})
 SELECT user_id, CASE WHEN NOT {MISS} THEN {TITLE.format(h='page_html')} END AS name,
        CASE WHEN NOT {MISS} THEN strpos(page_html, '<b>') > 0 END AS vip,
-       CASE WHEN {MISS} THEN {crawl_task_sql("40002", _lit(schemas.URLS[40005]['home_page']) + " || CAST(user_id AS VARCHAR)", "0")} END AS task
+       CASE WHEN {MISS} THEN {crawl_task_sql("40002", _lit(schemas.URLS[40002]['home_page']) + " || CAST(user_id AS VARCHAR)", "0")} END AS task
 FROM lk""")
 def q_job_vip_home(spark, d):
     """JOB6."""
@@ -129,7 +129,7 @@ ex AS (SELECT user_id, len(r) AS n, unnest(range(len(r))) AS pos, unnest(r) AS r
 cand AS (SELECT DISTINCT user_id FROM user_rows WHERE vip),
 lk AS ({profile_lk('cand')}),
 {ROWS_SQL.format(miss=MISS)}
-SELECT user_id, CAST(pos AS INTEGER) AS pos, substring(regexp_replace(row, '<[^>]*>', '', 'g'), 1, 40) AS title,
+SELECT user_id, CAST(pos AS INTEGER) AS pos, regexp_replace(row, '<[^>]*>', '', 'g') AS title,
        CAST(NULL AS VARCHAR) AS task
 FROM ex WHERE pos > 0 AND pos < n - 1
 UNION ALL

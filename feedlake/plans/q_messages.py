@@ -80,19 +80,20 @@ def q_msg_route_counts(spark, d):
 
 
 @query("src_page_lookup", W_ROUTED + """
-SELECT msg_seq, page_url, CAST(length(page_html) AS INTEGER) AS html_len FROM looked""")
+SELECT msg_seq, page_url, CAST(length(page_html) AS INTEGER) AS html_len, md5(page_html) AS html_md5 FROM looked""")
 def q_src_page_lookup(spark, d):
     """SRC2: (table, row key) -> (url, html); NULL on miss."""
-    return _looked(spark, d).select("msg_seq", "page_url", F.length("page_html").alias("html_len"))
+    return _looked(spark, d).select("msg_seq", "page_url", F.length("page_html").alias("html_len"),
+                                     F.md5("page_html").alias("html_md5"))
 
 
 @query("src_content_lookup", W_ROUTED + """
-SELECT r.msg_seq, CAST(length(s.html) AS INTEGER) AS content_len
+SELECT r.msg_seq, CAST(length(s.html) AS INTEGER) AS content_len, md5(s.html) AS content_md5
 FROM routed r LEFT JOIN page_store s ON s.table_name = r.key_name AND s.row_key = r.pos_name""")
 def q_src_content_lookup(spark, d):
     """SRC3: content cell only."""
     lk = lookup.lookup_content(_routed(spark, d), standins.page_store(spark, d))
-    return lk.select("msg_seq", F.length("page_html").alias("content_len"))
+    return lk.select("msg_seq", F.length("page_html").alias("content_len"), F.md5("page_html").alias("content_md5"))
 
 
 @query("msg_page_miss", W_ROUTED + """

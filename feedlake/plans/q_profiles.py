@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import extract, lookup, messages, sinks
+from ..operators import extract, lookup, messages, profiles, sinks
 from ..sources import graph as g
 from ..sources import standins
 from .oracle_common import crawl_task_sql
@@ -15,7 +15,7 @@ MISS = "(page_url IS NULL OR page_html IS NULL OR page_url = '' OR page_html = '
 TITLE = "regexp_extract(page_html, '<title>([^<]*)</title>', 1)"
 LK = """lk AS (SELECT u.user_id, s.url AS page_url, s.html AS page_html FROM users u
         LEFT JOIN profile_index i USING (user_id) LEFT JOIN page_store s ON s.page_id = i.page_id)"""
-IMG40001 = schemas.URLS[40001]["image"]
+IMG40001, HOME40001 = schemas.URLS[40001]["image"], schemas.URLS[40001]["home_page"]
 
 
 def _lk(spark, d):
@@ -26,7 +26,7 @@ def _lk(spark, d):
 
 @query("prof_home_page", W + f""", {LK}
 SELECT user_id, substring(page_url, 23) AS url_tail, {TITLE} AS name,
-       substring(regexp_replace(regexp_extract(page_html, '<p>(.*?)</p>', 1), '<[^>]*>', '', 'g'), 1, 60) AS intro,
+       regexp_replace(regexp_extract(page_html, '<p>(.*?)</p>', 1), '<[^>]*>', '', 'g') AS intro,
        strpos(page_html, '<b>') > 0 AS vip
 FROM lk WHERE NOT {MISS}""")
 def q_prof_home_page(spark, d):
@@ -35,7 +35,7 @@ def q_prof_home_page(spark, d):
     h = F.col("page_html")
     return lk.where(~miss).select(
         "user_id", F.substring("page_url", 23, 1 << 20).alias("url_tail"), extract.title(h).alias("name"),
-        F.substring(extract.text_of(F.regexp_extract(h, "<p>(.*?)</p>", 1)), 1, 60).alias("intro"),
+        extract.text_of(F.regexp_extract(h, "<p>(.*?)</p>", 1)).alias("intro"),
         (F.regexp_count(h, F.lit("<b>")) > 0).alias("vip"))
 
 
@@ -69,17 +69,17 @@ def q_prof_portrait_update(spark, d):
 SELECT user_id,
   CASE WHEN {MISS} THEN NULL WHEN contains({TITLE}, '***') THEN 2 WHEN contains({TITLE}, '%%%') THEN 1 ELSE 0 END AS vip,
   CASE WHEN {MISS} THEN NULL ELSE CAST(len(regexp_extract_all(page_html, '<p>(.*?)</p>', 1)) AS INTEGER) END AS fans,
-  {crawl_task_sql('40003', "'" + schemas.URLS[40003]['author'] + "' || CAST(user_id AS VARCHAR)", f"CASE WHEN {MISS} THEN 2 ELSE 1 END")} AS task
+  {crawl_task_sql('40003', "'" + schemas.URLS[40003]['author'] + "' || CAST(user_id AS VARCHAR)", f"CASE WHEN {MISS} THEN 0 ELSE 1 END")} AS task
 FROM lk""")
 def q_prof_vip_level(spark, d):
-    """PROF4: vip 0/1/2 (red mark beats blue), fans; ack (1) or recrawl (2)."""
+    """PROF4: vip 0/1/2 (red mark beats blue), fans; ack (1) or crawl task (0)."""
     lk, miss = _lk(spark, d)
     t = extract.title("page_html")
     lvl = F.when(miss, F.lit(None)).when(t.contains("***"), 2).when(t.contains("%%%"), 1).otherwise(0)
     url = messages.build_url(schemas.URLS[40003]["author"], "user_id")
     return lk.select("user_id", lvl.cast("int").alias("vip"),
                      F.when(~miss, F.size(extract.paragraphs("page_html"))).alias("fans"),
-                     messages.crawl_task(F.lit(40003), url, F.when(miss, 2).otherwise(1)).alias("task"))
+                     messages.crawl_task(F.lit(40003), url, F.when(miss, schemas.RESULT_CRAWL).otherwise(schemas.RESULT_PARSED)).alias("task"))
 
 
 def user_list_pages(spark, d):
@@ -118,23 +118,31 @@ def q_prof_user_list(spark, d):
 
 def _home_html(u):
     prof = F.to_json(F.struct(F.col("user_id").alias("id"), F.col("name").alias("screen_name"),
-                              F.concat(F.lit("https://img.example/"), F.col("user_id").cast("string"),
-                                       F.lit(".jpg!50x50")).alias("profile_image_url")))
+                              F.col("followers_count").alias("followers_count"),
+                              F.concat(F.lit("intro of "), F.col("segment")).alias("description"),
+                              F.concat(F.lit("community/"), F.col("user_id").cast("string"),
+                                       F.lit("-180x180.jpg!50x50.png")).alias("profile_image_url")))
     return F.concat(F.lit("<html><script>var a=1;</script><script>SNB.profileUser = "), prof,
                     F.lit("</script></html>"))
 
 
-@query("prof_home_json", W + """
-SELECT user_id AS id, name, 'https://img.example/' || CAST(user_id AS VARCHAR) || '.jpg' AS portrait FROM users""")
+@query("prof_home_json", W + f"""
+SELECT user_id AS id, name, CAST(followers_count AS BIGINT) AS followers, 'intro of ' || segment AS intro,
+  '{HOME40001}' || CAST(user_id AS VARCHAR) AS home_page,
+  '{schemas.URLS[40001]['vip_image']}' || 'community/' || CAST(user_id AS VARCHAR) || '-180x180.jpg' AS portrait
+FROM users""")
 def q_prof_home_json(spark, d):
-    """PROF6: profile object between literal markers; portrait minus the
-    size suffix."""
-    u = standins.users(spark, d).select("user_id", "name")
+    """PROF6: profile object between literal markers: name, followers, intro,
+    home page (the page's own url); portrait = image prefix + image name minus
+    the size suffix."""
+    u = standins.users(spark, d).select("user_id", "name", "followers_count", "segment")
     html = _home_html(u)
     js = F.substring_index(F.substring_index(html, "SNB.profileUser = ", -1), "</script>", 1)
-    p = F.from_json(js, "id BIGINT, screen_name STRING, profile_image_url STRING")
-    return u.select(p["id"].alias("id"), p["screen_name"].alias("name"),
-                    F.replace(p["profile_image_url"], F.lit("!50x50"), F.lit("")).alias("portrait"))
+    p = F.from_json(js, "id BIGINT, screen_name STRING, followers_count BIGINT, description STRING, "
+                        "profile_image_url STRING")
+    return u.select(p["id"].alias("id"), p["screen_name"].alias("name"), p["followers_count"].alias("followers"),
+                    p["description"].alias("intro"), messages.build_url(HOME40001, "user_id").alias("home_page"),
+                    profiles.vip_portrait(p["profile_image_url"]).alias("portrait"))
 
 
 def _info_json(u):
@@ -166,21 +174,18 @@ def q_prof_json_defaults(spark, d):
 
 @query("prof_vip_json", W + f"""
 SELECT CAST(user_id AS VARCHAR) AS user_id, name, CAST(followers_count AS INTEGER) AS followers_count,
-  'p' || CAST(nation_key AS VARCHAR) AS pe, 'r' || CAST(nation_key AS VARCHAR) AS pr,
+  'p' || CAST(nation_key AS VARCHAR) AS introduction,
+  CASE WHEN nation_key % 4 <> 0 THEN nation_key % 5 ELSE 0 END AS marrow,
+  CASE WHEN nation_key % 5 <> 0 THEN nation_key ELSE 0 END AS recommend,
+  CASE WHEN nation_key % 3 <> 0 THEN nation_key % 2 ELSE 0 END AS vip,
   '{schemas.URLS[40004]['blog']}' || CAST(user_id AS VARCHAR) AS home_page,
-  '{schemas.URLS[40004]['image']}' || CAST(user_id AS VARCHAR) || '.png' AS portrait
+  '{schemas.URLS[40004]['image']}' || 'r' || CAST(nation_key AS VARCHAR) AS portrait
 FROM users""")
 def q_prof_vip_json(spark, d):
-    """PROF8: VIP info JSON -> fans, name, pe, pr, home page, portrait url."""
-    from ..functions import json_get_or_default
+    """PROF8: VIP info JSON -> fans, name, introduction, home page, portrait
+    (image prefix + ``pr``), marrow, recommend, vip."""
     u = standins.users(spark, d)
-    j = u.select(_info_json(u).alias("j"))
-    uid = json_get_or_default("j", "userID")
-    return j.select(uid.alias("user_id"), json_get_or_default("j", "userName").alias("name"),
-                    json_get_or_default("j", "fansNum", "0").try_cast("int").alias("followers_count"),
-                    json_get_or_default("j", "pe").alias("pe"), json_get_or_default("j", "pr").alias("pr"),
-                    F.concat(F.lit(schemas.URLS[40004]["blog"]), uid).alias("home_page"),
-                    F.concat(F.lit(schemas.URLS[40004]["image"]), uid, F.lit(".png")).alias("portrait"))
+    return profiles.vip_info(u.select(_info_json(u).alias("j")), "j")
 
 
 @query("prof_two_islands", W + """

@@ -10,7 +10,7 @@ from ..operators import messages, sinks
 from ..sources import standins
 from ..sources.tables import table
 from ..session import scratch_path
-from .oracle_common import article_task_sql, crawl_task_sql
+from .oracle_common import article_task_sql
 from .registry import query
 
 W_A = standins.with_ctes("articles")
@@ -95,7 +95,7 @@ def q_snk_keyed_update(spark, d):
 
 
 @query("snk_keyed_update2", W_A + """
-SELECT a.url, CASE WHEN p.url IS NOT NULL THEN substring(regexp_extract(p.html, '<p>(.*?)</p>', 1), 1, 100)
+SELECT a.url, CASE WHEN p.url IS NOT NULL THEN regexp_extract(p.html, '<p>(.*?)</p>', 1)
                END AS digest,
        CASE WHEN p.url IS NOT NULL THEN regexp_extract(p.html, '<h1>([^<]*)</h1>', 1) ELSE a.summary END AS summary,
        p.url IS NOT NULL AS updated
@@ -104,7 +104,7 @@ def q_snk_keyed_update2(spark, d):
     """SNK7: digest and summary set together by url."""
     a = standins.articles(spark, d).select("url", "summary").withColumn("digest", F.lit(None).cast("string"))
     p = table(spark, d, "pages").select(
-        "url", F.substring(F.regexp_extract("html", "<p>(.*?)</p>", 1), 1, 100).alias("digest"),
+        "url", F.regexp_extract("html", "<p>(.*?)</p>", 1).alias("digest"),
         F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("summary"))
     return sinks.keyed_update(a, p, ["url"], ["digest", "summary"]).select("url", "digest", "summary", "updated")
 
@@ -134,7 +134,7 @@ def q_snk_keep_3_versions(spark, d):
 
 
 @query("snk_write_then_notify", W_A + f"""
-SELECT url, {crawl_task_sql('platform_id', 'url', '0')} AS task FROM (
+SELECT url, {article_task_sql('platform_id', 'url', '0')} AS task FROM (
   SELECT DISTINCT platform_id, url FROM articles WHERE platform_id IN (40002, 40003)
     AND url NOT IN (SELECT url FROM articles WHERE summary IS NOT NULL)) t""")
 def q_snk_write_then_notify(spark, d):
@@ -147,4 +147,4 @@ def q_snk_write_then_notify(spark, d):
     path = scratch_path(spark, "notify")
     sinks.append(new, path)
     written = spark.read.parquet(path)
-    return written.select("url", messages.crawl_task("platform_id", "url", schemas.RESULT_CRAWL).alias("task"))
+    return written.select("url", messages.article_task("platform_id", "url", F.lit(0)).alias("task"))

@@ -110,7 +110,7 @@ def q_str_seed_then_check(spark, d):
     acknowledged (result 1)."""
     seeds = standins.users(spark, d).where(F.col("followers_count") < schemas.FOLLOWER_GATE_VIP).select("user_id")
     seed_path = scratch_path(spark, "seed_tasks")
-    (seeds.select(messages.crawl_task(F.lit(40002), messages.build_url(schemas.URLS[40005]["home_page"], "user_id"),
+    (seeds.select(messages.crawl_task(F.lit(40002), messages.build_url(schemas.URLS[40002]["home_page"], "user_id"),
                                       schemas.RESULT_CRAWL).alias("value")).write.mode("overwrite").text(seed_path))
     replies = standins.profile_lookup(spark, d, seeds).where(F.col("page_html").isNotNull())
     land = scratch_path(spark, "replies")

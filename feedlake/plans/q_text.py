@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import text as tx
 from ..sources.dictionaries_text import KEYWORD_SQL, keyword_dictionary
-from ..sources.tables import spread, table
+from ..sources.tables import table
 from . import enrich
 from .registry import query
 
@@ -67,7 +67,7 @@ SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM t
 WHERE token NOT IN (SELECT token FROM stops) GROUP BY token""")
 def q_nlp_tokens(spark, d):
     """NLP3: tokens with the 50 most frequent corpus tokens as stop words."""
-    toks = tx.doc_tokens(spread(table(spark, d, "documents").select("doc_id", "text")))
+    toks = tx.doc_tokens(table(spark, d, "documents").select("doc_id", "text"))
     kept = tx.remove_stop_words(toks, tx.stop_words(toks, 50))
     return kept.groupBy("token").agg(F.count(F.lit(1)).alias("n"),
                                      F.countDistinct("doc_id").alias("n_docs"))
@@ -86,15 +86,17 @@ SELECT d.doc_id, coalesce(a.stock, '') AS stock, coalesce(a.industry, '') AS ind
 FROM documents d LEFT JOIN agg a USING (doc_id)""")
 def q_nlp_dictionary_tags(spark, d):
     """NLP4: three facets of dictionary terms per document."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return tx.dictionary_tags(tx.doc_tokens(docs), keyword_dictionary(spark, d), docs)
 
 
 def _lang_model(spark, d):
-    texts = spread(table(spark, d, "documents").select("doc_id", "text"))
-    labels = table(spark, d, "documents").select("doc_id", F.col("lang").alias("label"))   # narrow scan
-    tf = tx.term_counts(tx.doc_tokens(texts), materialize=True)
-    return labels, tf, tx.nb_train(tf, labels)
+    docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label"))
+    return docs, tx.nb_train(tx.term_counts(docs, keep=("label",)), docs.select("doc_id", "label"))
+
+
+def _ok(spark, d):
+    return enrich.cuts(enrich.digests(table(spark, d, "documents").select("doc_id", "text")))
 
 
 LANG_NB = f"""
@@ -110,22 +112,22 @@ SELECT p.label, p.token, p.n, round(ln(p.n + 1) - c.log_norm, 6) AS log_p
 FROM pairs p JOIN cls c USING (label)""")
 def q_nlp_nb_train(spark, d):
     """NLP5 training: language classes over all documents."""
-    _, _, (model, _) = _lang_model(spark, d)
+    _, (model, _) = _lang_model(spark, d)
     return model.select("label", "token", "n", F.round("log_p", 6).alias("log_p"))
 
 
 @query("nlp_nb_predict", LANG_NB + "\nSELECT doc_id, predicted, round(score, 4) AS score FROM best")
 def q_nlp_nb_predict(spark, d):
     """NLP5 scoring of every document."""
-    docs, tf, (model, classes) = _lang_model(spark, d)
-    pred = tx.nb_predict(tf, model, classes, docs)
+    docs, (model, classes) = _lang_model(spark, d)
+    pred = tx.nb_predict(tx.term_counts(docs), model, classes, docs)
     return pred.select("doc_id", "predicted", F.round("score", 4).alias("score"))
 
 
 @query("nlp_digest", f"WITH {DIGEST_SQL}\nSELECT doc_id, temp_digest AS digest FROM digests")
 def q_nlp_digest(spark, d):
     """NLP1: 3-sentence extractive digest per document."""
-    return enrich.digests(spark, d).select("doc_id", F.col("temp_digest").alias("digest"))
+    return enrich.digests(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.col("temp_digest").alias("digest"))
 
 
 @query("nlp_digest_cuts", f"""WITH {DIGEST_SQL}
@@ -136,8 +138,7 @@ SELECT doc_id,
 FROM digests WHERE temp_digest IS NOT NULL""")
 def q_nlp_digest_cuts(spark, d):
     """NLP2: summary = digest cut 300; digest = text before the first tab, cut 500."""
-    news, _ = enrich.enrich(spark, d)
-    return news.select("doc_id", "summary", "digest")
+    return _ok(spark, d).select("doc_id", "summary", F.col("short_digest").alias("digest"))
 
 
 SENTI_NB = f"""
@@ -158,8 +159,7 @@ SELECT g.doc_id, CASE WHEN g.temp_digest = '' THEN -1 WHEN b.predicted = 'neg' T
 FROM digests g LEFT JOIN best b USING (doc_id) WHERE g.temp_digest IS NOT NULL""")
 def q_nlp_sentiment(spark, d):
     """NLP6: 'neg' -> 0, otherwise 1; empty digest -> -1."""
-    news, _ = enrich.enrich(spark, d)
-    return news.select("doc_id", "sentiment")
+    return enrich.sentiment(_ok(spark, d), table(spark, d, "documents"), table(spark, d, "labels"))
 
 
 STOCK_SQL = f"""
@@ -181,15 +181,25 @@ FROM digests g LEFT JOIN cut USING (doc_id) WHERE g.temp_digest IS NOT NULL"""
 @query("nlp_stock_string", STOCK_SQL)
 def q_nlp_stock_string(spark, d):
     """NLP7: stock names -> name=code pairs, cut 500 (tail dropped only when cut)."""
-    news, _ = enrich.enrich(spark, d)
-    return news.select("doc_id", "stock")
+    kd = keyword_dictionary(spark, d)
+    return enrich.stock_strings(enrich.tags(_ok(spark, d), kd), kd)
+
+
+def _with_unscorable(spark, d):
+    """All documents, and for every tenth one more row with its words taken out."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    bare = docs.where(F.col("doc_id") % 10 == 0).select(
+        (-1 - F.col("doc_id")).alias("doc_id"), F.regexp_replace("text", r"[\p{L}\p{N}]", "-").alias("text"))
+    return docs.unionByName(bare)
 
 
-@query("nlp_rejects", f"WITH {DIGEST_SQL}\nSELECT doc_id, 'no_digest' AS reason FROM digests WHERE temp_digest IS NULL")
+@query("nlp_rejects", f"""WITH documents AS (SELECT doc_id, text FROM documents UNION ALL
+  SELECT -1 - doc_id, regexp_replace(text, '[\\p{{L}}\\p{{N}}]', '-', 'g') FROM documents WHERE doc_id % 10 = 0),
+{DIGEST_SQL}
+SELECT doc_id, 'no_digest' AS reason FROM digests WHERE temp_digest IS NULL""")
 def q_nlp_rejects(spark, d):
     """NLP9: rows whose digest failed are not written."""
-    _, rej = enrich.enrich(spark, d)
-    return rej
+    return enrich.rejects(enrich.digests(_with_unscorable(spark, d)))
 
 
 NEWS_SQL = SENTI_NB + f""",
@@ -199,49 +209,50 @@ tags AS (SELECT doc_id,
   array_to_string(list_sort(list_distinct(list(token) FILTER (WHERE facet = 'stock'))), ',') AS stock,
   array_to_string(list_sort(list_distinct(list(token) FILTER (WHERE facet = 'industry'))), ',') AS industry,
   array_to_string(list_sort(list_distinct(list(token) FILTER (WHERE facet = 'section'))), ',') AS section
-  FROM hits GROUP BY doc_id),
-sk AS (SELECT DISTINCT doc_id, token FROM hits WHERE facet = 'stock'),
-sp AS (SELECT sk.doc_id, string_agg(sk.token || '=' || list_filter(kd.aliases, lambda x: x <> kd.term)[1], '&'
-                                    ORDER BY sk.token) AS s
-       FROM sk JOIN kd ON kd.term = sk.token GROUP BY sk.doc_id),
-sc AS (SELECT doc_id, s, substring(s, 1, 500) AS c FROM sp),
-stock AS (SELECT doc_id, CASE WHEN length(s) > 500 THEN
-            CASE WHEN strpos(c, '&') > 0 THEN left(c, length(c) - strpos(reverse(c), '&')) ELSE c END
-          ELSE s END AS stock FROM sc)
+  FROM hits GROUP BY doc_id)
 SELECT 2 AS type, 40004 AS platform, split_part(d.text, chr(10), 1) AS title,
   '{schemas.URLS[40004]['blog']}' || CAST(g.doc_id AS VARCHAR) AS url,
   1460000000000 + g.doc_id * 60000 AS news_time,
-  coalesce(t.industry, '') AS industry, coalesce(t.section, '') AS section, coalesce(st.stock, '') AS stock,
+  coalesce(t.industry, '') AS industry, coalesce(t.section, '') AS section, coalesce(t.stock, '') AS stock,
   CASE WHEN length(split_part(g.temp_digest, chr(9), 1)) > 500 THEN substring(split_part(g.temp_digest, chr(9), 1), 1, 500)
        ELSE split_part(g.temp_digest, chr(9), 1) END AS digest,
   CASE WHEN length(g.temp_digest) > 300 THEN substring(g.temp_digest, 1, 300) ELSE g.temp_digest END AS summary,
   CASE WHEN g.temp_digest = '' THEN -1 WHEN b.predicted = 'neg' THEN 0 ELSE 1 END AS sentiment,
   '{schemas.PLATFORMS[3][1]}' AS source
-FROM digests g JOIN documents d USING (doc_id) LEFT JOIN tags t USING (doc_id) LEFT JOIN stock st USING (doc_id)
+FROM digests g JOIN documents d USING (doc_id) LEFT JOIN tags t USING (doc_id)
 LEFT JOIN best b USING (doc_id)
 WHERE g.temp_digest IS NOT NULL"""
 
 
+def _news(spark, d):
+    return enrich.news(table(spark, d, "documents"), table(spark, d, "labels"), keyword_dictionary(spark, d))
+
+
 @query("nlp_news_rows", NEWS_SQL)
 def q_nlp_news_rows(spark, d):
     """NLP8: the news row (13 columns less the clock column, which is
     added at the sink)."""
-    news, _ = enrich.enrich(spark, d)
+    _, news = _news(spark, d)
     return news.drop("doc_id")
 
 
-@query("snk_chained_write", f"""WITH {DIGEST_SQL}
-SELECT doc_id, CASE WHEN length(temp_digest) > 300 THEN substring(temp_digest, 1, 300) ELSE temp_digest END AS summary
-FROM digests WHERE temp_digest IS NOT NULL""")
+@query("snk_chained_write", f"""SELECT g.doc_id, x.stock, g.stock_names, g.summary, g.whole AS digest FROM ({STOCK_SQL}) x
+JOIN (WITH {DIGEST_SQL}, kd AS ({KEYWORD_SQL}),
+  ok AS (SELECT * FROM digests WHERE temp_digest <> ''), w AS ({tok_sql('ok', 'doc_id', 'temp_digest')}),
+  names AS (SELECT doc_id, array_to_string(list_sort(list_distinct(list(token))), ',') AS s
+            FROM w JOIN kd ON kd.term = w.token WHERE facet = 'stock' GROUP BY doc_id)
+  SELECT doc_id, coalesce(s, '') AS stock_names, split_part(temp_digest, chr(9), 1) AS whole,
+    CASE WHEN length(temp_digest) > 300 THEN substring(temp_digest, 1, 300) ELSE temp_digest END AS summary
+  FROM digests LEFT JOIN names USING (doc_id) WHERE temp_digest IS NOT NULL) g USING (doc_id)""")
 def q_snk_chained_write(spark, d):
     """SNK11: the digest row is written first; the news row is written only
     for digests that were written (read back), in that order."""
     from ..operators import sinks
     from ..session import scratch_path
-    news, _ = enrich.enrich(spark, d)
-    news = news.checkpoint(eager=True)    # enrich once; both writes read the staged rows
+    info, news = _news(spark, d)
     info_path, news_path = scratch_path(spark, "article_info"), scratch_path(spark, "news_info")
-    sinks.append(news.select("doc_id", "url", "digest", "summary", "stock"), info_path)
-    written = spark.read.parquet(info_path).select("doc_id")
-    sinks.append(news.join(written, "doc_id", "left_semi"), news_path)
-    return spark.read.parquet(news_path).select("doc_id", "summary")
+    sinks.append(info, info_path)
+    written = spark.read.parquet(info_path)
+    sinks.append(news.join(written.select("doc_id"), "doc_id", "left_semi"), news_path)
+    return (spark.read.parquet(news_path).select("doc_id", "summary", F.col("stock").alias("stock_names"))
+            .join(written.select("doc_id", "digest", "stock"), "doc_id"))

@@ -49,6 +49,7 @@ ARTICLE_TASK_FIELDS = ["islogin", "attrid", "depth", "cur_depth", "method", "url
 # Outbound crawl task (timestamp is added only at the sink).
 CRAWL_TASK_FIELDS = ["id", "attrid", "cookie", "referer", "url", "result"]
 
+# JSON field names of the page documents below.
 # Action page (platform 40004), one JSON document per page.
 ACTION_RECORD = T.StructType([
     T.StructField("actionName", T.StringType()),
@@ -114,9 +115,12 @@ URLS = {
     40001: {
         "friend_list": "http://xueqiu.com/friendships/groups/members.json?page=1&count=2000&gid=0&uid=",
         "home_page": "https://xueqiu.com/",
+        "status": "http://xueqiu.com/about/mobile-xueqiu/",
+        "vip_image": "http://xavatar.imedao.com/",
         "image": "https://xavatar.imedao.com/",
     },
     40002: {
+        "home_page": "http://blog.cnfol.com/",
         "article_list": "http://blog.cnfol.com/index.php/article/blogarticlelist/",
     },
     40003: {
@@ -130,6 +134,7 @@ URLS = {
         "user_info": "http://www.taoguba.com.cn/getBlogerInfo?userID=",
         "friend_list": "http://www.taoguba.com.cn/getFriends?userID=",
         "blog": "http://www.taoguba.com.cn/blog/",
+        "article": "http://www.taoguba.com.cn/Article/",
         "image": "http://image.taoguba.com.cn/img/",
     },
     40005: {
@@ -145,5 +150,6 @@ SUMMARY_CUT_40005 = 200
 SUMMARY_CUT = 300             # 40001 and 40004
 DIGEST_CUT = 500              # digest and stock string (40004)
 HEADLINE_CUT = 30
+VIP_IMAGE_SUFFIX = "!50x50.png"   # removed from profile image names (40001)
 TITLE_SUFFIX = "的观点："        # title fallback suffix (40001, 40005)
 ACTION_TITLE_SUFFIX = "的观点: "  # action title suffix (40004)

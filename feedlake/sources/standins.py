@@ -38,25 +38,30 @@ DEPS: dict[str, list[str]] = {}
 FEED_HOST = "https://feed.example"
 NEWS_HOST = "https://news.example"
 USER_HOST = "https://u.example"
+EMPTY_PAGE_IDS = 1_300_000_000   # added to a page's id for its empty neighbour; a multiple of 5, 10 and 13
 
 
 # --------------------------------------------------------------------------- pages
 def page_store(spark: SparkSession, d: str) -> DataFrame:
-    """Raw-page table: (table_name, row_key) -> (url, html)."""
+    """Raw-page table: (table_name, row_key) -> (url, html): every given page,
+    and for every 13th one more, empty page beside it."""
     pid = F.col("page_id")
-    return table(spark, d, "pages").select(
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    empty = pages.where(pid % 13 == 0).select((pid + EMPTY_PAGE_IDS).alias("page_id"),
+                                              F.concat("url", F.lit("/empty")).alias("url"), F.lit("").alias("html"))
+    return pages.unionByName(empty).select(
         "page_id",
         F.concat(F.lit("4000"), (pid % 5 + 1).cast("string")).alias("table_name"),
         F.col("url").alias("row_key"), "url",
-        F.when(pid % 13 == 0, F.lit("")).otherwise(F.col("html")).alias("html"),
+        "html",
         (F.lit(40001) + pid % 5).cast("int").alias("platform_id"))
 
 
-SQL["page_store"] = """
+SQL["page_store"] = f"""
   SELECT page_id, '4000' || CAST(page_id % 5 + 1 AS VARCHAR) AS table_name,
-         url AS row_key, url, CASE WHEN page_id % 13 = 0 THEN '' ELSE html END AS html,
-         CAST(40001 + page_id % 5 AS INTEGER) AS platform_id
-  FROM pages"""
+         url AS row_key, url, html, CAST(40001 + page_id % 5 AS INTEGER) AS platform_id
+  FROM (SELECT page_id, url, html FROM pages UNION ALL
+        SELECT page_id + {EMPTY_PAGE_IDS}, url || '/empty', '' FROM pages WHERE page_id % 13 = 0) t"""
 
 
 def _msg_json(attr, key, pos):
@@ -221,11 +226,11 @@ def articles(spark: SparkSession, d: str) -> DataFrame:
     from_docs = doc.select(
         (F.lit(40001) + did % 5).cast("int").alias("platform_id"),
         F.col("source").alias("user_id"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 50).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.concat(F.lit(NEWS_HOST + "/"), F.col("lang"), F.lit("/"), did.cast("string")).alias("url"),
         (F.lit(1460000000) + did * 2).alias("ts"),
         F.when(did % 3 == 0, F.lit(None).cast("string")).when(did % 7 == 0, F.lit(""))
-         .otherwise(F.substring("text", 1, 80)).alias("summary"))
+         .otherwise(F.col("text")).alias("summary"))
     return from_pages.unionByName(from_docs)
 
 
@@ -239,11 +244,11 @@ SQL["articles"] = f"""
   FROM pages
   UNION ALL
   SELECT CAST(40001 + doc_id % 5 AS INTEGER) AS platform_id, source AS user_id,
-         substring(split_part(text, chr(10), 1), 1, 50) AS title,
+         split_part(text, chr(10), 1) AS title,
          '{NEWS_HOST}/' || lang || '/' || CAST(doc_id AS VARCHAR) AS url,
          1460000000 + doc_id * 2 AS ts,
          CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN ''
-              ELSE substring(text, 1, 80) END AS summary
+              ELSE text END AS summary
   FROM documents"""
 
 

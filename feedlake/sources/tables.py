@@ -53,11 +53,3 @@ def message_stream(spark: SparkSession, fmt: str = "kafka", **options) -> DataFr
         r = r.schema(options.pop("schema", MESSAGE_FILE_SCHEMA))
     return r.options(**options).load(path).select("value")
 
-
-def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Round-robin repartition when a scan yields fewer partitions than the
-    cluster has task slots (e.g. one large row group), so CPU-heavy
-    per-row work (tokenising, regex extraction) runs on every core. On a
-    real table with many splits this is a no-op: no extra shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism * per_core
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -152,3 +152,22 @@ def test_status_page_from_script(spark):
     rows = feeds.status_items(docs, ["page_url", "owner"]).orderBy("pos").collect()
     assert [(r.id, r.is_original) for r in rows] == [(5, True), (4, False)]
     assert rows[0].created_at == 1468463935000
+
+
+def test_addresses_and_fields_of_platform_json(spark):
+    """Literal expected values of action, status, profile and VIP documents."""
+    from feedlake import schemas
+    from feedlake.operators import feeds, profiles
+    doc = ('{"record":[{"actionID":"7","objectID":"11","OtherID":"22","userID":"5","userName":"n",'
+           '"actionDate":"2016-07-14 10:38","body":"x"}]}')
+    a = feeds.action_items(spark.createDataFrame([(doc,)], "doc string"), []).first()
+    assert a.url == "http://www.taoguba.com.cn/Article/11/22" and a.ts_ms == 1468463880000
+    assert schemas.URLS[40001]["status"] + "9" == "http://xueqiu.com/about/mobile-xueqiu/9"
+    assert schemas.URLS[40002]["home_page"] + "9" == "http://blog.cnfol.com/9"
+    p = spark.createDataFrame([("community/1.jpg!50x50.png",)], "i string").select(profiles.vip_portrait(F.col("i"))).first()
+    assert p[0] == "http://xavatar.imedao.com/community/1.jpg"
+    info = spark.createDataFrame([('{"userID":"5","userName":"n","fansNum":"12","vipAuth":"1","pe":"hi","pr":"a/b.png",'
+                                   '"be":"3"}',)], "j string")
+    v = profiles.vip_info(info, "j").first()
+    assert (v.user_id, v.followers_count, v.introduction, v.marrow, v.recommend, v.vip) == ("5", 12, "hi", 3, 0, 1)
+    assert v.portrait == "http://image.taoguba.com.cn/img/a/b.png" and v.home_page == "http://www.taoguba.com.cn/blog/5"

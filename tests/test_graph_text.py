@@ -58,15 +58,15 @@ def test_digest_and_nb(spark):
         (2, ""),
         (3, "One sentence only"),
     ], "doc_id long, text string")
-    dg = {r.doc_id: r.digest for r in tx.digest(docs, k=2).collect()}
+    dg = {r.doc_id: r.digest for r in docs.select("doc_id", tx.digest("text", k=2).alias("digest")).collect()}
     assert dg[1] == "Markets rose today. Markets rose again on strong demand."
     assert dg[2] is None and dg[3] == "One sentence only"
     train = spark.createDataFrame([(1, "good great fine", "pos"), (2, "bad awful poor", "neg"),
                                    (3, "great good", "pos")], "doc_id long, text string, label string")
-    tf = tx.term_counts(tx.doc_tokens(train))
-    model, classes = tx.nb_train(tf, train.select("doc_id", "label"), materialize=False)
+    tf = tx.term_counts(train, keep=("label",))
+    model, classes = tx.nb_train(tf, train.select("doc_id", "label"))
     test = spark.createDataFrame([(10, "good good fine"), (11, "awful poor"), (12, "unknown words")],
                                  "doc_id long, text string")
-    pred = {r.doc_id: r.predicted for r in tx.nb_predict(tx.term_counts(tx.doc_tokens(test)), model, classes,
+    pred = {r.doc_id: r.predicted for r in tx.nb_predict(tx.term_counts(test), model, classes,
                                                          test).collect()}
     assert pred == {10: "pos", 11: "neg", 12: "pos"}   # unknown words -> prior (2 of 3 pos)
