@@ -19,12 +19,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows_per_task: int = 4096) -> DataFrame:
-    """Deal rows out evenly for work whose cost is in Python rather than in
-    bytes read (a file split may hold far more rows than one task should)."""
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-            -(-df.count() // rows_per_task))
-    return df.repartition(n)
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in the shape whose hot keys AQE can split (see ``operators.joins``):
+    an extra key that follows from the others makes both sides plain exchanges.
+    One bit of a hash is enough for that and costs next to nothing shuffled."""
+    bit = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(2)).cast("byte")
+    return left.withColumn("__bit", bit).join(right.withColumn("__bit", bit), [*keys, "__bit"], how).drop("__bit")
 
 
 def packed(df: DataFrame, name: str = "__row") -> DataFrame:

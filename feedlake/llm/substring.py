@@ -3,18 +3,18 @@
 A window is ``WINDOW`` consecutive words ``[^\\x20\\x09-\\x0D]+`` of one text. Words
 covered by a window whose words also start anywhere else are removed.
 
-1. Equal texts collapse to one row (key: their 128-bit digest) with a count, so
-   a group of exact copies travels once.
-2. The minimiser of a window is its smallest hash of ``MINIMISER`` consecutive
+1. The minimiser of a window is its smallest hash of ``MINIMISER`` consecutive
    words, leftmost on ties. Consecutive windows that share a minimiser's place
    are a super-k-mer. Equal windows have equal minimisers at equal offsets, so
    a window can repeat only inside its minimiser's bucket. A first pass ships
-   no text, only (minimiser, text, start, length); a super-k-mer whose minimiser
-   occurs once in the corpus holds no repeat and goes no further.
-3. Every other super-k-mer travels to its bucket as one packed string. Equal
-   strings are counted before the shuffle. In a bucket of more than ``SPLIT``
-   super-k-mers windows travel one by one to sub-buckets by their hash, so a
-   common line splits over as many tasks as it has different windows.
+   no text, only (minimiser, digest of the text, start, length); a super-k-mer
+   whose minimiser occurs once in the corpus holds no repeat and goes no further.
+2. Equal texts collapse to one with a count, before their shuffle, so a group of
+   exact copies travels once.
+3. Every other super-k-mer travels to its bucket as one packed string; equal
+   strings of a task travel once, with their number. In a bucket of more than
+   ``SPLIT`` super-k-mers windows travel one by one to sub-buckets by their hash,
+   so a common line splits over as many tasks as it has different windows.
 4. A bucket sorts its windows and counts them exactly; each packed string gets
    the mask of its windows that occur more than once.
 5. The masks go back to the texts and cover words.
@@ -31,10 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import splittable_join
-from .common import materialise, packed
+from .common import materialise, packed, split_join
 
-WINDOW, MINIMISER, SPLIT = 35, 8, 1000
+WINDOW, MINIMISER, SPLIT = 35, 8, 4000
 #: Multiplier of the rolling combination of word hashes (odd, so no bits are lost).
 _MIX = 0x9E3779B97F4A7C15
 #: Entries of the word-hash cache of a task; it is emptied when full.
@@ -71,100 +70,107 @@ def super_kmers(words: list[bytes], cache: dict, window: int = WINDOW, m: int =
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """``tid, copies, text`` of the different texts that have any window at all."""
-    t = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
-    return (t.withColumn("tid", F.unhex(F.md5("text"))).groupBy("tid")
-            .agg(F.count("*").alias("copies"), F.first("text").alias("text")))
+    """``tid, copies, text`` of the different texts."""
+    return docs.groupBy("tid").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
 
 
-def _locate(texts: DataFrame, window: int, m: int) -> DataFrame:
-    """``mini, tid, copies, start, n`` of all super-k-mers; no text."""
-    names = ["mini", "tid", "copies", "start", "n"]
+def _locate(docs: DataFrame, window: int, m: int) -> DataFrame:
+    """``mini, tid, start, n`` of all super-k-mers of all rows; no text."""
 
     def run(batches):
         cache: dict = {}
         for batch in batches:
             found, of = [(np.zeros(0, np.int64),) * 3], [np.zeros(0, np.int64)]
-            for i, t in enumerate(batch.column(2)):
+            for i, t in enumerate(batch.column(1)):
                 words = t.as_py().encode().split()
                 if len(words) >= window:
                     found.append(super_kmers(words, cache, window, m))
                     of.append(np.full(len(found[-1][0]), i))
             mini, start, n = (np.concatenate(x) for x in zip(*found))
-            row = pa.array(np.concatenate(of))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(mini), batch.column(0).take(row), batch.column(1).take(row),
-                 pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], names=names)
+                [pa.array(mini), batch.column(0).take(pa.array(np.concatenate(of))),
+                 pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], names=["mini", "tid", "start", "n"])
 
-    return texts.select("tid", "copies", "text").mapInArrow(
-        run, "mini long, tid binary, copies long, start int, n int")
+    return docs.select("tid", "text").mapInArrow(run, "mini long, tid binary, start int, n int")
+
+
+_TRAVEL = pa.schema([("pid", pa.binary()), ("tid", pa.binary()), ("start", pa.int32()), ("n", pa.int32()),
+                     ("mini", pa.int64()), ("sub", pa.int64()), ("packed", pa.binary()), ("c", pa.int64())])
 
 
 def _packed_strings(located: DataFrame, texts: DataFrame, window: int, split: int) -> DataFrame:
-    """``mini, sub, packed, n, tid, start, copies`` of the super-k-mers whose
-    minimiser occurs more than once; ``sub`` is 0 but in split buckets."""
-    # a text with copies repeats every minimiser it has
-    counts = located.groupBy("mini").agg(F.count("*").alias("c"))
-    near = (splittable_join(located, counts, ["mini"]).where("c > 1 or copies > 1")
-            .select("tid", F.struct("mini", "start", "n", (F.col("c") > split).alias("hot")).alias("s")))
-    asked = near.groupBy("tid").agg(F.collect_list("s").alias("s"))
+    """The super-k-mers whose minimiser occurs more than once: a row ``pid, tid,
+    start, n`` each (``pid`` is the 128-bit hash of the packed string). Of equal
+    strings packed by a task one after the other, the first row also carries
+    ``mini, sub, packed`` and their number ``c``; ``sub`` is 0 but in split buckets."""
+    counts = located.groupBy("mini").agg(F.count("*").alias("c")).where("c > 1")
+    asked = (split_join(located, counts, ["mini"])
+             .select("tid", F.struct("mini", "start", "n", (F.col("c") > split).alias("hot")).alias("s"))
+             .groupBy("tid").agg(F.collect_set("s").alias("s")))  # copies ask for the same
 
     def run(batches):
-        from xxhash import xxh64_intdigest
-        cols: list[list] = [[] for _ in range(7)]
+        from xxhash import xxh3_128_digest, xxh64_intdigest
+        rows: list[list] = []
+        first: dict = {}
         size = 0
 
         def flush():
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
-                 pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.int32()),
-                 pa.array(cols[6], pa.int64())],
-                names=["mini", "sub", "packed", "n", "tid", "start", "copies"])
-            for c in cols:
-                c.clear()
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _TRAVEL)], schema=_TRAVEL)
+            rows.clear()
+            first.clear()
             return out
 
         for batch in batches:
             for tid, copies, text, skmers in zip(*batch.columns):
                 tid, copies, words = tid.as_py(), copies.as_py(), text.as_py().encode().split()
                 for s in skmers.as_py():
-                    mini, start, n = s["mini"], s["start"], s["n"]
-                    for a, k in ([(a, 1) for a in range(start, start + n)] if s["hot"] else [(start, n)]):
+                    mini, start, n, hot = s["mini"], s["start"], s["n"], s["hot"]
+                    for a, k in ([(a, 1) for a in range(start, start + n)] if hot else [(start, n)]):
                         p = b" ".join(words[a:a + k + window - 1])
-                        sub = xxh64_intdigest(p) >> 1 if s["hot"] else 0
-                        for c, x in zip(cols, (mini, sub, p, k, tid, a, copies)):
-                            c.append(x)
-                        size += len(p)
+                        pid = xxh3_128_digest(p)
+                        at = first.setdefault(pid, len(rows))
+                        if at == len(rows):
+                            rows.append([pid, tid, a, k, mini, xxh64_intdigest(p) >> 1 if hot else 0, p, copies])
+                            size += len(p)
+                        else:
+                            rows[at][7] += copies
+                            rows.append([pid, tid, a, k, None, None, None, None])
+                            size += 64
                 if size > 8 << 20:
                     yield flush()
                     size = 0
-        yield flush()
+        if rows:
+            yield flush()
 
     return (texts.select("tid", "copies", "text").join(asked, "tid").select("tid", "copies", "text", "s")
-            .mapInArrow(run, "mini long, sub long, packed binary, n int, tid binary, start int, copies long"))
+            .mapInArrow(run, "pid binary, tid binary, start int, n int, mini long, sub long, packed binary, c long"))
 
 
 def _count_windows(strings: DataFrame, window: int) -> DataFrame:
     """``pid, repeated``: the mask (one byte a window) of each packed string that
-    holds a window occurring more than once. Rows: different packed strings of
-    a bucket with their number of occurrences."""
+    holds a window occurring more than once."""
 
     def bucket(rows):
         """Sort the windows of one bucket; equal neighbours are repeats."""
+        strings: dict = {}
+        for p, n, c, pid in rows:
+            strings.setdefault(pid, [p, n, 0])[2] += c
+        masks = {pid: bytearray(b"\1" * n if c > 1 else n) for pid, (_, n, c) in strings.items()}
         windows = []
-        for r, (p, n, _, _) in enumerate(rows):
+        for pid, (p, n, _) in strings.items():
             if n == 1:
-                windows.append((p, r, 0))
+                windows.append((p, pid, 0))
             else:
                 ends = np.flatnonzero(np.frombuffer(p + b" ", np.uint8) == 32)
                 begins = np.r_[0, ends[:-1] + 1]
-                windows += [(p[begins[i]:ends[i + window - 1]], r, i) for i in range(n)]
-        windows.sort()
-        masks = [bytearray(b"\1" * n if c > 1 else n) for _, n, c, _ in rows]
-        for (w, r, i), (w2, r2, i2) in zip(windows, windows[1:]):
-            if w == w2:
-                masks[r][i] = masks[r2][i2] = 1
-        return [(x[3], bytes(mk)) for x, mk in zip(rows, masks) if 1 in mk]
+                windows += [(p[b:e], pid, i) for i, (b, e) in
+                            enumerate(zip(begins[:n].tolist(), ends[window - 1:].tolist()))]
+        if len(strings) > 1:
+            windows.sort()
+            for (w, r, i), (w2, r2, i2) in zip(windows, windows[1:]):
+                if w == w2:
+                    masks[r][i] = masks[r2][i2] = 1
+        return [(pid, bytes(mask)) for pid, mask in masks.items() if 1 in mask]
 
     def run(batches):
         key, rows, out = None, [], []
@@ -176,14 +182,12 @@ def _count_windows(strings: DataFrame, window: int) -> DataFrame:
             return done
 
         for batch in batches:
-            mini, sub = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, k in enumerate(zip(mini, sub)):
+            for *k, packed_, n, c, pid in zip(*(col.to_pylist() for col in batch.columns)):
                 if k != key:
                     if rows:
                         out += bucket(rows)
                     key, rows = k, []
-                rows.append((batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), batch.column(4)[i].as_py(),
-                             batch.column(5)[i].as_py()))
+                rows.append((packed_, n, c, pid))
             if len(out) > 50_000:
                 yield flush()
         if rows:
@@ -194,16 +198,14 @@ def _count_windows(strings: DataFrame, window: int) -> DataFrame:
             .sortWithinPartitions("mini", "sub").mapInArrow(run, "pid binary, repeated binary"))
 
 
-def repeated_spans(texts: DataFrame, window: int = WINDOW, m: int = MINIMISER, split: int = SPLIT) -> DataFrame:
-    """``tid, spans``: (start, mask) of every super-k-mer of a text with repeated windows."""
-    travel = materialise(
-        _packed_strings(_locate(texts, window, m), texts, window, split)
-        .withColumn("pid", F.unhex(F.md5(F.concat_ws("|", F.hex("packed"), "n")))), "superkmers")
-    strings = (travel.groupBy("pid").agg(F.first("mini").alias("mini"), F.first("sub").alias("sub"),
-                                         F.first("packed").alias("packed"), F.first("n").alias("n"),
-                                         F.sum("copies").alias("c")))
-    masks = _count_windows(strings, window)
-    return (splittable_join(travel.select("pid", "tid", "start"), masks, ["pid"])
+def repeated_spans(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, split: int = SPLIT) -> DataFrame:
+    """``tid, spans``: (start, mask) of every super-k-mer with repeated windows."""
+    rows = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").select(
+        F.unhex(F.md5("text")).alias("tid"), "text")
+    located = materialise(_locate(rows, window, m), "minimisers")
+    travel = materialise(_packed_strings(located, distinct_texts(rows), window, split), "superkmers")
+    masks = _count_windows(travel.where("packed is not null"), window)
+    return (split_join(travel.select("pid", "tid", "start"), masks, ["pid"])
             .groupBy("tid").agg(F.collect_list(F.struct("start", "repeated")).alias("spans")))
 
 
@@ -220,14 +222,14 @@ def keep(words: list, spans, window: int = WINDOW) -> list:
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, m: int = MINIMISER, split: int = SPLIT) -> DataFrame:
     """``row, n_words, n_removed, kept`` for every row of ``docs``: ``row`` is the
     struct of its columns, ``kept`` its kept words joined by one space."""
-    spans = repeated_spans(distinct_texts(docs), window, m, split)
+    spans = repeated_spans(docs, window, m, split)
 
     @F.arrow_udf("struct<n_words: long, n_removed: long, kept: string>")
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
         n, removed, kept = [], [], []
         for text, spans in zip(texts, found):
             words = (text.as_py() or "").encode().split()
-            left = keep(words, [(s["start"], s["repeated"]) for s in spans.as_py() or []], window)
+            left = words if not spans.is_valid else keep(words, [(s["start"], s["repeated"]) for s in spans.as_py()], window)
             n.append(len(words))
             removed.append(len(words) - len(left))
             kept.append(b" ".join(left).decode())
@@ -236,5 +238,5 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, m: int = MINIMISER,
 
     text = F.col("row.text").cast("string")
     rows = packed(docs, "row").withColumn("tid", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
-    return (splittable_join(rows, spans, ["tid"], "left").select("row", cut(text, F.col("spans")).alias("r"))
+    return (split_join(rows, spans, ["tid"], "left").select("row", cut(text, F.col("spans")).alias("r"))
             .select("row", "r.n_words", "r.n_removed", "r.kept"))
