@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import splittable_join
 from ..session import ensure_checkpoint_dir
+from .common import split_join
 
 
 def _minimum(pairs: DataFrame) -> DataFrame:
-    return splittable_join(pairs, pairs.groupBy("u").agg(F.min("v").alias("m")), ["u"])
+    return split_join(pairs, pairs.groupBy("u").agg(F.min("v").alias("m")), ["u"])
 
 
 def _round(edges: DataFrame) -> DataFrame:

@@ -26,9 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import splittable_join
 from ..session import ensure_checkpoint_dir
-from .common import materialise
+from .common import materialise, split_join
 
 ROUNDS, TEMPER, SEED = 8, 0.85, 17
 DIMS = ("source", "lang", "topic")
@@ -77,12 +76,12 @@ def rake(rows: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, tem
             share = cells.groupBy(dim).agg(F.pow(F.sum("tokens"), F.lit(temper)).alias("s"))
         share = share.checkpoint()
         scale = total / (share.agg(F.sum("s")).first()[0] or 1.0) if total else 1.0
-        cells = splittable_join(cells, share.select(dim, (F.col("s") * scale).alias("t_" + dim)), [dim])
+        cells = split_join(cells, share.select(dim, (F.col("s") * scale).alias("t_" + dim)), [dim])
     cells = cells.checkpoint()
     for _ in range(rounds):
         for dim in DIMS:
             sums = cells.groupBy(dim).agg(F.sum("w").alias("s"))
-            cells = (splittable_join(cells, sums, [dim])
+            cells = (split_join(cells, sums, [dim])
                      .withColumn("w", F.when(F.col("s") > 0, F.col("w") * F.col("t_" + dim) / F.col("s"))
                                  .otherwise(0.0)).drop("s").checkpoint())
     factors = cells.select(*DIMS, (F.col("w") / F.col("tokens")).alias("factor"))
@@ -96,7 +95,7 @@ def mix(docs: DataFrame, *, targets: dict | None = None, rounds: int = ROUNDS, t
     rows = materialise(labelled(docs, ["doc_id"]), "mix-labels")
     cells = rake(rows, targets, rounds, temper)
     used = F.col("tokens") > 0
-    return (splittable_join(rows, cells, list(DIMS), "left")
+    return (split_join(rows, cells, list(DIMS), "left")
             .select("doc_id", *DIMS, "tokens",
                     F.when(used, F.round(F.col("tokens") * F.col("factor"), 6)).otherwise(0.0).alias("weight"),
                     F.when(used, F.round("probability", 9)).otherwise(0.0).alias("probability"))
@@ -111,7 +110,7 @@ def sample(docs: DataFrame, *, targets: dict | None = None, rounds: int = ROUNDS
     asked = labelled(docs, [row, F.col("doc_id").alias("id")]).where("tokens > 0")
     # cells come from a written table, so the planner knows their size and
     # broadcasts them only if that is small
-    return (splittable_join(asked, cells, list(DIMS))
+    return (split_join(asked, cells, list(DIMS))
             .where(draw(F.col("id"), seed) < F.round("probability", 9)).select("row.*"))
 
 

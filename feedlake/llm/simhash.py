@@ -31,9 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import splittable_join
 from .bktree import Forest, spanning
-from .common import materialise, packed
+from .common import materialise, packed, split_join
 from .components import stars
 
 WIDTH, RADIUS, SEED = 4, 4, 42
@@ -165,7 +164,7 @@ def near_links(values: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SI
     links = first.where("b is not null").select("a", "b")
     large = first.where("b is null").select("k", "v", "block", F.col("a").alias("fp"))
     top = large.groupBy("k", "v").agg(F.max("block").alias("top"))
-    met = (splittable_join(large, top, ["k", "v"])
+    met = (split_join(large, top, ["k", "v"])
            .select("k", "v", "fp", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("top"))).alias("other"))
            .select("k", "v", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp")
            .repartition("k", "v", "i", "j").sortWithinPartitions("k", "v", "i", "j", "block", "fp"))
@@ -199,8 +198,8 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS
     rooted = (by_fp.join(star.withColumnRenamed("node", "fp"), "fp", "left")
               .select("fp", "m", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("m").alias("component_id"))
-    named = splittable_join(rooted.select("fp", "root"), least, ["root"])
-    return splittable_join(prints, named, ["fp"]).select("doc_id", "fp", "component_id", "root")
+    named = split_join(rooted.select("fp", "root"), least, ["root"])
+    return split_join(prints, named, ["fp"]).select("doc_id", "fp", "component_id", "root")
 
 
 def first_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:

@@ -38,9 +38,8 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import splittable_join
 from ..session import scratch_path
-from .common import materialise
+from .common import materialise, split_join
 
 #: Uncompressed bytes after which a new archive begins; bytes inflated at a time.
 ARCHIVE, CHUNK = 32 << 20, 1 << 20
@@ -67,7 +66,7 @@ def with_roles(pages: DataFrame) -> DataFrame:
                          .agg(F.max("page_id").alias("best"), F.count("*").alias("c")).where("c > 1").drop("c"),
                          "payloads")
     own = F.col("best").isNull() | F.col("page_id").eqNullSafe(F.col("best"))
-    return (splittable_join(p.withColumn("k", key), groups, ["k"], "left")
+    return (split_join(p.withColumn("k", key), groups, ["k"], "left")
             .select("page_id", "url", "html", F.when(own, "response").otherwise("revisit").alias("record_type"),
                     F.when(~own, F.col("best")).alias("refers_to")))
 
