@@ -32,7 +32,7 @@ def test_action_page(spark):
     assert all("[quote]" not in r.body for r in rows)
     assert sum(1 for r in rows if r.body.endswith("market")) == 14
     assert rows[0].title == "trader" + schemas.ACTION_TITLE_SUFFIX
-    assert rows[0].url == schemas.URLS[40004]["blog"] + "77/5000"
+    assert rows[0].url == schemas.URLS[40004]["article"] + "77/5000"
     # Asia/Shanghai wall clock
     assert rows[0].ts_ms == 1468465140000
 
