@@ -81,7 +81,7 @@ def between(text, start: str, end: str) -> Column:
 def last_script_with(html, marker: str) -> Column:
     """SRC8: the last ``<script>`` body containing ``marker`` (NULL if none)."""
     scripts = F.regexp_extract_all(_c(html), F.lit(r"(?s)<script[^>]*>(.*?)</script>"), 1)
-    return F.element_at(F.filter(scripts, lambda s: s.contains(marker)), -1)
+    return F.try_element_at(F.filter(scripts, lambda s: s.contains(marker)), F.lit(-1))
 
 
 def status_doc(html) -> Column:

@@ -86,8 +86,7 @@ PROFILE_SPECS = {
         },
     },
 }
-MOER_HOST = "http://moer.jiemian.com/"
-WEIBO_HOST = "http://weibo.com"
+MOER_HOST, WEIBO_HOST, PERMALINK_MARK = schemas.MOER_HOST, schemas.WEIBO_HOST, schemas.PERMALINK_MARK
 OUT_SCHEMA = "id LONG, pos INT, fields MAP<STRING, STRING>"
 
 
@@ -206,18 +205,28 @@ class _ItemWalker(HTMLParser):
         return sorted(self.items, key=lambda it: it.get("_cover") != "1")
 
 
+def _items(spec, html: str | None) -> list:
+    w = _ItemWalker(spec)
+    try:
+        w.feed(html or "")
+        w.close()
+    except AssertionError:  # the parser's answer to a broken declaration: keep what was found
+        pass
+    return w.finish()
+
+
+def items_of(platform_id: int | None, html: str | None) -> list:
+    """Raw item fields of one page; none for a platform without an HTML feed."""
+    spec = SPECS.get(platform_id)
+    return _items(spec, html) if spec else []
+
+
 def _walk(spec):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for pid, html in zip(b["id"].tolist(), b["html"].tolist()):
-                w = _ItemWalker(spec)
-                try:
-                    w.feed(html or "")
-                    w.close()
-                except Exception:  # noqa: BLE001 - a broken page yields what was found
-                    pass
-                for pos, item in enumerate(w.finish()):
+                for pos, item in enumerate(_items(spec, html)):
                     rows.append((pid, pos, item))
             yield pd.DataFrame(rows, columns=["id", "pos", "fields"])
     return run
@@ -279,15 +288,31 @@ def table_items_40003(items: DataFrame, page_url: Column) -> DataFrame:
                         F.lit(0).alias("read_count"), F.lit(0).alias("buy_count"), F.lit(0.0).alias("price"))
 
 
+def counter(ems, idx: int, label: str, shift_idx: int | None = None) -> Column:
+    """FEED6b: cell ``idx`` (0-based) as an int; too few cells or the bare
+    label -> 0; a shift marker moves to the next cell."""
+    cell = F.get(ems, F.lit(idx))
+    if shift_idx is not None:
+        cell = F.when(F.trim(cell) == schemas.SHIFT_MARK, F.get(ems, F.lit(shift_idx))).otherwise(cell)
+    return (F.when(F.size(ems) < idx + 1, F.lit(0))
+            .when(F.coalesce(cell, F.lit("")).startswith(label), F.lit(0))
+            .otherwise(F.trim(cell).try_cast("int")))
+
+
+def counters(ems_json: Column) -> tuple[Column, Column, Column]:
+    """Forwards, comments and likes of a card from its handle cells."""
+    ems = F.coalesce(F.from_json(ems_json, "array<string>"), F.array().cast("array<string>"))
+    return (counter(ems, 3, schemas.LABEL_FORWARD), counter(ems, 5, schemas.LABEL_COMMENT, shift_idx=6),
+            counter(ems, 7, schemas.LABEL_LIKE))
+
+
 def cards_40005(items: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:
     """FEED6: covers first, then normal cards; cards with an expand block are
     skipped; permalink = link before 'ref=home' + 'type=comment' on the site
     host (``has_permalink`` false stops the walk, INC4); ts from the link
     title; user id from ``usercard`` (``id=..&``); title = headline, else
     author + suffix; counters by em position (FEED6b)."""
-    from ..plans.q_feeds2 import LABEL_COMMENT, LABEL_FORWARD, LABEL_LIKE, PERMALINK_MARK, counter
-    ems = F.from_json(_f("ems"), "array<string>")
-    ems = F.coalesce(ems, F.array().cast("array<string>"))
+    forwards, comments, likes = counters(_f("ems"))
     user = F.coalesce(F.nullif(_f("user"), F.lit("")), _f("user_alt"))
     title = F.coalesce(F.nullif(_f("headline"), F.lit("")), F.concat(user, F.lit(schemas.TITLE_SUFFIX)))
     link = _f("link")
@@ -299,9 +324,7 @@ def cards_40005(items: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:
         F.regexp_extract(_f("usercard"), r"id=([^&]*)", 1).alias("user_id"),
         title.alias("title"),
         _to_ms(_f("date"), zone).alias("ts_ms"),
-        counter(ems, 3, LABEL_FORWARD).alias("forwards"),
-        counter(ems, 5, LABEL_COMMENT, shift_idx=6).alias("comments"),
-        counter(ems, 7, LABEL_LIKE).alias("likes"))
+        forwards.alias("forwards"), comments.alias("comments"), likes.alias("likes"))
 
 
 def _to_ms(text: Column, zone: str) -> Column:

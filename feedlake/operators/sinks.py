@@ -7,7 +7,8 @@ as a DataFrame, then write it", which is replay-safe inside
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .joins import splittable_join
@@ -57,9 +58,22 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 # ---------------------------------------------------------------- upserts
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """SNK5: rows of ``incoming`` whose key is not in ``existing``, each key
-    once (first by the remaining columns' natural order is irrelevant:
-    duplicates of one key within a batch are identical re-announcements)."""
-    return incoming.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    once: of several rows the smallest by the remaining columns in order."""
+    rest = [c for c in incoming.columns if c not in keys]
+    once = incoming.select(*keys).distinct() if not rest else (
+        incoming.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_f")).select(*keys, "_f.*"))
+    return once.select(*incoming.columns).join(existing.select(*keys), keys, "left_anti")
+
+
+def read_if_exists(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A written table, or no rows where nothing was written yet. Any other
+    failure to read it is an error."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -85,7 +99,7 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int,
     ``(key, salt)`` sub-groups (a hot key is split ``salt_buckets`` ways),
     keep n per sub-group, then rank the at most ``n * salt_buckets``
     survivors per key."""
-    salt = salt_of if salt_of is not None else F.abs(F.xxhash64(*df.columns)) % salt_buckets
+    salt = salt_of if salt_of is not None else F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets))
     s = df.withColumn("_salt", salt)
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     pre = s.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n).drop("_r1", "_salt")

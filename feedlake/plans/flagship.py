@@ -1,7 +1,8 @@
 """Flagship: feed increments.
 
-notices -> parse/reject -> route by platform -> page lookup -> ordered items
--> keep only what is newer than the page's marker -> article rows + tasks.
+notices -> parse/reject -> route by platform -> page lookup -> the platform's own
+extractor -> only what is newer than the page's marker, by the platform's own
+rule -> article rows + tasks.
 
 This is the batch form over a whole notice table with a stored marker
 table. ``feedlake.streaming.feed`` runs the same steps as a stream, with the
@@ -13,122 +14,120 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.urls import numeric_id
-from ..operators import extract, increments, lookup, messages
+from ..operators import lookup, messages, sinks
+from ..operators import platform_items as pi
+from ..session import ensure_checkpoint_dir
 from ..sources import standins
 
+MARKER_SCHEMA = "page_url string, last_key string"
+
+
+def with_items(hits: DataFrame, keep: list[str]) -> DataFrame:
+    """Found pages -> ``keep`` columns, the item array and the marker the page
+    leaves (``newest``); the html column ends here."""
+    found = hits.select(*keep, pi.items(F.col("platform_id"), F.col("page_url"), F.col("page_html")).alias("items"))
+    return found.withColumn("newest", pi.newest(F.col("marker_kind"), F.col("items")))
+
 
 def notices_to_pages(notices: DataFrame, store: DataFrame, platforms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (pages, rejects, misses). ``pages`` has one row per announced page
-    with its ordered item array (title, url, key) and no html column."""
+    with its ordered item array and no html column."""
     good, rejects = messages.parse(notices)
     routed, unknown = messages.route(good, platforms)
-    # A page announced twice is looked up once: the store holds one version
-    # per key, so the repeat would find every item already seen.
-    requests = routed.dropDuplicates(["key_name", "pos_name"])
+    # A page announced twice is looked up once, for its first notice: the store
+    # holds one version per key, so the repeat would find every item seen.
+    first = F.min(F.struct("msg_seq", "platform_id", "marker_kind", "needs_login")).alias("f")
+    requests = routed.groupBy("key_name", "pos_name").agg(first).select("key_name", "pos_name", "f.*")
     looked = lookup.lookup(requests, store)
     hits, misses = lookup.split_hits(looked, lookup.MISS_NULL_OR_EMPTY)
-    kind = F.col("marker_kind")
-    arr = F.transform(extract.list_items("page_html"), lambda x: F.struct(
-        x["text"].alias("title"), extract.absolute(F.col("page_url"), x["href"]).alias("url")))
-    arr = F.transform(arr, lambda x: F.struct(x["title"].alias("title"), x["url"].alias("url"),
-                                             item_key(kind, x["url"], x["title"]).alias("key")))
-    pages = hits.select("platform_id", "marker_kind", "needs_login", "page_url", arr.alias("items"))
+    pages = with_items(hits, ["platform_id", "marker_kind", "needs_login", "page_url"])
     all_rejects = rejects.select("msg_seq", "value", "reason").unionByName(
         unknown.select("msg_seq", "value", "reason"))
     miss_rows = misses.select("msg_seq", "platform_id", "key_name", "pos_name")
     return pages, all_rejects, miss_rows
 
 
-def item_key(kind, url, title):
-    """The marker key of an item: its url for url / head platforms, else its
-    title (the marker hash stores one value per page url)."""
-    return F.when(kind.isin("url", "head"), url).otherwise(title)
-
-
 def page_markers(spark: SparkSession, d: str) -> DataFrame:
     """Marker table ``(page_url, last_key)`` for the stored pages, as left by
     an earlier crawl: page_id%4 = 0 -> the 3rd item, 1 -> the newest item
     (nothing new), 2 -> no marker, 3 -> a key no longer on the page."""
-    s = standins.page_store(spark, d).join(
-        F.broadcast(schemas.platforms(spark).select("platform_id", "marker_kind")), "platform_id")
-    arr = extract.list_items("html")
+    s = (standins.feed_store(spark, d).where("html <> ''").withColumnRenamed("url", "page_url")
+         .withColumnRenamed("html", "page_html")
+         .join(F.broadcast(schemas.platforms(spark).select("platform_id", "marker_kind")), "platform_id"))
+    p = with_items(s, ["page_id", "marker_kind", "page_url"])
     k = F.col("page_id") % 4
-    pick = F.when(k == 0, F.try_element_at(arr, F.lit(3))).when(k == 1, F.try_element_at(arr, F.lit(1)))
-    key = item_key(F.col("marker_kind"), extract.absolute("url", pick["href"]), pick["text"])
-    gone = item_key(F.col("marker_kind"), F.concat(extract.origin("url"), F.lit("/gone")),
-                    F.lit("gone"))
-    return s.where(k != 2).select(F.col("url").alias("page_url"),
-                                  F.when(k == 3, gone).otherwise(key).alias("last_key"))
+    third = F.try_element_at("items", F.lit(3))
+    by_kind = F.when(F.col("marker_kind") == "ts", third["ts"].cast("string")).otherwise(third["key"])
+    gone = F.when(F.col("marker_kind") == "ts", F.lit("1")).otherwise(F.lit("gone"))
+    return p.where(k != 2).select("page_url", F.when(k == 0, by_kind).when(k == 1, F.col("newest")).otherwise(gone)
+                                  .alias("last_key"))
+
+
+def unseen_items(pages: DataFrame) -> DataFrame:
+    """Pages with ``items`` and their marker ``last_key`` -> one row per new
+    article item, with its place on the page."""
+    kept = pi.unseen(F.col("marker_kind"), F.col("items"), F.col("last_key"))
+    return (pages.select("platform_id", "needs_login", "page_url", F.posexplode(kept).alias("pos", "it"))
+            .where("it.keep"))
 
 
 def new_items(pages: DataFrame, markers: DataFrame) -> DataFrame:
-    """Per platform marker rule, applied inside each page row: key equality
-    (take-until-seen) or whole-page change (head). One join with the marker
-    table; the kept prefix is exploded with its original positions."""
-    j = pages.join(markers.select("page_url", "last_key"), "page_url", "left")
-    last = F.col("last_key")
-    kept = F.when(F.col("marker_kind") == "head",
-                  increments.page_changed_array(F.col("items"), "key", last,
-                                                valid=lambda x: x["url"].startswith("http"))) \
-        .otherwise(increments.take_until_seen_array(F.col("items"), "key", last))
-    ex = j.select("platform_id", "marker_kind", "needs_login", "page_url",
-                  F.posexplode(kept).alias("pos", "it"))
-    return ex.select("platform_id", "marker_kind", "needs_login", "page_url", "pos",
-                     F.col("it.title").alias("title"), F.col("it.url").alias("url"))
+    """One join with the marker table; the walk itself is inside each row."""
+    return unseen_items(pages.join(markers.select("page_url", "last_key"), "page_url", "left"))
 
 
 def article_rows(new: DataFrame) -> DataFrame:
-    return new.select(
-        "platform_id", "page_url", F.col("pos").cast("int").alias("pos"),
-        numeric_id("page_url").alias("user_id"), "title", "url",
-        messages.article_task("platform_id", "url", F.col("needs_login")).alias("task"))
+    """One row per article: an article listed on several pages is taken from
+    the first page by address."""
+    rows = new.select("platform_id", F.col("it.url").alias("url"), "page_url", F.col("pos").cast("int").alias("pos"),
+                      F.col("it.user_id").alias("user_id"), F.col("it.title").alias("title"), F.col("it.ts").alias("ts"),
+                      *[F.col(f"it.{c}").alias(c) for c in ("reposts", "comments", "likes")],
+                      messages.article_task("platform_id", F.col("it.url"), F.col("needs_login")).alias("task"))
+    rest = [c for c in rows.columns if c not in ("platform_id", "url")]
+    return rows.groupBy("platform_id", "url").agg(F.min(F.struct(*rest)).alias("f")).select("platform_id", "url", "f.*")
 
 
 def feed_increments(spark: SparkSession, d: str) -> DataFrame:
-    pages, _, _ = notices_to_pages(standins.messages(spark, d), standins.page_store(spark, d),
-                                   schemas.platforms(spark))
+    store = standins.feed_store(spark, d)
+    pages, _, _ = notices_to_pages(standins.messages(spark, d, store), store, schemas.platforms(spark))
     return article_rows(new_items(pages, page_markers(spark, d)))
 
 
 # ---------------------------------------------------------------------------
 # Scheduled batch runs with a versioned marker table (INC1, batch form).
-# markers/run=<id>  the marker state after run <id>
+# markers/run=<id>  markers that changed in run <id>
 # articles/run=<id>, tasks/run=<id>
-# A run reads the newest marker version *before* its id, so re-running an id
-# overwrites its own folders with the same content (idempotent).
+# A run reads, for each page, the newest marker written *before* its id, so
+# re-running an id overwrites its own folders with the same content.
 # ---------------------------------------------------------------------------
 def next_markers(pages: DataFrame, markers: DataFrame) -> DataFrame:
-    """Marker after a run: the newest item's key of every page seen (pages
-    with items); other pages keep theirs."""
-    heads = (pages.where(F.size("items") > 0)
-             .select("page_url", F.col("items")[0]["key"].alias("_new")))
-    j = markers.select("page_url", F.col("last_key").alias("_old")).join(heads, "page_url", "full_outer")
-    return j.select("page_url", F.coalesce("_new", "_old").alias("last_key"))
+    """Markers that a run changes: only pages seen in it."""
+    j = (pages.select("page_url", "marker_kind", "newest")
+         .join(markers.select("page_url", F.col("last_key").alias("old")), "page_url", "left"))
+    new = pi.next_marker(F.col("marker_kind"), F.col("old"), F.col("newest"))
+    return j.select("page_url", new.alias("last_key"), "old").where(
+        ~F.col("last_key").eqNullSafe(F.col("old"))).drop("old")
 
 
 def read_markers(spark: SparkSession, markers_path: str, run_id: int, initial: DataFrame | None = None) -> DataFrame:
-    """Newest marker version before ``run_id`` (a scalar subquery picks it;
-    no folder listing on the driver); ``initial`` when there is none."""
-    from pyspark.errors import AnalysisException
-    try:
-        m = spark.read.parquet(markers_path).where(F.col("run") < run_id)
-    except AnalysisException:        # no marker table yet (first run ever)
-        return initial if initial is not None else spark.createDataFrame([], "page_url string, last_key string")
-    latest = m.agg(F.max("run")).scalar()
-    newest = m.where(F.col("run") == latest).select("page_url", "last_key")
-    if initial is None:
-        return newest
-    # no version before this run (first run, or a re-run of it): initial state
-    return newest.unionByName(initial.select("page_url", "last_key").where(latest.isNull()))
+    """Newest marker of each page written before ``run_id``; ``initial`` holds
+    markers from before the first run."""
+    m = sinks.read_if_exists(spark, markers_path, MARKER_SCHEMA + ", run int").where(F.col("run") < run_id)
+    if initial is not None:
+        m = m.unionByName(initial.select("page_url", "last_key", F.lit(-1).alias("run")))
+    return m.groupBy("page_url").agg(F.max_by("last_key", "run").alias("last_key"))
 
 
 def run_increment(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms: DataFrame,
                   root: str, run_id: int, initial_markers: DataFrame | None = None) -> None:
+    ensure_checkpoint_dir(spark)
     pages, rejects, _ = notices_to_pages(notices, store, platforms)
-    pages = pages.checkpoint(eager=True)    # read three times below; html already dropped
+    pages = pages.checkpoint(eager=True)    # read twice below; html already dropped
     markers = read_markers(spark, f"{root}/markers", run_id, initial_markers)
     rows = article_rows(new_items(pages, markers))
+    seen = (sinks.read_if_exists(spark, f"{root}/articles", "platform_id int, url string, run int")
+            .where(F.col("run") < run_id))
+    rows = sinks.insert_if_absent(rows, seen, ["platform_id", "url"])
     rows.write.mode("overwrite").parquet(f"{root}/articles/run={run_id}")
     written = spark.read.parquet(f"{root}/articles/run={run_id}")
     written.select(F.col("task").alias("value")).write.mode("overwrite").text(f"{root}/tasks/run={run_id}")

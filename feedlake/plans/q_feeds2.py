@@ -10,14 +10,12 @@ from ..operators import extract, increments as inc, lookup, messages
 from ..sources import standins
 from ..sources.tables import table
 from .oracle_common import LI_HREF, LI_TEXT, crawl_task_sql
+from ..operators.platform_pages import counter
 from .registry import query
 
 # Counter labels on card footers and the shifted-cell marker.
-LABEL_FORWARD = "转发"
-LABEL_COMMENT = "评论"
-LABEL_LIKE = "赞"
-SHIFT_MARK = "ñ"
-PERMALINK_MARK = "?ref=home&rid="
+LABEL_FORWARD, LABEL_COMMENT, LABEL_LIKE = schemas.LABEL_FORWARD, schemas.LABEL_COMMENT, schemas.LABEL_LIKE
+SHIFT_MARK, PERMALINK_MARK = schemas.SHIFT_MARK, schemas.PERMALINK_MARK
 
 
 @query("feed_two_lists_concat", f"""
@@ -72,17 +70,6 @@ def q_feed_permalink(spark, d):
                        F.concat(F.substring_index("link", "ref=home", 1), F.lit("type=comment")).alias("permalink"))
 
 
-def counter(ems, idx: int, label: str, shift_idx: int | None = None):
-    """FEED6b: cell ``idx`` (0-based) as an int; too few cells or the bare
-    label -> 0; a shift marker moves to the next cell."""
-    cell = F.get(ems, idx)
-    if shift_idx is not None:
-        cell = F.when(F.trim(cell) == SHIFT_MARK, F.get(ems, shift_idx)).otherwise(cell)
-    return (F.when(F.size(ems) < idx + 1, F.lit(0))
-            .when(F.coalesce(cell, F.lit("")).startswith(label), F.lit(0))
-            .otherwise(F.trim(cell).try_cast("int")))
-
-
 @query("feed_counter_default", CARDS_SQL + f""",
 e AS (SELECT event_id, CASE event_type WHEN 'error' THEN ems[1:5] WHEN 'signup' THEN ems[1:7] ELSE ems END AS ems FROM (
   SELECT event_id, event_type, ['', '', '',

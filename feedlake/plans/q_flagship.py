@@ -1,79 +1,85 @@
-"""Proof queries: flagship feed increments, messages, lookups (SRC/MSG/STR)."""
+"""Proof queries: flagship feed increments, messages, lookups (SRC/MSG/STR).
+
+The oracle states each platform's rules over the items themselves
+(``standins.SQL['feed_items']``); it never reads the platform pages."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import schemas
 from ..sources import standins
 from . import flagship
-from .oracle_common import (LI_HREF, LI_TEXT, ORIGIN, PARSED_SQL, PLATFORMS_SQL, absolute_sql,
-                            article_task_sql)
+from .oracle_common import PARSED_SQL, PLATFORMS_SQL, article_task_sql
 from .registry import query
 
-W_MSG = standins.with_ctes("page_store", "messages")
-
 # ---------------------------------------------------------------- flagship
-FLAGSHIP_SQL = W_MSG + f""",
+WALK_SQL = standins.with_ctes("feed_items", "feed_messages") + f""",
 platforms AS ({PLATFORMS_SQL}),
-parsed AS ({PARSED_SQL}),
-good AS (SELECT *, CAST(attr_id AS INTEGER) AS platform_id FROM parsed WHERE reason IS NULL),
-requests AS (SELECT DISTINCT g.platform_id, p.marker_kind, p.needs_login, g.key_name, g.pos_name
-             FROM good g JOIN platforms p USING (platform_id)),
-hits AS (SELECT r.*, s.url AS page_url, s.html AS page_html FROM requests r
-         JOIN page_store s ON s.table_name = r.key_name AND s.row_key = r.pos_name
-         WHERE s.url <> '' AND s.html <> ''),
-items AS (SELECT platform_id, marker_kind, needs_login, page_url,
-            unnest(range(len(regexp_extract_all(page_html, {LI_HREF}, 1)))) AS pos,
-            unnest(regexp_extract_all(page_html, {LI_HREF}, 1)) AS href,
-            unnest(regexp_extract_all(page_html, {LI_TEXT}, 1)) AS title
-          FROM hits),
-keyed AS (SELECT *, CASE WHEN marker_kind IN ('url', 'head') THEN url ELSE title END AS key
-          FROM (SELECT *, {absolute_sql('page_url', 'href')} AS url FROM items) i),
-pm AS (SELECT s.page_id, s.url, p.marker_kind,
-              regexp_extract_all(s.html, {LI_HREF}, 1) AS hrefs,
-              regexp_extract_all(s.html, {LI_TEXT}, 1) AS texts,
-              CASE WHEN s.page_id % 4 = 0 THEN 3 ELSE 1 END AS idx
-       FROM page_store s JOIN platforms p USING (platform_id) WHERE s.page_id % 4 <> 2),
-markers AS (SELECT url AS page_url,
-  CASE WHEN page_id % 4 = 3 THEN
-         CASE WHEN marker_kind IN ('url', 'head') THEN regexp_extract(url, {ORIGIN}, 1) || '/gone'
-              ELSE 'gone' END
-       ELSE CASE WHEN marker_kind IN ('url', 'head') THEN {absolute_sql('url', 'hrefs[idx]')}
-                 ELSE texts[idx] END
-  END AS last_key FROM pm),
-cuts AS (SELECT k.page_url, min(k.pos) AS cut FROM keyed k
-         JOIN markers m ON k.page_url = m.page_url AND k.key = m.last_key
-         WHERE k.marker_kind <> 'head' GROUP BY k.page_url),
-seen AS (SELECT k.* FROM keyed k LEFT JOIN cuts c USING (page_url)
-         WHERE k.marker_kind <> 'head' AND (c.cut IS NULL OR k.pos < c.cut)),
-heads AS (SELECT page_url, url AS head_url FROM keyed WHERE marker_kind = 'head' AND pos = 0),
-changed AS (SELECT h.page_url FROM heads h LEFT JOIN markers m USING (page_url)
-            WHERE m.last_key IS DISTINCT FROM h.head_url),
-hcuts AS (SELECT page_url, min(pos) AS cut FROM keyed
-          WHERE marker_kind = 'head' AND NOT coalesce(url LIKE 'http%', false) GROUP BY page_url),
-headnew AS (SELECT k.* FROM keyed k JOIN changed USING (page_url) LEFT JOIN hcuts c USING (page_url)
-            WHERE k.marker_kind = 'head' AND (c.cut IS NULL OR k.pos < c.cut)),
-new AS (SELECT * FROM seen UNION ALL SELECT * FROM headnew)
-SELECT platform_id, page_url, CAST(pos AS INTEGER) AS pos,
-       regexp_extract(page_url, '/([0-9]+)', 1) AS user_id, title, url,
+parsed AS ({PARSED_SQL.replace("FROM messages", "FROM feed_messages")}),
+requests AS (SELECT DISTINCT g.key_name, g.pos_name FROM parsed g
+             JOIN platforms p ON p.platform_id = CAST(g.attr_id AS INTEGER) WHERE g.reason IS NULL),
+it AS (SELECT f.*, p.marker_kind AS kind, p.needs_login,
+         CASE p.marker_kind WHEN 'ts' THEN CAST(f.ts AS VARCHAR) WHEN 'title' THEN f.title ELSE f.url END AS mark
+       FROM feed_items f JOIN platforms p USING (platform_id)),
+newest AS (SELECT p, mark AS newest FROM (SELECT *, row_number() OVER (
+             PARTITION BY p ORDER BY CASE WHEN kind = 'head' THEN -ts ELSE 0 END, pos) AS r FROM it) x WHERE r = 1),
+pages_ AS (SELECT s.page_id AS p, s.url AS page_url, pl.marker_kind AS kind, n.newest
+           FROM feed_store s JOIN platforms pl USING (platform_id) LEFT JOIN newest n ON n.p = s.page_id
+           WHERE s.html <> ''),
+markers AS (SELECT g.page_url, CASE WHEN g.p % 4 = 0 THEN t.mark WHEN g.p % 4 = 1 THEN g.newest
+              WHEN g.kind = 'ts' THEN '1' ELSE 'gone' END AS last_key
+            FROM pages_ g LEFT JOIN it t ON t.p = g.p AND t.pos = 2 WHERE g.p % 4 <> 2),
+hits AS (SELECT g.* FROM pages_ g JOIN feed_store s ON s.page_id = g.p
+         JOIN requests r ON r.key_name = s.table_name AND r.pos_name = s.row_key),
+walk AS (SELECT it.*, h.newest, m.last_key FROM it JOIN hits h USING (p) LEFT JOIN markers m ON m.page_url = it.page_url)"""
+
+FLAGSHIP_SQL = WALK_SQL + f""",
+cuts AS (SELECT p, min(pos) AS cut FROM walk WHERE CASE kind
+           WHEN 'ts' THEN ts <= coalesce(CAST(last_key AS BIGINT), 0)
+           WHEN 'head' THEN newest IS NOT DISTINCT FROM last_key OR NOT valid
+           ELSE mark = last_key END GROUP BY p),
+new AS (SELECT w.*, row_number() OVER (PARTITION BY platform_id, url ORDER BY page_url, pos) AS r
+        FROM walk w LEFT JOIN cuts USING (p) WHERE (cut IS NULL OR pos < cut) AND keep)
+SELECT platform_id, page_url, CAST(pos AS INTEGER) AS pos, user_id, title, url, ts,
+       CAST(reposts AS INTEGER) AS reposts, CAST(comments AS INTEGER) AS comments, CAST(likes AS INTEGER) AS likes,
        {article_task_sql('platform_id', 'url', 'needs_login')} AS task
-FROM new"""
+FROM new WHERE r = 1"""
 
 
 @query("str_flagship", FLAGSHIP_SQL)
 def q_str_flagship(spark, d):
-    """STR1/STR2 + INC2/INC4 in batch form: new article rows and their tasks."""
+    """STR1/STR2 + MSG3 + INC2-INC5 in batch form: each page through its
+    platform's extractor and marker rule; new article rows and their tasks."""
     return flagship.feed_increments(spark, d)
 
 
-@query("inc_marker_table_run", FLAGSHIP_SQL.split("\ncuts AS (")[0].rstrip().rstrip(",") + """,
-heads AS (SELECT page_url, key AS new_key FROM keyed WHERE pos = 0)
-SELECT coalesce(h.page_url, m.page_url) AS page_url, coalesce(h.new_key, m.last_key) AS last_key
-FROM heads h FULL OUTER JOIN markers m ON h.page_url = m.page_url""")
+@query("inc_marker_table_run", WALK_SQL + """
+SELECT coalesce(h.page_url, m.page_url) AS page_url,
+  CASE WHEN h.kind = 'ts' THEN CAST(greatest(CAST(m.last_key AS BIGINT), CAST(h.newest AS BIGINT)) AS VARCHAR)
+       ELSE coalesce(h.newest, m.last_key) END AS last_key
+FROM hits h FULL OUTER JOIN markers m ON h.page_url = m.page_url
+WHERE m.page_url IS NOT NULL OR h.newest IS NOT NULL""")
 def q_inc_marker_table_run(spark, d):
     """INC1 batch form: one scheduled run over the notices writes articles,
-    tasks and the next version of the marker table; the marker table after
-    the run is returned (read back from its folder)."""
+    tasks and the markers that changed; the marker of every page after the run
+    is returned, read back through the reader of the next run."""
     from ..session import scratch_path
     root = scratch_path(spark, "increment_runs")
-    flagship.run_increment(spark, standins.messages(spark, d), standins.page_store(spark, d),
-                           schemas.platforms(spark), root, 1, flagship.page_markers(spark, d))
-    return spark.read.parquet(f"{root}/markers/run=1")
+    store, before = standins.feed_store(spark, d), flagship.page_markers(spark, d)
+    flagship.run_increment(spark, standins.messages(spark, d, store), store, schemas.platforms(spark), root, 1, before)
+    return flagship.read_markers(spark, f"{root}/markers", 2, before)
+
+
+@query("feed_platform_items", standins.with_ctes("feed_items") + """
+SELECT p AS page_id, platform_id, CAST(pos AS INTEGER) AS pos, title, url, user_id, ts,
+       CAST(coalesce(reposts, 0) AS INTEGER) AS reposts, CAST(comments AS INTEGER) AS comments,
+       CAST(likes AS INTEGER) AS likes, keep, valid FROM feed_items""")
+def q_feed_platform_items(spark, d):
+    """FEED1, FEED2, FEED3, FEED5, FEED6 through the platforms' own pages: every
+    item of every feed page with all its fields, before any marker rule."""
+    from ..operators import platform_items as pi
+    s = standins.feed_store(spark, d)
+    x = s.select("page_id", "platform_id", F.posexplode(pi.items(F.col("platform_id"), F.col("url"), F.col("html")))
+                 .alias("pos", "it"))
+    return x.select("page_id", "platform_id", F.col("pos").cast("int").alias("pos"), "it.title", "it.url", "it.user_id",
+                    "it.ts", "it.reposts", "it.comments", "it.likes", "it.keep", "it.valid")

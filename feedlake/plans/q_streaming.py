@@ -21,10 +21,10 @@ from .registry import query
 NOTICE_SCHEMA = T.StructType([T.StructField("msg_seq", T.LongType()), T.StructField("value", T.StringType())])
 
 
-def _land_notices(spark, d) -> str:
+def _land_notices(spark, d, store=None) -> str:
     """Land the notices as JSON-lines files (what a topic dump looks like)."""
     path = scratch_path(spark, "notices")
-    standins.messages(spark, d).write.mode("overwrite").json(path)
+    standins.messages(spark, d, store).write.mode("overwrite").json(path)
     return path
 
 
@@ -42,9 +42,10 @@ def _run(q):
 def q_str_stream_flagship(spark, d):
     """STR1/STR2/INC1: the flagship as a stream; markers seeded from the
     stored marker table, then kept as keyed state."""
-    src = _land_notices(spark, d)
+    store = standins.feed_store(spark, d)
+    src = _land_notices(spark, d, store)
     out = scratch_path(spark, "flagship_out")
-    q = feed.start(spark, _notice_stream(spark, src), standins.page_store(spark, d), schemas.platforms(spark),
+    q = feed.start(spark, _notice_stream(spark, src), store, schemas.platforms(spark),
                    flagship.page_markers(spark, d), out, scratch_path(spark, "flagship_ckpt"), available_now=True)
     _run(q)
     return spark.read.parquet(f"{out}/articles").drop("batch")

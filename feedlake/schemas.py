@@ -150,6 +150,14 @@ SUMMARY_CUT_40005 = 200
 SUMMARY_CUT = 300             # 40001 and 40004
 DIGEST_CUT = 500              # digest and stock string (40004)
 HEADLINE_CUT = 30
+OWNER_MARK = "- 雪球"          # page title: owner before it (40001)
+CARDS_SCRIPT = "pl.content.homefeed.index"   # script that holds the cards (40005)
+OWN_TOPIC = (40001,)          # platforms whose article tasks go to a topic of their own
+MOER_HOST = "http://moer.jiemian.com/"
+WEIBO_HOST = "http://weibo.com"
+# Cells of a card's handle bar (40005).
+PERMALINK_MARK = "?ref=home&rid="
+LABEL_FORWARD, LABEL_COMMENT, LABEL_LIKE, SHIFT_MARK = "转发", "评论", "赞", "ñ"
 VIP_IMAGE_SUFFIX = "!50x50.png"   # removed from profile image names (40001)
 TITLE_SUFFIX = "的观点："        # title fallback suffix (40001, 40005)
 ACTION_TITLE_SUFFIX = "的观点: "  # action title suffix (40004)

@@ -29,24 +29,10 @@ def write_store(pages: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS, mod
      .partitionBy("table_name", "key_bucket").parquet(path))
 
 
-def read_for_keys(spark: SparkSession, path: str, keys: DataFrame, table_col: str, key_col: str,
-                  buckets: int = DEFAULT_BUCKETS, max_pairs: int = 100_000) -> DataFrame:
-    """The store restricted to the partitions that can hold ``keys``. The
-    distinct (table, bucket) pairs of a bounded request set are at most
-    ``tables x buckets`` small values; above ``max_pairs`` the unpruned
-    store is returned (still correct, the join does the rest)."""
-    pairs = (keys.select(F.col(table_col).alias("t"), key_bucket(key_col, buckets).alias("b"))
-             .distinct().limit(max_pairs + 1).collect())
-    store = spark.read.parquet(path)
-    if len(pairs) > max_pairs:
-        return store
-    if not pairs:
-        return store.where(F.lit(False))
-    by_table: dict[str, list[int]] = {}
-    for r in pairs:
-        by_table.setdefault(r.t, []).append(r.b)
-    cond = None
-    for t, bs in by_table.items():
-        c = (F.col("table_name") == t) & F.col("key_bucket").isin(sorted(set(bs)))
-        cond = c if cond is None else (cond | c)
-    return store.where(cond)
+def read_for_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str,
+                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """The store restricted to the partitions that can hold ``keys``. What
+    reaches the driver are distinct bucket numbers, at most ``buckets`` of them."""
+    asked = sorted(r.b for r in keys.select(key_bucket(key_col, buckets).alias("b")).distinct().collect()
+                   if r.b is not None)
+    return spark.read.parquet(path).where(F.col("key_bucket").isin(asked) if asked else F.lit(False))

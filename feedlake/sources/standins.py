@@ -64,14 +64,149 @@ SQL["page_store"] = f"""
         SELECT page_id + {EMPTY_PAGE_IDS}, url || '/empty', '' FROM pages WHERE page_id % 13 = 0) t"""
 
 
+def feed_store(spark: SparkSession, d: str) -> DataFrame:
+    """The page store with every page rewritten as its platform's feed page:
+    the links of its navigation list are the items, in order; their counters,
+    times and flags follow from page id and position (``SQL['feed_items']``).
+    Empty pages stay empty."""
+    p = page_store(spark, d)
+    pid, plat = F.col("page_id"), F.col("platform_id")
+    s = pid.cast("string")
+    links = F.regexp_extract_all("html", F.lit(r'<li><a href="[^"]*">[^<]*</a>'), 0)
+
+    def text(x):
+        return F.regexp_extract(x, r'">([^<]*)</a>', 1)
+
+    def href(x):
+        return F.regexp_extract(x, r'href="([^"]*)"', 1)
+
+    def when(i):
+        """Minute of the item: falling, with a late one among them."""
+        m = F.lit(900) - i * 7 + F.when(i % 4 == 3, F.lit(20)).otherwise(F.lit(0))
+        return F.date_format(F.expr("timestamp_ntz'2016-07-14 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), m),
+                             "yyyy-MM-dd HH:mm")
+
+    def status(x, i):
+        k = (pid + i) % 4
+        doc = F.to_json(F.struct(
+            (pid * 100 + i).alias("id"), pid.alias("user_id"),
+            F.when(k == 1, F.lit("")).when(k > 1, text(x)).alias("title"),
+            F.concat(text(x), F.lit(" seen on page "), s).alias("description"), href(x).alias("target"),
+            (i + 1).alias("retweet_count"), ((pid + i) % 5).alias("reply_count"),
+            F.struct(F.when(i % 2 == 1, F.lit("")).otherwise(F.concat(F.lit("u"), s)).alias("screen_name")).alias("user")),
+            {"ignoreNullFields": "false"})
+        repost = (F.when((pid + i) % 3 == 0, F.lit(',"retweeted_status":null}'))
+                  .when((pid + i) % 3 == 1, F.lit(',"retweeted_status":{"id":1}}')).otherwise(F.lit("}")))
+        return F.concat(F.substring(doc, F.lit(1), F.length(doc) - 1), repost)
+
+    statuses = F.concat(
+        F.lit("<html><head><title>n"), s, F.when(pid % 7 == 0, F.lit("")).otherwise(F.lit("- 雪球")),
+        F.lit("</title></head><body><script>var a=1;</script><script>SNB.data.statuses = {\"statuses\":["),
+        F.array_join(F.transform(links, status), ","), F.lit("]};\n  SNB.data.statusType = 1;</script></body></html>"))
+
+    def row(x, i):
+        n = F.element_at(F.array(F.lit(""), F.lit('<i class="TuiJian"></i>'), F.lit('<i class="TuiJian"></i>' * 2)), i % 3 + 1)
+        return F.concat(
+            F.lit('<li><div class="UserBox"><a class="Name" href="http://b.example/u/'), s,
+            F.lit('/">n</a><a class="Tit" href="http://b.example/'), s, F.lit("/"), i.cast("string"), F.lit('">'),
+            text(x), n, F.lit('</a></div><div class="HandleBox"><span>read 5</span><span>moved '),
+            F.when((pid + i) % 6 == 5, F.lit("none")).otherwise(i.cast("string")), F.lit("</span><span>said "),
+            (pid % 9).cast("string"), F.lit("</span></div></li>"))
+
+    listed = F.concat(F.lit('<html><div id="Tab1"><div class="TabItem"><ul>'), F.array_join(F.transform(links, row), ""),
+                      F.lit("</ul></div></div></html>"))
+    tabled = F.concat(F.lit('<html><table class="blu authortab-list">'), F.array_join(F.transform(
+        links, lambda x, i: F.concat(F.lit('<tr><td><a href="articleDetails.htm?articleId='), (pid * 100 + i).cast("string"),
+                                     F.lit('">'), text(x), F.lit("</a></td></tr>"))), ""), F.lit("</table></html>"))
+    record = F.transform(links, lambda x, i: F.struct(
+        F.lit("R").alias("actionName"), (pid * 100 + i).cast("string").alias("actionID"), s.alias("objectID"),
+        s.alias("userID"), F.concat(F.lit("u"), s).alias("userName"), when(i).alias("actionDate"),
+        F.when((pid + i) % 5 == 0, F.lit("0")).otherwise((pid * 100 + i).cast("string")).alias("OtherID"),
+        text(x).alias("body")))
+    actions = F.to_json(F.struct(record.alias("record")))
+
+    def card(x, i):
+        cover = F.when(i == 1, F.lit(" WB_feed_vipcover")).otherwise(F.lit(""))
+        mark = F.when((pid + i) % 6 == 5, F.lit("")).otherwise(F.lit("?ref=home&rid=1"))
+        head = F.when(i % 2 == 0, F.concat(
+            F.lit('<div class="WB_media_wrap clearfix"><div class="WB_feed_spec_info SW_fun"><div class="WB_feed_spec_cont"><h4>'),
+            text(x), F.lit("</h4></div></div></div>"))).otherwise(F.lit(""))
+        more = F.when((pid + i) % 4 == 3, F.lit('<div class="WB_feed_expand">old</div>')).otherwise(F.lit(""))
+        cells = F.concat(*[c for n in (F.lit("a"), F.lit("b"), F.lit("c"), i.cast("string"), F.lit("d"),
+                                       F.when(i % 3 == 0, F.lit("评论")).otherwise((pid % 9).cast("string")), F.lit("e"),
+                                       (i * 2).cast("string"))
+                           for c in (F.lit("<li><span class='pos'><em>"), n, F.lit("</em></span></li>"))])
+        return F.concat(
+            F.lit('<div class="WB_cardwrap WB_feed_type S_bg2'), cover, F.lit('"><div class="WB_detail"><a class="W_f14 W_fb S_txt1" usercard="id='),
+            s, F.lit('&t=1">n'), s, F.lit('</a><div class="WB_from S_txt2"><a title="'), when(i), F.lit('" href="/p/'), s,
+            F.lit("/"), i.cast("string"), mark, F.lit('">t</a></div>'), head, more,
+            F.lit('</div><div class="WB_feed_handle"><ul>'), cells, F.lit("</ul></div></div>"))
+
+    cards = F.concat(
+        F.lit("<html><script>var b=1;</script><script>FM.view("),
+        F.to_json(F.struct(F.lit("pl.content.homefeed.index").alias("ns"),
+                           F.array_join(F.transform(links, card), "").alias("html"))), F.lit(")</script></html>"))
+    html = (F.when(plat == 40001, statuses).when(plat == 40002, listed).when(plat == 40003, tabled)
+            .when(plat == 40004, actions).otherwise(cards))
+    url = F.when(plat == 40003, F.concat("url", F.lit("&theId="), s)).otherwise(F.col("url"))
+    return p.select("page_id", "table_name", url.alias("row_key"), url.alias("url"),
+                    F.when(F.col("html") == "", F.lit("")).otherwise(html).alias("html"), "platform_id")
+
+
+SQL["feed_store"] = """
+  SELECT page_id, table_name, CASE WHEN platform_id = 40003 THEN url || '&theId=' || CAST(page_id AS VARCHAR) ELSE url END AS url,
+         html AS page, CASE WHEN html = '' THEN '' ELSE 'feed' END AS html, platform_id,
+         CASE WHEN platform_id = 40003 THEN url || '&theId=' || CAST(page_id AS VARCHAR) ELSE url END AS row_key
+  FROM page_store"""
+DEPS["feed_store"] = ["page_store"]
+
+# What each platform's own rules say about the items of those pages, stated
+# from the items and not from the page text: order of the walk, key, time,
+# counters, whether it is an article, whether the walk goes on.
+SQL["feed_items"] = r"""
+  SELECT page_id AS p, platform_id, url AS page_url,
+    CASE WHEN platform_id <> 40005 THEN i WHEN i = 1 THEN 0 WHEN i = 0 THEN (CASE WHEN n > 1 THEN 1 ELSE 0 END) ELSE i END AS pos,
+    i, mins, CASE WHEN platform_id IN (40004, 40005)
+      THEN epoch_ms(TIMESTAMP '2016-07-13 16:00:00' + to_minutes(mins)) END AS ts,
+    CASE platform_id
+      WHEN 40001 THEN CASE (page_id + i) % 4 WHEN 0 THEN substring(txt || ' seen on page ' || s, 1, 30)
+        WHEN 1 THEN CASE WHEN i % 2 = 0 THEN 'u' || s || '的观点：' WHEN page_id % 7 = 0 THEN '' ELSE 'n' || s || '的观点：' END
+        ELSE txt END
+      WHEN 40004 THEN 'u' || s || '的观点: '
+      WHEN 40005 THEN CASE WHEN i % 2 = 0 AND plain <> '' THEN plain ELSE 'n' || s || '的观点：' END
+      ELSE plain END AS title,
+    CASE platform_id
+      WHEN 40001 THEN 'https://xueqiu.com' || href
+      WHEN 40002 THEN 'http://b.example/' || s || '/' || CAST(i AS VARCHAR)
+      WHEN 40003 THEN 'http://moer.jiemian.com/articleDetails.htm?articleId=' || CAST(page_id * 100 + i AS VARCHAR)
+      WHEN 40004 THEN 'http://www.taoguba.com.cn/Article/' || s || '/' || CASE WHEN (page_id + i) % 5 = 0 THEN '0' ELSE CAST(page_id * 100 + i AS VARCHAR) END
+      ELSE 'http://weibo.com/p/' || s || '/' || CAST(i AS VARCHAR) || CASE WHEN (page_id + i) % 6 = 5 THEN 'type=comment' ELSE '?type=comment' END
+    END AS url,
+    s AS user_id,
+    CASE platform_id WHEN 40001 THEN i + 1 WHEN 40002 THEN TRY_CAST(CASE WHEN (page_id + i) % 6 = 5 THEN NULL ELSE i END AS BIGINT) WHEN 40005 THEN i ELSE 0 END AS reposts,
+    CASE platform_id WHEN 40001 THEN (page_id + i) % 5 WHEN 40002 THEN page_id % 9
+      WHEN 40005 THEN CASE WHEN i % 3 = 0 THEN 0 ELSE page_id % 9 END ELSE 0 END AS comments,
+    CASE platform_id WHEN 40002 THEN i % 3 WHEN 40005 THEN i * 2 ELSE 0 END AS likes,
+    CASE platform_id WHEN 40001 THEN (page_id + i) % 3 = 0 WHEN 40002 THEN (page_id + i) % 6 <> 5
+      WHEN 40004 THEN (page_id + i) % 5 <> 0 WHEN 40005 THEN (page_id + i) % 4 <> 3 ELSE true END AS keep,
+    CASE WHEN platform_id = 40005 THEN (page_id + i) % 4 = 3 OR (page_id + i) % 6 <> 5 ELSE true END AS valid
+  FROM (SELECT *, CAST(page_id AS VARCHAR) AS s, trim(replace(txt, '&amp;', '&')) AS plain,
+               900 - i * 7 + CASE WHEN i % 4 = 3 THEN 20 ELSE 0 END AS mins FROM (
+    SELECT page_id, platform_id, url, len(l) AS n, unnest(range(len(l))) AS i,
+      unnest(list_transform(l, lambda x: regexp_extract(x, '">([^<]*)</a>', 1))) AS txt,
+      unnest(list_transform(l, lambda x: regexp_extract(x, 'href="([^"]*)"', 1))) AS href
+    FROM (SELECT *, regexp_extract_all(page, '<li><a href="[^"]*">[^<]*</a>') AS l FROM feed_store WHERE html <> '') a) b) c"""
+DEPS["feed_items"] = ["feed_store"]
+
+
 def _msg_json(attr, key, pos):
     return F.concat(F.lit('{"attr_id": "'), attr, F.lit('", "key_name": "'), key,
                     F.lit('", "pos_name": "'), pos, F.lit('"}'))
 
 
-def messages(spark: SparkSession, d: str) -> DataFrame:
-    """Inbound page notices ``(msg_seq BIGINT, value STRING)``."""
-    s = page_store(spark, d).select("page_id", "table_name", "url")
+def messages(spark: SparkSession, d: str, store: DataFrame | None = None) -> DataFrame:
+    """Inbound page notices ``(msg_seq BIGINT, value STRING)`` for the pages of ``store``."""
+    s = (page_store(spark, d) if store is None else store).select("page_id", "table_name", "url")
     k = F.col("page_id") % 10
     t = F.col("table_name")
     attr = F.when(k == 4, F.lit("40000")).otherwise(t)
@@ -104,6 +239,8 @@ SQL["messages"] = """
       || url || '"}' AS value
   FROM page_store WHERE page_id % 10 = 3"""
 DEPS["messages"] = ["page_store"]
+SQL["feed_messages"] = SQL["messages"].replace("page_store", "feed_store")
+DEPS["feed_messages"] = ["feed_store"]
 
 
 # --------------------------------------------------------------------------- feeds

@@ -1,6 +1,6 @@
 """Flagship stream: notices -> parse / route -> stream-static page lookup ->
-items -> keyed marker state -> foreachBatch (write articles, then tasks from
-what was written).
+items by platform -> keyed marker state -> foreachBatch (write articles, then
+tasks from what was written).
 
 Delivery: the checkpoint commits source offsets and marker state together
 with the batch; the sink writes each batch to its own folder
@@ -19,138 +19,134 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import extract, lookup, messages
-from ..plans.flagship import item_key
+from ..operators import lookup, messages, sinks
+from ..operators import platform_items as pi
+from ..plans.flagship import article_rows, unseen_items, with_items
+from ..schemas import OWN_TOPIC
+from ..sources import page_store as ps
 from . import markers as mk
 
 TRIGGER_SECONDS = 3   # fixed value: micro-batch interval
 
 
-def items_stream(notices: DataFrame, store: DataFrame, platforms: DataFrame, seed_markers: DataFrame) -> DataFrame:
-    """Stateless part: every notice -> its page's ordered items with the
-    platform rule and the pre-stream marker (stream-static joins)."""
+def snapshots(hits: DataFrame, seed_markers: DataFrame) -> DataFrame:
+    """Found pages -> one row per page snapshot for the marker state."""
+    keep = ["msg_seq", "platform_id", "marker_kind", "needs_login", "page_url"]
+    pages = with_items(hits, keep).select(*keep, "newest", F.to_json("items").alias("payload"))
+    return pages.join(seed_markers.select("page_url", F.col("last_key").alias("seed_key")), "page_url", "left") \
+        .select(*[F.col(f.name).cast(f.dataType) for f in mk.SNAPSHOT.fields])
+
+
+def pages_stream(notices: DataFrame, store: DataFrame, platforms: DataFrame, seed_markers: DataFrame) -> DataFrame:
+    """Stateless part: every notice -> its page's snapshot (stream-static joins)."""
     good, _ = messages.parse(notices)
     routed, _ = messages.route(good, platforms)
     looked = lookup.lookup(routed, store)
     hits, _ = lookup.split_hits(looked, lookup.MISS_NULL_OR_EMPTY)
-    items = hits.select("msg_seq", "platform_id", "marker_kind", "needs_login", "page_url",
-                        F.posexplode(extract.list_items("page_html")).alias("pos", "it"))
-    items = items.select(
-        "msg_seq", "platform_id", "marker_kind", F.col("needs_login").cast("int").alias("needs_login"),
-        "page_url", F.col("pos").cast("int").alias("pos"), F.col("it.text").alias("title"),
-        extract.absolute("page_url", F.col("it.href")).alias("url"))
-    items = items.withColumn("key", item_key(F.col("marker_kind"), F.col("url"), F.col("title")))
-    seeds = seed_markers.select("page_url", F.col("last_key").alias("seed_key"))
-    return items.join(seeds, "page_url", "left")
+    return snapshots(hits, seed_markers)
+
+
+def rejects(notices: DataFrame, platforms: DataFrame) -> DataFrame:
+    """Notices that cannot be routed, with the reason."""
+    good, bad = messages.parse(notices)
+    _, unknown = messages.route(good, platforms)
+    return bad.select("value", "reason").unionByName(unknown.select("value", "reason"))
 
 
-def new_items_stream(items: DataFrame) -> DataFrame:
-    return items.groupBy("page_url").applyInPandasWithState(
-        mk.step, mk.ITEM_SCHEMA, mk.STATE_SCHEMA, "append", "NoTimeout")
+def new_items_stream(pages: DataFrame) -> DataFrame:
+    marked = pages.groupBy("page_url").applyInPandasWithState(
+        mk.step, mk.OUT_SCHEMA, mk.STATE_SCHEMA, "append", "NoTimeout")
+    return unseen_items(marked.withColumn("items", F.from_json("payload", f"array<{pi.ITEM}>")))
 
 
-def article_rows(new: DataFrame) -> DataFrame:
-    from ..functions.urls import numeric_id
-    return new.select(
-        "platform_id", "page_url", "pos", numeric_id("page_url").alias("user_id"), "title", "url",
-        messages.article_task("platform_id", "url", F.col("needs_login")).alias("task"))
+ARTICLE_KEYS = ["platform_id", "url"]
 
 
 def write_batch(out_dir: str, task_kafka: dict | None = None):
-    """foreachBatch sink: articles first, then tasks read back from the
-    written files (SNK10 / SNK11 ordering). Tasks land as text files, or go
-    to a Kafka topic when ``task_kafka`` holds the producer options
-    (``kafka.bootstrap.servers``, ``topic``); the clock id is stamped here."""
-    from ..operators.sinks import with_clock_id
+    """foreachBatch sink: articles first (those not yet written, SNK5), then
+    tasks read back from the written files (SNK10 / SNK11 ordering). Tasks land
+    as text files, or go to Kafka when ``task_kafka`` holds the producer options
+    (``kafka.bootstrap.servers``, ``topic`` and, for the platforms with a topic
+    of their own, ``own_topic``); the clock id is stamped here."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = article_rows(batch)
+        spark = batch.sparkSession
+        seen = (sinks.read_if_exists(spark, f"{out_dir}/articles", "platform_id int, url string, batch long")
+                .where(F.col("batch") < batch_id))   # a replayed batch sees what it saw the first time
         path = f"{out_dir}/articles/batch={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
-        written = batch.sparkSession.read.parquet(path)
+        sinks.insert_if_absent(article_rows(batch), seen, ARTICLE_KEYS).write.mode("overwrite").parquet(path)
+        written = spark.read.parquet(path)
+        own = F.col("platform_id").isin(*OWN_TOPIC)
         if task_kafka:
-            (written.select(with_clock_id(F.col("task")).alias("value"))
-             .write.format("kafka").options(**task_kafka).save())
+            options = {k: v for k, v in task_kafka.items() if k not in ("topic", "own_topic")}
+            topic = F.when(own, F.lit(task_kafka.get("own_topic", task_kafka["topic"]))).otherwise(task_kafka["topic"])
+            (written.select(topic.alias("topic"), sinks.with_clock_id(F.col("task")).alias("value"))
+             .write.format("kafka").options(**options).save())
         else:
-            written.select(F.col("task").alias("value")).write.mode("overwrite").text(
-                f"{out_dir}/tasks/batch={batch_id}")
+            (written.select(F.when(own, "own").otherwise("common").alias("topic"), F.col("task").alias("value"))
+             .write.mode("overwrite").partitionBy("topic").text(f"{out_dir}/tasks/batch={batch_id}"))
     return sink
 
 
+def _trigger(writer, available_now: bool):
+    return (writer.trigger(availableNow=True) if available_now
+            else writer.trigger(processingTime=f"{TRIGGER_SECONDS} seconds"))
+
+
+def start_rejects(notices: DataFrame, platforms: DataFrame, out_dir: str, checkpoint: str, available_now: bool = False):
+    """A second query over the same source: rejected notices as a table."""
+    return _trigger(rejects(notices, platforms).writeStream.format("parquet").option("path", f"{out_dir}/rejects")
+                    .option("checkpointLocation", checkpoint), available_now).start()
+
+
 def start(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms: DataFrame,
           seed_markers: DataFrame, out_dir: str, checkpoint: str, available_now: bool = False,
           task_kafka: dict | None = None):
-    new = new_items_stream(items_stream(notices, store, platforms, seed_markers))
+    new = new_items_stream(pages_stream(notices, store, platforms, seed_markers))
     w = (new.writeStream.foreachBatch(write_batch(out_dir, task_kafka)).option("checkpointLocation", checkpoint)
          .outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
-    return w.start()
+    return _trigger(w, available_now).start()
 
 
 # ---------------------------------------------------------------------------
 # Two-stage layout for very large page stores.
 #
 # Stage A (stateless, foreachBatch): notices -> parse / route -> lookup that
-# reads only the store partitions of the batch's keys -> page items, written
-# to an items table (one folder per batch id, overwritten on replay).
-# Stage B: the items table as a stream -> keyed marker state -> sink.
+# reads only the store partitions of the batch's keys -> page snapshots, written
+# to a table (one folder per batch id, overwritten on replay).
+# Stage B: that table as a stream -> keyed marker state -> sink.
 # A micro-batch is bounded by the source option (maxFilesPerTrigger /
-# maxOffsetsPerTrigger), which bounds the keys and therefore the partitions
-# read; the requests are broadcast under that bound.
+# maxOffsetsPerTrigger), which bounds the keys and therefore the partitions read.
 # ---------------------------------------------------------------------------
-from ..sources import page_store as ps  # noqa: E402
-
-ITEM_TABLE_COLS = ["msg_seq", "platform_id", "marker_kind", "needs_login", "page_url", "pos", "title", "url",
-                   "key", "seed_key"]
-
-
-def lookup_stage_sink(store_path: str, platforms: DataFrame, seed_markers: DataFrame, items_dir: str,
-                      buckets: int, max_requests: int = 1_000_000):
+def lookup_stage_sink(store_path: str, platforms: DataFrame, seed_markers: DataFrame, pages_dir: str, buckets: int):
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         good, _ = messages.parse(batch)
         routed, _ = messages.route(good, platforms)
-        req = routed.withColumn("key_bucket", ps.key_bucket("pos_name", buckets))
-        store = ps.read_for_keys(spark, store_path, req, "key_name", "pos_name", buckets)
-        n = req.limit(max_requests + 1).count()
-        small = F.broadcast(req) if n <= max_requests else req
+        req = routed.withColumn("key_bucket", ps.key_bucket("pos_name", buckets)).persist()
+        store = ps.read_for_keys(spark, store_path, req, "pos_name", buckets)
         s = store.select(F.col("table_name").alias("_t"), F.col("key_bucket").alias("_b"),
                          F.col("row_key").alias("_k"), F.col("url").alias("page_url"),
                          F.col("html").alias("page_html"))
-        hits = (s.join(small, (F.col("_t") == F.col("key_name")) & (F.col("_b") == F.col("key_bucket"))
+        hits = (s.join(req, (F.col("_t") == F.col("key_name")) & (F.col("_b") == F.col("key_bucket"))
                        & (F.col("_k") == F.col("pos_name")))
                 .where(~lookup.is_miss(lookup.MISS_NULL_OR_EMPTY)))
-        items = hits.select("msg_seq", "platform_id", "marker_kind", "needs_login", "page_url",
-                            F.posexplode(extract.list_items("page_html")).alias("pos", "it"))
-        items = items.select(
-            "msg_seq", "platform_id", "marker_kind", F.col("needs_login").cast("int").alias("needs_login"),
-            "page_url", F.col("pos").cast("int").alias("pos"), F.col("it.text").alias("title"),
-            extract.absolute("page_url", F.col("it.href")).alias("url"))
-        items = items.withColumn("key", item_key(F.col("marker_kind"), F.col("url"), F.col("title")))
-        seeds = seed_markers.select("page_url", F.col("last_key").alias("seed_key"))
-        out = items.join(seeds, "page_url", "left").select(*ITEM_TABLE_COLS)
-        out.write.mode("overwrite").parquet(f"{items_dir}/batch={batch_id}")
+        snapshots(hits, seed_markers).write.mode("overwrite").parquet(f"{pages_dir}/batch={batch_id}")
+        req.unpersist()
     return sink
 
 
-ITEM_TABLE_SCHEMA = ("msg_seq BIGINT, platform_id INT, marker_kind STRING, needs_login INT, page_url STRING, "
-                     "pos INT, title STRING, url STRING, key STRING, seed_key STRING")
-
-
 def start_two_stage(spark: SparkSession, notices: DataFrame, store_path: str, platforms: DataFrame,
                     seed_markers: DataFrame, work_dir: str, out_dir: str, buckets: int = ps.DEFAULT_BUCKETS,
-                    available_now: bool = False):
+                    available_now: bool = False, task_kafka: dict | None = None):
     """Runs stage A then stage B; returns both queries (B last)."""
-    items_dir = f"{work_dir}/items"
-    a = (notices.writeStream.foreachBatch(lookup_stage_sink(store_path, platforms, seed_markers, items_dir,
-                                                            buckets))
+    pages_dir = f"{work_dir}/pages"
+    a = (notices.writeStream.foreachBatch(lookup_stage_sink(store_path, platforms, seed_markers, pages_dir, buckets))
          .option("checkpointLocation", f"{work_dir}/ckpt_a"))
-    a = a.trigger(availableNow=True) if available_now else a.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
-    qa = a.start()
+    qa = _trigger(a, available_now).start()
     if available_now:
         qa.awaitTermination()
-    items = spark.readStream.schema(ITEM_TABLE_SCHEMA).parquet(items_dir)
-    new = new_items_stream(items.drop("batch") if "batch" in items.columns else items)
-    b = (new.writeStream.foreachBatch(write_batch(out_dir)).option("checkpointLocation", f"{work_dir}/ckpt_b"))
-    b = b.trigger(availableNow=True) if available_now else b.trigger(processingTime=f"{TRIGGER_SECONDS} seconds")
-    return qa, b.start()
+    pages = spark.readStream.schema(mk.SNAPSHOT).parquet(pages_dir)
+    new = new_items_stream(pages.drop("batch"))
+    b = new.writeStream.foreachBatch(write_batch(out_dir, task_kafka)).option("checkpointLocation", f"{work_dir}/ckpt_b")
+    return qa, _trigger(b, available_now).start()

@@ -1,14 +1,15 @@
-"""Keyed marker state (INC1-INC4 in streaming form).
+"""Keyed marker state (INC1-INC5 in streaming form).
 
 One group = one page url. Within a micro-batch a page may arrive several
-times; its snapshots are applied in arrival order (``msg_seq``), each
-compared with the marker left by the previous one. The state holds one
-string per page (the newest item's key), exactly what the reference kept in
-its marker hash. When a page has no state yet, the marker stored before the
-stream started (``seed_key``, from a stream-static join) is used.
-
-The per-group pandas code touches one page's items only (bounded by page
-size x snapshots in the batch); everything else stays in Spark.
+times; its snapshots are taken in arrival order (``msg_seq``, a long that grows
+with arrival: see ``sources.tables.message_stream``), and each is paired with
+the marker left by the one before. The state holds one string per page, exactly
+what the reference kept in its marker hash. When a page has no state yet, the
+marker stored before the stream started (``seed_key``) is used.
+
+The Python step sees one row per snapshot; the item array rides along as one
+JSON string that it never opens. Which items are new is decided afterwards by
+the same expressions as in the batch form (``platform_items.unseen``).
 """
 from __future__ import annotations
 
@@ -17,50 +18,35 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import types as T
 
-ITEM_SCHEMA = T.StructType([
+SNAPSHOT = T.StructType([
     T.StructField("msg_seq", T.LongType()),
     T.StructField("platform_id", T.IntegerType()),
     T.StructField("marker_kind", T.StringType()),
     T.StructField("needs_login", T.IntegerType()),
     T.StructField("page_url", T.StringType()),
-    T.StructField("pos", T.IntegerType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("key", T.StringType()),
+    T.StructField("newest", T.StringType()),
+    T.StructField("payload", T.StringType()),
+    T.StructField("seed_key", T.StringType()),
 ])
+OUT_SCHEMA = T.StructType([*SNAPSHOT.fields[:5], SNAPSHOT["payload"], T.StructField("last_key", T.StringType())])
 STATE_SCHEMA = T.StructType([T.StructField("last_key", T.StringType())])
-OUT_COLS = [f.name for f in ITEM_SCHEMA.fields]
 
 
-def _new_items(snap: pd.DataFrame, last: str | None) -> pd.DataFrame:
-    """Items of one snapshot that are newer than ``last``."""
-    snap = snap.sort_values("pos")
-    keys = snap["key"].tolist()
-    if snap.empty:
-        return snap
-    if snap["marker_kind"].iloc[0] == "head":
-        if keys[0] == last:
-            return snap.iloc[0:0]
-        valid = snap["url"].fillna("").str.startswith("http").tolist()
-        cut = next((i for i, v in enumerate(valid) if not v), len(valid))
-        return snap.iloc[:cut]
-    cut = next((i for i, k in enumerate(keys) if last is not None and k == last), len(keys))
-    return snap.iloc[:cut]
+def next_marker(kind: str, last: str | None, new: str | None) -> str | None:
+    """``platform_items.next_marker`` for one value."""
+    if new is None or last is None:
+        return last if new is None else new
+    return str(max(int(last), int(new))) if kind == "ts" else new
 
 
 def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    if state.exists:
-        last = state.get[0]
-    else:
-        seeds = pdf["seed_key"].dropna()
-        last = seeds.iloc[0] if len(seeds) else None
-    out = []
-    for _, snap in pdf.sort_values(["msg_seq", "pos"]).groupby("msg_seq", sort=True):
-        out.append(_new_items(snap, last))
-        if len(snap):
-            last = snap.sort_values("pos")["key"].iloc[0]
+    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("msg_seq", kind="stable")
+    seeds = pdf["seed_key"].dropna()
+    last = state.get[0] if state.exists else (seeds.iloc[0] if len(seeds) else None)
+    before = []
+    for kind, new in zip(pdf["marker_kind"], pdf["newest"]):
+        before.append(last)
+        last = next_marker(kind, last, None if pd.isna(new) else new)
     if last is not None:
         state.update((last,))
-    res = pd.concat(out, ignore_index=True) if out else pdf.iloc[0:0]
-    yield res[OUT_COLS]
+    yield pdf.assign(last_key=before)[[f.name for f in OUT_SCHEMA.fields]]
