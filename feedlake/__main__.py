@@ -2,13 +2,18 @@
 
     python -m feedlake list
     python -m feedlake run <query-or-job> --input DIR --output DIR [--master local[8]]
-    python -m feedlake stream --notices DIR --input DIR --output DIR [--once]
+    python -m feedlake stream --notices DIR --pages DIR --markers DIR --output DIR
+                              --checkpoint DIR [--buckets N] [--once]
 
 ``run`` executes any registered query / job (or one of the job aliases
 below) over the tables in ``--input`` and writes its result as Parquet to
 ``--output``. ``stream`` starts the
 flagship feed-increment stream over a folder of notice files (JSON lines
-``{"msg_seq":..,"value":..}``); on a cluster the source is Kafka.
+``{"msg_seq":..,"value":..}``); on a cluster the source is Kafka. ``--pages`` is
+the page table (``table_name, row_key, url, html``), ``--markers`` the markers an
+earlier crawl left (``page_url, last_key``; may be missing). With ``--buckets``
+the page table is in the layout of ``sources.page_store`` and each micro-batch
+reads only the partitions of its keys.
 """
 from __future__ import annotations
 
@@ -57,9 +62,12 @@ def main(argv=None) -> int:
     s.add_argument("--task-topic", default="newsparser_news", help="Kafka topic for article tasks")
     s.add_argument("--max-per-trigger", type=int, default=None,
                    help="bound each micro-batch (maxOffsetsPerTrigger / maxFilesPerTrigger)")
-    s.add_argument("--input", required=True)
+    s.add_argument("--own-topic", default="newsparser_snowball", help="Kafka topic for the tasks of platform 40001")
+    s.add_argument("--pages", required=True)
+    s.add_argument("--markers", default=None)
     s.add_argument("--output", required=True)
-    s.add_argument("--checkpoint", default=None)
+    s.add_argument("--checkpoint", required=True, help="folder that a restart finds again")
+    s.add_argument("--buckets", type=int, default=None)
     s.add_argument("--once", action="store_true")
     s.add_argument("--master", default=None)
     a = ap.parse_args(argv)
@@ -74,7 +82,7 @@ def main(argv=None) -> int:
         return 0
     from pyspark.sql import SparkSession
 
-    from feedlake.session import ensure_checkpoint_dir, scratch_path
+    from feedlake.session import ensure_checkpoint_dir
     b = SparkSession.builder.appName(f"feedlake-{a.cmd}").config("spark.ui.enabled", "false")
     if a.master:
         b = b.master(a.master)
@@ -84,8 +92,8 @@ def main(argv=None) -> int:
         QUERIES[JOBS.get(a.name, a.name)](spark, a.input).write.mode("overwrite").parquet(a.output)
         return 0
     from feedlake import schemas
+    from feedlake.operators import sinks
     from feedlake.plans import flagship
-    from feedlake.sources import standins
     from feedlake.streaming import feed
     task_kafka = None
     if a.bootstrap:
@@ -93,18 +101,25 @@ def main(argv=None) -> int:
         opts = {"kafka.bootstrap.servers": a.bootstrap, "subscribe": a.topic}
         if a.max_per_trigger:
             opts["maxOffsetsPerTrigger"] = str(a.max_per_trigger)
-        notices = message_stream(spark, "kafka", **opts)          # value, msg_seq = offset
-        task_kafka = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.task_topic}
+        notices = message_stream(spark, "kafka", **opts)          # value, msg_seq
+        task_kafka = {"kafka.bootstrap.servers": a.bootstrap, "topic": a.task_topic, "own_topic": a.own_topic}
     else:
         r = spark.readStream.schema("msg_seq BIGINT, value STRING")
         if a.max_per_trigger:
             r = r.option("maxFilesPerTrigger", a.max_per_trigger)
         notices = r.json(a.notices)
-    q = feed.start(spark, notices, standins.page_store(spark, a.input), schemas.platforms(spark),
-                   flagship.page_markers(spark, a.input), a.output,
-                   a.checkpoint or scratch_path(spark, "stream"), available_now=a.once,
-                   task_kafka=task_kafka)
+    platforms = schemas.platforms(spark)
+    markers = (sinks.read_if_exists(spark, a.markers, flagship.MARKER_SCHEMA) if a.markers
+               else spark.createDataFrame([], flagship.MARKER_SCHEMA))
+    bad = feed.start_rejects(notices, platforms, a.output, f"{a.checkpoint}/rejects", a.once)
+    if a.buckets:
+        _, q = feed.start_two_stage(spark, notices, a.pages, platforms, markers, a.checkpoint, a.output, a.buckets,
+                                    a.once, task_kafka)
+    else:
+        q = feed.start(spark, notices, spark.read.parquet(a.pages), platforms, markers, a.output,
+                       f"{a.checkpoint}/main", a.once, task_kafka)
     q.awaitTermination()
+    bad.awaitTermination()
     return 0
 
 

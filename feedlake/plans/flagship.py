@@ -20,6 +20,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import standins
 
 MARKER_SCHEMA = "page_url string, last_key string"
+BEFORE_FIRST_RUN = -1
 
 
 def with_items(hits: DataFrame, keep: list[str]) -> DataFrame:
@@ -109,12 +110,9 @@ def next_markers(pages: DataFrame, markers: DataFrame) -> DataFrame:
         ~F.col("last_key").eqNullSafe(F.col("old"))).drop("old")
 
 
-def read_markers(spark: SparkSession, markers_path: str, run_id: int, initial: DataFrame | None = None) -> DataFrame:
-    """Newest marker of each page written before ``run_id``; ``initial`` holds
-    markers from before the first run."""
+def read_markers(spark: SparkSession, markers_path: str, run_id: int) -> DataFrame:
+    """Newest marker of each page written before ``run_id``."""
     m = sinks.read_if_exists(spark, markers_path, MARKER_SCHEMA + ", run int").where(F.col("run") < run_id)
-    if initial is not None:
-        m = m.unionByName(initial.select("page_url", "last_key", F.lit(-1).alias("run")))
     return m.groupBy("page_url").agg(F.max_by("last_key", "run").alias("last_key"))
 
 
@@ -123,7 +121,10 @@ def run_increment(spark: SparkSession, notices: DataFrame, store: DataFrame, pla
     ensure_checkpoint_dir(spark)
     pages, rejects, _ = notices_to_pages(notices, store, platforms)
     pages = pages.checkpoint(eager=True)    # read twice below; html already dropped
-    markers = read_markers(spark, f"{root}/markers", run_id, initial_markers)
+    if initial_markers is not None:   # from before the first run (ids count from 0)
+        (initial_markers.select("page_url", "last_key").write.mode("overwrite")
+         .parquet(f"{root}/markers/run={BEFORE_FIRST_RUN}"))
+    markers = read_markers(spark, f"{root}/markers", run_id)
     rows = article_rows(new_items(pages, markers))
     seen = (sinks.read_if_exists(spark, f"{root}/articles", "platform_id int, url string, run int")
             .where(F.col("run") < run_id))

@@ -40,14 +40,16 @@ MESSAGE_FILE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 def message_stream(spark: SparkSession, fmt: str = "kafka", **options) -> DataFrame:
     """SRC1: the inbound notice stream as a ``value STRING`` streaming
-    DataFrame (Kafka adds ``msg_seq`` = record offset). With ``fmt='kafka'`` the options are the usual
+    DataFrame (Kafka adds ``msg_seq``, which grows with record time). With ``fmt='kafka'`` the options are the usual
     ``kafka.bootstrap.servers`` / ``subscribe``; any file format (json, text,
     parquet) with a ``path`` option gives the same shape for tests."""
     r = spark.readStream.format(fmt)
     if fmt == "kafka":
-        # the record offset is the arrival order of notices (per topic partition)
-        return r.options(**options).load().selectExpr("CAST(value AS STRING) AS value",
-                                                      "offset AS msg_seq")
+        # offsets order one topic partition only: notices are ordered by record
+        # time, then by partition and offset
+        return r.options(**options).load().selectExpr(
+            "CAST(value AS STRING) AS value",
+            "unix_millis(timestamp) * 1000000 + pmod(partition, 1000) * 1000 + pmod(offset, 1000) AS msg_seq")
     path = options.pop("path")
     if fmt != "text":
         r = r.schema(options.pop("schema", MESSAGE_FILE_SCHEMA))
