@@ -2,12 +2,13 @@
 
     python -m feedlake list
     python -m feedlake run <query-or-job> --input DIR --output DIR [--master local[8]]
+    python -m feedlake job <job> --table articles=DIR --table pages=DIR --output DIR
     python -m feedlake stream --notices DIR --pages DIR --markers DIR --output DIR
                               --checkpoint DIR [--buckets N] [--once]
 
 ``run`` executes any registered query / job (or one of the job aliases
 below) over the tables in ``--input`` and writes its result as Parquet to
-``--output``. ``stream`` starts the
+``--output``. ``job`` runs a job of ``plans.jobs`` on the tables it is given. ``stream`` starts the
 flagship feed-increment stream over a folder of notice files (JSON lines
 ``{"msg_seq":..,"value":..}``); on a cluster the source is Kafka. ``--pages`` is
 the page table (``table_name, row_key, url, html``), ``--markers`` the markers an
@@ -55,6 +56,11 @@ def main(argv=None) -> int:
     r.add_argument("--input", required=True)
     r.add_argument("--output", required=True)
     r.add_argument("--master", default=None)
+    j = sub.add_parser("job")
+    j.add_argument("name")
+    j.add_argument("--table", action="append", default=[], help="NAME=PARQUET_DIR, see plans.jobs.Inputs")
+    j.add_argument("--output", required=True)
+    j.add_argument("--master", default=None)
     s = sub.add_parser("stream")
     s.add_argument("--notices", help="folder of notice files (JSON lines msg_seq, value)")
     s.add_argument("--bootstrap", help="Kafka bootstrap servers (notices and tasks)")
@@ -91,6 +97,12 @@ def main(argv=None) -> int:
     if a.cmd == "run":
         QUERIES[JOBS.get(a.name, a.name)](spark, a.input).write.mode("overwrite").parquet(a.output)
         return 0
+    if a.cmd == "job":
+        from feedlake.plans import jobs
+        given = dict(x.split("=", 1) for x in a.table)
+        inputs = jobs.Inputs(spark, **{k: spark.read.parquet(v) for k, v in given.items()})
+        jobs.JOBS[a.name](inputs).write.mode("overwrite").parquet(a.output)
+        return 0
     from feedlake import schemas
     from feedlake.operators import sinks
     from feedlake.plans import flagship

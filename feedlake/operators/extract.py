@@ -19,6 +19,7 @@ def _c(x) -> Column:
 # Patterns for the list pages (navigation lists: <li><a href="..">text</a>).
 LI_HREF = r'<li><a href="([^"]*)">'
 LI_TEXT = r'<li><a href="[^"]*">([^<]*)</a>'
+LI_ITEM = r'<li><a href="([^"]*)">([^<]*)</a>'   # a row is matched once, whole
 TITLE = r"<title>([^<]*)</title>"
 H1 = r"<h1>([^<]*)</h1>"
 PARA = r"<p>(.*?)</p>"
@@ -28,9 +29,8 @@ ORIGIN = r"^(https?://[^/?#]+)"
 
 def list_items(html) -> Column:
     """FEED1 item array: ``array<struct<href, text>>`` in page order."""
-    h = _c(html)
-    return F.arrays_zip(F.regexp_extract_all(h, F.lit(LI_HREF), 1).alias("href"),
-                        F.regexp_extract_all(h, F.lit(LI_TEXT), 1).alias("text"))
+    return F.transform(F.regexp_extract_all(_c(html), F.lit(LI_ITEM), 0), lambda x: F.struct(
+        F.regexp_extract(x, LI_ITEM, 1).alias("href"), F.regexp_extract(x, LI_ITEM, 2).alias("text")))
 
 
 def origin(url) -> Column:

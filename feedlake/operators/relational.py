@@ -73,13 +73,10 @@ def topk_then_filter(df: DataFrame, order: list[Column], k: int, cond: Column) -
     return topk(df, order, k).where(cond)
 
 
-def nonempty_union(frames: list[DataFrame], col: str) -> DataFrame:
-    """REL8: ``col != ''`` on each table (NULL excluded too), appended."""
-    out = None
-    for f in frames:
-        f = f.where(F.col(col) != "")
-        out = f if out is None else out.unionByName(f)
-    return out
+def nonempty_of(df: DataFrame, part_col: str, parts: list, col: str) -> DataFrame:
+    """REL8: ``col != ''`` (NULL excluded too) on several tables, appended: as
+    they are parts of one table, that is one scan with ``part IN (...)``."""
+    return df.where(F.col(part_col).isin(*parts) & (F.col(col) != ""))
 
 
 def without_rows_in(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:

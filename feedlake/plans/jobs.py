@@ -2,17 +2,41 @@
 rows to the driver; every per-row loop of the reference is a join."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import schemas
 from ..operators import extract, lookup, messages, relational as rel, sinks, text as tx
-from ..sources import standins
+from ..operators.joins import splittable_join
 
 K = schemas.TOPK_ARTICLES
 
 
+@dataclass
+class Inputs:
+    """The tables the jobs work on; a job reads only those it names.
+
+    articles   platform_id, user_id, title, url, ts, summary
+    pages      table_name, row_key, url, html (one version per key)
+    users      user_id, name, followers_count, vip, ..: one row per user
+    user_rows  the same without a key: several rows per user
+    profiles   user_id, page_url, page_html: the stored page of a user
+    authors    user_id of users that have articles
+    responses  user_id, body: landed follower-count answers
+    """
+    spark: SparkSession
+    articles: DataFrame | None = None
+    pages: DataFrame | None = None
+    users: DataFrame | None = None
+    user_rows: DataFrame | None = None
+    profiles: DataFrame | None = None
+    authors: DataFrame | None = None
+    responses: DataFrame | None = None
+
+
 def _order():
     return [F.col("ts").desc(), F.col("url")]
 
@@ -27,48 +51,48 @@ def article_text(html) -> F.Column:
     return extract.text_of(F.regexp_extract(html, "<article>(.*?)</article>", 1))
 
 
-def _by_url(spark, d, df):
-    return lookup.lookup_by_url(df, standins.page_store(spark, d), "url", ("html",))
+def _by_url(t, df):
+    return lookup.lookup_by_url(df, t.pages, "url", ("html",))
 
 
-def backfill_200(spark: SparkSession, d: str) -> DataFrame:
+def backfill_200(t: Inputs) -> DataFrame:
     """JOB1 (40005): newest 3000, summary NULL -> page; miss or empty body ->
     recrawl task; hit -> body cut 200 -> keyed update rows."""
-    a = standins.articles(spark, d).where(F.col("platform_id") == 40005)
+    a = t.articles.where(F.col("platform_id") == 40005)
     todo = rel.topk_then_filter(a, _order(), K, F.col("summary").isNull()).select("platform_id", "url")
-    lk = _by_url(spark, d, todo)
+    lk = _by_url(t, todo)
     miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None)
     return lk.select("url",
                      F.when(~miss, fn.cut(body_text("page_html"), schemas.SUMMARY_CUT_40005)).alias("summary"),
                      F.when(miss, messages.crawl_task("platform_id", "url", schemas.RESULT_RECRAWL)).alias("task"))
 
 
-def backfill_300(spark: SparkSession, d: str) -> DataFrame:
+def backfill_300(t: Inputs) -> DataFrame:
     """JOB2 (40001): newest 3000, summary NULL -> page -> article text ->
     digest; digest and summary (cut 300) set together; misses ignored."""
-    a = standins.articles(spark, d).where(F.col("platform_id") == 40001)
+    a = t.articles.where(F.col("platform_id") == 40001)
     todo = rel.topk_then_filter(a, _order(), K, F.col("summary").isNull()).select("url")
-    lk = _by_url(spark, d, todo)
+    lk = _by_url(t, todo)
     hits = lk.where(~lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None))
     docs = hits.select(F.col("url").alias("doc_id"), article_text("page_html").alias("text"))
     dg = docs.select(F.col("doc_id").alias("url"), tx.digest("text").alias("digest"))
     return dg.select("url", "digest", fn.intercept("digest", schemas.SUMMARY_CUT).alias("summary"))
 
 
-def history_missing(spark: SparkSession, d: str) -> DataFrame:
+def history_missing(t: Inputs) -> DataFrame:
     """JOB3: urls without summary and their stored content (listed only)."""
-    a = standins.articles(spark, d).where(F.col("summary").isNull()).select("url")
-    return _by_url(spark, d, a).select("url", F.length("page_html").alias("content_len"),
+    a = t.articles.where(F.col("summary").isNull()).select("url")
+    return _by_url(t, a).select("url", F.length("page_html").alias("content_len"),
                                        F.md5("page_html").alias("content_md5"))
 
 
-def recrawl(spark: SparkSession, d: str) -> DataFrame:
+def recrawl(t: Inputs) -> DataFrame:
     """JOB4: newest 3000 articles -> crawl task 0 each."""
-    top = rel.topk(standins.articles(spark, d), _order(), K)
+    top = rel.topk(t.articles, _order(), K)
     return top.select("url", messages.crawl_task("platform_id", "url", schemas.RESULT_CRAWL).alias("task"))
 
 
-def materialise(spark: SparkSession, d: str) -> DataFrame:
+def materialise(t: Inputs) -> DataFrame:
     """JOB5: the four platforms' urls with a non-empty summary -> stored
     page -> content table (url -> content, last write wins).
 
@@ -77,28 +101,28 @@ def materialise(spark: SparkSession, d: str) -> DataFrame:
     derived platform column four views would scan four times). Last write
     wins is resolved on the keys (url, ts) before the lookup, so the html
     joins once and is never aggregated."""
-    a = standins.articles(spark, d)
+    a = t.articles
     urls = a.where(F.col("platform_id").isin(40001, 40002, 40003, 40004) & (F.col("summary") != ""))
     latest = urls.groupBy("url").agg(F.max("ts").alias("ts"))
-    lk = lookup.lookup_by_url(latest, standins.page_store(spark, d), "url", ("html",))
+    lk = lookup.lookup_by_url(latest, t.pages, "url", ("html",))
     hits = lk.where(F.col("page_html").isNotNull())
     return hits.select("url", F.length("page_html").alias("content_len"), F.md5("page_html").alias("content_md5"),
                        extract.title("page_html").alias("title"))
 
 
-def _profile_hits(spark, d, users: DataFrame):
-    lk = standins.profile_lookup(spark, d, users)
+def _profile_hits(t, users: DataFrame):
+    lk = splittable_join(users, t.profiles, ["user_id"], "left")
     miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY)
     return lk, miss
 
 
-def vip_home(spark: SparkSession, d: str) -> DataFrame:
+def vip_home(t: Inputs) -> DataFrame:
     """JOB6: VIP candidates -> home page -> profile (name, intro, vip badge)
     or crawl task."""
     cand = rel.one_row_per_key(
-        standins.user_rows(spark, d).where((F.col("followers_count") > schemas.FOLLOWER_GATE_VIP) | F.col("vip")),
+        t.user_rows.where((F.col("followers_count") > schemas.FOLLOWER_GATE_VIP) | F.col("vip")),
         "user_id", [F.col("followers_count"), F.col("vip"), -F.col("row_id")]).select("user_id")
-    lk, miss = _profile_hits(spark, d, cand)
+    lk, miss = _profile_hits(t, cand)
     home = messages.build_url(schemas.URLS[40002]["home_page"], "user_id")
     return lk.select("user_id",
                      F.when(~miss, extract.title("page_html")).alias("name"),
@@ -106,12 +130,12 @@ def vip_home(spark: SparkSession, d: str) -> DataFrame:
                      F.when(miss, messages.crawl_task(F.lit(40002), home, schemas.RESULT_CRAWL)).alias("task"))
 
 
-def blog_pages(spark: SparkSession, d: str, month: str = "2016-05") -> DataFrame:
+def blog_pages(t: Inputs, month: str = "2016-05") -> DataFrame:
     """JOB7: VIP users -> list page -> page count label (items on the page)
     -> list pages 2..N -> each looked up: month links counted, or a crawl
     task (month is a parameter, Q13)."""
-    v = standins.users(spark, d).where("vip").select("user_id")
-    lk, miss = _profile_hits(spark, d, v)
+    v = t.users.where("vip").select("user_id")
+    lk, miss = _profile_hits(t, v)
     n = lk.where(~miss).select("user_id", F.size(extract.list_items("page_html")).alias("n_pages"))
     r = messages.page_range(n, F.lit(2), F.col("n_pages"))
     pages = r.select("user_id", F.col("page_no").cast("int").alias("page_no"),
@@ -119,7 +143,7 @@ def blog_pages(spark: SparkSession, d: str, month: str = "2016-05") -> DataFrame
                               F.lit("/"), F.col("page_no").cast("string")).alias("url"))
     # each list page is looked up: a stored page yields its links of the month
     # (FEED11), a missing one a crawl task
-    lk = lookup.lookup_by_url(pages, standins.page_store(spark, d), "url", ("html",))
+    lk = lookup.lookup_by_url(pages, t.pages, "url", ("html",))
     miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None)
     links = F.filter(extract.list_items("page_html"), lambda x: x["text"].contains(month))
     return lk.select("user_id", "page_no", "url",
@@ -127,13 +151,13 @@ def blog_pages(spark: SparkSession, d: str, month: str = "2016-05") -> DataFrame
                      F.when(miss, messages.crawl_task(F.lit(40002), "url", schemas.RESULT_CRAWL)).alias("task"))
 
 
-def vip_fill(spark: SparkSession, d: str) -> DataFrame:
+def vip_fill(t: Inputs) -> DataFrame:
     """JOB8: NOT IN candidates -> info page -> profile or task."""
-    t = standins.user_rows(spark, d).where(
+    rows = t.user_rows.where(
         (F.col("recommend") > 6) | (F.col("marrow") > 0) | (F.col("vip_level") > 0))
-    v = standins.users(spark, d).where("vip").select("user_id")
-    cand = rel.not_in(spark, t, v, "user_id").select("user_id").distinct()
-    lk, miss = _profile_hits(spark, d, cand)
+    v = t.users.where("vip").select("user_id")
+    cand = rel.not_in(t.spark, rows, v, "user_id").select("user_id").distinct()
+    lk, miss = _profile_hits(t, cand)
     info = messages.build_url(schemas.URLS[40004]["user_info"], "user_id")
     return lk.select("user_id",
                      F.when(~miss, extract.title("page_html")).alias("name"),
@@ -149,11 +173,11 @@ def _rows_minus_ends(lk: DataFrame, miss) -> DataFrame:
         extract.text_of("row").alias("title"))
 
 
-def article_fill(spark: SparkSession, d: str) -> DataFrame:
+def article_fill(t: Inputs) -> DataFrame:
     """JOB9: distinct VIP users -> blog page -> rows minus header and footer
     (FEED8) or recrawl task."""
-    v = standins.user_rows(spark, d).where("vip").select("user_id").distinct()
-    lk, miss = _profile_hits(spark, d, v)
+    v = t.user_rows.where("vip").select("user_id").distinct()
+    lk, miss = _profile_hits(t, v)
     items = _rows_minus_ends(lk, miss)
     blog = messages.build_url(schemas.URLS[40004]["blog"], "user_id")
     tasks = lk.where(miss).select("user_id", messages.crawl_task(F.lit(40004), blog, schemas.RESULT_RECRAWL)
@@ -163,13 +187,11 @@ def article_fill(spark: SparkSession, d: str) -> DataFrame:
                      "task"))
 
 
-def missing_articles(spark: SparkSession, d: str) -> DataFrame:
+def missing_articles(t: Inputs) -> DataFrame:
     """JOB10: users without articles -> home page -> statuses (list items)
     or recrawl task."""
-    u = rel.without_rows_in(standins.users(spark, d).select("user_id"),
-                            spark.read.parquet(f"{d}/orders.parquet").where(F.col("o_orderpriority") == "1-URGENT"),
-                            "user_id", "o_custkey")
-    lk, miss = _profile_hits(spark, d, u)
+    u = rel.without_rows_in(t.users.select("user_id"), t.authors, "user_id")
+    lk, miss = _profile_hits(t, u)
     ex = lk.where(~miss).select("user_id", "page_url",
                                 F.posexplode(extract.list_items("page_html")).alias("pos", "it"))
     items = ex.select("user_id", F.col("pos").cast("int").alias("pos"), F.col("it.text").alias("title"),
@@ -181,16 +203,16 @@ def missing_articles(spark: SparkSession, d: str) -> DataFrame:
     return items.unionByName(tasks)
 
 
-def follower_refresh(spark: SparkSession, d: str, responses: DataFrame | None = None) -> DataFrame:
+def follower_refresh(t: Inputs) -> DataFrame:
     """JOB13: landed fans-count responses -> keyed update of followers. The
     response source is a parameter (Q9). Unparsable responses leave the row
     unchanged."""
-    u = standins.users(spark, d).select("user_id", "followers_count")
-    if responses is None:
-        s = spark.read.parquet(f"{d}/supplier.parquet")
-        responses = s.select(F.col("s_suppkey").alias("user_id"),
-                             F.concat(F.lit('{"count":'), F.col("s_acctbal").cast("bigint").cast("string"),
-                                      F.lit("}")).alias("body"))
-    upd = responses.select("user_id", F.get_json_object("body", "$.count").try_cast("bigint").alias("followers_count"))
+    u = t.users.select("user_id", "followers_count")
+    upd = t.responses.select("user_id", F.get_json_object("body", "$.count").try_cast("bigint").alias("followers_count"))
     upd = upd.where(F.col("followers_count").isNotNull())
     return sinks.keyed_update(u, upd, ["user_id"], ["followers_count"])
+
+
+#: Jobs by name, for the command line.
+JOBS = {f.__name__: f for f in (backfill_200, backfill_300, history_missing, recrawl, materialise, vip_home, blog_pages,
+                                vip_fill, article_fill, missing_articles, follower_refresh)}

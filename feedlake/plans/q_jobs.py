@@ -1,8 +1,11 @@
 """Proof queries: batch jobs (JOB1-JOB14)."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import schemas
 from ..sources import standins
+from ..sources.tables import table
 from . import jobs
 from .oracle_common import LI_HREF, LI_TEXT, crawl_task_sql
 from .q_text import DIGEST_SQL
@@ -21,6 +24,17 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _inputs(spark, d) -> jobs.Inputs:
+    """Stand-ins for the jobs' tables."""
+    orders, supplier = table(spark, d, "orders"), table(spark, d, "supplier")
+    return jobs.Inputs(
+        spark, standins.articles(spark, d), standins.page_store(spark, d), standins.users(spark, d),
+        standins.user_rows(spark, d), standins.profile_pages(spark, d),
+        orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("user_id")),
+        supplier.select(F.col("s_suppkey").alias("user_id"), F.concat(
+            F.lit('{"count":'), F.col("s_acctbal").cast("bigint").cast("string"), F.lit("}")).alias("body")))
+
+
 def profile_lk(cand: str) -> str:
     return (f"SELECT c.user_id, s.url AS page_url, s.html AS page_html FROM {cand} c "
             f"LEFT JOIN profile_index i USING (user_id) LEFT JOIN page_store s ON s.page_id = i.page_id")
@@ -35,7 +49,7 @@ SELECT url, CASE WHEN html IS NULL OR html = '' THEN NULL ELSE substring({BODY.f
 FROM lk""")
 def q_job_backfill_200(spark, d):
     """JOB1."""
-    return jobs.backfill_200(spark, d)
+    return jobs.backfill_200(_inputs(spark, d))
 
 
 @query("job_backfill_300", W + f""",
@@ -49,7 +63,7 @@ SELECT d.doc_id AS url, dg.digest,
 FROM documents d LEFT JOIN dg USING (doc_id)""")
 def q_job_backfill_300(spark, d):
     """JOB2."""
-    return jobs.backfill_300(spark, d)
+    return jobs.backfill_300(_inputs(spark, d))
 
 
 @query("job_history_missing", W + """
@@ -57,7 +71,7 @@ SELECT a.url, CAST(length(s.html) AS INTEGER) AS content_len, md5(s.html) AS con
 WHERE a.summary IS NULL""")
 def q_job_history_missing(spark, d):
     """JOB3."""
-    return jobs.history_missing(spark, d)
+    return jobs.history_missing(_inputs(spark, d))
 
 
 @query("job_recrawl", W + f"""
@@ -65,7 +79,7 @@ SELECT url, {crawl_task_sql('platform_id', 'url', '0')} AS task
 FROM (SELECT * FROM articles ORDER BY ts DESC, url LIMIT {K}) t""")
 def q_job_recrawl(spark, d):
     """JOB4."""
-    return jobs.recrawl(spark, d)
+    return jobs.recrawl(_inputs(spark, d))
 
 
 @query("job_materialise", W + f""",
@@ -74,7 +88,7 @@ SELECT u.url, CAST(length(s.html) AS INTEGER) AS content_len, md5(s.html) AS con
 FROM urls u JOIN page_store s ON s.row_key = u.url WHERE s.html IS NOT NULL""")
 def q_job_materialise(spark, d):
     """JOB5."""
-    return jobs.materialise(spark, d)
+    return jobs.materialise(_inputs(spark, d))
 
 
 @query("job_vip_home", W + f""",
@@ -86,7 +100,7 @@ SELECT user_id, CASE WHEN NOT {MISS} THEN {TITLE.format(h='page_html')} END AS n
 FROM lk""")
 def q_job_vip_home(spark, d):
     """JOB6."""
-    return jobs.vip_home(spark, d)
+    return jobs.vip_home(_inputs(spark, d))
 
 
 @query("job_blog_pages", W + f""",
@@ -104,7 +118,7 @@ SELECT pg.user_id, pg.page_no, pg.url,
 FROM pg LEFT JOIN page_store s ON s.row_key = pg.url""")
 def q_job_blog_pages(spark, d):
     """JOB7."""
-    return jobs.blog_pages(spark, d)
+    return jobs.blog_pages(_inputs(spark, d))
 
 
 @query("job_vip_fill", W + f""",
@@ -117,7 +131,7 @@ SELECT user_id, CASE WHEN NOT {MISS} THEN {TITLE.format(h='page_html')} END AS n
 FROM lk""")
 def q_job_vip_fill(spark, d):
     """JOB8."""
-    return jobs.vip_fill(spark, d)
+    return jobs.vip_fill(_inputs(spark, d))
 
 
 ROWS_SQL = """
@@ -137,7 +151,7 @@ SELECT user_id, NULL, NULL, {crawl_task_sql("40004", _lit(schemas.URLS[40004]['b
 FROM lk WHERE {MISS}""")
 def q_job_article_fill(spark, d):
     """JOB9."""
-    return jobs.article_fill(spark, d)
+    return jobs.article_fill(_inputs(spark, d))
 
 
 @query("job_missing_articles", W + f""",
@@ -152,7 +166,7 @@ SELECT user_id, NULL, NULL, {crawl_task_sql("40001", _lit(schemas.URLS[40001]['h
 FROM lk WHERE {MISS}""")
 def q_job_missing_articles(spark, d):
     """JOB10."""
-    return jobs.missing_articles(spark, d)
+    return jobs.missing_articles(_inputs(spark, d))
 
 
 @query("job_follower_refresh", W + """
@@ -162,4 +176,4 @@ SELECT u.user_id, CASE WHEN s.s_suppkey IS NOT NULL THEN CAST(trunc(s.s_acctbal)
 FROM users u LEFT JOIN supplier s ON s.s_suppkey = u.user_id""")
 def q_job_follower_refresh(spark, d):
     """JOB13."""
-    return jobs.follower_refresh(spark, d)
+    return jobs.follower_refresh(_inputs(spark, d))

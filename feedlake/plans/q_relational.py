@@ -83,6 +83,20 @@ def q_rel_topk_then_filter(spark, d):
     return rel.topk_then_filter(a, [F.col("ts").desc(), F.col("url")], K, F.col("summary").isNull())
 
 
+@query("rel_topk_binding", W_A + "\nSELECT url, ts FROM articles ORDER BY ts DESC, url LIMIT 100")
+def q_rel_topk_binding(spark, d):
+    """REL5 with a limit that cuts at every scale."""
+    return rel.topk(standins.articles(spark, d), [F.col("ts").desc(), F.col("url")], 100).select("url", "ts")
+
+
+@query("rel_topk_then_filter_binding", W_A + """
+SELECT url FROM (SELECT * FROM articles ORDER BY ts DESC, url LIMIT 90) a WHERE a.summary IS NULL""")
+def q_rel_topk_then_filter_binding(spark, d):
+    """REL6 with a limit that cuts: the filter sees the top rows only."""
+    return rel.topk_then_filter(standins.articles(spark, d), [F.col("ts").desc(), F.col("url")], 90,
+                                F.col("summary").isNull()).select("url")
+
+
 @query("rel_is_null", W_A + "\nSELECT url FROM articles WHERE summary IS NULL")
 def q_rel_is_null(spark, d):
     """REL7."""
@@ -95,11 +109,9 @@ UNION ALL SELECT platform_id, url FROM articles WHERE platform_id = 40003 AND su
 UNION ALL SELECT platform_id, url FROM articles WHERE platform_id = 40001 AND summary != ''
 UNION ALL SELECT platform_id, url FROM articles WHERE platform_id = 40004 AND summary != ''""")
 def q_rel_nonempty_union(spark, d):
-    """REL8: four per-platform views, non-empty summary, appended."""
-    a = standins.articles(spark, d)
-    views = [a.where(F.col("platform_id") == p).select("platform_id", "url", "summary")
-             for p in (40002, 40003, 40001, 40004)]
-    return rel.nonempty_union(views, "summary").select("platform_id", "url")
+    """REL8: four platforms' rows with a non-empty summary, in one scan."""
+    return (rel.nonempty_of(standins.articles(spark, d), "platform_id", [40002, 40003, 40001, 40004], "summary")
+            .select("platform_id", "url"))
 
 
 def _urgent(spark, d):

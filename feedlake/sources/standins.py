@@ -422,10 +422,13 @@ SQL["profile_index"] = """
 DEPS["profile_index"] = ["page_store"]
 
 
-def profile_lookup(spark: SparkSession, d: str, requests: DataFrame, key: str = "user_id") -> DataFrame:
+def profile_pages(spark: SparkSession, d: str) -> DataFrame:
+    """(user_id, page_url, page_html): the stored page of each user."""
+    store = page_store(spark, d).select("page_id", F.col("url").alias("page_url"), F.col("html").alias("page_html"))
+    return profile_index(spark, d).join(store, "page_id").select("user_id", "page_url", "page_html")
+
+
+def profile_lookup(spark: SparkSession, d: str, requests: DataFrame) -> DataFrame:
     """Requests + (page_url, page_html) of the user's stored page (NULL on
     miss)."""
-    idx = profile_index(spark, d).withColumnRenamed("user_id", key)
-    store = page_store(spark, d).select("page_id", F.col("url").alias("page_url"),
-                                        F.col("html").alias("page_html"))
-    return splittable_join(requests, idx, [key], "left").join(store, "page_id", "left").drop("page_id")
+    return splittable_join(requests, profile_pages(spark, d), ["user_id"], "left")
