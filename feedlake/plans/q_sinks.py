@@ -18,7 +18,14 @@ ARTICLE_SCHEMA = [("platform_id", "int"), ("user_id", "string"), ("title", "stri
                   ("ts", "bigint"), ("summary", "string"), ("price", "double")]
 PROFILE_SCHEMA = [("platform_id", "int"), ("user_id", "bigint"), ("followers_count", "bigint"),
                   ("vip", "int"), ("name", "string"), ("introduction", "string"), ("home_page", "string"),
-                  ("portrait", "string")]
+                  ("portrait", "string"), ("field", "string"), ("marrow", "int"), ("recommend", "int"),
+                  ("official_vip", "int")]
+#: Columns each platform's profile writer fills beside id, followers and vip.
+PROFILE_COLUMNS = {40001: ("name", "introduction", "home_page", "portrait"),
+                   40002: ("name", "introduction", "home_page"),
+                   40003: ("name", "field", "portrait"),
+                   40004: ("name", "marrow", "recommend", "home_page"),
+                   40005: ("name", "official_vip", "portrait")}
 
 
 @query("snk_article_task", W_A + f"""
@@ -49,14 +56,27 @@ def q_snk_article_append(spark, d):
 
 @query("snk_profile_append", standins.with_ctes("users") + """
 SELECT platform_id, user_id, followers_count, CAST(CASE WHEN vip THEN 1 ELSE 0 END AS INTEGER) AS vip, name,
-       CAST(NULL AS VARCHAR) AS introduction, home_page, CAST(NULL AS VARCHAR) AS portrait
+  CASE WHEN platform_id IN (40001, 40002) THEN 'intro ' || name END AS introduction,
+  CASE WHEN platform_id IN (40001, 40002, 40004) THEN home_page END AS home_page,
+  CASE WHEN platform_id IN (40001, 40003, 40005) THEN 'p/' || CAST(user_id AS VARCHAR) || '.png' END AS portrait,
+  CASE WHEN platform_id = 40003 THEN segment END AS field,
+  CASE WHEN platform_id = 40004 THEN CAST(user_id % 5 AS INTEGER) END AS marrow,
+  CASE WHEN platform_id = 40004 THEN CAST(user_id % 7 AS INTEGER) END AS recommend,
+  CASE WHEN platform_id = 40005 THEN CAST(user_id % 2 AS INTEGER) END AS official_vip
 FROM users WHERE vip OR followers_count > 500""")
 def q_snk_profile_append(spark, d):
-    """SNK4: fixed-shape profile writer (one writer, schema per table)."""
+    """SNK4: one profile writer; each platform fills the columns of its own
+    table, the rest are typed NULLs."""
     u = standins.users(spark, d).where(F.col("vip") | (F.col("followers_count") > 500))
+    uid = F.col("user_id")
+    u = u.withColumns({"vip": F.col("vip").cast("int"), "introduction": F.concat(F.lit("intro "), "name"),
+                       "portrait": F.concat(F.lit("p/"), uid.cast("string"), F.lit(".png")), "field": F.col("segment"),
+                       "marrow": uid % 5, "recommend": uid % 7, "official_vip": uid % 2})
     path = scratch_path(spark, "profiles")
-    sinks.append(sinks.conform(u.withColumn("vip", F.col("vip").cast("int")), PROFILE_SCHEMA), path,
-                 ["platform_id"])
+    base = ["platform_id", "user_id", "followers_count", "vip"]
+    for pid, cols in PROFILE_COLUMNS.items():
+        rows = u.where(F.col("platform_id") == pid).select(*base, *cols)
+        sinks.append(sinks.conform(rows, PROFILE_SCHEMA), path, ["platform_id"])
     back = spark.read.parquet(path)
     return back.select(*[F.col(c).cast(t).alias(c) for c, t in PROFILE_SCHEMA])
 
@@ -91,7 +111,11 @@ def q_snk_keyed_update(spark, d):
         F.col("s_suppkey").alias("user_id"),
         F.when(F.col("s_acctbal") < 0, F.lit(None)).otherwise(F.col("s_acctbal").cast("bigint"))
         .alias("followers_count"))
-    return sinks.keyed_update(u, s, ["user_id"], ["followers_count"])
+    path = scratch_path(spark, "users_table")
+    sinks.put_version(u, path, 0)
+    sinks.update_table(spark, path, 1, s, ["user_id"], ["followers_count"])
+    return sinks.current(spark, path).join(s.select("user_id", F.lit(True).alias("updated")), "user_id", "left") \
+        .na.fill(False, ["updated"])
 
 
 @query("snk_keyed_update2", W_A + """
@@ -106,7 +130,12 @@ def q_snk_keyed_update2(spark, d):
     p = table(spark, d, "pages").select(
         "url", F.regexp_extract("html", "<p>(.*?)</p>", 1).alias("digest"),
         F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("summary"))
-    return sinks.keyed_update(a, p, ["url"], ["digest", "summary"]).select("url", "digest", "summary", "updated")
+    path = scratch_path(spark, "articles_table")
+    sinks.put_version(a, path, 0)
+    for version in (1, 1):   # a replayed write gives the same version
+        sinks.update_table(spark, path, version, p, ["url"], ["digest", "summary"])
+    return sinks.current(spark, path).join(p.select("url", F.lit(True).alias("updated")), "url", "left") \
+        .na.fill(False, ["updated"]).select("url", "digest", "summary", "updated")
 
 
 @query("snk_kv_put", """
@@ -118,7 +147,12 @@ def q_snk_kv_put(spark, d):
     """SNK8: puts of (key, content) versions; the latest wins."""
     e = table(spark, d, "events").select(
         "user_id", F.concat("event_type", F.lit(":"), "props").alias("content"), "ts", "event_id")
-    return sinks.kv_put(e, "user_id", "content", F.struct("ts", "event_id"))
+    e = e.select("user_id", "content", F.struct("ts", "event_id").alias("put_order"))
+    path = scratch_path(spark, "kv")
+    for version in (0, 1, 1):   # two rounds of puts, the second replayed; late puts lose
+        part = e.where(F.pmod(F.xxhash64("put_order"), F.lit(2)) == version)
+        sinks.put_values(spark, path, version, part, "user_id", "content", "put_order")
+    return sinks.current(spark, path).select("user_id", "content")
 
 
 @query("snk_keep_3_versions", """
@@ -129,8 +163,12 @@ def q_snk_keep_3_versions(spark, d):
     """SNK9: retention of the newest 3 versions per key (salted two-stage
     ranking, exact)."""
     e = table(spark, d, "events").select("user_id", "event_id", "ts")
-    return sinks.top_n_per_key(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3,
-                               salt_of=F.col("event_id") % 64).select("user_id", "event_id")
+    path = scratch_path(spark, "kept_versions")
+    sinks.create_or_replace(e.where("event_id % 2 = 0"), path, 1, "user_id", "ts", 0)   # an older state of the table
+    kept = sinks.top_n_per_key(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3,
+                               salt_of=F.col("event_id") % 64)
+    sinks.put_version(kept, path, 1)
+    return sinks.current(spark, path).select("user_id", "event_id")
 
 
 @query("snk_write_then_notify", W_A + f"""
