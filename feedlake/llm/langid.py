@@ -33,8 +33,8 @@ from .crf import LONGEST_WORD, Model, posteriors, train
 DOCS_PER_LANG, SNIPPET, MOST_LANGS = 300, 600, 256
 FOLDS, UNKNOWN = 5, "und"
 _RUN = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
-#: Characters labelled together, and entries of a task's word cache.
-_CHARS, _CACHE = 3 << 19, 300_000
+#: Characters labelled together, new words scored together, entries of a task's word cache.
+_CHARS, _FRESH, _CACHE = 1 << 19, 4096, 100_000
 
 
 def fold(doc_id: Column) -> Column:
@@ -101,7 +101,9 @@ class Labeller:
                 grown = np.zeros((max(need, 2 * len(self.table)), self.table.shape[1]))
                 grown[:used] = self.table[:used]
                 self.table = grown
-            self.table[used:need] = self.model.emissions(letters)
+            for i in range(0, len(letters), _FRESH):
+                part = letters[i:i + _FRESH]
+                self.table[used + i:used + i + len(part)] = self.model.emissions(part)
             self.slot.update(dict.fromkeys(fresh, -1))
             self.slot.update(zip(letters, range(used, need)))
             self.used = need
@@ -138,17 +140,17 @@ def label_column(text: Column, model: Model) -> Column:
         labeller = Labeller(model)
         names = np.array([*model.labels, UNKNOWN], dtype=object)
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            best, score = np.full(len(texts), len(model.labels)), np.zeros(len(texts))
-            begin = size = 0
-            for end, t in enumerate(texts, 1):
-                size += len(t)
-                if (size > _CHARS or end == len(texts)) and model.labels:
-                    share = labeller.shares(texts[begin:end])
-                    some = ~np.isnan(share[:, 0])
-                    best[begin:end][some] = share[some].argmax(axis=1)
-                    score[begin:end][some] = np.minimum(share[some].max(axis=1), 1.0)
-                    begin, size = end, 0
+            best, score = np.full(len(batch), len(model.labels)), np.zeros(len(batch))
+            texts, size = [], 0
+            for end, t in enumerate(batch, 1):
+                texts.append(t.as_py() or "")
+                size += len(texts[-1])
+                if (size > _CHARS or end == len(batch)) and model.labels:
+                    share = labeller.shares(texts)
+                    some, own = ~np.isnan(share[:, 0]), slice(end - len(texts), end)
+                    best[own][some] = share[some].argmax(axis=1)
+                    score[own][some] = np.minimum(share[some].max(axis=1), 1.0)
+                    texts, size = [], 0
             yield pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score)],
                                              ["lang_pred", "score"])
 

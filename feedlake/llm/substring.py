@@ -37,7 +37,7 @@ WINDOW, MINIMISER, SPLIT = 35, 8, 4000
 #: Multiplier of the rolling combination of word hashes (odd, so no bits are lost).
 _MIX = 0x9E3779B97F4A7C15
 #: Entries of the word-hash cache of a task; it is emptied when full.
-_CACHE = 500_000
+_CACHE = 100_000
 
 
 def word_hashes(words: list[bytes], cache: dict) -> np.ndarray:
