@@ -7,8 +7,8 @@ returns a DataFrame that is written as Parquet and reread as the next stage's
 the table has); the last returns ``doc_id, n_tokens, ids``.
 
 Null, empty, repeated and clashing inputs have the results the operators define;
-beyond those: the first stage drops texts without a letter and texts no language
-has half of; a text of which substring dedup leaves nothing is dropped, one that
+beyond those: the first stage drops texts without a letter and texts of which no
+language has ``LEAST_SHARE`` of the words; a text of which substring dedup leaves nothing is dropped, one that
 it does not touch stays as it is, with its white space; ``n_chars`` follows a
 changed text.
 """
@@ -22,11 +22,11 @@ from feedlake.llm.common import materialise, table
 from feedlake.llm.queries import RANKS
 
 #: Share of the words that the predicted language must have.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.35
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose words are mostly of one learned language."""
+    """Documents that have a language; texts that switch between two stay."""
     label = langid.label_column(F.col("text").cast("string"), langid.learn(docs))
     return docs.where(label["score"] >= LEAST_SHARE)
 
