@@ -53,7 +53,3 @@ def strip_tags(s) -> Column:
 def literal_split_first(s, sep: str) -> Column:
     """Text before the first literal ``sep`` (FEED5a quote cut, Q1 fixed)."""
     return F.split(_c(s), re.escape(sep)).getItem(0)
-
-
-def collapse_ws(s) -> Column:
-    return F.trim(F.regexp_replace(_c(s), r"\s+", " "))

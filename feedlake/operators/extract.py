@@ -84,6 +84,13 @@ def last_script_with(html, marker: str) -> Column:
     return F.try_element_at(F.filter(scripts, lambda s: s.contains(marker)), F.lit(-1))
 
 
+def island(html, call: str) -> Column:
+    """SRC9: the JSON argument of ``call(..)`` that fills a script; the first such script."""
+    scripts = F.regexp_extract_all(_c(html), F.lit(r"(?s)<script[^>]*>(.*?)</script>"), 1)
+    first = F.trim(F.try_element_at(F.filter(scripts, lambda s: F.trim(s).startswith(call + "(")), F.lit(1)))
+    return F.regexp_extract(first, r"(?s)^[^(]*\((.*)\)\s*;?\s*$", 1)
+
+
 def status_doc(html) -> Column:
     """40001 page -> ``{"statuses": [...]}`` JSON text from its script."""
     return F.concat(F.lit('{"statuses":'),

@@ -166,11 +166,3 @@ def take_while_array(items: Column, valid) -> Column:
     flags = F.transform(items, lambda x: F.coalesce(valid(x), F.lit(False)))
     at = F.array_position(flags, False)
     return F.when(at == 0, items).otherwise(F.slice(items, F.lit(1), at - F.lit(1)))
-
-
-def page_changed_array(items: Column, key_field: str, last_key: Column, valid=None) -> Column:
-    """INC4 on an item array: nothing when the newest key equals the marker,
-    else every item up to the first invalid one."""
-    head = F.try_element_at(items, F.lit(1))[key_field]
-    rest = items if valid is None else take_while_array(items, valid)
-    return F.when(head.eqNullSafe(last_key), F.slice(items, F.lit(1), F.lit(0))).otherwise(rest)

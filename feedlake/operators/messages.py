@@ -1,7 +1,7 @@
 """Message parse / reject / route / task projection (MSG1-MSG10)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -82,12 +82,6 @@ def crawl_task(platform_id, url, result) -> Column:
         (_c(result) if not isinstance(result, int) else F.lit(result)).cast("string").alias("result")))
 
 
-def stamp_article_task(task_json: Column, id_ms: Column) -> Column:
-    """Add the clock id at the sink: ``{"id":<ms>, ...rest}``."""
-    return F.concat(F.lit('{"id":'), id_ms.cast("string"), F.lit(","),
-                    F.substring(task_json, 2, 1 << 30))
-
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -108,6 +102,13 @@ def fanout(df: DataFrame, urls: dict[str, Column], kind_col: str = "kind",
     return df.select("*", F.inline(arr))
 
 
+def list_page_tasks(spark: SparkSession, pages: int = schemas.LIST_PAGES_40003) -> DataFrame:
+    """MSG10: crawl tasks for the list pages 1..``pages`` of platform 40003."""
+    url = F.concat(F.lit(schemas.URLS[40003]["list_page"]), F.col("page_no").cast("string"))
+    return (spark.range(1, pages + 1).toDF("page_no")
+            .select("page_no", crawl_task(F.lit(40003), url, schemas.RESULT_CRAWL).alias("task")))
+
+
 def page_range(df: DataFrame, lo, hi, col: str = "page_no") -> DataFrame:
     """MSG10: explode ``lo..hi``; empty when ``hi < lo`` (``sequence``
     would count down)."""

@@ -52,15 +52,6 @@ def not_in(spark: SparkSession, outer: DataFrame, inner: DataFrame, key: str,
     return outer.where(keep).join(ins.where(F.col(key).isNotNull()), key, "left_anti")
 
 
-def not_in_sql(spark: SparkSession, outer: DataFrame, inner: DataFrame, key: str,
-               inner_key: str | None = None) -> DataFrame:
-    """The same written as SQL ``NOT IN`` (Catalyst's null-aware anti join;
-    right when the subquery side is small enough to broadcast)."""
-    ik = inner_key or key
-    return spark.sql(f"SELECT * FROM {{o}} WHERE `{key}` NOT IN (SELECT `{ik}` FROM {{i}})",
-                     o=outer, i=inner)
-
-
 def topk(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     """REL5: ``ORDER BY .. LIMIT k`` -> TakeOrderedAndProject (per-partition
     top-k, then a k-row merge); k is the feature, not a cap."""

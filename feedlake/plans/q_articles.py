@@ -32,13 +32,15 @@ def q_art_title_body_image(spark, d):
 
 @query("art_title_strip_suffix", f"""
 SELECT page_id, replace({TITLE}, '{SUFFIX}', '') AS title,
-       trim(regexp_replace(regexp_extract(html, '<p>(.*?)</p>', 1), '<[^>]*>', '', 'g')) AS first_para
+       array_to_string(list_transform(regexp_extract_all(html, '<p>(.*?)</p>', 1),
+                                      lambda p: trim(regexp_replace(p, '<[^>]*>', '', 'g'))), ' ') AS paragraphs
 FROM pages""")
 def q_art_title_strip_suffix(spark, d):
-    """ART2: title minus the site suffix; trimmed paragraph text."""
+    """ART2: title minus the site suffix; trimmed text of all paragraphs."""
     p = table(spark, d, "pages")
     return p.select("page_id", F.replace(extract.title("html"), F.lit(SUFFIX), F.lit("")).alias("title"),
-                    F.trim(extract.text_of(F.regexp_extract("html", "<p>(.*?)</p>", 1))).alias("first_para"))
+                    F.array_join(F.transform(extract.paragraphs("html"), lambda x: F.trim(extract.text_of(x))), " ")
+                    .alias("paragraphs"))
 
 
 @query("art_detail_text", """

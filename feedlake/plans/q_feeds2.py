@@ -162,19 +162,26 @@ def q_feed_month_filter(spark, d):
 
 @query("grf_author_links", standins.with_ctes("page_store") + f""",
 l AS (SELECT DISTINCT regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/' || t AS author_url
-      FROM (SELECT url, unnest(regexp_extract_all(html, {LI_TEXT}, 1)) AS t FROM page_store) x),
+      FROM (SELECT url, unnest(regexp_extract_all(html, {LI_TEXT}, 1)) AS t FROM page_store) x
+      UNION SELECT url FROM page_store),
 known AS (SELECT url FROM page_store WHERE page_id % 2 = 0)
-SELECT author_url, {crawl_task_sql('40003', 'author_url', '0')} AS task
-FROM l WHERE author_url NOT IN (SELECT url FROM known)""")
+SELECT author_url, CASE WHEN html <> '' THEN regexp_extract(html, '<title>([^<]*)</title>', 1) END AS name,
+       CASE WHEN html IS NULL OR html = '' THEN {crawl_task_sql('40003', 'author_url', '0')} END AS task
+FROM l LEFT JOIN page_store s ON s.row_key = author_url WHERE author_url NOT IN (SELECT url FROM known)""")
 def q_grf_author_links(spark, d):
-    """GRF5: author links on list pages, unseen ones only (visited = pages
-    already stored under even ids), each once; misses become tasks."""
+    """GRF5: author links on list pages (a page also names itself), unseen ones
+    only (visited = pages under even ids), each once; a stored page gives the
+    author, a missing one a task."""
     s = standins.page_store(spark, d)
     links = s.select(F.explode(F.transform(F.regexp_extract_all("html", F.lit(extract.LI_TEXT), 1),
                                            lambda t: F.concat(extract.origin("url"), F.lit("/"), t))).alias("author_url"))
+    links = links.unionByName(s.select(F.col("url").alias("author_url")))
     visited = s.where(F.col("page_id") % 2 == 0).select(F.col("url").alias("author_url"))
     new = inc.visited_new(links, visited, "author_url")
-    return new.select("author_url", messages.crawl_task(F.lit(40003), "author_url", schemas.RESULT_CRAWL).alias("task"))
+    lk = lookup.lookup_by_url(new, s, "author_url")
+    miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None)
+    return lk.select("author_url", F.when(~miss, extract.title("page_html")).alias("name"),
+                     F.when(miss, messages.crawl_task(F.lit(40003), "author_url", schemas.RESULT_CRAWL)).alias("task"))
 
 
 @query("job_post_fill", CARDS_SQL + f""",

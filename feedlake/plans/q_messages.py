@@ -161,7 +161,10 @@ SELECT user_id,
   {_lit(U[40004]['blog'])} || CAST(user_id AS VARCHAR) AS blog_url,
   {_lit(U[40003]['author'])} || CAST(user_id AS VARCHAR) AS author_url,
   {_lit(U[40002]['article_list'])} || CAST(user_id AS VARCHAR) || '/1' AS list_url,
-  {_lit(U[40005]['home_page'])} || CAST(user_id AS VARCHAR) AS home_url
+  {_lit(U[40005]['home_page'])} || CAST(user_id AS VARCHAR) AS home_url,
+  'http://blog.cnfol.com/' || CAST(user_id AS VARCHAR) AS blog_home_url,
+  'http://www.taoguba.com.cn/Article/' || CAST(user_id AS VARCHAR) AS article_url,
+  'http://xueqiu.com/about/mobile-xueqiu/' || CAST(user_id AS VARCHAR) AS status_url
 FROM users""")
 def q_msg_build_urls(spark, d):
     """MSG8: prefix + id task urls."""
@@ -173,7 +176,10 @@ def q_msg_build_urls(spark, d):
         messages.build_url(U[40004]["blog"], "user_id").alias("blog_url"),
         messages.build_url(U[40003]["author"], "user_id").alias("author_url"),
         messages.build_url(U[40002]["article_list"], "user_id", "/1").alias("list_url"),
-        messages.build_url(U[40005]["home_page"], "user_id").alias("home_url"))
+        messages.build_url(U[40005]["home_page"], "user_id").alias("home_url"),
+        messages.build_url(U[40002]["home_page"], "user_id").alias("blog_home_url"),
+        messages.build_url(U[40004]["article"], "user_id").alias("article_url"),
+        messages.build_url(U[40001]["status"], "user_id").alias("status_url"))
 
 
 @query("msg_fanout_two", standins.with_ctes("user_rows") + f"""
@@ -236,22 +242,16 @@ def q_src_marker_json(spark, d):
 
 
 @query("src_json_island", """
-WITH isl AS (SELECT event_id, '<script>FM.view({"ns":"pl.content","uid":' || CAST(user_id AS VARCHAR)
-    || ',"kind":"' || event_type || '","html":"<em>' || CAST(value AS VARCHAR) || '</em>"})</script>' AS html
-  FROM events)
-SELECT event_id,
-  CAST(json_extract_string(regexp_extract(html, 'FM\\.view\\((\\{.*?\\})\\)', 1), '$.uid') AS BIGINT) AS uid,
-  json_extract_string(regexp_extract(html, 'FM\\.view\\((\\{.*?\\})\\)', 1), '$.kind') AS kind
-FROM isl""")
+SELECT event_id, user_id AS uid, event_type AS kind, '<em>' || CAST(value AS VARCHAR) || '</em> f({1})' AS html FROM events""")
 def q_src_json_island(spark, d):
-    """SRC9: JSON island in a script, first match, parsed."""
+    """SRC9: JSON island in a script, cut at the script's end (its payload holds
+    the closing marks too), parsed. The oracle states what was put in."""
     e = table(spark, d, "events")
-    html = F.concat(F.lit('<script>FM.view({"ns":"pl.content","uid":'), F.col("user_id").cast("string"),
-                    F.lit(',"kind":"'), F.col("event_type"), F.lit('","html":"<em>'),
-                    F.col("value").cast("string"), F.lit('</em>"})</script>'))
-    isl = F.regexp_extract(html, r"FM\.view\((\{.*?\})\)", 1)
-    parsed = F.from_json(isl, "uid BIGINT, kind STRING")
-    return e.select("event_id", parsed["uid"].alias("uid"), parsed["kind"].alias("kind"))
+    doc = F.to_json(F.struct(F.lit("pl.content").alias("ns"), F.col("user_id").alias("uid"), F.col("event_type").alias("kind"),
+                             F.concat(F.lit("<em>"), F.col("value").cast("string"), F.lit("</em> f({1})")).alias("html")))
+    html = F.concat(F.lit("<script>var a=1;</script><script>FM.view("), doc, F.lit(")</script><script>b({2})</script>"))
+    parsed = F.from_json(extract.island(html, "FM.view"), "uid BIGINT, kind STRING, html STRING")
+    return e.select("event_id", parsed["uid"].alias("uid"), parsed["kind"].alias("kind"), parsed["html"].alias("html"))
 
 
 @query("src_fans_count", W_USERS + """

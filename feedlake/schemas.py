@@ -37,18 +37,6 @@ def platforms(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PLATFORMS, PLATFORM_SCHEMA)
 
 
-# Inbound page notice: all three fields are JSON strings.
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField("attr_id", T.StringType()),
-    T.StructField("key_name", T.StringType()),
-    T.StructField("pos_name", T.StringType()),
-])
-
-# Outbound article task (the clock id is added only at the sink).
-ARTICLE_TASK_FIELDS = ["islogin", "attrid", "depth", "cur_depth", "method", "url"]
-# Outbound crawl task (timestamp is added only at the sink).
-CRAWL_TASK_FIELDS = ["id", "attrid", "cookie", "referer", "url", "result"]
-
 # JSON field names of the page documents below.
 # Action page (platform 40004), one JSON document per page.
 ACTION_RECORD = T.StructType([
@@ -75,21 +63,6 @@ ACTION_PAGE = T.StructType([
     T.StructField("record", T.ArrayType(ACTION_RECORD)),
 ])
 
-# Status page (platform 40001). retweeted_status is read separately as
-# VARIANT because JSON null and a missing key mean different things.
-STATUS = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("target", T.StringType()),
-    T.StructField("retweet_count", T.IntegerType()),
-    T.StructField("reply_count", T.IntegerType()),
-    T.StructField("created_at", T.LongType()),
-    T.StructField("user", T.StructType([T.StructField("screen_name", T.StringType())])),
-])
-STATUS_PAGE = T.StructType([T.StructField("statuses", T.ArrayType(STATUS))])
-
 # Follower list (platform 40001).
 LIST_USER = T.StructType([
     T.StructField("id", T.LongType()),
@@ -100,14 +73,6 @@ LIST_USER = T.StructType([
 ])
 USER_LIST_PAGE = T.StructType([T.StructField("users", T.ArrayType(LIST_USER))])
 
-# User info (platform 40004), all strings.
-USER_INFO = T.StructType([T.StructField(n, T.StringType()) for n in
-                          ["userID", "userName", "fansNum", "vipAuth", "pe", "pr", "be", "us"]])
-
-# Unified article table: one table, per-platform views give the legacy
-# column names. Partitioned by platform_id on write.
-ARTICLE_COLUMNS = ["platform_id", "user_id", "title", "url", "ts", "summary"]
-
 # ---------------------------------------------------------------------------
 # Task url prefixes per platform (a task url is prefix + id).
 # ---------------------------------------------------------------------------

@@ -65,13 +65,6 @@ def test_last_segment_trailing_slash(spark):
     assert [x.r for x in r] == ["c", "c"]
 
 
-def test_stock_pairs_column(spark):
-    df = spark.createDataFrame([("A,B",)], "s string").select(
-        "s", F.create_map(F.lit("A"), F.array(F.lit("A"), F.lit("a1")),
-                          F.lit("B"), F.array(F.lit("b1"), F.lit("B"))).alias("m"))
-    assert df.select(fn.stock_pairs("s", "m").alias("r")).first().r == "A=a1&B=b1"
-
-
 def _py_before_first(s, sign):
     return s[:s.index(sign)] if sign in s else s
 

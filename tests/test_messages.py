@@ -39,3 +39,9 @@ def test_lookup_needs_both_cells(spark):
     hits_loose, _ = lookup.split_hits(lk, lookup.MISS_NULL)
     assert sorted(r.pos_name for r in hits_strict.collect()) == ["k1"]
     assert sorted(r.pos_name for r in hits_loose.collect()) == ["k1", "k3"]
+
+
+def test_list_page_tasks(spark):
+    rows = messages.list_page_tasks(spark).orderBy("page_no").collect()
+    assert len(rows) == 2024 and rows[0].page_no == 1
+    assert '"attrid":"40003"' in rows[0].task and 'sortType=time&page=1"' in rows[0].task
