@@ -54,17 +54,31 @@ def test_article_views_prune_and_rename(spark, tmp_path):
     assert "PartitionFilters" in plan and "40004" in plan
 
 
-def test_page_store_pruning_fallback(spark, tmp_path):
+def test_versioned_table_update_put_and_replay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.put_version(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path, 0)
+    upd = spark.createDataFrame([(2, None)], "k int, v string")
+    for _ in range(2):
+        sinks.update_table(spark, path, 1, upd, ["k"], ["v"])
+    assert {(r.k, r.v) for r in sinks.current(spark, path).collect()} == {(1, "a"), (2, None)}
+    assert {(r.k, r.v) for r in sinks.current(spark, path, 1).collect()} == {(1, "a"), (2, "b")}
+    kv = str(tmp_path / "kv")
+    for version, rows in ((0, [("x", "1", 5)]), (1, [("x", "0", 4), ("y", "2", 1)]), (1, [("x", "0", 4), ("y", "2", 1)])):
+        sinks.put_values(spark, kv, version, spark.createDataFrame(rows, "k string, v string, o int"), "k", "v", "o")
+    assert {(r.k, r.v) for r in sinks.current(spark, kv).collect()} == {("x", "1"), ("y", "2")}
+
+
+def test_page_store_pruning(spark, tmp_path):
     from feedlake.sources import page_store as ps
     pages = spark.createDataFrame([("40001", f"k{i}", f"http://a/{i}", f"<p>{i}</p>") for i in range(40)],
                                   "table_name string, row_key string, url string, html string")
     ps.write_store(pages, str(tmp_path / "store"), buckets=8)
     keys = spark.createDataFrame([("40001", f"k{i}") for i in range(0, 40, 3)], "key_name string, pos_name string")
-    pruned = ps.read_for_keys(spark, str(tmp_path / "store"), keys, "key_name", "pos_name", 8)
-    unpruned = ps.read_for_keys(spark, str(tmp_path / "store"), keys, "key_name", "pos_name", 8, max_pairs=1)
+    pruned = ps.read_for_keys(spark, str(tmp_path / "store"), keys, "pos_name", 8)
+    none = ps.read_for_keys(spark, str(tmp_path / "store"), keys.limit(0), "pos_name", 8)
     got = lambda s: sorted(r.row_key for r in s.join(keys, s.row_key == keys.pos_name, "left_semi").collect())
-    assert got(pruned) == got(unpruned) == sorted(f"k{i}" for i in range(0, 40, 3))
-    assert unpruned.count() == 40 and pruned.count() <= 40
+    assert got(pruned) == sorted(f"k{i}" for i in range(0, 40, 3))
+    assert none.count() == 0 and pruned.count() <= 40
 
 
 def test_profile_view(spark):
