@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 PIECE = 1 << 16
 #: A space between two characters that are no white space. Every match of the
 #: pattern that holds a space starts with it or is white space only, so a match
@@ -103,5 +105,5 @@ def tokenize(docs: DataFrame, rank_file: str, pattern: str, *, key: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *cols],
                                              names=[key, "n_tokens", *names])
 
-    d = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias("text"))
+    d = bounded_batches(docs).select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias("text"))
     return d.mapInArrow(run, f"`{key}` {d.schema[key].dataType.simpleString()}, n_tokens long, {RESULTS[result]}")

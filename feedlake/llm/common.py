@@ -19,6 +19,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch between Spark and Python.
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows go to Python in batches of bounded bytes instead of
+    bounded rows: what a task holds then does not depend on the length of texts.
+    A size the deployment has set stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key, None) is None:
+        df.sparkSession.conf.set(key, BATCH_BYTES)
+    return df
+
+
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join in the shape whose hot keys AQE can split (see ``operators.joins``):
     an extra key that follows from the others makes both sides plain exchanges.

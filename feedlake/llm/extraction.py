@@ -32,6 +32,8 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 SIGMA, RADIUS, DOMINANT, LINKS = 1.0, 2, 0.8, 0.5
 
 # --- fixed values: names of HTML ---------------------------------------------
@@ -285,6 +287,6 @@ def main_text(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    d = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
+    d = bounded_batches(pages).select("page_id", "url", F.col("html").cast("string").alias("html"))
     kinds = {f.name: f.dataType.simpleString() for f in d.schema}
     return d.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import bounded_batches
 from .crf import LONGEST_WORD, Model, posteriors, train
 
 DOCS_PER_LANG, SNIPPET, MOST_LANGS = 300, 600, 256
@@ -45,7 +46,7 @@ def fold(doc_id: Column) -> Column:
 def snippets(docs: DataFrame) -> DataFrame:
     """``lang, snippet``: the bounded training sample."""
     at = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.char_length("text") - SNIPPET, F.lit(1)).cast("long"))
-    rows = (docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"),
+    rows = (bounded_batches(docs).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"),
                         F.col("text").cast("string").alias("text"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
             .select("lang", F.xxhash64("doc_id").alias("h"),
@@ -159,7 +160,7 @@ def label_column(text: Column, model: Model) -> Column:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row; the text alone is read."""
-    return (docs.select("doc_id", label_column(F.col("text").cast("string"), model).alias("p"))
+    return (bounded_batches(docs).select("doc_id", label_column(F.col("text").cast("string"), model).alias("p"))
             .select("doc_id", "p.lang_pred", "p.score"))
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bktree import Forest, spanning
-from .common import materialise, packed, split_join
+from .common import bounded_batches, materialise, packed, split_join
 from .components import stars
 
 WIDTH, RADIUS, SEED = 4, 4, 42
@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS
                     tree_size: int = TREE_SIZE) -> DataFrame:
     """``doc_id, fp, component_id, root`` for every row (``root`` is a fingerprint
     that names the component); see the module's text."""
-    prints = materialise(docs.select("doc_id", fingerprint_column(F.col("text").cast("string"), width).alias("fp")),
+    prints = materialise(bounded_batches(docs).select("doc_id", fingerprint_column(F.col("text").cast("string"), width).alias("fp")),
                          "fingerprints")
     by_fp = prints.groupBy("fp").agg(F.min("doc_id").alias("m"))
     star = stars(near_links(by_fp.select("fp"), radius, tree_size))

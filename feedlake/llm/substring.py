@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, packed, split_join
+from .common import bounded_batches, materialise, packed, split_join
 
 WINDOW, MINIMISER, SPLIT = 35, 8, 4000
 #: Multiplier of the rolling combination of word hashes (odd, so no bits are lost).
@@ -200,7 +200,7 @@ def _count_windows(strings: DataFrame, window: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, split: int = SPLIT) -> DataFrame:
     """``tid, spans``: (start, mask) of every super-k-mer with repeated windows."""
-    rows = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").select(
+    rows = bounded_batches(docs).select(F.col("text").cast("string").alias("text")).where("text is not null").select(
         F.unhex(F.md5("text")).alias("tid"), "text")
     located = materialise(_locate(rows, window, m), "minimisers")
     travel = materialise(_packed_strings(located, distinct_texts(rows), window, split), "superkmers")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import materialise, split_join
+from .common import bounded_batches, materialise, split_join
 
 #: Uncompressed bytes after which a new archive begins; bytes inflated at a time.
 ARCHIVE, CHUNK = 32 << 20, 1 << 20
@@ -138,7 +138,7 @@ def write_archives(rows: DataFrame, folder: str, archive: int = ARCHIVE, level:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())],
                                          names=["archive", "records"])
 
-    return materialise(rows.select("page_id", "url", "html", "record_type", "refers_to")
+    return materialise(bounded_batches(rows).select("page_id", "url", "html", "record_type", "refers_to")
                        .mapInArrow(run, "archive string, records long"), "archives")
 
 
