@@ -1,8 +1,10 @@
 """Language identification by a linear-chain CRF over words.
 
 Every word of a text gets label probabilities by forward-backward (``crf``), so
-code-switched text is labelled word by word; a document's language is the label
-with the largest sum of probabilities, its score that sum's share of all words.
+code-switched text is labelled word by word. A document's language is the label
+with the largest weighted sum of probabilities, its score that sum's share. All
+words count; word i (from 0) weighs 1 / (1 + i / ``OPENING``), because a label
+names the language a text sets out in rather than the one it may switch to.
 
 The model is learned from labelled documents: at most ``DOCS_PER_LANG`` rows of
 each of the ``MOST_LANGS`` most frequent labels, picked by a hash of ``doc_id``,
@@ -32,7 +34,7 @@ from .common import bounded_batches
 from .crf import LONGEST_WORD, Model, posteriors, train
 
 DOCS_PER_LANG, SNIPPET, MOST_LANGS = 300, 600, 256
-FOLDS, UNKNOWN = 5, "und"
+FOLDS, UNKNOWN, OPENING = 5, "und", 20
 _RUN = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
 #: Characters labelled together, new words scored together, entries of a task's word cache.
 _CHARS, _FRESH, _CACHE = 1 << 19, 4096, 100_000
@@ -44,17 +46,19 @@ def fold(doc_id: Column) -> Column:
 
 
 def snippets(docs: DataFrame) -> DataFrame:
-    """``lang, snippet``: the bounded training sample."""
+    """``lang, snippet``: the bounded training sample, the ``DOCS_PER_LANG`` rows of
+    each label with the smallest hash. A first cut by the hash, at four times the
+    share that is needed, leaves the ranking about that many rows at any scale."""
     at = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.char_length("text") - SNIPPET, F.lit(1)).cast("long"))
     rows = (bounded_batches(docs).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"),
-                        F.col("text").cast("string").alias("text"))
-            .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
-            .select("lang", F.xxhash64("doc_id").alias("h"),
-                    F.substring("text", at.cast("int") + 1, F.lit(SNIPPET)).alias("snippet")))
+                                         F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("h"))
+            .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0)))
     frequent = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS)
+    share = F.col("h").cast("double") / 2.0**64 + 0.5
     order = Window.partitionBy("lang").orderBy("h", "snippet")
-    return (rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= DOCS_PER_LANG)
-            .join(F.broadcast(frequent.select("lang")), "lang", "left_semi").select("lang", "snippet"))
+    return (rows.join(F.broadcast(frequent), "lang").where(share < 4.0 * DOCS_PER_LANG / F.col("n"))
+            .select("lang", "h", F.substring("text", at.cast("int") + 1, F.lit(SNIPPET)).alias("snippet"))
+            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= DOCS_PER_LANG).select("lang", "snippet"))
 
 
 def learn(docs: DataFrame, seed: int = 7) -> Model:
@@ -112,7 +116,7 @@ class Labeller:
         return np.array(found, np.int64)
 
     def shares(self, texts: list[str]) -> np.ndarray:
-        """Mean label probabilities of the words of each text; NaN without words."""
+        """Weighted mean label probabilities of the words of each text; NaN without words."""
         if len(self.slot) > _CACHE:
             self.clear()
         words, sizes = [], []
@@ -129,7 +133,9 @@ class Labeller:
         if len(some):
             p = posteriors(self.table[rows], length[some], self.model.moves)
             begin = np.cumsum(length[some]) - length[some]
-            out[some] = np.add.reduceat(p, begin, axis=0) / length[some][:, None]
+            place = np.arange(len(p)) - np.repeat(begin, length[some])
+            weight = (1 / (1 + place / OPENING))[:, None]
+            out[some] = np.add.reduceat(p * weight, begin, axis=0) / np.add.reduceat(weight, begin, axis=0)
         return out
 
 
