@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .joins import splittable_join
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -112,6 +113,11 @@ def nb_train(tf: DataFrame, labels: DataFrame, label_col: str = "label",
     """
     lab = labels.select(id_col, label_col)
     pairs = tf.groupBy(label_col, "token").agg(F.sum("tf").alias("n"))
+    # the model's counts are written once, as columns: vocabulary size, class
+    # totals and the model are read from them, the texts are not counted again
+    path = scratch_path(tf.sparkSession, "nb")
+    pairs.write.parquet(path)
+    pairs = tf.sparkSession.read.schema(pairs.schema).parquet(path)
     v_size = pairs.select("token").distinct().agg(F.count(F.lit(1))).scalar()
     n_docs_all = lab.agg(F.count(F.lit(1))).scalar()
     per_class = pairs.groupBy(label_col).agg(F.sum("n").alias("n_tokens"))
