@@ -11,12 +11,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back:
-    the lineage ends there, and a lost executor costs a reread."""
-    path = scratch_path(df.sparkSession, "llm", label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the lineage ends there, a lost executor costs a reread, and the shuffle files
+    of the write go when it ends, not when the driver next collects garbage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm", label)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: Bytes of one Arrow batch between Spark and Python.
