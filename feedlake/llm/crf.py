@@ -23,13 +23,9 @@ LONGEST_WORD = 64
 
 def features(word: str) -> list[str]:
     """Lexicon, affix and character n-gram features of a lower-case word."""
-    s = f"^{word}$"
-    out = ["=" + word]
-    for k in (1, 2, 3):
-        out.append("<" + word[:k])
-        out.append(">" + word[-k:])
-        out += [s[i:i + k] for i in range(len(s) - k + 1)]
-    return out
+    s, n = f"^{word}$", len(word)
+    return ["=" + word, "<" + word[:1], "<" + word[:2], "<" + word[:3], ">" + word[-1:], ">" + word[-2:],
+            ">" + word[-3:], *[s[i:i + 2] for i in range(n + 1)], *[s[i:i + 3] for i in range(n)]]
 
 
 @dataclass
@@ -43,9 +39,9 @@ class Model:
         get = self.index.get
         rows, sizes = [], []
         for w in words:
-            own = [j for j in map(get, features(w)) if j is not None]
-            rows += own
-            sizes.append(len(own))
+            before = len(rows)
+            rows += [j for j in map(get, features(w)) if j is not None]
+            sizes.append(len(rows) - before)
         total = np.zeros((len(rows) + 1, len(self.labels)))
         np.cumsum(self.weights[rows], axis=0, out=total[1:])
         end = np.cumsum(sizes, dtype=np.int64)

@@ -36,8 +36,10 @@ from .crf import LONGEST_WORD, Model, posteriors, train
 DOCS_PER_LANG, SNIPPET, MOST_LANGS = 300, 600, 256
 FOLDS, UNKNOWN, OPENING = 5, "und", 20
 _RUN = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
-#: Characters labelled together, new words scored together, entries of a task's word cache.
-_CHARS, _FRESH, _CACHE = 1 << 19, 4096, 100_000
+#: Characters labelled together, and new words scored together.
+_CHARS, _FRESH = 1 << 19, 4096
+#: Entries of a task's word cache: memory (about 200 bytes each) for time.
+CACHE = 100_000
 
 
 def fold(doc_id: Column) -> Column:
@@ -85,8 +87,8 @@ def learn(docs: DataFrame, seed: int = 7) -> Model:
 class Labeller:
     """Labels the words of texts, with a cache of emission scores by word."""
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, model: Model, cache: int = CACHE):
+        self.model, self.cache = model, cache
         self.clear()
 
     def clear(self):
@@ -94,8 +96,18 @@ class Labeller:
         self.used = 0
         self.table = np.zeros((1024, len(self.model.labels)))
 
+    def forget(self, words: list[str]):
+        """Keep the cached scores of ``words`` only (common words are among any)."""
+        kept = {w: self.slot[w] for w in set(words) & self.slot.keys()}
+        scored = {w: i for w, i in kept.items() if i >= 0}
+        self.used = len(scored)
+        self.table[:self.used] = self.table[list(scored.values())]
+        self.slot = {**kept, **dict(zip(scored, range(self.used)))}
+
     def rows(self, words: list[str]) -> np.ndarray:
         """Places of the words' scores in ``table``; -1 for words without a letter."""
+        if len(self.slot) > self.cache:
+            self.forget(words)
         get = self.slot.get
         found = list(map(get, words))
         if None in found:
@@ -117,8 +129,6 @@ class Labeller:
 
     def shares(self, texts: list[str]) -> np.ndarray:
         """Weighted mean label probabilities of the words of each text; NaN without words."""
-        if len(self.slot) > _CACHE:
-            self.clear()
         words, sizes = [], []
         for t in texts:
             own = _RUN.findall(t.lower())
@@ -139,12 +149,12 @@ class Labeller:
         return out
 
 
-def label_column(text: Column, model: Model) -> Column:
+def label_column(text: Column, model: Model, cache: int = CACHE) -> Column:
     """Struct ``lang_pred, score`` of a text column."""
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        labeller = Labeller(model)
+        labeller = Labeller(model, cache)
         names = np.array([*model.labels, UNKNOWN], dtype=object)
         for batch in batches:
             best, score = np.full(len(batch), len(model.labels)), np.zeros(len(batch))
@@ -164,14 +174,14 @@ def label_column(text: Column, model: Model) -> Column:
     return label(text)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Model, cache: int = CACHE) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row; the text alone is read."""
-    return (bounded_batches(docs).select("doc_id", label_column(F.col("text").cast("string"), model).alias("p"))
+    return (bounded_batches(docs).select("doc_id", label_column(F.col("text").cast("string"), model, cache).alias("p"))
             .select("doc_id", "p.lang_pred", "p.score"))
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, cache: int = CACHE) -> DataFrame:
     """Learn from ``docs`` and predict them: ``doc_id, held_out, lang_pred, score``."""
-    found = predict(docs, learn(docs))
+    found = predict(docs, learn(docs), cache)
     return found.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(True)).alias("held_out"),
                         "lang_pred", "score")

@@ -56,7 +56,7 @@ def op7_mixing(spark, sf_dir):
 
 def op8_language_id(spark, sf_dir):
     """Language of every document, learned from the folds that are not held out."""
-    return langid.identify(table(spark, sf_dir, "documents"))
+    return langid.identify(table(spark, sf_dir, "documents"), cache=450_000)
 
 
 def op9_simhash(spark, sf_dir):
