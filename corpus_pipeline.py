@@ -23,6 +23,8 @@ from feedlake.llm.queries import RANKS
 
 #: Share of the words that the predicted language must have.
 LEAST_SHARE = 0.35
+#: Share of its input's tokens that the mixing stage keeps at least, in expectation.
+LEAST_KEPT = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +48,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_sample(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample calibrated to the source, language and topic targets."""
-    return mixing.sample(docs)
+    """A sample calibrated to the source, language and topic targets, of a size
+    that one rare label cannot push below ``LEAST_KEPT``."""
+    return mixing.sample(docs, least=LEAST_KEPT)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,10 @@ Raking multiplies every cell so that the sums by source meet the source targets,
 then lang, then topic, for ``ROUNDS`` rounds. A cell's factor is its raked weight
 over its tokens; a document is kept with probability factor / largest factor, so
 the expected token sums of the sample stand to each other as the raked ones do.
+One rare cell with a large factor makes that sample small. With ``least``, a share
+of the input's tokens, a sample whose expected size is below it is kept with
+min(1, c * factor) instead, c solved so that the expected tokens are that share:
+cells at 1 are kept whole, the others stand to each other as the raked ones do.
 
 Default targets: shares proportional to tokens to the power ``TEMPER`` in each
 dimension, which lifts small sources, languages and topics. A caller may give
@@ -61,9 +65,29 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
-def rake(rows: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, temper: float = TEMPER) -> DataFrame:
+def scale_to(factors: DataFrame, budget: float, most: float) -> float | None:
+    """The c with sum(tokens * min(1, c * factor)) = ``budget``; None if 1 / ``most``
+    reaches it. Newton's method on a concave sum of the cells: c only grows, and
+    ends at the latest when every cell with a factor is at 1."""
+    c, at = 1.0 / most, F.col("factor")
+    while True:
+        full = at * F.lit(c) >= 1
+        whole, rest = factors.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0.0)),
+                                  F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * at))).first()
+        if not rest or whole + c * rest >= budget * (1 - 1e-12):
+            return None if c == 1.0 / most else c
+        grown = (budget - whole) / rest
+        if grown <= c:
+            return c
+        c = grown
+
+
+def rake(rows: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, temper: float = TEMPER,
+         least: float | None = None) -> DataFrame:
     """``source, lang, topic, factor, probability`` of every cell with tokens,
     from rows ``source, lang, topic, tokens``."""
+    if least is not None and not 0 <= least <= 1:
+        raise ValueError("least is a share of the tokens")
     ensure_checkpoint_dir(rows.sparkSession)
     cells = (rows.where("tokens > 0").groupBy(*DIMS).agg(F.sum("tokens").cast("double").alias("tokens"))
              .withColumn("w", F.col("tokens")).checkpoint())
@@ -84,16 +108,18 @@ def rake(rows: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, tem
             cells = (split_join(cells, sums, [dim])
                      .withColumn("w", F.when(F.col("s") > 0, F.col("w") * F.col("t_" + dim) / F.col("s"))
                                  .otherwise(0.0)).drop("s").checkpoint())
-    factors = cells.select(*DIMS, (F.col("w") / F.col("tokens")).alias("factor"))
+    factors = cells.select(*DIMS, "tokens", (F.col("w") / F.col("tokens")).alias("factor"))
     most = factors.agg(F.max("factor")).first()[0] or 1.0
-    return materialise(factors.withColumn("probability", F.col("factor") / F.lit(most)), "mix")
+    c = scale_to(factors, least * total, most) if least and total else None
+    chance = F.col("factor") / F.lit(most) if c is None else F.least(F.lit(1.0), F.col("factor") * F.lit(c))
+    return materialise(factors.select(*DIMS, "factor", chance.alias("probability")), "mix")
 
 
 def mix(docs: DataFrame, *, targets: dict | None = None, rounds: int = ROUNDS, temper: float = TEMPER,
-        seed: int = SEED) -> DataFrame:
+        seed: int = SEED, least: float | None = None) -> DataFrame:
     """``doc_id, source, lang, topic, tokens, weight, probability, kept`` for every row."""
     rows = materialise(labelled(docs, ["doc_id"]), "mix-labels")
-    cells = rake(rows, targets, rounds, temper)
+    cells = rake(rows, targets, rounds, temper, least)
     used = F.col("tokens") > 0
     return (split_join(rows, cells, list(DIMS), "left")
             .select("doc_id", *DIMS, "tokens",
@@ -103,9 +129,9 @@ def mix(docs: DataFrame, *, targets: dict | None = None, rounds: int = ROUNDS, t
 
 
 def sample(docs: DataFrame, *, targets: dict | None = None, rounds: int = ROUNDS, temper: float = TEMPER,
-           seed: int = SEED) -> DataFrame:
+           seed: int = SEED, least: float | None = None) -> DataFrame:
     """The kept rows of ``docs``, with all their columns."""
-    cells = rake(labelled(docs), targets, rounds, temper)
+    cells = rake(labelled(docs), targets, rounds, temper, least)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     asked = labelled(docs, [row, F.col("doc_id").alias("id")]).where("tokens > 0")
     # cells come from a written table, so the planner knows their size and

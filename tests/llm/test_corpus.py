@@ -100,6 +100,26 @@ def test_mixing_meets_targets(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.sample(docs.limit(0)).count() == 0
 
 
+def test_pipeline_sample_does_not_hang_on_one_cell(spark):
+    rows = [(i, "w " * 200, "en" if i % 3 else "fr", "ab"[i % 2]) for i in range(600)] + [(9000, "one", "xx", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in corpus_pipeline.mixing_sample(spark, docs, SF0001).collect()}
+    assert 9000 in kept and 0.35 * 600 <= len(kept) <= 0.45 * 600  # 0.19 by factor / largest factor
+
+
+def test_scale_meets_the_share(spark):
+    rng = np.random.default_rng(3)
+    tokens, factor = rng.integers(1, 10**6, 50).astype(float), rng.pareto(0.5, 50)
+    factor[0] = 0.0
+    cells = spark.createDataFrame(list(zip(tokens.tolist(), factor.tolist())), "tokens double, factor double")
+    for share in (0.4, 0.9):
+        c = mixing.scale_to(cells, share * tokens.sum(), factor.max())
+        assert (tokens * np.minimum(1, c * factor)).sum() == pytest.approx(share * tokens.sum())
+    assert mixing.scale_to(cells, 1e-6, factor.max()) is None  # large enough as it is
+    c = mixing.scale_to(cells, tokens.sum(), factor.max())  # all that has a factor
+    assert (c * factor[1:]).min() >= 1 - 1e-9
+
+
 def test_mixing_is_native(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     for df in (mixing.mix(docs), mixing.sample(docs)):
