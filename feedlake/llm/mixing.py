@@ -2,7 +2,10 @@
 
 Tokens (words ``[^\\x20\\x09-\\x0D]+``) are summed by cell (source, lang, topic).
 Raking multiplies every cell so that the sums by source meet the source targets,
-then lang, then topic, for ``ROUNDS`` rounds. A cell's factor is its raked weight
+then lang, then topic, for at least ``ROUNDS`` rounds and until no label's sum is
+off its target by more than ``TOLERANCE`` of it. Targets that are still missed
+after ``MOST_ROUNDS`` (slow or contradictory ones) give a ``RuntimeWarning`` with
+the largest deviation; the weights are then those of the last round. A cell's factor is its raked weight
 over its tokens; a document is kept with probability factor / largest factor, so
 the expected token sums of the sample stand to each other as the raked ones do.
 One rare cell with a large factor makes that sample small. With ``least``, a share
@@ -16,8 +19,8 @@ shares of its own per dimension. The topic is the first rule of ``TOPICS`` one o
 whose words occurs in the lower-cased text, else ``OTHER``.
 
 The cell table is an aggregate, checkpointed after every raking step; no step
-collects it, and sums by label combine before their shuffle. Only two scalars
-reach the driver. Everything is DataFrame expressions.
+collects it, and sums by label combine before their shuffle. Only scalars reach
+the driver (one a round after the first ``ROUNDS``, two a step of the size). Everything is DataFrame expressions.
 
 Defined results: a null source or lang is the empty label; null text has no
 words; documents without words take no part (weight and probability 0, not
@@ -27,6 +30,9 @@ reruns agree (null ``doc_id`` draws as the empty text).
 """
 from __future__ import annotations
 
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +40,7 @@ from ..session import ensure_checkpoint_dir
 from .common import materialise, split_join
 
 ROUNDS, TEMPER, SEED = 8, 0.85, 17
+TOLERANCE, MOST_ROUNDS = 1e-3, 300
 DIMS = ("source", "lang", "topic")
 #: Topic rules, in order: name and words of the lower-cased text.
 TOPICS = (("tabular", (" | ",)), ("contact", ("@",)), ("legal", ("license", "licence", "copyright")),
@@ -65,6 +72,13 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
+def deviation(cells: DataFrame) -> float:
+    """The largest share of its target by which the sum of a label is off it."""
+    off = [cells.groupBy(dim).agg(F.sum("w").alias("s"), F.max("t_" + dim).alias("t"))
+           .where("t > 0").select((F.abs(F.col("s") - F.col("t")) / F.col("t")).alias("off")) for dim in DIMS]
+    return reduce(DataFrame.union, off).agg(F.max("off")).first()[0] or 0.0
+
+
 def scale_to(factors: DataFrame, budget: float, most: float) -> float | None:
     """The c with sum(tokens * min(1, c * factor)) = ``budget``; None if 1 / ``most``
     reaches it. Newton's method on a concave sum of the cells: c only grows, and
@@ -102,12 +116,18 @@ def rake(rows: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, tem
         scale = total / (share.agg(F.sum("s")).first()[0] or 1.0) if total else 1.0
         cells = split_join(cells, share.select(dim, (F.col("s") * scale).alias("t_" + dim)), [dim])
     cells = cells.checkpoint()
-    for _ in range(rounds):
+    done, off = 0, float("inf")
+    while done < rounds or off > TOLERANCE and done < MOST_ROUNDS:
         for dim in DIMS:
             sums = cells.groupBy(dim).agg(F.sum("w").alias("s"))
             cells = (split_join(cells, sums, [dim])
                      .withColumn("w", F.when(F.col("s") > 0, F.col("w") * F.col("t_" + dim) / F.col("s"))
                                  .otherwise(0.0)).drop("s").checkpoint())
+        done += 1
+        off = deviation(cells) if done >= rounds else off
+    if off > TOLERANCE:
+        warnings.warn(f"mixing: after {done} rounds a label is off its target by {off:.3g} of it", RuntimeWarning,
+                      stacklevel=2)
     factors = cells.select(*DIMS, "tokens", (F.col("w") / F.col("tokens")).alias("factor"))
     most = factors.agg(F.max("factor")).first()[0] or 1.0
     c = scale_to(factors, least * total, most) if least and total else None

@@ -120,6 +120,26 @@ def test_scale_meets_the_share(spark):
     assert (c * factor[1:]).min() >= 1 - 1e-9
 
 
+def test_raking_goes_on_until_targets_are_met(spark, monkeypatch):
+    cells = {("a", "x"): 980, ("b", "y"): 980, ("a", "y"): 20, ("b", "x"): 3}
+    rows = spark.createDataFrame([(s, g, "t", n) for (s, g), n in cells.items()],
+                                 "source string, lang string, topic string, tokens long")
+    targets = {"source": spark.createDataFrame([("a", 0.8), ("b", 0.2)], "source string, share double"),
+               "lang": spark.createDataFrame([("x", 0.3), ("y", 0.7)], "lang string, share double")}
+
+    def worst(found):
+        weight = {(r.source, r.lang): r.factor * cells[r.source, r.lang] for r in found}
+        total = sum(cells.values())
+        by = [(sum(w for k, w in weight.items() if k[i] == x) / total, t)
+              for i, x, t in ((0, "a", 0.8), (0, "b", 0.2), (1, "x", 0.3), (1, "y", 0.7))]
+        return max(abs(got - want) / want for got, want in by)
+
+    assert worst(mixing.rake(rows, targets, rounds=1).collect()) <= mixing.TOLERANCE
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 1)
+    with pytest.warns(RuntimeWarning, match="after 1 rounds"):
+        assert worst(mixing.rake(rows, targets, rounds=1).collect()) > mixing.TOLERANCE
+
+
 def test_mixing_is_native(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     for df in (mixing.mix(docs), mixing.sample(docs)):
