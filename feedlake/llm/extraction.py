@@ -20,7 +20,8 @@ blocks are trimmed and joined by one line break.
 
 Defined results: null and empty html, and pages without any content line, give
 the empty text; unclosed and stray tags are read as browsers do in the cases
-that matter here (an open paragraph ends at the next block); broken markup
+that matter here (an open paragraph ends at the next block, also where it or a
+list item is skipped); broken markup
 never raises; pages of any size are read whole; repeated rows each give a row.
 """
 from __future__ import annotations
@@ -115,9 +116,13 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if self.off:
-            if tag not in VOID:
+            if tag in VOID:
+                return
+            if tag not in INLINE:
+                self.close_implied(tag)
+            if self.off:
                 self.stack.append((tag, self.here()))
-            return
+                return
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
@@ -128,10 +133,7 @@ class Lines(HTMLParser):
             return
         if tag not in INLINE:
             self.flush()
-            if self.stack:
-                self.close_paragraph()
-                if tag in _ENDS_OWN:
-                    self.close_own(tag)
+            self.close_implied(tag)
         if tag in HEADINGS:
             self.heading = True
         if tag == "a":
@@ -150,12 +152,28 @@ class Lines(HTMLParser):
             yield n
             n = self.parent[n]
 
+    def cut(self, i):
+        """Close the open elements from place ``i`` on, and what they switched off."""
+        del self.stack[i:]
+        if self.off > i:
+            self.off = 0
+            self.tags += 1
+        if self.header > i:
+            self.header = 0
+
+    def close_implied(self, tag):
+        """The elements that the start of a block ends, also inside skipped ones."""
+        if self.stack:
+            self.close_paragraph()
+            if tag in _ENDS_OWN:
+                self.close_own(tag)
+
     def close_paragraph(self):
         """A block start ends an open paragraph and the inline elements in it."""
         for i in range(len(self.stack) - 1, -1, -1):
             tag = self.stack[i][0]
             if tag == "p":
-                del self.stack[i:]
+                self.cut(i)
                 return
             if tag not in INLINE:
                 return
@@ -163,7 +181,7 @@ class Lines(HTMLParser):
     def close_own(self, tag):
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                del self.stack[i:]
+                self.cut(i)
                 return
             if self.stack[i][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "main", "body"):
                 return
@@ -186,12 +204,7 @@ class Lines(HTMLParser):
             if self.stack[i][0] == tag:
                 if tag in INLINE and not self.off and any(t not in INLINE for t, _ in self.stack[i + 1:]):
                     return  # a stray end of an inline element does not close blocks
-                del self.stack[i:]
-                if self.off > len(self.stack):
-                    self.off = 0
-                    self.tags += 1
-                if self.header > len(self.stack):
-                    self.header = 0
+                self.cut(i)
                 return
 
     def handle_data(self, data):

@@ -106,6 +106,16 @@ def test_extraction_cases(page, want):
     assert extraction.extract(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<div><p class="notice">Note<p>Paragraph 1<p>Paragraph 2</div>', "Paragraph 1\nParagraph 2"),
+    ('<div><p hidden>Note <b>x<p>Paragraph 1<div>Block 2</div></div>', "Paragraph 1\nBlock 2"),
+    ('<ul><li class="share">Share it<li>One<li>Two</ul><p>After', "One\nTwo\nAfter"),
+    ('<ul><li class="share">Share<ul><li>a<li>b</ul>c<li>One</ul>', "One"),
+    ('<div class="notice"><p>Note<p>More</div><p>Text', "Text")])
+def test_unclosed_skipped_elements(page, want):
+    assert extraction.extract(page) == want
+
+
 def test_long_page():
     page = "<article>" + "<p>some words of a paragraph</p>" * 20_000 + "</article>"
     assert extraction.extract(page).count("\n") == 19_999
