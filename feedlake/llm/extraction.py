@@ -3,8 +3,9 @@
 1. The standard library's parser streams a page's events into lines, one per
    block element, with the line's text, its tags and the container it stands
    in. Scripts, styles, menus, page headers, footers, sidebars, notices,
-   adverts, forms and reader comments (by element, role, or class and id words)
-   give no lines.
+   adverts, forms and reader comments (by element, role, or the last word of a
+   class or id) give no lines. By role, class or id, and as forms, they do where
+   the article is in them: see ``kept``.
 2. A line's ratio is its characters over its tags (at least one). The ratios are
    smoothed along the page by a Gaussian; lines whose smoothed ratio is at least
    the standard deviation of all smoothed ratios are content, which splits the
@@ -54,30 +55,52 @@ SKIPPED_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising
     search form share sharing social related recommended comment comments commentlist respond reply replies disqus
     discussion""".split())
 #: First words of a class that say what a page has, not what the element is.
-STATE_WORDS = frozenset(("has", "with", "no", "is", "without", "js"))
+STATE_WORDS = frozenset(("has", "with", "no", "is", "without", "js", "category", "tag"))
+#: Last words that name a part or place; the word before them says what it is.
+PART_WORDS = frozenset("""container wrapper wrap area box list section block inner outer left right top bottom bar
+    button buttons link links item items group unit slot posts""".split())
+#: Skipped words of layouts, which may stand around the whole article.
+LAYOUT_WORDS = frozenset("""sidebar aside rail header masthead topbar nav navbar navigation menu menubar widget widgets
+    form search""".split())
+#: Skipped words of what can hold articles, or more text than the article, of its own.
+OTHER_TEXT = frozenset("""cookie cookies consent gdpr privacy popup modal overlay related recommended comment comments
+    commentlist respond reply replies disqus discussion""".split())
+#: Why an element is skipped: whatever it holds; unless a main element, an article,
+#: or most of the text is in it (each also for what stands before it).
+ALWAYS, MAIN_SAVES, ARTICLE_SAVES, SIZE_SAVES = 4, 3, 2, 1
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: Elements whose start ends an open element of the same kind.
 _ENDS_OWN = frozenset("li dt dd tr td th option".split())
 
 
-def skipped(tag: str, attrs: list) -> bool:
-    """Whether an element holds no article text, by its name, role, class or id."""
-    if tag in SKIPPED:
-        return True
-    if not attrs or tag in ("html", "body", "main"):
-        return False
+def skipped(tag: str, attrs: list) -> int:
+    """Whether and why (0: not) an element holds no article text, by its name, role,
+    class or id."""
+    why = SIZE_SAVES if tag == "form" else ALWAYS if tag in SKIPPED else 0
+    if why == ALWAYS or not attrs or tag in ("html", "body", "main"):
+        return why
+    named = tag not in MAIN and not is_main(tag, attrs)
     for name, value in attrs:
         if name == "hidden":
-            return True
-        if name == "role" and (value or "").lower() in SKIPPED_ROLES:
-            return True
-        if name in ("class", "id"):
+            return ALWAYS
+        if named and name == "role" and (value or "").lower() in SKIPPED_ROLES:
+            why = max(why, SIZE_SAVES if value.lower() in ("form", "search") else MAIN_SAVES)
+        if named and name in ("class", "id"):
             for part in (value or "").split():
                 words = [w.lower() for w in _WORDS.findall(part)]
-                if words and words[0] not in STATE_WORDS and not SKIPPED_WORDS.isdisjoint(words):
-                    return True
-    return False
+                if not words or words[0] in STATE_WORDS:
+                    continue
+                while len(words) > 1 and words[-1] in PART_WORDS:
+                    words.pop()
+                if words[-1] in SKIPPED_WORDS:
+                    why = max(why, MAIN_SAVES if words[-1] in OTHER_TEXT else
+                              SIZE_SAVES if words[-1] in LAYOUT_WORDS else ARTICLE_SAVES)
+    return why
+
+
+def is_main(tag: str, attrs: list) -> bool:
+    return tag == "main" or (dict(attrs).get("role") or "").lower() == "main"
 
 
 class Lines(HTMLParser):
@@ -89,6 +112,9 @@ class Lines(HTMLParser):
         self.stack: list = []          # open elements: (tag, container number)
         self.parent = [-1]             # container numbers; 0 is the page
         self.is_main = [False]
+        self.mains: set = set()        # containers of main elements (not of articles)
+        self.doubt: dict = {}          # container -> why it may be skipped
+        self.doubted: list = []        # open ones: place in the stack, counts before them
         self.off = 0                   # depth of the skipped element in the stack + 1
         self.header = 0                # likewise, of a header inside the article
         self.heading = False
@@ -106,12 +132,19 @@ class Lines(HTMLParser):
                 self.lines.append((t, self.tags, self.link_chars, self.here()))
                 self.tags = self.link_chars = 0
 
-    def push(self, tag, attrs):
+    def push(self, tag, attrs, why=0):
         number = self.here()
-        if tag not in INLINE and tag != "p" and tag not in HEADINGS:
+        if why or tag not in INLINE and tag != "p" and tag not in HEADINGS:
+            main = is_main(tag, attrs)
             self.parent.append(number)
-            self.is_main.append(tag in MAIN or dict(attrs).get("role") == "main")
+            self.is_main.append(main or tag in MAIN)
             number = len(self.parent) - 1
+            if main:
+                self.mains.add(number)
+            if why:
+                self.doubt[number] = why
+                self.doubted.append((len(self.stack), self.tags, self.link_chars, self.links))
+                self.tags = self.link_chars = 0
         self.stack.append((tag, number))
 
     def handle_starttag(self, tag, attrs):
@@ -141,9 +174,11 @@ class Lines(HTMLParser):
         inner_header = tag == "header" and any(self.is_main[n] for n in self.chain())
         if inner_header:
             self.header = self.header or len(self.stack) + 1
-        self.push(tag, attrs)
-        if not inner_header and (tag == "header" or skipped(tag, attrs)):
+        why = 0 if inner_header else ALWAYS if tag == "header" else skipped(tag, attrs)
+        if why:
             self.flush()
+        self.push(tag, attrs, why if why < ALWAYS else 0)
+        if why == ALWAYS:
             self.off = len(self.stack)
 
     def chain(self):
@@ -154,12 +189,19 @@ class Lines(HTMLParser):
 
     def cut(self, i):
         """Close the open elements from place ``i`` on, and what they switched off."""
+        ends = [d for d in self.doubted if d[0] >= i]
+        if ends:
+            self.flush()
         del self.stack[i:]
         if self.off > i:
             self.off = 0
             self.tags += 1
         if self.header > i:
             self.header = 0
+        if ends:
+            del self.doubted[-len(ends):]
+            _, self.tags, self.link_chars, self.links = ends[0]
+            self.tags += 1
 
     def close_implied(self, tag):
         """The elements that the start of a block ends, also inside skipped ones."""
@@ -202,7 +244,7 @@ class Lines(HTMLParser):
                 self.links -= 1
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                if tag in INLINE and not self.off and any(t not in INLINE for t, _ in self.stack[i + 1:]):
+                if tag in INLINE and not self.off and not self.doubted and any(t not in INLINE for t, _ in self.stack[i + 1:]):
                     return  # a stray end of an inline element does not close blocks
                 self.cut(i)
                 return
@@ -250,12 +292,54 @@ def content(ratios: list) -> list:
     return [x >= least for x in s]
 
 
+def kept(page: Lines) -> list:
+    """The lines of a page without the elements that hold no article text. Such an
+    element stays if a main element is in it; if an article is in it and either one
+    is outside too or it has more text than all outside; or, of a layout or form,
+    if more text is in it than outside. Text of links does not count."""
+    if not page.doubt:
+        return page.lines
+    near, size = [], [0] * len(page.parent)  # innermost doubted container; text in it itself
+    for n, p in enumerate(page.parent):
+        near.append(n if n in page.doubt else near[p] if p >= 0 else -1)
+    own: dict = {}
+    for t, _, linked, n in page.lines:
+        own[near[n]] = own.get(near[n], 0) + len(t) - linked
+        size[n] += len(t) - linked
+    article, main, within = {}, set(), dict(own)  # of doubted containers, at any depth
+    for n in range(len(page.parent) - 1, -1, -1):
+        p = page.parent[n]
+        if page.is_main[n] and size[n]:
+            s = near[n]
+            article[s] = max(article.get(s, 0), size[n])
+            if n in page.mains:
+                main.add(s)
+        up = near[p] if p >= 0 else -1
+        why = page.doubt.get(n, 0)
+        if n in main:
+            main.add(up)
+        if why and up >= 0 and (why < MAIN_SAVES or n in main):
+            within[up] = within.get(up, 0) + within.get(n, 0)
+            article[up] = max(article.get(up, 0), article.get(n, 0))
+        if p >= 0 and (why < MAIN_SAVES or n in main):
+            size[p] += size[n]
+    alive, outside = {-1}, own.get(-1, 0)
+    mains = {near[n] for n, m in enumerate(page.is_main) if m and size[n]}
+    for n, why in page.doubt.items():
+        up = near[page.parent[n]]
+        if up in alive and (n in main or why < MAIN_SAVES and article.get(n) and (alive & mains or article[n] > outside)
+                            or why == SIZE_SAVES and within.get(n, 0) > outside):
+            alive.add(n)
+            outside += own.get(n, 0)
+    return [line for line in page.lines if near[line[3]] in alive]
+
+
 def extract(html: str | None) -> str:
     """Main text of one page."""
     if not html:
         return ""
     page = parse(html)
-    lines = page.lines
+    lines = kept(page)
     if not lines:
         return ""
     good = content([len(t) / max(1, tags) for t, tags, _, _ in lines])

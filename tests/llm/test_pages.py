@@ -116,6 +116,29 @@ def test_unclosed_skipped_elements(page, want):
     assert extraction.extract(page) == want
 
 
+@pytest.mark.parametrize("shell", [
+    '<article class="post category-privacy tag-search">%s</article>', '<article class="ad-free">%s</article>',
+    '<article class="comment">%s</article>', '<div role="main" class="search">%s</div>',
+    '<div class="content-with-sidebar"><article>%s</article></div>', '<div class="post tag-search">%s</div>',
+    '<div class="layout-sidebar-right"><div class="text">%s</div></div>', '<div class="privacy"><main>%s</main></div>',
+    '<form action="x.aspx"><div class="nav-wrapper"><p>Menu</div><div>%s</div></form>',
+    '<form><div class="layout-sidebar"><article>%s</article></div></form>'])
+def test_skipped_names_around_the_article(shell):
+    t, a, b, li1, li2, c = BLOCKS
+    body = f"<h1>{h.escape(t)}</h1><p>{a}</p><p>{b}</p><ul><li>{li1}<li>{li2}</ul><p>{c}</p>"
+    assert extraction.extract(PAGE % (shell % body)) == "\n".join(WANT)
+
+
+@pytest.mark.parametrize("rest", [
+    '<div class="comment-list"><article class="comment-body"><p>%s</p></article></div>',
+    '<div class="cookie-notice"><p>%s</p></div>', '<div class="ad-container"><p>%s</p></div>',
+    '<section id="related-posts"><article>%s</article></section>'])
+def test_long_rest_without_article_element(rest):
+    text = "The article has one paragraph of some words."
+    page = f"<body><div><p>{text}</p></div>" + rest % ("many more words, not of the article " * 9) + "</body>"
+    assert extraction.extract(page) == text
+
+
 def test_long_page():
     page = "<article>" + "<p>some words of a paragraph</p>" * 20_000 + "</article>"
     assert extraction.extract(page).count("\n") == 19_999
