@@ -3,10 +3,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, extraction, forest, langid, mixing, simhash, substring, threshold, warc
+from . import (alignment, bpe, chat, extraction, forest, langid, mixing, packing, simhash, substring, threshold, trie,
+               warc)
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: The vocabulary of byte_bpe_50k.json as ranks, and the sentencepiece model.
+RANKS_50K, PIECES_32K = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def op1_exact_topk(spark, sf_dir):
@@ -71,5 +74,26 @@ def op10_substring(spark, sf_dir):
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_warc, op3_main_text, op4_byte_bpe, op5_ann_forest, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_substring)}
-ORACLE: dict[str, str] = {"op7_mixing": mixing.oracle()}
+def op11_prefix_trie(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt ``conversations``."""
+    return trie.nodes(trie.conversations_of(table(spark, sf_dir, "conversations")))
+
+
+def op12_packing(spark, sf_dir):
+    """All ``documents`` packed into sequences of at most 1024 tokens."""
+    import public_tokenizers
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS_50K), public_tokenizers.PATTERN)
+    return pieces.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_alignment(spark, sf_dir):
+    """Alignment of two tokenisations of every text of ``documents``."""
+    import public_tokenizers
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS_50K),
+                                     public_tokenizers.PATTERN, public_tokenizers.path(PIECES_32K), result="digests")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_warc, op3_main_text, op4_byte_bpe, op5_ann_forest, op6_chat_format, op7_mixing, op8_language_id, op9_simhash, op10_substring,
+                                  op11_prefix_trie, op12_packing, op13_alignment)}
+ORACLE: dict[str, str] = {"op7_mixing": mixing.oracle(), "op11_prefix_trie": trie.oracle()}
