@@ -68,7 +68,7 @@ def main(argv=None) -> int:
     s.add_argument("--task-topic", default="newsparser_news", help="Kafka topic for article tasks")
     s.add_argument("--max-per-trigger", type=int, default=None,
                    help="bound each micro-batch (maxOffsetsPerTrigger / maxFilesPerTrigger)")
-    s.add_argument("--own-topic", default="newsparser_snowball", help="Kafka topic for the tasks of platform 40001")
+    s.add_argument("--own-topic", default="newsparser_duration", help="Kafka topic for the tasks of platform 40001")
     s.add_argument("--pages", required=True)
     s.add_argument("--markers", default=None)
     s.add_argument("--output", required=True)

@@ -88,9 +88,8 @@ def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str], cols: l
 
 
 # ---------------------------------------------------------------- versioned tables
-# <path>/version=<n>: every write makes the next version, computed from the
-# current one; readers see the newest complete version, and writing a version
-# again (a replayed batch) overwrites it with the same rows.
+# <path>/version=<n>: a table that is made anew as a whole (SNK9); readers see the
+# newest version. Updates and puts by key are in ``keyed_tables.BucketTable``.
 def put_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
@@ -103,36 +102,11 @@ def current(spark: SparkSession, path: str, before: int | None = None) -> DataFr
     return t.where(F.col("version") == t.agg(F.max("version")).scalar()).drop("version")
 
 
-def update_table(spark: SparkSession, path: str, version: int, updates: DataFrame, keys: list[str],
-                 cols: list[str]) -> None:
-    """SNK6/SNK7: writes the next version of the table with the updates applied."""
-    put_version(keyed_update(current(spark, path, version), updates, keys, cols).drop("updated"), path, version)
-
-
-def put_values(spark: SparkSession, path: str, version: int, puts: DataFrame, key: str, value: str, order: str) -> None:
-    """SNK8: puts into a key-value table of ``key, value, order``; the put with the
-    largest order wins, also against what the table holds."""
-    old = read_if_exists(spark, path, f"{_ddl(puts, (key, value, order))}, version int").where(F.col("version") < version)
-    old = old.where(F.col("version") == old.agg(F.max("version")).scalar())
-    both = old.select(key, value, order).unionByName(puts.select(key, value, order))
-    put_version(both.groupBy(key).agg(F.max_by(F.struct(value, order), order).alias("_f")).select(key, "_f.*"), path, version)
-
-
-def _ddl(df: DataFrame, cols) -> str:
-    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
-
-
 def create_or_replace(df: DataFrame, path: str, keep: int, key: str, ts: str, version: int) -> None:
     """SNK9: (re)creates a table that holds the newest ``keep`` rows of each key."""
     put_version(keep_versions(df, key, F.col(ts), keep), path, version)
 
 
-def kv_put(versions: DataFrame, key: str, value: str, version: Column) -> DataFrame:
-    """SNK8: last write wins per key (``max_by`` aggregation, map-side
-    combined, so a hot key does not land whole on one task)."""
-    return versions.groupBy(key).agg(F.max_by(value, version).alias(value))
-
-
 def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int,
                   salt_buckets: int = 64, salt_of: Column | None = None) -> DataFrame:
     """Exact top-n rows per key, skew-safe: rank first within

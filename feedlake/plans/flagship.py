@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import lookup, messages, sinks
+from ..operators import lookup, messages
 from ..operators import platform_items as pi
+from ..operators.keyed_tables import KeyedLog
 from ..session import ensure_checkpoint_dir
 from ..sources import standins
 
@@ -95,12 +96,20 @@ def feed_increments(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Scheduled batch runs with a versioned marker table (INC1, batch form).
-# markers/run=<id>  markers that changed in run <id>
-# articles/run=<id>, tasks/run=<id>
-# A run reads, for each page, the newest marker written *before* its id, so
-# re-running an id overwrites its own folders with the same content.
+# Scheduled batch runs. Markers and written addresses are keyed logs by run
+# (``operators.keyed_tables``): a run reads, of its own pages' buckets, the newest
+# marker written *before* its id, so re-running an id overwrites its own folders
+# with the same content, and opens a bounded number of folders however many runs
+# there were. articles/run=<id>, tasks/run=<id>, rejects/run=<id> are its output.
 # ---------------------------------------------------------------------------
+def marker_log(spark: SparkSession, root: str, **kw) -> KeyedLog:
+    return KeyedLog(spark, f"{root}/markers", {"page_url": "string"}, {"last_key": "string"}, **kw)
+
+
+def article_log(spark: SparkSession, root: str, **kw) -> KeyedLog:
+    return KeyedLog(spark, f"{root}/written", {"platform_id": "int", "url": "string"}, **kw)
+
+
 def next_markers(pages: DataFrame, markers: DataFrame) -> DataFrame:
     """Markers that a run changes: only pages seen in it."""
     j = (pages.select("page_url", "marker_kind", "newest")
@@ -110,27 +119,19 @@ def next_markers(pages: DataFrame, markers: DataFrame) -> DataFrame:
         ~F.col("last_key").eqNullSafe(F.col("old"))).drop("old")
 
 
-def read_markers(spark: SparkSession, markers_path: str, run_id: int) -> DataFrame:
-    """Newest marker of each page written before ``run_id``."""
-    m = sinks.read_if_exists(spark, markers_path, MARKER_SCHEMA + ", run int").where(F.col("run") < run_id)
-    return m.groupBy("page_url").agg(F.max_by("last_key", "run").alias("last_key"))
-
-
 def run_increment(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms: DataFrame,
                   root: str, run_id: int, initial_markers: DataFrame | None = None) -> None:
     ensure_checkpoint_dir(spark)
     pages, rejects, _ = notices_to_pages(notices, store, platforms)
     pages = pages.checkpoint(eager=True)    # read twice below; html already dropped
+    log, written_log = marker_log(spark, root), article_log(spark, root)
     if initial_markers is not None:   # from before the first run (ids count from 0)
-        (initial_markers.select("page_url", "last_key").write.mode("overwrite")
-         .parquet(f"{root}/markers/run={BEFORE_FIRST_RUN}"))
-    markers = read_markers(spark, f"{root}/markers", run_id)
-    rows = article_rows(new_items(pages, markers))
-    seen = (sinks.read_if_exists(spark, f"{root}/articles", "platform_id int, url string, run int")
-            .where(F.col("run") < run_id))
-    rows = sinks.insert_if_absent(rows, seen, ["platform_id", "url"])
-    rows.write.mode("overwrite").parquet(f"{root}/articles/run={run_id}")
-    written = spark.read.parquet(f"{root}/articles/run={run_id}")
+        log.write(initial_markers, BEFORE_FIRST_RUN)
+    markers = log.state(run_id, pages)
+    rows = article_rows(new_items(pages, markers)).checkpoint(eager=True)
+    written_log.absent(rows, run_id).write.mode("overwrite").parquet(f"{root}/articles/run={run_id}")
+    written = spark.read.schema(rows.schema).parquet(f"{root}/articles/run={run_id}")
+    written_log.write(written.select("platform_id", "url"), run_id)
     written.select(F.col("task").alias("value")).write.mode("overwrite").text(f"{root}/tasks/run={run_id}")
     rejects.write.mode("overwrite").parquet(f"{root}/rejects/run={run_id}")
-    next_markers(pages, markers).write.mode("overwrite").parquet(f"{root}/markers/run={run_id}")
+    log.write(next_markers(pages, markers), run_id)

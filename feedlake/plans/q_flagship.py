@@ -67,7 +67,7 @@ def q_inc_marker_table_run(spark, d):
     root = scratch_path(spark, "increment_runs")
     store, before = standins.feed_store(spark, d), flagship.page_markers(spark, d)
     flagship.run_increment(spark, standins.messages(spark, d, store), store, schemas.platforms(spark), root, 1, before)
-    return flagship.read_markers(spark, f"{root}/markers", 2)
+    return flagship.marker_log(spark, root).state(2)
 
 
 @query("feed_platform_items", standins.with_ctes("feed_items") + """

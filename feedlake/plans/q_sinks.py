@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import messages, sinks
+from ..operators.keyed_tables import BucketTable
 from ..sources import standins
 from ..sources.tables import table
 from ..session import scratch_path
@@ -23,9 +24,9 @@ PROFILE_SCHEMA = [("platform_id", "int"), ("user_id", "bigint"), ("followers_cou
 #: Columns each platform's profile writer fills beside id, followers and vip.
 PROFILE_COLUMNS = {40001: ("name", "introduction", "home_page", "portrait"),
                    40002: ("name", "introduction", "home_page"),
-                   40003: ("name", "field", "portrait"),
-                   40004: ("name", "marrow", "recommend", "home_page"),
-                   40005: ("name", "official_vip", "portrait")}
+                   40003: ("name", "introduction", "home_page", "field", "portrait"),
+                   40004: ("name", "introduction", "home_page", "portrait", "marrow", "recommend"),
+                   40005: ("name", "introduction", "home_page", "portrait", "official_vip")}
 
 
 @query("snk_article_task", W_A + f"""
@@ -56,9 +57,8 @@ def q_snk_article_append(spark, d):
 
 @query("snk_profile_append", standins.with_ctes("users") + """
 SELECT platform_id, user_id, followers_count, CAST(CASE WHEN vip THEN 1 ELSE 0 END AS INTEGER) AS vip, name,
-  CASE WHEN platform_id IN (40001, 40002) THEN 'intro ' || name END AS introduction,
-  CASE WHEN platform_id IN (40001, 40002, 40004) THEN home_page END AS home_page,
-  CASE WHEN platform_id IN (40001, 40003, 40005) THEN 'p/' || CAST(user_id AS VARCHAR) || '.png' END AS portrait,
+  'intro ' || name AS introduction, home_page,
+  CASE WHEN platform_id IN (40001, 40003, 40004, 40005) THEN 'p/' || CAST(user_id AS VARCHAR) || '.png' END AS portrait,
   CASE WHEN platform_id = 40003 THEN segment END AS field,
   CASE WHEN platform_id = 40004 THEN CAST(user_id % 5 AS INTEGER) END AS marrow,
   CASE WHEN platform_id = 40004 THEN CAST(user_id % 7 AS INTEGER) END AS recommend,
@@ -111,10 +111,10 @@ def q_snk_keyed_update(spark, d):
         F.col("s_suppkey").alias("user_id"),
         F.when(F.col("s_acctbal") < 0, F.lit(None)).otherwise(F.col("s_acctbal").cast("bigint"))
         .alias("followers_count"))
-    path = scratch_path(spark, "users_table")
-    sinks.put_version(u, path, 0)
-    sinks.update_table(spark, path, 1, s, ["user_id"], ["followers_count"])
-    return sinks.current(spark, path).join(s.select("user_id", F.lit(True).alias("updated")), "user_id", "left") \
+    t = BucketTable(spark, scratch_path(spark, "users_table"), ["user_id"], "user_id bigint, followers_count bigint", 16)
+    t.create(u)
+    t.update(s, ["followers_count"], 1)
+    return t.current().join(s.select("user_id", F.lit(True).alias("updated")), "user_id", "left") \
         .na.fill(False, ["updated"])
 
 
@@ -130,11 +130,11 @@ def q_snk_keyed_update2(spark, d):
     p = table(spark, d, "pages").select(
         "url", F.regexp_extract("html", "<p>(.*?)</p>", 1).alias("digest"),
         F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("summary"))
-    path = scratch_path(spark, "articles_table")
-    sinks.put_version(a, path, 0)
+    t = BucketTable(spark, scratch_path(spark, "articles_table"), ["url"], "url string, summary string, digest string", 16)
+    t.create(a)
     for version in (1, 1):   # a replayed write gives the same version
-        sinks.update_table(spark, path, version, p, ["url"], ["digest", "summary"])
-    return sinks.current(spark, path).join(p.select("url", F.lit(True).alias("updated")), "url", "left") \
+        t.update(p, ["digest", "summary"], version)
+    return t.current().join(p.select("url", F.lit(True).alias("updated")), "url", "left") \
         .na.fill(False, ["updated"]).select("url", "digest", "summary", "updated")
 
 
@@ -148,11 +148,12 @@ def q_snk_kv_put(spark, d):
     e = table(spark, d, "events").select(
         "user_id", F.concat("event_type", F.lit(":"), "props").alias("content"), "ts", "event_id")
     e = e.select("user_id", "content", F.struct("ts", "event_id").alias("put_order"))
-    path = scratch_path(spark, "kv")
+    t = BucketTable(spark, scratch_path(spark, "kv"), ["user_id"],
+                    "user_id bigint, content string, put_order struct<ts: timestamp_ntz, event_id: bigint>", 16)
     for version in (0, 1, 1):   # two rounds of puts, the second replayed; late puts lose
         part = e.where(F.pmod(F.xxhash64("put_order"), F.lit(2)) == version)
-        sinks.put_values(spark, path, version, part, "user_id", "content", "put_order")
-    return sinks.current(spark, path).select("user_id", "content")
+        t.put(part, "put_order", version)
+    return t.current().select("user_id", "content")
 
 
 @query("snk_keep_3_versions", """

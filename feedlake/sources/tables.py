@@ -2,7 +2,8 @@
 (message files, seed url lists, JDBC tables)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -35,6 +36,13 @@ def jdbc_table(spark: SparkSession, url: str, table_name: str, partition_column:
     return spark.read.jdbc(url, table_name, properties=props)
 
 
+def record_order(timestamp: str, partition: str, offset: str) -> Column:
+    """A number that orders records by time, then partition, then offset."""
+    digits = F.concat(F.unix_millis(timestamp).cast("string"), F.lpad(F.col(partition).cast("string"), 5, "0"),
+                      F.lpad(F.col(offset).cast("string"), 19, "0"))
+    return digits.cast("decimal(38,0)")
+
+
 MESSAGE_FILE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
@@ -46,10 +54,9 @@ def message_stream(spark: SparkSession, fmt: str = "kafka", **options) -> DataFr
     r = spark.readStream.format(fmt)
     if fmt == "kafka":
         # offsets order one topic partition only: notices are ordered by record
-        # time, then by partition and offset
-        return r.options(**options).load().selectExpr(
-            "CAST(value AS STRING) AS value",
-            "unix_millis(timestamp) * 1000000 + pmod(partition, 1000) * 1000 + pmod(offset, 1000) AS msg_seq")
+        # time, then by partition and offset, which one decimal of 13 + 5 + 19 digits holds
+        return r.options(**options).load().select(F.col("value").cast("string").alias("value"),
+                                                  record_order("timestamp", "partition", "offset").alias("msg_seq"))
     path = options.pop("path")
     if fmt != "text":
         r = r.schema(options.pop("schema", MESSAGE_FILE_SCHEMA))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lookup, messages, sinks
 from ..operators import platform_items as pi
+from ..operators.keyed_tables import KeyedLog
 from ..plans.flagship import article_rows, unseen_items, with_items
 from ..schemas import OWN_TOPIC
 from ..sources import page_store as ps
@@ -29,21 +30,20 @@ from . import markers as mk
 TRIGGER_SECONDS = 3   # fixed value: micro-batch interval
 
 
-def snapshots(hits: DataFrame, seed_markers: DataFrame) -> DataFrame:
+def snapshots(hits: DataFrame) -> DataFrame:
     """Found pages -> one row per page snapshot for the marker state."""
     keep = ["msg_seq", "platform_id", "marker_kind", "needs_login", "page_url"]
     pages = with_items(hits, keep).select(*keep, "newest", F.to_json("items").alias("payload"))
-    return pages.join(seed_markers.select("page_url", F.col("last_key").alias("seed_key")), "page_url", "left") \
-        .select(*[F.col(f.name).cast(f.dataType) for f in mk.SNAPSHOT.fields])
+    return pages.select(*[F.col(f.name).cast(f.dataType) for f in mk.SNAPSHOT.fields])
 
 
-def pages_stream(notices: DataFrame, store: DataFrame, platforms: DataFrame, seed_markers: DataFrame) -> DataFrame:
+def pages_stream(notices: DataFrame, store: DataFrame, platforms: DataFrame) -> DataFrame:
     """Stateless part: every notice -> its page's snapshot (stream-static joins)."""
     good, _ = messages.parse(notices)
     routed, _ = messages.route(good, platforms)
     looked = lookup.lookup(routed, store)
     hits, _ = lookup.split_hits(looked, lookup.MISS_NULL_OR_EMPTY)
-    return snapshots(hits, seed_markers)
+    return snapshots(hits)
 
 
 def rejects(notices: DataFrame, platforms: DataFrame) -> DataFrame:
@@ -53,29 +53,37 @@ def rejects(notices: DataFrame, platforms: DataFrame) -> DataFrame:
     return bad.select("value", "reason").unionByName(unknown.select("value", "reason"))
 
 
-def new_items_stream(pages: DataFrame) -> DataFrame:
-    marked = pages.groupBy("page_url").applyInPandasWithState(
-        mk.step, mk.OUT_SCHEMA, mk.STATE_SCHEMA, "append", "NoTimeout")
+def new_items_stream(pages: DataFrame, seed_markers: DataFrame, ttl_ms: int) -> DataFrame:
+    marked = mk.with_markers(pages, seed_markers, ttl_ms)
     return unseen_items(marked.withColumn("items", F.from_json("payload", f"array<{pi.ITEM}>")))
 
 
-ARTICLE_KEYS = ["platform_id", "url"]
+DAY_MS = 24 * 3600 * 1000
+
+
+def written_articles(spark: SparkSession, out_dir: str) -> KeyedLog:
+    """The addresses of all articles written, by micro-batch: a batch reads the
+    buckets of its own addresses, of one snapshot and the batches after it."""
+    return KeyedLog(spark, f"{out_dir}/written", {"platform_id": "int", "url": "string"})
 
 
 def write_batch(out_dir: str, task_kafka: dict | None = None):
-    """foreachBatch sink: articles first (those not yet written, SNK5), then
-    tasks read back from the written files (SNK10 / SNK11 ordering). Tasks land
-    as text files, or go to Kafka when ``task_kafka`` holds the producer options
-    (``kafka.bootstrap.servers``, ``topic`` and, for the platforms with a topic
+    """foreachBatch sink: articles first (those not yet written, SNK5), then their
+    addresses, then tasks read back from the written files (SNK10 / SNK11 ordering).
+    A replayed batch sees what it saw the first time and overwrites its own folders.
+    Tasks land as text files, or go to Kafka when ``task_kafka`` holds the producer
+    options (``kafka.bootstrap.servers``, ``topic`` and, for the platforms with a topic
     of their own, ``own_topic``); the clock id is stamped here."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = (sinks.read_if_exists(spark, f"{out_dir}/articles", "platform_id int, url string, batch long")
-                .where(F.col("batch") < batch_id))   # a replayed batch sees what it saw the first time
+        log = written_articles(spark, out_dir)
+        rows = article_rows(batch).persist()   # asked for its buckets first, then written
         path = f"{out_dir}/articles/batch={batch_id}"
-        sinks.insert_if_absent(article_rows(batch), seen, ARTICLE_KEYS).write.mode("overwrite").parquet(path)
-        written = spark.read.parquet(path)
+        log.absent(rows, batch_id).write.mode("overwrite").parquet(path)
+        rows.unpersist()
+        written = spark.read.schema(rows.schema).parquet(path)
+        log.write(written.select("platform_id", "url"), batch_id)
         own = F.col("platform_id").isin(*OWN_TOPIC)
         if task_kafka:
             options = {k: v for k, v in task_kafka.items() if k not in ("topic", "own_topic")}
@@ -101,11 +109,12 @@ def start_rejects(notices: DataFrame, platforms: DataFrame, out_dir: str, checkp
 
 def start(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms: DataFrame,
           seed_markers: DataFrame, out_dir: str, checkpoint: str, available_now: bool = False,
-          task_kafka: dict | None = None):
-    new = new_items_stream(pages_stream(notices, store, platforms, seed_markers))
+          task_kafka: dict | None = None, ttl_days: float = mk.TTL_DAYS):
+    new = new_items_stream(pages_stream(notices, store, platforms), seed_markers, int(ttl_days * DAY_MS))
     w = (new.writeStream.foreachBatch(write_batch(out_dir, task_kafka)).option("checkpointLocation", checkpoint)
          .outputMode("append"))
-    return _trigger(w, available_now).start()
+    with mk.state_settings(spark):
+        return _trigger(w, available_now).start()
 
 
 # ---------------------------------------------------------------------------
@@ -118,7 +127,7 @@ def start(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms:
 # A micro-batch is bounded by the source option (maxFilesPerTrigger /
 # maxOffsetsPerTrigger), which bounds the keys and therefore the partitions read.
 # ---------------------------------------------------------------------------
-def lookup_stage_sink(store_path: str, platforms: DataFrame, seed_markers: DataFrame, pages_dir: str, buckets: int):
+def lookup_stage_sink(store_path: str, platforms: DataFrame, pages_dir: str, buckets: int):
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         good, _ = messages.parse(batch)
@@ -131,22 +140,23 @@ def lookup_stage_sink(store_path: str, platforms: DataFrame, seed_markers: DataF
         hits = (s.join(req, (F.col("_t") == F.col("key_name")) & (F.col("_b") == F.col("key_bucket"))
                        & (F.col("_k") == F.col("pos_name")))
                 .where(~lookup.is_miss(lookup.MISS_NULL_OR_EMPTY)))
-        snapshots(hits, seed_markers).write.mode("overwrite").parquet(f"{pages_dir}/batch={batch_id}")
+        snapshots(hits).write.mode("overwrite").parquet(f"{pages_dir}/batch={batch_id}")
         req.unpersist()
     return sink
 
 
 def start_two_stage(spark: SparkSession, notices: DataFrame, store_path: str, platforms: DataFrame,
                     seed_markers: DataFrame, work_dir: str, out_dir: str, buckets: int = ps.DEFAULT_BUCKETS,
-                    available_now: bool = False, task_kafka: dict | None = None):
+                    available_now: bool = False, task_kafka: dict | None = None, ttl_days: float = mk.TTL_DAYS):
     """Runs stage A then stage B; returns both queries (B last)."""
     pages_dir = f"{work_dir}/pages"
-    a = (notices.writeStream.foreachBatch(lookup_stage_sink(store_path, platforms, seed_markers, pages_dir, buckets))
+    a = (notices.writeStream.foreachBatch(lookup_stage_sink(store_path, platforms, pages_dir, buckets))
          .option("checkpointLocation", f"{work_dir}/ckpt_a"))
     qa = _trigger(a, available_now).start()
     if available_now:
         qa.awaitTermination()
     pages = spark.readStream.schema(mk.SNAPSHOT).parquet(pages_dir)
-    new = new_items_stream(pages.drop("batch"))
+    new = new_items_stream(pages.drop("batch"), seed_markers, int(ttl_days * DAY_MS))
     b = new.writeStream.foreachBatch(write_batch(out_dir, task_kafka)).option("checkpointLocation", f"{work_dir}/ckpt_b")
-    return qa, _trigger(b, available_now).start()
+    with mk.state_settings(spark):
+        return qa, _trigger(b, available_now).start()

@@ -21,12 +21,6 @@ def test_insert_if_absent(spark):
     assert sorted(r.url for r in sinks.insert_if_absent(incoming, existing, ["url"]).collect()) == ["u2", "u3"]
 
 
-def test_kv_put_last_write_wins(spark):
-    v = spark.createDataFrame([("k", "old", 1), ("k", "new", 5), ("j", "only", 2)], "key string, content string, ts int")
-    got = {r.key: r.content for r in sinks.kv_put(v, "key", "content", F.col("ts")).collect()}
-    assert got == {"k": "new", "j": "only"}
-
-
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 1000)), min_size=1, max_size=200, unique_by=lambda x: x[1]),
        st.integers(1, 4))
@@ -54,20 +48,6 @@ def test_article_views_prune_and_rename(spark, tmp_path):
     assert "PartitionFilters" in plan and "40004" in plan
 
 
-def test_versioned_table_update_put_and_replay(spark, tmp_path):
-    path = str(tmp_path / "t")
-    sinks.put_version(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path, 0)
-    upd = spark.createDataFrame([(2, None)], "k int, v string")
-    for _ in range(2):
-        sinks.update_table(spark, path, 1, upd, ["k"], ["v"])
-    assert {(r.k, r.v) for r in sinks.current(spark, path).collect()} == {(1, "a"), (2, None)}
-    assert {(r.k, r.v) for r in sinks.current(spark, path, 1).collect()} == {(1, "a"), (2, "b")}
-    kv = str(tmp_path / "kv")
-    for version, rows in ((0, [("x", "1", 5)]), (1, [("x", "0", 4), ("y", "2", 1)]), (1, [("x", "0", 4), ("y", "2", 1)])):
-        sinks.put_values(spark, kv, version, spark.createDataFrame(rows, "k string, v string, o int"), "k", "v", "o")
-    assert {(r.k, r.v) for r in sinks.current(spark, kv).collect()} == {("x", "1"), ("y", "2")}
-
-
 def test_page_store_pruning(spark, tmp_path):
     from feedlake.sources import page_store as ps
     pages = spark.createDataFrame([("40001", f"k{i}", f"http://a/{i}", f"<p>{i}</p>") for i in range(40)],

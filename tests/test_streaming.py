@@ -161,3 +161,53 @@ def test_many_micro_batches_equal_batch(spark):
     want = flagship.feed_increments(spark, d)
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def _walks(spark, root, batches, ttl_days=90, pause=0.0):
+    """One stream run per (notice number, items on the page); titles in the order written."""
+    import os
+    import time
+    os.makedirs(f"{root}/src")
+    titles = []
+    for n, (seq, items) in enumerate(batches):
+        _notice(f"{root}/src/{n}.json", seq)
+        notices = spark.readStream.schema("msg_seq long, value string").json(f"{root}/src")
+        seeds = spark.createDataFrame([("http://blog.example/7", "old")], "page_url string, last_key string")
+        feed.start(spark, notices, _store(spark, _page(items)), schemas.platforms(spark), seeds, f"{root}/out{n}",
+                   f"{root}/ck", available_now=True, ttl_days=ttl_days).awaitTermination()
+        titles.append(sorted(r.title for r in spark.read.schema("title string").parquet(f"{root}/out{n}/articles").collect()))
+        time.sleep(pause)
+    return titles
+
+
+def test_late_notice_moves_no_marker(spark):
+    """Number 5 arrives after 9: it yields nothing, and the next walk still stops at
+    the marker that 9 left."""
+    got = _walks(spark, tempfile.mkdtemp(prefix="feedlake-late-"),
+                 [(9, ["c", "b", "a", "old"]), (5, ["b", "a", "old"]), (12, ["d", "c", "b", "a"])])
+    assert got == [["a", "b", "c"], [], ["d"]]
+
+
+def test_marker_expires(spark):
+    """After its time to live a page has no marker, and all its items are new again."""
+    got = _walks(spark, tempfile.mkdtemp(prefix="feedlake-ttl-"), [(1, ["b", "a", "old"]), (2, ["b", "a"])],
+                 ttl_days=1 / 86400, pause=2.0)
+    assert got == [["a", "b"], ["a", "b"]]
+
+
+def test_walk_pairs_snapshots_in_order():
+    from feedlake.streaming.markers import walk
+    rows = [dict(msg_seq=s, marker_kind="url", newest=n) for s, n in ((3, "c"), (1, "a"), (2, None), (3, "again"))]
+    taken, seq, last = walk(rows, None, "seed")
+    assert [(r["msg_seq"], before) for r, before in taken] == [(1, "seed"), (2, "a"), (3, "a")]
+    assert (seq, last) == (3, "c")
+    assert walk(rows, 3, "c") == ([], 3, "c")
+
+
+def test_record_order(spark):
+    from feedlake.sources.tables import record_order
+    rows = [(1_700_000_000_000, 0, 999), (1_700_000_000_000, 0, 1000), (1_700_000_000_000, 1, 0), (1_700_000_000_001, 0, 3),
+            (1_700_000_000_001, 99_999, 2**63 - 1)]
+    df = spark.createDataFrame(rows, "ms long, p int, o long").selectExpr("timestamp_millis(ms) t", "p", "o")
+    got = [r.k for r in df.select(record_order("t", "p", "o").alias("k")).collect()]
+    assert got == sorted(set(got)) and None not in got
