@@ -4,13 +4,16 @@
    block element, with the line's text, its tags and the container it stands
    in. Scripts, styles, menus, page headers, footers, sidebars, notices,
    adverts, forms and reader comments (by element, role, or the last word of a
-   class or id) give no lines. By role, class or id, and as forms, they do where
-   the article is in them: see ``kept``.
+   class or id, numbers and joined words read) give no lines. By role, class or id, and
+   as forms, they do where the article is in them: see ``kept``. Inside an article or
+   main element a name skips no inline element and no heading, and of blocks only
+   adverts, reader comments and sign-ups; any other named block is judged, see 3.
 2. A line's ratio is its characters over its tags (at least one). The ratios are
    smoothed along the page by a Gaussian; lines whose smoothed ratio is at least
    the standard deviation of all smoothed ratios are content, which splits the
    page into content and other clusters.
-3. The region is the article or main element with the most content text; on
+3. The region is the article or main element with the most content text, with the
+   articles beside it (same parent) that are not mostly links; on
    pages without one, the container reached from the top by following the child
    that holds at least ``DOMINANT`` of the content text. All lines of the region
    are kept, also short ones between long ones (without article or main: not
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches
 
-SIGMA, RADIUS, DOMINANT, LINKS = 1.0, 2, 0.8, 0.5
+SIGMA, RADIUS, DOMINANT, LINKS, LIKE = 1.0, 2, 0.8, 0.5, 0.5
 
 # --- fixed values: names of HTML ---------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,50 +55,70 @@ SKIPPED_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising
     promotion banner nav navbar navigation menu menubar submenu breadcrumb breadcrumbs pagination pager toc header
     masthead topbar footer foot copyright sidebar aside rail widget widgets notice notices notification alert warning
     cookie cookies consent gdpr privacy popup modal overlay newsletter subscribe subscription signup login register
-    search form share sharing social related recommended comment comments commentlist respond reply replies disqus
-    discussion""".split())
+    search form share sharing social related recommended comment comments commentlist respond response responses reply
+    replies disqus discussion""".split())
 #: First words of a class that say what a page has, not what the element is.
 STATE_WORDS = frozenset(("has", "with", "no", "is", "without", "js", "category", "tag"))
 #: Last words that name a part or place; the word before them says what it is.
 PART_WORDS = frozenset("""container wrapper wrap area box list section block inner outer left right top bottom bar
-    button buttons link links item items group unit slot posts""".split())
+    button buttons link links item items group unit slot posts thread threads feed body x px""".split())
 #: Skipped words of layouts, which may stand around the whole article.
 LAYOUT_WORDS = frozenset("""sidebar aside rail header masthead topbar nav navbar navigation menu menubar widget widgets
     form search""".split())
 #: Skipped words of what can hold articles, or more text than the article, of its own.
 OTHER_TEXT = frozenset("""cookie cookies consent gdpr privacy popup modal overlay related recommended comment comments
-    commentlist respond reply replies disqus discussion""".split())
+    commentlist respond response responses reply replies disqus discussion""".split())
+#: Skipped words that also skip a block inside an article; beginnings of joined words.
+NEVER_ARTICLE = frozenset("""ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo
+    promotion comment comments commentlist respond response responses reply replies disqus discussion newsletter consent
+    gdpr signup subscribe""".split())
+JOINED = {"adsby": "ads", "adsense": "ads", "advert": "advert", "googlead": "ads", "comment": "comments", "disqus": "disqus"}
 #: Why an element is skipped: whatever it holds; unless a main element, an article,
 #: or most of the text is in it (each also for what stands before it).
 ALWAYS, MAIN_SAVES, ARTICLE_SAVES, SIZE_SAVES = 4, 3, 2, 1
+#: It is in an article and is judged by its lines.
+JUDGED = -1
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements whose start ends an open element of the same kind.
 _ENDS_OWN = frozenset("li dt dd tr td th option".split())
 
 
-def skipped(tag: str, attrs: list) -> int:
+def named_part(part: str) -> str | None:
+    """The skipped word that a class or id says of its element."""
+    words = [w.lower() for w in _WORDS.findall(part)]
+    if not words or words[0] in STATE_WORDS:
+        return None
+    while len(words) > 1 and words[-1] in PART_WORDS:
+        words.pop()
+    word = words[-1]
+    return next((v for k, v in JOINED.items() if word.startswith(k)), word if word in SKIPPED_WORDS else None)
+
+
+def skipped(tag: str, attrs: list, inside: bool = False, nested: bool = False) -> int:
     """Whether and why (0: not) an element holds no article text, by its name, role,
-    class or id."""
+    class or id; ``inside`` an article or main element, ``nested`` in an article."""
     why = SIZE_SAVES if tag == "form" else ALWAYS if tag in SKIPPED else 0
     if why == ALWAYS or not attrs or tag in ("html", "body", "main"):
         return why
-    named = tag not in MAIN and not is_main(tag, attrs)
+    named = tag not in MAIN and not is_main(tag, attrs) or nested and tag == "article"
     for name, value in attrs:
-        if name == "hidden":
+        if name == "hidden" or name == "style" and _HIDDEN.search(value or ""):
             return ALWAYS
-        if named and name == "role" and (value or "").lower() in SKIPPED_ROLES:
+        if not named or inside and (tag in INLINE or tag in HEADINGS):
+            continue
+        if name == "role" and (value or "").lower() in SKIPPED_ROLES:
             why = max(why, SIZE_SAVES if value.lower() in ("form", "search") else MAIN_SAVES)
-        if named and name in ("class", "id"):
-            for part in (value or "").split():
-                words = [w.lower() for w in _WORDS.findall(part)]
-                if not words or words[0] in STATE_WORDS:
+        if name in ("class", "id"):
+            for word in map(named_part, (value or "").split()):
+                if not word or tag == "article" and word not in OTHER_TEXT:
                     continue
-                while len(words) > 1 and words[-1] in PART_WORDS:
-                    words.pop()
-                if words[-1] in SKIPPED_WORDS:
-                    why = max(why, MAIN_SAVES if words[-1] in OTHER_TEXT else
-                              SIZE_SAVES if words[-1] in LAYOUT_WORDS else ARTICLE_SAVES)
+                if inside and word not in NEVER_ARTICLE:
+                    why = why or JUDGED
+                else:
+                    why = max(why, MAIN_SAVES if word in OTHER_TEXT else
+                              SIZE_SAVES if word in LAYOUT_WORDS else ARTICLE_SAVES)
     return why
 
 
@@ -113,6 +136,8 @@ class Lines(HTMLParser):
         self.parent = [-1]             # container numbers; 0 is the page
         self.is_main = [False]
         self.mains: set = set()        # containers of main elements (not of articles)
+        self.articles: set = set()     # containers of article elements
+        self.judged: list = []         # named containers inside an article
         self.doubt: dict = {}          # container -> why it may be skipped
         self.doubted: list = []        # open ones: place in the stack, counts before them
         self.off = 0                   # depth of the skipped element in the stack + 1
@@ -141,7 +166,11 @@ class Lines(HTMLParser):
             number = len(self.parent) - 1
             if main:
                 self.mains.add(number)
-            if why:
+            if tag == "article":
+                self.articles.add(number)
+            if why == JUDGED:
+                self.judged.append(number)
+            elif why:
                 self.doubt[number] = why
                 self.doubted.append((len(self.stack), self.tags, self.link_chars, self.links))
                 self.tags = self.link_chars = 0
@@ -171,10 +200,14 @@ class Lines(HTMLParser):
             self.heading = True
         if tag == "a":
             self.links += 1
-        inner_header = tag == "header" and any(self.is_main[n] for n in self.chain())
-        if inner_header:
+        inside = nested = False
+        if attrs or tag == "header":
+            for n in self.chain():
+                inside |= self.is_main[n]
+                nested |= n in self.articles
+        if inside and tag == "header":
             self.header = self.header or len(self.stack) + 1
-        why = 0 if inner_header else ALWAYS if tag == "header" else skipped(tag, attrs)
+        why = (0 if inside else ALWAYS) if tag == "header" else skipped(tag, attrs, inside, nested)
         if why:
             self.flush()
         self.push(tag, attrs, why if why < ALWAYS else 0)
@@ -355,8 +388,10 @@ def extract(html: str | None) -> str:
         if page.is_main[n] and not inside.get(p, False):
             tops.append(n)
     tops = [n for n in tops if n in held]
+    beside: set = set()
     if tops:
         region = max(tops, key=lambda n: (held[n], -n))
+        beside = {n for n in tops if page.parent[n] == page.parent[region]}
     else:
         region, children = 0, {}
         for n in held:
@@ -366,11 +401,27 @@ def extract(html: str | None) -> str:
             if best is None or held[best] < DOMINANT * held[region]:
                 break
             region = best
-    member = {}
+    member, block, judged = {}, {}, set(page.judged)  # container -> its part of the region; its outermost judged one
     for n, p in enumerate(page.parent):
-        member[n] = n == region or member.get(p, False)
+        member[n] = n if n == region or n in beside else member.get(p, -1)
+        block[n] = block.get(p, -1) if block.get(p, -1) >= 0 else n if n in judged else -1
+    sums: dict = {}  # (part of the region, judged block) -> lines, characters, tags, characters in links
+    for t, tags, linked, n in lines:
+        for of in {("part", member[n]), ("block", block[n])}:
+            sums[of] = [a + b for a, b in zip(sums.get(of, (0, 0, 0, 0)), (1, len(t), max(1, tags), linked))]
+    plain = [0, 0]
+    for t, tags, _, n in lines:
+        if member[n] >= 0 and block[n] < 0:
+            plain = [plain[0] + len(t), plain[1] + max(1, tags)]
+
+    def reads_like_it(n: int) -> bool:
+        count, chars, tags, linked = sums["block", n]
+        return not plain[1] or (count > 1 and linked <= LINKS * chars and chars / tags >= LIKE * plain[0] / plain[1])
+
+    parts = {n for n in {region, *beside} if n == region or sums.get(("part", n), [0, 0, 0, 1])[3] <= LINKS * sums["part", n][1]}
+    blocks = {-1} | {n for n in judged if ("block", n) in sums and reads_like_it(n)}
     return "\n".join(t for (t, _, linked, n), g in zip(lines, good)
-                     if member[n] and (tops or g or linked <= LINKS * len(t)))
+                     if member[n] in parts and block[n] in blocks and (tops or g or linked <= LINKS * len(t)))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -139,6 +139,44 @@ def test_long_rest_without_article_element(rest):
     assert extraction.extract(page) == text
 
 
+PARAGRAPHS = "<p>A first paragraph of the article, long enough to count.</p><p>A second one, which goes on as the first did.</p>"
+TWO = "A first paragraph of the article, long enough to count.\nA second one, which goes on as the first did."
+
+
+@pytest.mark.parametrize("part", ['<section class="privacy">%s</section>', '<section id="related">%s</section>',
+                                  '<div class="search">%s</div>', '<div class="warning"><div>%s</div></div>'])
+def test_named_parts_of_an_article_stay(part):
+    page = f"<article><h2 id='search'>Search</h2>{PARAGRAPHS}{part % PARAGRAPHS}<h3 id='warning'>Warning</h3><p>End.</p></article>"
+    assert extraction.extract(page) == f"Search\n{TWO}\n{TWO}\nWarning\nEnd."
+
+
+def test_inline_elements_of_an_article_stay():
+    page = f"<article>{PARAGRAPHS}<p>He read the <span class='ad'>advert</span> aloud, <a class='social' href='/x'>twice</a>.</p></article>"
+    assert extraction.extract(page) == TWO + "\nHe read the advert aloud, twice."
+
+
+@pytest.mark.parametrize("rest", [
+    '<div class="comment-thread">%s</div>', '<div class="user-responses">%s</div>', '<div class="ad-300x250">%s</div>',
+    '<ins class="adsbygoogle"><div class="adsbygoogle">%s</div></ins>', '<div style="display: none">%s</div>',
+    '<section class="comments">%s</section>', '<article class="comment">%s</article>', '<div class="newsletter-signup">%s</div>'])
+def test_rest_inside_an_article_goes(rest):
+    text = "<p>A reader or advertiser says a lot here, at length.</p><p>And goes on to say even more of it.</p>"
+    assert extraction.extract(f"<article>{PARAGRAPHS}{rest % text}</article>") == TWO
+
+
+@pytest.mark.parametrize("rest", [
+    '<div class="notice">We use cookies.</div>', '<p class="alert">Please log in.</p>',
+    '<div id="related"><p><a href="/1">One more story of ours to read</a></p><p><a href="/2">And one more story of ours</a></p></div>'])
+def test_named_blocks_that_do_not_read_like_the_article_go(rest):
+    assert extraction.extract(f"<article>{PARAGRAPHS}{rest}</article>") == TWO
+
+
+def test_sibling_articles_are_joined():
+    cards = '<article><a href="/1">Another story</a></article><div class="more"><article><p>A card elsewhere.</p></article></div>'
+    page = f"<body><div><article>{PARAGRAPHS}</article><article><p>Part two of it, shorter.</p></article>{cards}</div></body>"
+    assert extraction.extract(page) == TWO + "\nPart two of it, shorter."
+
+
 def test_long_page():
     page = "<article>" + "<p>some words of a paragraph</p>" * 20_000 + "</article>"
     assert extraction.extract(page).count("\n") == 19_999
