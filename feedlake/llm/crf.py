@@ -15,6 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 
 BLOCK = 128
+#: Numbers that are held at once: weights of a model; label pairs of a batch.
+MOST_WEIGHTS, MOST_PAIRS = 24_000_000, 4_000_000
 #: First squared gradient of AdaGrad: a smaller one lets rounding noise grow where gradients vanish.
 _FIRST = 0.1
 #: Longer letter runs are read as several words of this many letters.
@@ -48,9 +50,11 @@ class Model:
         return total[end] - total[end - np.array(sizes, np.int64)]
 
 
-def posteriors(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, block: int = BLOCK) -> np.ndarray:
+def posteriors(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, block: int | None = None) -> np.ndarray:
     """Label probabilities of every word; ``e`` holds the emission scores of the
-    words of all sequences one after the other, ``lengths`` (all above 0) their sizes."""
+    words of all sequences one after the other, ``lengths`` (all above 0) their sizes.
+    With many labels blocks are longer, as each holds a number for every pair of them."""
+    block = block or BLOCK * max(1, len(moves) ** 2 // 256)
     e = np.maximum(np.exp(e - e.max(axis=1, keepdims=True)), 1e-30)
     a = np.exp(moves - moves.max())
     size, labels = e.shape
@@ -105,8 +109,10 @@ def posteriors(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, block: int
 
 
 def train(sequences: list[tuple[list[str], list[int]]], labels: list, *, epochs: int = 10, batch: int = 32,
-          rate: float = 0.2, decay: float = 1e-4, seed: int = 7, lexicon_least: int = 2) -> Model:
-    """Fit weights and transitions on ``(words, label numbers)`` sequences."""
+          rate: float = 0.2, decay: float = 1e-4, seed: int = 7, lexicon_least: int = 2,
+          most_weights: int = MOST_WEIGHTS) -> Model:
+    """Fit weights and transitions on ``(words, label numbers)`` sequences. With more
+    than ``most_weights`` features x labels the features of the most words stay."""
     number: dict = {}
     words = [number.setdefault(w, len(number)) for ws, _ in sequences for w in ws]
     seen: dict = {}
@@ -116,10 +122,16 @@ def train(sequences: list[tuple[list[str], list[int]]], labels: list, *, epochs:
         f = features(w)
         per_word.append([seen.setdefault(x, len(seen)) for x in (f if counts[i] >= lexicon_least else f[1:])])
     nl = len(labels)
+    if len(seen) * nl > most_weights:
+        order = np.argsort(-np.bincount([j for f in per_word for j in f], minlength=len(seen)), kind="stable")
+        rank = {int(j): r for r, j in enumerate(order[:max(1, most_weights // nl)])}
+        seen = {x: rank[j] for x, j in seen.items() if j in rank}
+        per_word = [[rank[j] for j in f if j in rank] for f in per_word]
+    batch = max(1, min(batch, MOST_PAIRS // (64 * nl * nl) if nl else 1))
     model = Model(labels, seen, np.zeros((len(seen), nl)), np.zeros((nl, nl)))
     if not sequences:
         return model
-    flat = np.array([j for f in per_word for j in f])
+    flat = np.array([j for f in per_word for j in f], np.int64)
     size = np.array([len(f) for f in per_word])
     start = np.cumsum(size) - size
     w2, m2 = np.full(model.weights.shape, _FIRST), np.full((nl, nl), _FIRST)
@@ -140,8 +152,7 @@ def train(sequences: list[tuple[list[str], list[int]]], labels: list, *, epochs:
             # pairs of neighbours: expected counts from the one-word messages
             last = np.cumsum(length) - 1
             left = np.setdiff1d(np.arange(len(y)), last, assume_unique=True)
-            joint = _pairs(e, length, model.moves, left)
-            gm = joint.sum(axis=0)
+            gm = _pair_sum(e, length, model.moves, left)
             np.add.at(gm, (y[left], y[left + 1]), -1)
             p[np.arange(len(y)), y] -= 1
             ge = np.zeros_like(score)
@@ -158,8 +169,8 @@ def train(sequences: list[tuple[list[str], list[int]]], labels: list, *, epochs:
     return model
 
 
-def _pairs(e, lengths, moves, left):
-    """Joint probabilities of the labels of words ``left`` and ``left + 1``."""
+def _pair_sum(e, lengths, moves, left):
+    """Sum over ``left`` of the joint label probabilities of words ``left`` and ``left + 1``."""
     e = np.exp(e - e.max(axis=1, keepdims=True))
     a = np.exp(moves - moves.max())
     begin = np.cumsum(lengths) - lengths
@@ -178,5 +189,9 @@ def _pairs(e, lengths, moves, left):
         at = begin[:n] + t
         b = (e[at] * beta[at]) @ a.T
         beta[at - 1] = b / b.sum(axis=1, keepdims=True)
-    joint = alpha[left][:, :, None] * a * (e[left + 1] * beta[left + 1])[:, None, :]
-    return joint / joint.sum(axis=(1, 2), keepdims=True)
+    total, most = np.zeros_like(a), max(1, MOST_PAIRS // a.size)
+    for i in range(0, len(left), most):
+        at = left[i:i + most]
+        joint = alpha[at][:, :, None] * a * (e[at + 1] * beta[at + 1])[:, None, :]
+        total += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    return total

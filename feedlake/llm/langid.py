@@ -3,7 +3,7 @@
 Every word of a text gets label probabilities by forward-backward (``crf``), so
 code-switched text is labelled word by word. A document's language is the label
 with the largest weighted sum of probabilities, its score that sum's share. All
-words count; word i (from 0) weighs 1 / (1 + i / ``OPENING``), because a label
+words count; word i (from 0) weighs 1 / (1 + i / ``OPENING``), at least ``FLOOR``, because a label
 names the language a text sets out in rather than the one it may switch to.
 
 The model is learned from labelled documents: at most ``DOCS_PER_LANG`` rows of
@@ -33,13 +33,18 @@ from pyspark.sql.window import Window
 from .common import bounded_batches
 from .crf import LONGEST_WORD, Model, posteriors, train
 
-DOCS_PER_LANG, SNIPPET, MOST_LANGS = 300, 600, 256
-FOLDS, UNKNOWN, OPENING = 5, "und", 20
+#: The training sample: rows of a label, rows of all (at least one of each label), characters of a row.
+DOCS_PER_LANG, DOCS, SNIPPET = 300, 15_000, 600
+FOLDS, UNKNOWN = 5, "und"
+#: Word i weighs 1 / (1 + i / OPENING), at least FLOOR: all from 0.1 on do equally well on the training folds.
+OPENING, FLOOR = 20, 0.25
 _RUN = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
 #: Characters labelled together, and new words scored together.
 _CHARS, _FRESH = 1 << 19, 4096
 #: Entries of a task's word cache: memory (about 200 bytes each) for time.
 CACHE = 100_000
+#: Scores a task's cache holds at most, whatever the number of labels.
+MOST_SCORES = 8_000_000
 
 
 def fold(doc_id: Column) -> Column:
@@ -48,19 +53,21 @@ def fold(doc_id: Column) -> Column:
 
 
 def snippets(docs: DataFrame) -> DataFrame:
-    """``lang, snippet``: the bounded training sample, the ``DOCS_PER_LANG`` rows of
-    each label with the smallest hash. A first cut by the hash, at four times the
+    """``lang, snippet``: the bounded training sample, of each label the ``DOCS_PER_LANG``
+    rows with the smallest hash; fewer of each, at least one, if all were more than ``DOCS``. A first cut by the hash, at four times the
     share that is needed, leaves the ranking about that many rows at any scale."""
     at = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.char_length("text") - SNIPPET, F.lit(1)).cast("long"))
     rows = (bounded_batches(docs).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"),
                                          F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("h"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0)))
-    frequent = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS)
+    most = max(1, min(DOCS_PER_LANG, DOCS // max(1, rows.select("lang").distinct().count())))
+    count = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.col("h").cast("double") / 2.0**64 + 0.5
     order = Window.partitionBy("lang").orderBy("h", "snippet")
-    return (rows.join(F.broadcast(frequent), "lang").where(share < 4.0 * DOCS_PER_LANG / F.col("n"))
+    # few labels, many rows: the counts are small enough for Spark to broadcast, or AQE splits the join
+    return (rows.join(count, "lang").where(share < 4.0 * max(most, 8) / F.col("n"))
             .select("lang", "h", F.substring("text", at.cast("int") + 1, F.lit(SNIPPET)).alias("snippet"))
-            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= DOCS_PER_LANG).select("lang", "snippet"))
+            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("lang", "snippet"))
 
 
 def learn(docs: DataFrame, seed: int = 7) -> Model:
@@ -88,7 +95,7 @@ class Labeller:
     """Labels the words of texts, with a cache of emission scores by word."""
 
     def __init__(self, model: Model, cache: int = CACHE):
-        self.model, self.cache = model, cache
+        self.model, self.cache = model, min(cache, MOST_SCORES // max(1, len(model.labels)))
         self.clear()
 
     def clear(self):
@@ -144,7 +151,7 @@ class Labeller:
             p = posteriors(self.table[rows], length[some], self.model.moves)
             begin = np.cumsum(length[some]) - length[some]
             place = np.arange(len(p)) - np.repeat(begin, length[some])
-            weight = (1 / (1 + place / OPENING))[:, None]
+            weight = np.maximum(FLOOR, 1 / (1 + place / OPENING))[:, None]
             out[some] = np.add.reduceat(p * weight, begin, axis=0) / np.add.reduceat(weight, begin, axis=0)
         return out
 

@@ -66,6 +66,40 @@ def test_language_cases(spark):
     assert langid.identify(docs.limit(0)).count() == 0
 
 
+def test_long_text_with_a_foreign_opening(spark):
+    """The bulk of a text decides, not its first words."""
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    by = {r.lang: r.text for r in docs.where("length(text) > 1500").select("lang", "text").collect()}
+    a, b = sorted(by)[:2]
+    first, rest = by[a].split(), by[b].split()
+    text = " ".join((first * 9)[:300] + (rest * 99)[:3000])
+    model = langid.learn(docs)
+    share = langid.Labeller(model).shares([text, " ".join((first * 9)[:100] + (rest * 9)[:300])])
+    assert [model.labels[i] for i in share.argmax(axis=1)] == [b, b]
+
+
+def test_many_labels_are_all_learned(spark, monkeypatch):
+    """No label is left out, however many there are; the sample is bounded."""
+    word = lambda k: "".join(chr(97 + (k // 26 ** i) % 26) for i in range(3)) * 2
+    rows = [(i, " ".join([word(i % 40)] * 12), f"l{i % 40:03d}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "DOCS", 120)
+    sample = langid.snippets(docs).groupBy("lang").count().collect()
+    assert len(sample) == 40 and {r["count"] for r in sample} == {3}
+    model = langid.learn(docs)
+    got = langid.Labeller(model).shares([text for _, text, _ in rows[:40]]).argmax(axis=1)
+    assert np.mean([model.labels[k] == rows[i][2] for i, k in enumerate(got)]) > 0.95
+
+
+def test_fewer_weights_and_pair_slices(monkeypatch):
+    seqs = [(["chat", "sur", "une"], [0] * 3), (["the", "apple", "with"], [1] * 3)] * 20
+    whole = crf.train(seqs, ["fr", "en"])
+    monkeypatch.setattr(crf, "MOST_PAIRS", 64 * 4 * 32)
+    assert np.allclose(crf.train(seqs, ["fr", "en"]).weights, whole.weights)
+    small = crf.train(seqs, ["fr", "en"], most_weights=40)
+    assert small.weights.shape == (20, 2) and max(small.index.values()) == 19
+
+
 def test_op8_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "lang")
     got = queries.op8_language_id(spark, SF0001).join(docs, "doc_id").where("held_out").collect()
