@@ -7,10 +7,10 @@ returns a DataFrame that is written as Parquet and reread as the next stage's
 the table has); the last returns ``doc_id, n_tokens, ids``.
 
 Null, empty, repeated and clashing inputs have the results the operators define;
-beyond those: the first stage drops texts without a letter and texts of which no
-language has ``LEAST_SHARE`` of the words; a text of which substring dedup leaves nothing is dropped, one that
-it does not touch stays as it is, with its white space; ``n_chars`` follows a
-changed text.
+beyond those: the first stage drops what language ID rejects, texts without a letter,
+also where no row is labelled and nothing can be learned; a text of which substring
+dedup leaves nothing is dropped, one that it does not touch stays as it is, with its
+white space; ``n_chars`` follows a changed text.
 """
 from __future__ import annotations
 
@@ -21,16 +21,16 @@ from feedlake.llm import bpe, langid, mixing, simhash, substring
 from feedlake.llm.common import materialise, table
 from feedlake.llm.queries import RANKS
 
-#: Share of the words that the predicted language must have.
-LEAST_SHARE = 0.35
 #: Share of its input's tokens that the mixing stage keeps at least, in expectation.
 LEAST_KEPT = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language; texts that switch between two stay."""
-    label = langid.label_column(F.col("text").cast("string"), langid.learn(docs))
-    return docs.where(label["score"] >= LEAST_SHARE)
+    """Documents that have a language: all that hold a letter."""
+    text, model = F.col("text").cast("string"), langid.learn(docs)
+    if not model.labels:
+        return docs.where(F.regexp_like(text, F.lit(r"\p{L}")))
+    return docs.where(langid.label_column(text, model)["lang_pred"] != langid.UNKNOWN)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
