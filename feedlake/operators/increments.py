@@ -17,10 +17,11 @@ stored as rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import splittable_join
+from .keyed_tables import KeyedLog
 
 ORD = "_ord"
 CUT = "_cut"
@@ -143,8 +144,10 @@ def visited_new(candidates: DataFrame, visited: DataFrame, key: str) -> DataFram
     return candidates.dropDuplicates([key]).join(visited.select(key), key, "left_anti")
 
 
-def visited_add(visited: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    return visited.select(key).unionByName(new.select(key)).distinct()
+def visited_log(spark: SparkSession, path: str, keys: dict[str, str], **kw) -> KeyedLog:
+    """INC6 between runs: a visited set whose newest entry of a key decides. A run
+    writes what it took, with ``gone`` set for what failed and is to be taken again."""
+    return KeyedLog(spark, path, keys, {"gone": "boolean"}, removed="gone", **kw)
 
 
 # ---------------------------------------------------------------------------

@@ -32,8 +32,11 @@ from ..session import scratch_path
 from .joins import splittable_join
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+#: Scripts written without spaces between words: their runs are read as character bigrams.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]"
 SENTENCE = r"[^.!?\n]+[.!?]?"
 _TOKEN, _SENTENCE = regex.compile(r"[\p{L}\p{N}]+"), regex.compile(SENTENCE)
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]+")
 
 
 def _c(x) -> Column:
@@ -41,8 +44,29 @@ def _c(x) -> Column:
 
 
 def token_array(text) -> Column:
-    """NLP3: lower-case, split on non letter/digit runs, drop ''."""
-    return F.filter(F.split(F.lower(_c(text)), TOKEN_SPLIT), lambda t: t != "")
+    """NLP3: lower-case, split on non letter/digit runs, drop ''. A run of characters
+    of an unspaced script gives its bigrams (a single one itself)."""
+    low = F.lower(_c(text))
+    words = lambda t: F.filter(F.split(t, TOKEN_SPLIT), lambda x: x != "")
+
+    def bigrams(t: Column) -> Column:
+        n = F.length(t)
+        many = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(t, i, F.lit(2)))
+        return F.when(F.regexp_like(t, F.lit("^" + UNSPACED)) & (n > 1), many).otherwise(F.array(t))
+
+    apart = F.regexp_replace(low, f"({UNSPACED}+)", " $1 ")
+    return F.when(F.regexp_like(low, F.lit(UNSPACED)), F.flatten(F.transform(words(apart), bigrams))).otherwise(words(low))
+
+
+def tokens_of(text: str) -> list[str]:
+    """``token_array`` of one text."""
+    low = text.lower()
+    if not _UNSPACED.search(low):
+        return _TOKEN.findall(low)
+    out = []
+    for t in _TOKEN.findall(_UNSPACED.sub(lambda m: f" {m[0]} ", low)):
+        out += [t[i:i + 2] for i in range(len(t) - 1)] if len(t) > 1 and _UNSPACED.match(t) else [t]
+    return out
 
 
 def doc_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -68,7 +92,7 @@ def token_counts(text) -> Column:
 
 
 def _token_counts(texts: pa.Array) -> pa.Array:
-    found = [Counter(_TOKEN.findall((t.as_py() or "").lower())) for t in texts]
+    found = [Counter(tokens_of(t.as_py() or "")) for t in texts]
     ends = np.cumsum([0, *map(len, found)])
     rows = pa.StructArray.from_arrays(
         [pa.array([t for c in found for t in c], pa.string()), pa.array([n for c in found for n in c.values()], pa.int64())],
@@ -97,6 +121,70 @@ def dictionary_tags(tokens: DataFrame, dictionary: DataFrame, docs: DataFrame,
         id_col, *[F.coalesce(F.col(f), F.lit("")).alias(f) for f in FACETS])
 
 
+#: Bytes of phrases that every task may hold as an automaton; a larger dictionary is joined.
+MOST_PHRASE_BYTES = 32 << 20
+
+
+def phrase_hits(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                most_bytes: int = MOST_PHRASE_BYTES) -> DataFrame:
+    """NLP4 for terms of any number of words: ``doc, term`` (each pair once) where the
+    term's tokens follow each other in the text. A dictionary of up to ``most_bytes``
+    becomes one keyword automaton a task, which reads each text once; of a larger one
+    the texts' token runs of the terms' lengths are joined with the terms."""
+    spark = docs.sparkSession
+    terms = (dictionary.select("term", token_array("term").alias("ts")).where(F.size("ts") > 0)
+             .select("term", F.array_join("ts", " ").alias("key"), F.size("ts").alias("n")))
+    lengths, size = terms.agg(F.array_sort(F.collect_set("n")), F.sum(F.octet_length("key") + F.octet_length("term"))).first()
+    if not size:
+        return docs.select(id_col, F.lit(None).cast("string").alias("term")).where("false")
+    if size <= most_bytes:
+        by_key: dict = {}
+        for r in terms.collect():   # its size has just been checked
+            by_key.setdefault(r["key"], []).append(r["term"])
+        shared = spark.sparkContext.broadcast(by_key)
+        find = F.arrow_udf(lambda texts: _find_phrases(texts, shared.value), "array<string>")
+        return docs.select(id_col, F.explode(find(_c(text_col))).alias("term"))
+
+    def runs_of(n: int) -> Column:
+        """All runs of n tokens, joined by a space."""
+        starts = F.sequence(F.lit(1), F.size("ts") - (n - 1))
+        return F.when(F.size("ts") >= n, F.transform(starts, lambda i: F.array_join(F.slice("ts", i, n), " ")))
+
+    runs = [runs_of(n) for n in lengths]
+    grams = docs.select(id_col, token_array(text_col).alias("ts")).select(
+        id_col, F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*runs))))).alias("key"))
+    return splittable_join(grams, terms.select("key", "term"), ["key"]).select(id_col, "term").distinct()
+
+
+def _find_phrases(texts: pa.Array, by_key: dict) -> pa.Array:
+    import ahocorasick
+    automaton = _AUTOMATA.get(id(by_key))
+    if automaton is None:   # once a worker and dictionary
+        automaton = ahocorasick.Automaton()
+        for key, terms in by_key.items():
+            automaton.add_word(f" {key} ", terms)
+        automaton.make_automaton()
+        _AUTOMATA.clear()
+        _AUTOMATA[id(by_key)] = automaton
+    found = []
+    for t in texts:
+        words = " " + " ".join(tokens_of(t.as_py() or "")) + " "
+        found.append(sorted({term for _, terms in automaton.iter(words) for term in terms}))
+    return pa.array(found, pa.list_(pa.string()))
+
+
+_AUTOMATA: dict = {}
+
+
+def phrase_tags(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``dictionary_tags`` for terms of several words."""
+    hits = splittable_join(phrase_hits(docs, dictionary, id_col, text_col, **kw), dictionary.select("term", "facet"), ["term"])
+    agg = hits.groupBy(id_col).agg(*[
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("facet") == f, F.col("term")))), ",").alias(f) for f in FACETS])
+    return docs.select(id_col).join(agg, id_col, "left").select(
+        id_col, *[F.coalesce(F.col(f), F.lit("")).alias(f) for f in FACETS])
+
+
 # ---------------------------------------------------------------- naive Bayes
 def nb_train(tf: DataFrame, labels: DataFrame, label_col: str = "label",
              id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -178,7 +266,7 @@ def digest_of(text: str, k: int) -> str | None:
     """NLP1 re-aimed, for one text: score each sentence by the mean in-document
     count of its tokens (rounded to 6 places, halves up), keep the top ``k`` (ties
     by position), joined in text order by ' '. None when no sentence has a token."""
-    low = [(i, s, _TOKEN.findall(s.lower())) for i, s in enumerate(_SENTENCE.findall(text))]
+    low = [(i, s, tokens_of(s)) for i, s in enumerate(_SENTENCE.findall(text))]
     counts = Counter(t for _, _, ts in low for t in ts)
     scored = [(-math.floor(sum(counts[t] for t in ts) / len(ts) * 1e6 + 0.5), i, s) for i, s, ts in low if ts]
     best = sorted(sorted(scored)[:k], key=lambda x: x[1])

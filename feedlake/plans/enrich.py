@@ -48,16 +48,21 @@ def sentiment_model(docs: DataFrame, labels: DataFrame):
     return tx.nb_train(tx.term_counts(lab, keep=("label",)), lab.select("doc_id", "label"))
 
 
-def sentiment(ok: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """NLP6: (doc_id, sentiment): 'neg' -> 0, otherwise 1; empty digest -> -1."""
-    model, classes = sentiment_model(docs, labels)
+def sentiment_by(ok: DataFrame, model: DataFrame, classes: DataFrame) -> DataFrame:
+    """NLP6: (doc_id, sentiment): 'neg' -> 0, otherwise 1; empty digest -> -1; NULL
+    where the model has no classes to choose from."""
     full = ok.where(F.col("temp_digest") != "")
     pred = tx.nb_predict(tx.term_counts(full, text_col="temp_digest"), model, classes, full.select("doc_id"))
     value = (F.when(F.col("temp_digest") == "", F.lit(-1))
-             .when(F.col("predicted") == "neg", F.lit(0)).otherwise(F.lit(1)))
+             .when(F.col("predicted") == "neg", F.lit(0)).when(F.col("predicted").isNotNull(), F.lit(1)))
     return ok.join(pred, "doc_id", "left").select("doc_id", value.alias("sentiment"))
 
 
+def sentiment(ok: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """NLP6 with a model trained here."""
+    return sentiment_by(ok, *sentiment_model(docs, labels))
+
+
 def stock_strings(tagged: DataFrame, dictionary: DataFrame) -> DataFrame:
     """NLP7: (doc_id, stock): name=code pairs, cut 500 (tail dropped only when cut)."""
     known = dictionary.where(F.col("facet") == "stock").select(F.col("term").alias("name"), "aliases")
@@ -71,20 +76,31 @@ def article_url(doc_id="doc_id"):
     return F.concat(F.lit(schemas.URLS[40004]["blog"]), F.col(doc_id).cast("string"))
 
 
+def as_posts(docs: DataFrame) -> DataFrame:
+    """Documents as action posts: doc_id, url, title, news_time, text."""
+    return docs.select("doc_id", article_url().alias("url"), fn.before_first("text", "\n").alias("title"),
+                       (F.lit(1460000000000) + F.col("doc_id") * 60000).alias("news_time"), "text")
+
+
+def info_rows(ok: DataFrame, tagged: DataFrame, posts: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The article_info row: the whole digest, its cut and the stock pairs."""
+    return (ok.join(stock_strings(tagged, dictionary), "doc_id").join(posts.select("doc_id", "url"), "doc_id")
+            .select("doc_id", "url", "digest", "summary", "stock"))
+
+
+def news_rows(ok: DataFrame, tagged: DataFrame, senti: DataFrame, posts: DataFrame) -> DataFrame:
+    """The news_info row: the cut digest, the tag names and the sentiment. Its clock
+    column is added at the sink."""
+    rows = ok.join(tagged, "doc_id").join(senti, "doc_id").join(posts.drop("text"), "doc_id")
+    return rows.select(
+        F.lit(2).alias("type"), F.lit(40004).alias("platform"), "title", "url", "news_time",
+        "industry", "section", "stock", F.col("short_digest").alias("digest"), "summary", "sentiment",
+        F.lit(schemas.PLATFORMS[3][1]).alias("source"), "doc_id")
+
+
 def news(docs: DataFrame, labels: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """NLP8: -> (article_info rows, news_info rows). The article row has the
-    whole digest and the stock pairs, the news row the cut digest and the tag
-    names. The clock column of the news row is added at the sink."""
+    """NLP8: -> (article_info rows, news_info rows)."""
     ensure_checkpoint_dir(docs.sparkSession)
     ok = cuts(digests(docs)).checkpoint(eager=True)   # small; read by four branches
-    tagged = tags(ok, dictionary)
-    info = ok.join(stock_strings(tagged, dictionary), "doc_id").select(
-        "doc_id", article_url().alias("url"), "digest", "summary", "stock")
-    rows = (ok.join(tagged, "doc_id").join(sentiment(ok, docs, labels), "doc_id")
-            .join(docs.select("doc_id", fn.before_first("text", "\n").alias("title")), "doc_id"))
-    out = rows.select(
-        F.lit(2).alias("type"), F.lit(40004).alias("platform"), "title", article_url().alias("url"),
-        (F.lit(1460000000000) + F.col("doc_id") * 60000).alias("news_time"),
-        "industry", "section", "stock", F.col("short_digest").alias("digest"), "summary", "sentiment",
-        F.lit(schemas.PLATFORMS[3][1]).alias("source"), "doc_id")
-    return info, out
+    tagged, posts = tags(ok, dictionary), as_posts(docs)
+    return info_rows(ok, tagged, posts, dictionary), news_rows(ok, tagged, sentiment(ok, docs, labels), posts)

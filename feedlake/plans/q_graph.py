@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import graph, messages
+from ..operators import friend_lists, graph, messages
 from ..sources import graph as g
 from .oracle_common import crawl_task_sql
 from .registry import query
@@ -62,7 +62,7 @@ INFO_URL, FRIENDS_URL = schemas.URLS[40004]["user_info"], schemas.URLS[40004]["f
 
 
 @query("grf_two_edge_bfs", g.WITH + f""",
-lists AS (SELECT * FROM edges WHERE src % 7 <> 3),
+lists AS (SELECT * FROM edges WHERE src % 7 <> 3 AND src % 11 <> 5),
 bfs(user_id, hop) USING KEY (user_id) AS (
   SELECT user_id, 0 FROM seeds
   UNION
@@ -70,30 +70,28 @@ bfs(user_id, hop) USING KEY (user_id) AS (
   JOIN lists e ON e.src = b.user_id WHERE e.dst NOT IN (SELECT user_id FROM recurring.bfs) GROUP BY e.dst),
 v AS (SELECT user_id, hop, CAST(user_id AS VARCHAR) AS s FROM bfs)
 SELECT v.user_id, v.hop, (i.user_id IS NOT NULL) AS info_hit, (p.user_id IS NOT NULL) AS list_hit,
-       (p.user_id IS NOT NULL AND v.user_id NOT IN (SELECT src FROM lists)) AS empty_list,
+       (p.user_id IS NOT NULL AND v.user_id % 11 <> 5 AND v.user_id NOT IN (SELECT src FROM lists)) AS empty_list,
        CASE WHEN i.user_id IS NULL THEN {crawl_task_sql('40004', f"'{INFO_URL}' || s", '0')} END AS info_task,
-       {crawl_task_sql('40004', f"'{FRIENDS_URL}' || s", 'CASE WHEN p.user_id IS NULL THEN 0 ELSE 1 END')} AS list_task
+       {crawl_task_sql('40004', f"'{FRIENDS_URL}' || s", 'CASE WHEN p.user_id IS NULL THEN 0 WHEN v.user_id % 11 = 5 THEN 2 ELSE 1 END')} AS list_task
 FROM v LEFT JOIN has_info i USING (user_id) LEFT JOIN has_page p USING (user_id)""")
 def q_grf_two_edge_bfs(spark, d):
-    """GRF3: each friend yields an info lookup and a list lookup; a stored list
-    recurses and is acknowledged (1), also when it is empty (every seventh account
-    here has no friends); a miss of either kind becomes a task (0)."""
-    s, e, n, p = _inputs(spark, d)
-    e = e.where(F.col("src") % 7 != 3)
-    v = graph.expand(s, e, n, p)
+    """GRF3: each friend yields an info lookup and a list lookup; a stored list (XML)
+    recurses and is acknowledged (1), also when it is empty; one that cannot be parsed
+    is taken again (2); a miss of either kind becomes a task (0)."""
+    pages = g.friend_list_pages(spark, d)
+    e, status = friend_lists.parse(pages)
+    v = graph.expand(g.seeds(spark, d), e, g.nodes(spark, d), pages.select("user_id"))
     info = g.has_info(spark, d).withColumn("info_hit", F.lit(True))
-    has_friends = e.select(F.col("src").alias("user_id")).distinct().withColumn("_f", F.lit(True))
 
     def task(prefix, result):
         return messages.crawl_task(F.lit(40004), messages.build_url(prefix, "user_id"), result)
 
     hit = F.coalesce("info_hit", F.lit(False))
-    return (v.join(info, "user_id", "left").join(has_friends, "user_id", "left")
+    return (v.join(info, "user_id", "left").join(status, "user_id", "left")
             .select("user_id", "hop", hit.alias("info_hit"), F.col("has_page").alias("list_hit"),
-                    (F.col("has_page") & F.col("_f").isNull()).alias("empty_list"),
+                    F.coalesce((F.col("result") == schemas.RESULT_PARSED) & (F.col("total") == 0), F.lit(False)).alias("empty_list"),
                     F.when(~hit, task(INFO_URL, schemas.RESULT_CRAWL)).alias("info_task"),
-                    task(FRIENDS_URL, F.when(F.col("has_page"), schemas.RESULT_PARSED).otherwise(schemas.RESULT_CRAWL))
-                    .alias("list_task")))
+                    task(FRIENDS_URL, F.coalesce("result", F.lit(schemas.RESULT_CRAWL))).alias("list_task")))
 
 
 @query("grf_seeds", g.WITH.replace("WITH RECURSIVE", "WITH") + """

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import increments as inc
 from ..operators import messages
+from ..session import scratch_path
 from ..sources import standins
+from ..sources.tables import table
 from .registry import query
 
 W = standins.with_ctes("feed_events", "feed_markers")
@@ -115,6 +117,25 @@ def q_inc_visited(spark, d):
     return inc.visited_new(cand, visited, "user_id")
 
 
+@query("inc_visited_log", """
+WITH first AS (SELECT DISTINCT user_id FROM events WHERE event_id % 2 = 0)
+SELECT 0 AS run, user_id FROM first
+UNION ALL
+SELECT DISTINCT 1, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM first WHERE user_id % 5 <> 0)""")
+def q_inc_visited_log(spark, d):
+    """INC6 over two runs with removal: a run takes the candidates that are not in
+    the visited log; a page that fails (every fifth user of the first run) is taken
+    out of it again and comes back in the next run."""
+    events = table(spark, d, "events")
+    log = inc.visited_log(spark, scratch_path(spark, "visited"), {"user_id": "bigint"})
+    out = []
+    for run, candidates in enumerate((events.where("event_id % 2 = 0"), events)):
+        new = log.absent(candidates.select("user_id").distinct(), run)
+        log.write(new.withColumn("gone", (F.col("user_id") % 5 == 0) & F.lit(run == 0)), run)
+        out.append(log.rows(run + 1).where(F.col("run") == run).select(F.col("run").cast("int").alias("run"), "user_id"))
+    return out[0].unionByName(out[1])
+
+
 @query("inc_preload", standins.with_ctes("users") + f"""
 SELECT user_id, '{schemas.URLS[40001]['friend_list']}' || CAST(user_id AS VARCHAR) AS url FROM users""")
 def q_inc_preload(spark, d):

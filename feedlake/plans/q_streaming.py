@@ -11,11 +11,13 @@ from ..operators import lookup, messages
 from ..session import scratch_path
 from ..sources import standins
 from ..sources.tables import table
-from ..streaming import feed
-from . import flagship
+from ..sources.dictionaries_text import keyword_dictionary
+from ..streaming import enrichment, feed
+from . import enrich, flagship
 from .oracle_common import PARSED_SQL
 from .q_flagship import FLAGSHIP_SQL
 from .q_messages import W_ROUTED
+from .q_text import DIGEST_SQL, NEWS_SQL, STOCK_SQL, _with_unscorable
 from .registry import query
 
 NOTICE_SCHEMA = T.StructType([T.StructField("msg_seq", T.LongType()), T.StructField("value", T.StringType())])
@@ -81,6 +83,43 @@ def q_str_enrich(spark, d):
     return spark.read.parquet(out)
 
 
+UNSCORABLE_SQL = """documents AS (SELECT doc_id, text FROM documents UNION ALL
+  SELECT -1 - doc_id, regexp_replace(text, '[\\p{L}\\p{N}]', '-', 'g') FROM documents WHERE doc_id % 10 = 0)"""
+
+
+@query("str_enrich_news", "WITH " + UNSCORABLE_SQL + f""",
+news AS ({NEWS_SQL}),
+info AS (SELECT '{schemas.URLS[40004]['blog']}' || CAST(doc_id AS VARCHAR) AS url, stock AS stock_pairs FROM ({STOCK_SQL}) x),
+dgs AS (WITH {DIGEST_SQL} SELECT * FROM digests)
+SELECT n.url, n.title, n.news_time, n.industry, n.section, n.stock, n.digest, n.summary, n.sentiment, i.stock_pairs,
+       CAST(NULL AS VARCHAR) AS reason FROM news n JOIN info i USING (url)
+UNION ALL
+SELECT '{schemas.URLS[40004]['blog']}' || CAST(doc_id AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no_digest'
+FROM dgs WHERE temp_digest IS NULL""")
+def q_str_enrich_news(spark, d):
+    """NLP1-NLP9 + SNK11 behind the 40004 stream: posts over several micro-batches,
+    with a saved model and dictionary; article -> digest -> news, each from what was
+    written of the one before. Every tenth post comes once more without words (its
+    digest fails), and some posts come twice (written once)."""
+    docs = _with_unscorable(spark, d)
+    all_docs = table(spark, d, "documents")
+    models, out = scratch_path(spark, "models"), scratch_path(spark, "news_out")
+    model, classes = enrich.sentiment_model(all_docs, table(spark, d, "labels"))
+    enrichment.save_models(models, 1, model, classes, keyword_dictionary(spark, d))
+    land = scratch_path(spark, "posts")
+    posts = enrich.as_posts(docs)
+    for part in (0, 1):
+        again = (F.pmod(F.col("doc_id"), F.lit(2)) == part) | (F.pmod(F.col("doc_id"), F.lit(7)) == 0)
+        posts.where(again).write.mode("append").parquet(land)
+        _run(enrichment.start(spark.readStream.schema(enrichment.POST).parquet(land), models, out, f"{out}/ckpt", True))
+    read = lambda name: spark.read.parquet(f"{out}/{name}").drop("batch")
+    news = (read("news_info").join(read("article_info").select("url", F.col("stock").alias("stock_pairs")), "url")
+            .select("url", "title", "news_time", "industry", "section", "stock", "digest", "summary", "sentiment", "stock_pairs",
+                    F.lit(None).cast("string").alias("reason")))
+    bad = read("rejects").select(enrich.article_url().alias("url"), "reason")
+    return news.unionByName(bad, allowMissingColumns=True)
+
+
 @query("str_dedupe", """SELECT DISTINCT user_id, event_type, props FROM events""")
 def q_str_dedupe(spark, d):
     """STR5: replay-safe de-duplication on the event stream over several
@@ -90,16 +129,14 @@ def q_str_dedupe(spark, d):
     returned: which duplicate survives is not specified)."""
     ev = table(spark, d, "events")
     land = scratch_path(spark, "events")
-    for part in (0, 1, 2, 0):
-        ev.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(land)
-    st = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(land)
     out, ck = scratch_path(spark, "dedupe"), scratch_path(spark, "dedupe_ckpt")
-    st = st.withColumn("ets", F.col("ts").cast("timestamp"))
-    dd = (st.withWatermark("ets", "3650 days").dropDuplicatesWithinWatermark(["user_id", "event_type", "props"])
-          .select("user_id", "event_type", "props"))
-    q = (dd.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    _run(q)
+    for part in (0, 1, 2, 0):   # what each landing adds is a micro-batch of its own, in as many files as Spark writes
+        ev.where(F.col("event_id") % 3 == part).write.mode("append").parquet(land)
+        st = spark.readStream.schema(ev.schema).parquet(land).withColumn("ets", F.col("ts").cast("timestamp"))
+        dd = (st.withWatermark("ets", "3650 days").dropDuplicatesWithinWatermark(["user_id", "event_type", "props"])
+              .select("user_id", "event_type", "props"))
+        _run(dd.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
     return spark.read.parquet(out)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import text as tx
-from ..sources.dictionaries_text import KEYWORD_SQL, keyword_dictionary
+from ..sources.dictionaries_text import KEYWORD_SQL, PHRASE_SQL, keyword_dictionary, phrase_dictionary
 from ..sources.tables import table
 from . import enrich
 from .registry import query
@@ -90,6 +90,40 @@ def q_nlp_dictionary_tags(spark, d):
     return tx.dictionary_tags(tx.doc_tokens(docs), keyword_dictionary(spark, d), docs)
 
 
+@query("nlp_phrase_tags", f"""
+WITH w AS (SELECT doc_id, ' ' || array_to_string(list_filter(regexp_split_to_array(lower(text), '{TS}'), lambda x: x <> ''), ' ')
+             || ' ' AS words FROM documents),
+kd AS ({PHRASE_SQL}),
+hits AS (SELECT doc_id, term, facet FROM w JOIN kd ON contains(words, ' ' || term || ' ')),
+agg AS (SELECT doc_id,
+  array_to_string(list_sort(list(term) FILTER (WHERE facet = 'stock')), ',') AS stock,
+  array_to_string(list_sort(list(term) FILTER (WHERE facet = 'industry')), ',') AS industry,
+  array_to_string(list_sort(list(term) FILTER (WHERE facet = 'section')), ',') AS section FROM hits GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a.stock, '') AS stock, coalesce(a.industry, '') AS industry, coalesce(a.section, '') AS section
+FROM documents d LEFT JOIN agg a USING (doc_id)""")
+def q_nlp_phrase_tags(spark, d):
+    """NLP4: the facets of two-word terms, by a keyword automaton."""
+    return tx.phrase_tags(table(spark, d, "documents").select("doc_id", "text"), phrase_dictionary(spark, d))
+
+
+#: A character of the unspaced scripts for each letter, to write documents in them.
+LETTERS, HAN = "abcdefghijklmnopqrstuvwxyz", "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收ひかカタ"
+
+
+@query("nlp_tokens_unspaced", f"""
+WITH c AS (SELECT doc_id, translate(lower(text), '{LETTERS}', '{HAN}') AS text FROM documents),
+r AS (SELECT doc_id, unnest(regexp_split_to_array(
+  regexp_replace(text, '([\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}]+)', ' \\1 ', 'g'), '{TS}')) AS t FROM c),
+b AS (SELECT doc_id, CASE WHEN regexp_matches(t, '^[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}]') AND length(t) > 1
+  THEN list_transform(range(1, length(t)), lambda i: substring(t, i, 2)) ELSE [t] END AS ts FROM r WHERE t <> '')
+SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM (SELECT doc_id, unnest(ts) AS token FROM b) GROUP BY token""")
+def q_nlp_tokens_unspaced(spark, d):
+    """NLP3 on texts in scripts without spaces (the documents, their letters a-z as
+    characters of such scripts; accented letters and digits stay): character bigrams."""
+    docs = table(spark, d, "documents").select("doc_id", F.translate(F.lower("text"), LETTERS, HAN).alias("text"))
+    return tx.doc_tokens(docs).groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
 def _lang_model(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label"))
     return docs, tx.nb_train(tx.term_counts(docs, keep=("label",)), docs.select("doc_id", "label"))

@@ -26,3 +26,20 @@ KEYWORD_SQL = f"""
   FROM (SELECT DISTINCT term FROM (
           SELECT unnest(regexp_split_to_array(lower(text), '{TOKEN_SPLIT}')) AS term FROM benchmark) t
         WHERE term <> '' AND length(term) >= 4) u"""
+
+
+def phrase_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    """Terms of two words: neighbouring tokens of the ``benchmark`` texts; the facet by
+    the term's length, as above."""
+    b = table(spark, d, "benchmark").select(token_array("text").alias("t")).where(F.size("t") > 1)
+    pair = F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.concat_ws(" ", F.slice("t", i, 2)))
+    t = b.select(F.explode(pair).alias("term")).distinct()
+    facet = F.element_at(F.array(*[F.lit(f) for f in FACETS]), (F.length("term") % 3 + 1).cast("int"))
+    return t.select("term", facet.alias("facet"))
+
+
+PHRASE_SQL = f"""
+  SELECT DISTINCT term, ['stock', 'industry', 'section'][length(term) % 3 + 1] AS facet FROM (
+    SELECT t[i] || ' ' || t[i + 1] AS term FROM (
+      SELECT t, unnest(range(1, len(t))) AS i FROM (
+        SELECT list_filter(regexp_split_to_array(lower(text), '{TOKEN_SPLIT}'), lambda x: x <> '') AS t FROM benchmark)))"""

@@ -37,6 +37,18 @@ def has_info(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where(F.col("nation") % 2 == 0).select("user_id")
 
 
+def friend_list_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Landed friend lists ``user_id, xml`` of the accounts whose list was crawled:
+    every seventh account has no friends, every eleventh list is cut short."""
+    of = edges(spark, d).groupBy("src").agg(F.array_sort(F.collect_set("dst")).alias("f")).withColumnRenamed("src", "user_id")
+    rows = has_page(spark, d).join(of, "user_id", "left")
+    f = F.when((F.col("user_id") % 7 == 3) | F.col("f").isNull(), F.array().cast("array<bigint>")).otherwise(F.col("f"))
+    xml = F.concat(F.lit('<root total="'), F.size(f).cast("string"), F.lit('">'), F.array_join(F.transform(
+        f, lambda x: F.concat(F.lit('<keyword userID="'), x.cast("string"), F.lit('" userName="n"/>'))), ""), F.lit("</root>"))
+    cut = F.substring(xml, F.lit(1), F.length(xml) - 5)
+    return rows.select("user_id", F.when(F.col("user_id") % 11 == 5, cut).otherwise(xml).alias("xml"))
+
+
 def seeds(spark: SparkSession, d: str) -> DataFrame:
     n = nodes(spark, d).join(has_page(spark, d), "user_id", "left_semi")
     return n.agg(F.max_by("user_id", F.struct("followers", "user_id")).alias("user_id")) \
