@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import dates
 from ..functions.urls import after_marker, last_segment
+from ..session import bound_batches
 from . import messages
-from .platform_pages import page_items
+from .platform_pages import page_items, walked
 
 # Tags, classes and ids of the pages; see platform_pages.SPECS.
 BLOG_ARTICLE = {40002: {
@@ -46,8 +47,7 @@ READ_UNIT = "次"
 
 def _walked(pages: DataFrame, platform: int, specs: dict) -> DataFrame:
     """``pages(id, page_url, html)`` -> ``id, page_url, pos, x`` (map of raw fields)."""
-    found = page_items(pages, platform, "id", "html", specs).withColumnRenamed("fields", "x")
-    return found.join(pages.select("id", "page_url"), "id")
+    return page_items(pages, platform, "id", "html", specs, keep=("page_url",)).withColumnRenamed("fields", "x")
 
 
 def _x(name: str) -> Column:
@@ -102,18 +102,21 @@ def paid_articles(pages: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:
 def blog_table(pages: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:
     """FEED8: rows of a 40004 blog table without its head and foot row, up to
     the first row that does not parse; that row's place carries the recrawl task."""
-    w = _walked(pages, 40004, BLOG_TABLE)
-    cells = F.coalesce(F.from_json(_x("cells"), "array<string>"), F.array().cast("array<string>"))
-    counts = F.split(F.get(cells, F.size(cells) - 2), "/")
-    read, comments = F.get(counts, F.lit(0)).try_cast("int"), F.get(counts, F.lit(1)).try_cast("int")
-    ts = dates.string_to_millis(F.get(cells, F.size(cells) - 1), dates.FMT_DAY, zone)
-    rows = w.select("id", "page_url", "pos", _x("title").alias("title"), _x("href").alias("href"),
-                    _x("icon").contains(RECOMMEND_ICON).alias("recommend"), read.alias("read_count"),
-                    comments.alias("comment_count"), ts.alias("ts"))
-    # the rows of one page are together: one page is one table
-    page = (rows.groupBy("id", "page_url").agg(F.array_sort(F.collect_list(
-        F.struct("pos", "title", "href", "recommend", "read_count", "comment_count", "ts"))).alias("r"))
-        .withColumn("r", F.slice("r", F.lit(2), F.greatest(F.size("r") - 2, F.lit(0)))))
+    bound_batches(pages.sparkSession)
+
+    def row(x: Column, pos: Column) -> Column:
+        at = lambda name: F.try_element_at(x, F.lit(name))
+        cells = F.coalesce(F.from_json(at("cells"), "array<string>"), F.array().cast("array<string>"))
+        counts = F.split(F.get(cells, F.size(cells) - 2), "/")
+        return F.struct(pos.alias("pos"), at("title").alias("title"), at("href").alias("href"),
+                        at("icon").contains(RECOMMEND_ICON).alias("recommend"),
+                        F.get(counts, F.lit(0)).try_cast("int").alias("read_count"),
+                        F.get(counts, F.lit(1)).try_cast("int").alias("comment_count"),
+                        dates.string_to_millis(F.get(cells, F.size(cells) - 1), dates.FMT_DAY, zone).alias("ts"))
+
+    page = (pages.select("page_url", walked(F.col("html").cast("string"), BLOG_TABLE[40004]).alias("xs"))
+            .withColumn("r", F.transform("xs", row))
+            .withColumn("r", F.slice("r", F.lit(2), F.greatest(F.size("r") - 2, F.lit(0)))))
     fine = F.transform("r", lambda r: r["title"].isNotNull() & r["recommend"].isNotNull() & r["read_count"].isNotNull()
                        & r["comment_count"].isNotNull() & r["ts"].isNotNull())
     stop = F.array_position(fine, False)

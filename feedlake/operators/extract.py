@@ -95,3 +95,10 @@ def status_doc(html) -> Column:
     """40001 page -> ``{"statuses": [...]}`` JSON text from its script."""
     return F.concat(F.lit('{"statuses":'),
                     between(last_script_with(html, STATUS_START), STATUS_START, STATUS_END), F.lit("}"))
+
+
+def list_page_count(html: Column) -> Column:
+    """The number of list pages from the label of the first one (after its first two
+    characters); 1 without a label."""
+    label = F.trim(F.regexp_extract(html, r'class="CoRed"[^>]*>([^<]*)<', 1))
+    return F.coalesce(F.substring(label, 3, 20).try_cast("int"), F.lit(1))

@@ -1,6 +1,6 @@
 """Item extraction from the platforms' class-scoped HTML pages.
 
-One ``mapInPandas`` walker (standard-library ``html.parser``) driven by a
+One Arrow walker (standard-library ``html.parser``) driven by a
 per-platform spec: an item block selected by tag and classes (optionally
 inside an ancestor with a class), and named fields inside each item taken
 as text, an attribute, a count or a list, by occurrence. The walker emits
@@ -11,16 +11,16 @@ expressions. Page order is kept in ``pos``; cover cards come first.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import dates
 from ..functions.urls import after_marker, last_segment
+from ..session import bound_batches
 
 VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "embed", "source", "wbr"}
 
@@ -87,7 +87,6 @@ PROFILE_SPECS = {
     },
 }
 MOER_HOST, WEIBO_HOST, PERMALINK_MARK = schemas.MOER_HOST, schemas.WEIBO_HOST, schemas.PERMALINK_MARK
-OUT_SCHEMA = "id LONG, pos INT, fields MAP<STRING, STRING>"
 
 
 def _classes(attrs) -> set[str]:
@@ -221,22 +220,25 @@ def items_of(platform_id: int | None, html: str | None) -> list:
     return _items(spec, html) if spec else []
 
 
-def _walk(spec):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for pid, html in zip(b["id"].tolist(), b["html"].tolist()):
-                for pos, item in enumerate(_items(spec, html)):
-                    rows.append((pid, pos, item))
-            yield pd.DataFrame(rows, columns=["id", "pos", "fields"])
-    return run
+def walked(html: Column, spec: dict) -> Column:
+    """Array of the raw fields of each item of a page, in page order."""
+
+    @F.arrow_udf("array<map<string,string>>")
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([[list(x.items()) for x in _items(spec, h.as_py())] for h in pages],
+                        pa.list_(pa.map_(pa.string(), pa.string())))
+
+    return run(html)
 
 
 def page_items(pages: DataFrame, platform_id: int, id_col: str = "page_id", html_col: str = "html",
-               specs: dict | None = None) -> DataFrame:
-    """(id, pos, fields) per item of each page, for one platform's spec."""
-    p = pages.select(pages[id_col].cast("long").alias("id"), pages[html_col].alias("html"))
-    return p.mapInPandas(_walk((specs or SPECS)[platform_id]), OUT_SCHEMA)
+               specs: dict | None = None, keep: tuple = ()) -> DataFrame:
+    """(id, kept columns, pos, fields) per item of each page, for one platform's spec.
+    Every row of ``pages`` is a page of its own, also when ids repeat; the html ends
+    here. Pages go to Python in batches of bounded bytes."""
+    bound_batches(pages.sparkSession)
+    return pages.select(F.col(id_col).cast("long").alias("id"), *keep,
+                        F.posexplode(walked(F.col(html_col).cast("string"), (specs or SPECS)[platform_id])).alias("pos", "fields"))
 
 
 def profile_40002(items: DataFrame, page_url: Column) -> DataFrame:

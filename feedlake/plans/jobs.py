@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import schemas
 from ..operators import extract, lookup, messages, relational as rel, sinks, text as tx
+from ..operators.article_pages import blog_articles, blog_links, blog_table
 from ..operators.joins import splittable_join
+from ..operators.platform_pages import PROFILE_SPECS, page_items, profile_40002
+from ..operators.profiles import vip_info
 
 K = schemas.TOPK_ARTICLES
 
@@ -116,75 +119,68 @@ def _profile_hits(t, users: DataFrame):
     return lk, miss
 
 
+def _lookup_pages(t: Inputs, users: DataFrame, prefix: str) -> tuple[DataFrame, Column]:
+    """Users -> the page at ``prefix`` + user id (``page_url, url, html``) and the miss rule."""
+    asked = users.select("user_id", messages.build_url(prefix, "user_id").alias("page_url"))
+    found = lookup.lookup_by_url(asked, t.pages, "page_url", ("url", "html"), prefix="")
+    return found, lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url="url", html="html")
+
+
+def _task(platform: int, result: int) -> Column:
+    return messages.crawl_task(F.lit(platform), "page_url", result).alias("task")
+
+
 def vip_home(t: Inputs) -> DataFrame:
-    """JOB6: VIP candidates -> home page -> profile (name, intro, vip badge)
-    or crawl task."""
+    """JOB6: VIP candidates -> home page -> profile (PROF1) or crawl task."""
     cand = rel.one_row_per_key(
         t.user_rows.where((F.col("followers_count") > schemas.FOLLOWER_GATE_VIP) | F.col("vip")),
         "user_id", [F.col("followers_count"), F.col("vip"), -F.col("row_id")]).select("user_id")
-    lk, miss = _profile_hits(t, cand)
-    home = messages.build_url(schemas.URLS[40002]["home_page"], "user_id")
-    return lk.select("user_id",
-                     F.when(~miss, extract.title("page_html")).alias("name"),
-                     F.when(~miss, F.regexp_count("page_html", F.lit("<b>")) > 0).alias("vip"),
-                     F.when(miss, messages.crawl_task(F.lit(40002), home, schemas.RESULT_CRAWL)).alias("task"))
+    lk, miss = _lookup_pages(t, cand, schemas.URLS[40002]["home_page"])
+    hits = page_items(lk.where(~miss), 40002, "user_id", "html", PROFILE_SPECS, keep=("page_url",))
+    tasks = lk.where(miss).select(F.col("user_id").cast("string").alias("user_id"), _task(40002, schemas.RESULT_CRAWL))
+    return profile_40002(hits, F.col("page_url")).drop("id").unionByName(tasks, allowMissingColumns=True)
 
 
 def blog_pages(t: Inputs, month: str = "2016-05") -> DataFrame:
-    """JOB7: VIP users -> list page -> page count label (items on the page)
-    -> list pages 2..N -> each looked up: month links counted, or a crawl
-    task (month is a parameter, Q13)."""
-    v = t.users.where("vip").select("user_id")
-    lk, miss = _profile_hits(t, v)
-    n = lk.where(~miss).select("user_id", F.size(extract.list_items("page_html")).alias("n_pages"))
-    r = messages.page_range(n, F.lit(2), F.col("n_pages"))
-    pages = r.select("user_id", F.col("page_no").cast("int").alias("page_no"),
-                     F.concat(F.lit(schemas.URLS[40002]["article_list"]), F.col("user_id").cast("string"),
-                              F.lit("/"), F.col("page_no").cast("string")).alias("url"))
-    # each list page is looked up: a stored page yields its links of the month
-    # (FEED11), a missing one a crawl task
-    lk = lookup.lookup_by_url(pages, t.pages, "url", ("html",))
-    miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None)
-    links = F.filter(extract.list_items("page_html"), lambda x: x["text"].contains(month))
-    return lk.select("user_id", "page_no", "url",
-                     F.when(~miss, F.size(links)).alias("month_links"),
-                     F.when(miss, messages.crawl_task(F.lit(40002), "url", schemas.RESULT_CRAWL)).alias("task"))
+    """JOB7: VIP users -> first list page -> number of list pages -> list pages 2..N
+    -> their links of the month (FEED11) -> article pages -> article rows (ART6). A
+    page that is missing at any step gives its crawl task; a first list page that was
+    read is acknowledged."""
+    first, miss = _lookup_pages(t, t.users.where("vip"), schemas.URLS[40002]["article_list"])
+    n = extract.list_page_count(F.col("html"))
+    lists = first.where(~miss).select("user_id", "page_url", n.alias("n"))
+    acks = first.select("page_url", messages.crawl_task(
+        F.lit(40002), "page_url", F.when(miss, schemas.RESULT_CRAWL).otherwise(schemas.RESULT_PARSED)).alias("task"))
+    asked = messages.page_range(lists, F.lit(2), F.col("n")).select(
+        "user_id", F.concat("page_url", F.lit("?page="), F.col("page_no").cast("string")).alias("page_url"))
+    more = lookup.lookup_by_url(asked, t.pages, "page_url", ("url", "html"), prefix="")
+    links = blog_links(more.where(~miss).withColumnRenamed("user_id", "id"), month).select(F.col("url").alias("page_url")).distinct()
+    arts = lookup.lookup_by_url(links, t.pages, "page_url", ("url", "html"), prefix="")
+    rows = blog_articles(arts.where(~miss).withColumn("id", F.lit(0)), month)
+    tasks = (acks.unionByName(more.where(miss).select("page_url", _task(40002, schemas.RESULT_CRAWL)))
+             .unionByName(arts.where(miss).select("page_url", _task(40002, schemas.RESULT_CRAWL))))
+    return rows.unionByName(tasks, allowMissingColumns=True)
 
 
 def vip_fill(t: Inputs) -> DataFrame:
-    """JOB8: NOT IN candidates -> info page -> profile or task."""
+    """JOB8: NOT IN candidates -> info document -> profile (PROF8); a missing document
+    or one that is no JSON gives a crawl task."""
     rows = t.user_rows.where(
         (F.col("recommend") > 6) | (F.col("marrow") > 0) | (F.col("vip_level") > 0))
     v = t.users.where("vip").select("user_id")
     cand = rel.not_in(t.spark, rows, v, "user_id").select("user_id").distinct()
-    lk, miss = _profile_hits(t, cand)
-    info = messages.build_url(schemas.URLS[40004]["user_info"], "user_id")
-    return lk.select("user_id",
-                     F.when(~miss, extract.title("page_html")).alias("name"),
-                     F.when(~miss, F.size(extract.paragraphs("page_html"))).alias("fans"),
-                     F.when(miss, messages.crawl_task(F.lit(40004), info, schemas.RESULT_CRAWL)).alias("task"))
-
-
-def _rows_minus_ends(lk: DataFrame, miss) -> DataFrame:
-    hits = lk.where(~miss).select("user_id", extract.paragraphs("page_html").alias("rows"))
-    ex = hits.select("user_id", F.size("rows").alias("n"), F.posexplode("rows").alias("pos", "row"))
-    return ex.where((F.col("pos") > 0) & (F.col("pos") < F.col("n") - 1)).select(
-        "user_id", F.col("pos").cast("int").alias("pos"),
-        extract.text_of("row").alias("title"))
+    lk, miss = _lookup_pages(t, cand, schemas.URLS[40004]["user_info"])
+    bad = miss | F.try_parse_json("html").isNull()
+    tasks = lk.where(bad).select(F.col("user_id").cast("string").alias("user_id"), _task(40004, schemas.RESULT_CRAWL))
+    return vip_info(lk.where(~bad), "html").unionByName(tasks, allowMissingColumns=True)
 
 
 def article_fill(t: Inputs) -> DataFrame:
-    """JOB9: distinct VIP users -> blog page -> rows minus header and footer
-    (FEED8) or recrawl task."""
+    """JOB9: distinct VIP users -> blog page -> its rows (FEED8) or recrawl task."""
     v = t.user_rows.where("vip").select("user_id").distinct()
-    lk, miss = _profile_hits(t, v)
-    items = _rows_minus_ends(lk, miss)
-    blog = messages.build_url(schemas.URLS[40004]["blog"], "user_id")
-    tasks = lk.where(miss).select("user_id", messages.crawl_task(F.lit(40004), blog, schemas.RESULT_RECRAWL)
-                                  .alias("task"))
-    return items.withColumn("task", F.lit(None).cast("string")).unionByName(
-        tasks.select("user_id", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("title"),
-                     "task"))
+    lk, miss = _lookup_pages(t, v, schemas.URLS[40004]["blog"])
+    tasks = lk.where(miss).select("page_url", _task(40004, schemas.RESULT_RECRAWL))
+    return blog_table(lk.where(~miss)).unionByName(tasks, allowMissingColumns=True)
 
 
 def missing_articles(t: Inputs) -> DataFrame:

@@ -1,10 +1,13 @@
 """Proof queries: batch jobs (JOB1-JOB14)."""
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..sources import standins
+from ..sources.site_pages import site_pages
 from ..sources.tables import table
 from . import jobs
 from .oracle_common import LI_HREF, LI_TEXT, crawl_task_sql
@@ -35,6 +38,11 @@ def _inputs(spark, d) -> jobs.Inputs:
             F.lit('{"count":'), F.col("s_acctbal").cast("bigint").cast("string"), F.lit("}")).alias("body")))
 
 
+def _site_inputs(spark, d) -> jobs.Inputs:
+    """The same with the platforms' own pages as the page table."""
+    return replace(_inputs(spark, d), pages=site_pages(spark, d))
+
+
 def profile_lk(cand: str) -> str:
     return (f"SELECT c.user_id, s.url AS page_url, s.html AS page_html FROM {cand} c "
             f"LEFT JOIN profile_index i USING (user_id) LEFT JOIN page_store s ON s.page_id = i.page_id")
@@ -91,67 +99,84 @@ def q_job_materialise(spark, d):
     return jobs.materialise(_inputs(spark, d))
 
 
+def _null(*types: str) -> str:
+    return ", ".join(f"CAST(NULL AS {t})" for t in types)
+
+
+BLOG, HOME, LISTS = (schemas.URLS[p][k] for p, k in ((40004, "blog"), (40002, "home_page"), (40002, "article_list")))
+INFO, IMAGE = schemas.URLS[40004]["user_info"], schemas.URLS[40004]["image"]
+
+
 @query("job_vip_home", W + f""",
 cand AS (SELECT DISTINCT user_id FROM user_rows WHERE followers_count > 500 OR vip),
-lk AS ({profile_lk('cand')})
-SELECT user_id, CASE WHEN NOT {MISS} THEN {TITLE.format(h='page_html')} END AS name,
-       CASE WHEN NOT {MISS} THEN strpos(page_html, '<b>') > 0 END AS vip,
-       CASE WHEN {MISS} THEN {crawl_task_sql("40002", _lit(schemas.URLS[40002]['home_page']) + " || CAST(user_id AS VARCHAR)", "0")} END AS task
-FROM lk""")
+lk AS (SELECT c.user_id, u.name, u.segment, '{HOME}' || CAST(c.user_id AS VARCHAR) AS page_url,
+         u.user_id IS NULL OR c.user_id % 5 = 4 AS miss FROM cand c LEFT JOIN users u USING (user_id))
+SELECT CAST(user_id AS VARCHAR) AS user_id, name, 'likes ' || segment AS introduction, user_id % 3 = 0 AS vip,
+       CAST(NULL AS VARCHAR) AS task FROM lk WHERE NOT miss
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), {_null('VARCHAR', 'VARCHAR', 'BOOLEAN')}, {crawl_task_sql('40002', 'page_url', '0')} FROM lk WHERE miss""")
 def q_job_vip_home(spark, d):
-    """JOB6."""
-    return jobs.vip_home(_inputs(spark, d))
+    """JOB6 through PROF1."""
+    return jobs.vip_home(_site_inputs(spark, d))
 
 
 @query("job_blog_pages", W + f""",
-cand AS (SELECT user_id FROM users WHERE vip),
-lk AS ({profile_lk('cand')}),
-n AS (SELECT user_id, len(regexp_extract_all(page_html, {LI_HREF}, 1)) AS n_pages FROM lk WHERE NOT {MISS}),
-pg AS (SELECT user_id, CAST(page_no AS INTEGER) AS page_no,
-       {_lit(schemas.URLS[40002]['article_list'])} || CAST(user_id AS VARCHAR) || '/' || CAST(page_no AS VARCHAR) AS url
-       FROM (SELECT user_id, unnest(range(2, n_pages + 1)) AS page_no FROM n) t)
-SELECT pg.user_id, pg.page_no, pg.url,
-  CASE WHEN s.html IS NULL OR s.html = '' THEN NULL
-       ELSE CAST(len(list_filter(regexp_extract_all(s.html, {LI_TEXT}, 1), lambda t: contains(t, '2016-05'))) AS INTEGER)
-  END AS month_links,
-  CASE WHEN s.html IS NULL OR s.html = '' THEN {crawl_task_sql('40002', 'pg.url', '0')} END AS task
-FROM pg LEFT JOIN page_store s ON s.row_key = pg.url""")
+lk AS (SELECT *, CAST(user_id AS VARCHAR) AS s, '{LISTS}' || CAST(user_id AS VARCHAR) AS first, user_id % 7 = 6 AS miss FROM users WHERE vip),
+more AS (SELECT *, first || '?page=' || CAST(page AS VARCHAR) AS list, (user_id + page) % 5 = 0 AS gone
+         FROM (SELECT *, unnest(range(2, user_id % 4 + 2)) AS page FROM lk WHERE NOT miss) t),
+art AS (SELECT *, '{HOME}' || s || '/article/' || CAST(page * 10 + k AS VARCHAR) AS page_url, (user_id + k) % 4 = 3 AS lost,
+          user_id % 17 = 0 OR user_id % 11 = 0 AS bad
+        FROM (SELECT *, unnest(range((user_id + page) % 3)) AS k FROM more WHERE NOT gone) t WHERE (user_id + page + k) % 3 = 1)
+SELECT page_url, CASE WHEN NOT bad THEN s END AS user_id, CASE WHEN NOT bad THEN name END AS title,
+  CASE WHEN NOT bad THEN user_id % 2 = 0 END AS recommend, CASE WHEN NOT bad THEN '2016-05-11 10:00' END AS time,
+  CASE WHEN NOT bad THEN CAST(user_id % 13 AS INTEGER) END AS reposts, CASE WHEN NOT bad THEN CAST(user_id % 7 AS INTEGER) END AS comments,
+  CASE WHEN bad THEN {crawl_task_sql('40002', 'page_url', '0')} END AS task FROM art WHERE NOT lost
+UNION ALL
+SELECT page_url, {_null('VARCHAR', 'VARCHAR', 'BOOLEAN', 'VARCHAR', 'INTEGER', 'INTEGER')}, {crawl_task_sql('40002', 'page_url', 'result')}
+FROM (SELECT first AS page_url, CASE WHEN miss THEN 0 ELSE 1 END AS result FROM lk
+      UNION ALL SELECT list, 0 FROM more WHERE gone UNION ALL SELECT page_url, 0 FROM art WHERE lost) x""")
 def q_job_blog_pages(spark, d):
-    """JOB7."""
-    return jobs.blog_pages(_inputs(spark, d))
+    """JOB7 through FEED11 and ART6."""
+    return jobs.blog_pages(_site_inputs(spark, d))
 
 
 @query("job_vip_fill", W + f""",
 cand AS (SELECT DISTINCT user_id FROM user_rows WHERE (recommend > 6 OR marrow > 0 OR vip_level > 0)
          AND user_id NOT IN (SELECT user_id FROM users WHERE vip)),
-lk AS ({profile_lk('cand')})
-SELECT user_id, CASE WHEN NOT {MISS} THEN {TITLE.format(h='page_html')} END AS name,
-       CASE WHEN NOT {MISS} THEN CAST(len(regexp_extract_all(page_html, '<p>(.*?)</p>', 1)) AS INTEGER) END AS fans,
-       CASE WHEN {MISS} THEN {crawl_task_sql("40004", _lit(schemas.URLS[40004]['user_info']) + " || CAST(user_id AS VARCHAR)", "0")} END AS task
-FROM lk""")
+lk AS (SELECT c.user_id, CAST(c.user_id AS VARCHAR) AS s, '{INFO}' || CAST(c.user_id AS VARCHAR) AS page_url, u.* EXCLUDE (user_id),
+         u.user_id IS NULL OR c.user_id % 6 = 5 OR c.user_id % 11 = 0 AS miss FROM cand c LEFT JOIN users u USING (user_id))
+SELECT s AS user_id, name, CAST(followers_count AS INTEGER) AS followers_count, 'p' || CAST(nation_key AS VARCHAR) AS introduction,
+  CAST(CASE WHEN nation_key % 4 <> 0 THEN nation_key % 5 ELSE 0 END AS INTEGER) AS marrow,
+  CAST(CASE WHEN nation_key % 5 <> 0 THEN nation_key ELSE 0 END AS INTEGER) AS recommend,
+  CAST(CASE WHEN nation_key % 3 <> 0 THEN nation_key % 2 ELSE 0 END AS INTEGER) AS vip,
+  '{BLOG}' || s AS home_page, '{IMAGE}' || 'r' || CAST(nation_key AS VARCHAR) AS portrait, CAST(NULL AS VARCHAR) AS task
+FROM lk WHERE NOT miss
+UNION ALL
+SELECT s, {_null('VARCHAR', 'INTEGER', 'VARCHAR', 'INTEGER', 'INTEGER', 'INTEGER', 'VARCHAR', 'VARCHAR')},
+  {crawl_task_sql('40004', 'page_url', '0')} FROM lk WHERE miss""")
 def q_job_vip_fill(spark, d):
-    """JOB8."""
-    return jobs.vip_fill(_inputs(spark, d))
-
-
-ROWS_SQL = """
-rows AS (SELECT user_id, regexp_extract_all(page_html, '<p>(.*?)</p>', 1) AS r FROM lk WHERE NOT {miss}),
-ex AS (SELECT user_id, len(r) AS n, unnest(range(len(r))) AS pos, unnest(r) AS row FROM rows)"""
+    """JOB8 through PROF8."""
+    return jobs.vip_fill(_site_inputs(spark, d))
 
 
 @query("job_article_fill", W + f""",
 cand AS (SELECT DISTINCT user_id FROM user_rows WHERE vip),
-lk AS ({profile_lk('cand')}),
-{ROWS_SQL.format(miss=MISS)}
-SELECT user_id, CAST(pos AS INTEGER) AS pos, regexp_replace(row, '<[^>]*>', '', 'g') AS title,
-       CAST(NULL AS VARCHAR) AS task
-FROM ex WHERE pos > 0 AND pos < n - 1
+lk AS (SELECT c.user_id, CAST(c.user_id AS VARCHAR) AS s, '{BLOG}' || CAST(c.user_id AS VARCHAR) AS page_url, u.name,
+         u.user_id IS NULL OR c.user_id % 5 = 3 AS miss FROM cand c LEFT JOIN users u USING (user_id)),
+ex AS (SELECT *, user_id % 6 = 0 AND i = 2 AS bad FROM (SELECT *, unnest(range(1, user_id % 5 + 1)) AS i FROM lk WHERE NOT miss) t)
+SELECT page_url, CAST(i AS INTEGER) AS pos, CASE WHEN NOT bad THEN s END AS user_id,
+  CASE WHEN NOT bad THEN 'title ' || CAST(i AS VARCHAR) || ' of ' || name END AS title,
+  CASE WHEN NOT bad THEN 'http://www.taoguba.com.cn/Article/' || s || '/' || CAST(i AS VARCHAR) END AS url,
+  CASE WHEN NOT bad THEN i % 2 = 0 END AS recommend, CASE WHEN NOT bad THEN CAST(user_id AS INTEGER) END AS read_count,
+  CASE WHEN NOT bad THEN CAST(i AS INTEGER) END AS comment_count, CASE WHEN NOT bad THEN 1468425600000 END AS ts,
+  CASE WHEN bad THEN {crawl_task_sql('40004', 'page_url', '2')} END AS task
+FROM ex WHERE user_id % 6 <> 0 OR i <= 2
 UNION ALL
-SELECT user_id, NULL, NULL, {crawl_task_sql("40004", _lit(schemas.URLS[40004]['blog']) + " || CAST(user_id AS VARCHAR)", "2")}
-FROM lk WHERE {MISS}""")
+SELECT page_url, {_null('INTEGER', 'VARCHAR', 'VARCHAR', 'VARCHAR', 'BOOLEAN', 'INTEGER', 'INTEGER', 'BIGINT')},
+  {crawl_task_sql('40004', 'page_url', '2')} FROM lk WHERE miss""")
 def q_job_article_fill(spark, d):
-    """JOB9."""
-    return jobs.article_fill(_inputs(spark, d))
+    """JOB9 through FEED8."""
+    return jobs.article_fill(_site_inputs(spark, d))
 
 
 @query("job_missing_articles", W + f""",

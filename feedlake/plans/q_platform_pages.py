@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import article_pages as ap
 from ..operators import platform_pages as pp
+from ..sources import site_pages as site
 from ..sources import standins
 from .oracle_common import crawl_task_sql
 from .registry import query
@@ -34,11 +35,8 @@ def _cat(*parts):
 SELECT CAST(user_id AS VARCHAR) AS user_id, name, 'likes ' || segment AS introduction, user_id % 3 = 0 AS vip FROM users""")
 def q_prof_page_40002(spark, d):
     """PROF1 through a blog home page."""
-    uid, s = _ids()
-    html = _cat('<html><div class="BloggerName"><strong>', F.col("name"), '</strong></div><p id="BlogNameLoad">  likes ',
-                F.col("segment"), " </p>", F.when(uid % 3 == 0, '<i class="ApproveIco"></i>').otherwise(""), "</html>")
-    p = _pages(spark, d, _cat(schemas.URLS[40002]["home_page"], s), html)
-    x = pp.page_items(p, 40002, "id", "html", pp.PROFILE_SPECS).join(p.select("id", "page_url"), "id")
+    p = _pages(spark, d, _cat(schemas.URLS[40002]["home_page"], _ids()[1]), site.blog_home_html())
+    x = pp.page_items(p, 40002, "id", "html", pp.PROFILE_SPECS, keep=("page_url",))
     return pp.profile_40002(x, F.col("page_url")).drop("id")
 
 
@@ -59,7 +57,7 @@ def q_prof_page_40003(spark, d):
                 '</b><table class="anthor_left_bottom"><tr><td>a</td></tr><tr><td>b</td></tr><tr><td>c</td></tr><tr><td>writes on ',
                 F.col("segment"), "</td></tr></table></html>")
     p = _pages(spark, d, _cat(schemas.URLS[40003]["author"], s), html)
-    x = pp.page_items(p, 40003, "id", "html", pp.PROFILE_SPECS).join(p.select("id", "page_url"), "id")
+    x = pp.page_items(p, 40003, "id", "html", pp.PROFILE_SPECS, keep=("page_url",))
     return pp.profile_40003(x, F.col("page_url")).drop("id")
 
 
@@ -90,11 +88,7 @@ def q_art_page_40002(spark, d):
     """ART6 through article pages: other months give nothing, a page without
     title or with a bad counter gives a recrawl task."""
     uid, s = _ids()
-    html = _cat('<html><div class="ArticleBox NewArtbox">', F.when(uid % 17 == 0, "").otherwise(_cat("<h1><a>", F.col("name"), "</a></h1>")),
-                "</div>", F.when(uid % 2 == 0, '<i class="Recom"></i>').otherwise(""), '<span class="MBTime"> ',
-                F.when(uid % 5 == 0, "2016-04-30 10:00").otherwise("2016-05-02 10:00"), ' </span><b id="transshipmentnum">',
-                F.when(uid % 11 == 0, "?").otherwise((uid % 13).cast("string")), '</b><b id="ArticleCommentNum">', (uid % 7).cast("string"),
-                "</b></html>")
+    html = site.blog_article_html(F.when(uid % 5 == 0, "2016-04-30 10:00").otherwise("2016-05-02 10:00"))
     return ap.blog_articles(_pages(spark, d, _cat(schemas.URLS[40002]["home_page"], s, "/article/9"), html), MONTH)
 
 
@@ -131,13 +125,6 @@ WHERE user_id % 6 <> 0 OR i <= 2""")
 def q_feed_blog_table(spark, d):
     """FEED8 through blog tables: head and foot row left out, every field of a
     row, recrawl task where a row does not parse."""
-    uid, s = _ids()
-    def row(k):
-        counts = F.when((uid % 6 == 0) & (k == 2), F.lit("-")).otherwise(_cat(s, "/", k.cast("string")))
-        return _cat('<tr><td><img src="/img/', F.when(k % 2 == 0, "icon43.gif").otherwise("icon1.gif"), '"></td><td><a href="Article/', s,
-                    "/", k.cast("string"), '" title="title ', k.cast("string"), " of ", F.col("name"), '">t</a></td><td>', counts,
-                    "</td><td>2016-07-14</td></tr>")
-    i = F.when(uid % 5 > 0, F.sequence(F.lit(1).cast("long"), uid % 5)).otherwise(F.array().cast("array<bigint>"))
-    html = _cat('<html><table class="blogtable"><tr><td>head</td></tr>', F.array_join(F.transform(i, row), ""),
-                "<tr><td>foot</td></tr></table></html>")
+    html = site.blog_table_html()
+    s = _ids()[1]
     return ap.blog_table(_pages(spark, d, _cat(schemas.URLS[40004]["blog"], s), html))

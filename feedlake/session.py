@@ -64,3 +64,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def utc(spark: SparkSession) -> None:
     """Pin the session zone; every clock-free result is then zone-stable."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def bound_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Rows go to Python in batches of bounded bytes, whatever the length of their
+    texts; a size the deployment has set stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
