@@ -102,3 +102,12 @@ def list_page_count(html: Column) -> Column:
     characters); 1 without a label."""
     label = F.trim(F.regexp_extract(html, r'class="CoRed"[^>]*>([^<]*)<', 1))
     return F.coalesce(F.substring(label, 3, 20).try_cast("int"), F.lit(1))
+
+
+def status_text(html: Column) -> Column:
+    """The status document of a 40001 home page: what the last script that holds it
+    assigns, without the closing ';'."""
+    mark = F.lit(STATUS_START.strip())
+    script = last_script_with(html, STATUS_START.strip())
+    body = F.split_part(F.split_part(script, F.lit("SNB.data.statusType ="), F.lit(1)), mark, F.lit(2))
+    return F.regexp_replace(F.trim(body), r";\s*$", "")

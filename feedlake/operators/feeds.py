@@ -41,6 +41,13 @@ def status_items(pages: DataFrame, keep: list[str]) -> DataFrame:
         F.coalesce(F.is_variant_null(rt), F.lit(False)).alias("is_original"))
 
 
+def status_rows(items: DataFrame) -> DataFrame:
+    """FEED7: every status of a page: NULL title -> '', address by id, time in seconds."""
+    return items.select("page_url", "id", F.coalesce("title", F.lit("")).alias("title"),
+                        F.concat(F.lit(schemas.URLS[40001]["status"]), F.col("id").cast("string")).alias("url"),
+                        F.floor(F.col("created_at") / 1000).cast("bigint").alias("ts_s"), "user_id", "retweet", "reply")
+
+
 def short_headline(title: Column, description: Column) -> Column:
     """FEED4a: NULL title -> first 30 chars of the description; else the
     title with tags stripped."""

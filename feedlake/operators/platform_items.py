@@ -54,10 +54,7 @@ def status_items(html: Column) -> Column:
     page_title = extract.title(html)
     owner = F.when(F.instr(page_title, schemas.OWNER_MARK) > 0,
                    F.concat(F.split_part(page_title, mark, F.lit(1)), F.lit(schemas.TITLE_SUFFIX))).otherwise("")
-    script = extract.last_script_with(html, extract.STATUS_START.strip())
-    body = F.split_part(F.split_part(script, F.lit("SNB.data.statusType ="), F.lit(1)),
-                        F.lit(extract.STATUS_START.strip()), F.lit(2))
-    doc = F.try_parse_json(F.regexp_replace(F.trim(body), r";\s*$", ""))
+    doc = F.try_parse_json(extract.status_text(html))
     get = F.try_variant_get
 
     def one(s):

@@ -6,9 +6,8 @@ per row. Here every step is a DataFrame job over exploded tokens:
   tokens      split on non letter/digit runs, lower-cased (NLP3)
   stop words  the corpus' k most frequent tokens (bounded k -> broadcast)
   tags        token x dictionary join, per-facet sorted sets (NLP4)
-  naive Bayes counts per (class, token) as the model; scoring is a sparse
-              join of document tokens with the model plus a per-class
-              constant from a scalar subquery (NLP5, NLP6)
+  naive Bayes counts per (class, token) as the model; scoring joins document
+              tokens with one row of class weights a token (NLP5, NLP6)
   digest      sentence scores from document term counts, top-k per
               document, rejoined in text order (NLP1)
 
@@ -221,7 +220,9 @@ def nb_train(tf: DataFrame, labels: DataFrame, label_col: str = "label",
     return model, classes
 
 
-_T = "\u0000T"   # marker entry: counts a document's in-vocabulary tokens
+#: Bytes of token weights that every task may hold; larger ones are joined by a shuffle.
+MOST_WEIGHT_BYTES = 64 << 20
+MOST_CLASSES = 512
 
 
 def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFrame,
@@ -230,35 +231,37 @@ def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFr
     sum_t tf * ln(n_ct + 1)`` where ``T_d`` counts the document's
     in-vocabulary tokens.
 
-    One join: term counts x (token -> [(class, ln(n+1))..., (T, 1)]), the
-    per-token list bounded by the number of classes. Sums per (doc, class)
-    are combined map-side; per document the class sums become a map and all
-    class scores are formed with higher-order functions against the class
-    constants (a scalar subquery: one small array computed once). Every
-    document gets a score (documents without a known token score by prior).
-    Ties -> smallest label."""
-    w = (model.groupBy("token")
-         .agg(F.collect_list(F.struct(F.col(label_col).cast("string").alias("c"),
-                                      F.ln(F.col("n") + 1).alias("w"))).alias("ws"))
-         .select("token", F.concat("ws", F.array(F.struct(F.lit(_T).alias("c"), F.lit(1.0).alias("w"))))
-                 .alias("ws")))
-    # a common token occurs in almost every document: keep it splittable
-    contrib = (splittable_join(tf, w, ["token"])
-               .select(id_col, F.explode("ws").alias("e"), "tf")
-               .select(id_col, F.col("e.c").alias("c"), (F.col("tf") * F.col("e.w")).alias("s")))
-    every = docs.select(id_col, F.lit(_T).alias("c"), F.lit(0.0).alias("s"))
-    sums = contrib.unionByName(every).groupBy(id_col, "c").agg(F.sum("s").alias("s"))
-    per_doc = sums.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("c", "s"))).alias("m"))
-    cls = classes.agg(F.collect_list(F.struct(F.col(label_col).cast("string").alias("c"), "log_prior",
-                                              "log_norm")).alias("cls")).scalar()
-    per_doc = per_doc.select(id_col, "m", cls.alias("cls"))   # evaluate the subquery once, outside lambdas
-    m = F.col("m")
-    t_doc = F.coalesce(F.element_at(m, F.lit(_T)), F.lit(0.0))
-    scored = F.transform("cls", lambda k: F.struct(
-        (-(k["log_prior"] - t_doc * k["log_norm"] + F.coalesce(F.try_element_at(m, k["c"]), F.lit(0.0))))
-        .alias("ns"), k["c"].alias("c")))
+    The model becomes one row a token with an array of its class weights, written so
+    that its size is known: up to ``MOST_WEIGHT_BYTES`` it is broadcast and no token
+    count is shuffled; a larger one meets the counts in a join AQE can split. One
+    aggregate sums all classes of a document, combined map-side. The classes (at most
+    ``MOST_CLASSES``; name and two numbers each) are literals of the plan. Every
+    document gets a score (documents without a known token score by prior; without
+    classes there is none: NULL). Ties -> smallest label."""
+    spark = docs.sparkSession
+    rows = classes.where(F.col(label_col).isNotNull()).select(F.col(label_col).cast("string").alias("c"), "log_prior", "log_norm") \
+        .limit(MOST_CLASSES + 1).collect()
+    if len(rows) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
+    if not rows:
+        return docs.select(id_col, F.lit(None).cast("string").alias("predicted"), F.lit(None).cast("double").alias("score"))
+    rows.sort(key=lambda r: r["c"])
+    by_class = F.map_from_entries(F.collect_list(F.struct(F.col(label_col).cast("string"), F.ln(F.col("n") + 1))))
+    each = F.transform(F.array(*[F.lit(r["c"]) for r in rows]), lambda c: F.coalesce(F.try_element_at(F.col("m"), c), F.lit(0.0)))
+    w = model.where(F.col(label_col).isNotNull()).groupBy("token").agg(by_class.alias("m")).select("token", each.alias("ws"))
+    path = scratch_path(spark, "nb-weights")
+    w.write.parquet(path)
+    w = spark.read.schema(w.schema).parquet(path)
+    small = w.count() * (8 * len(rows) + 48) <= MOST_WEIGHT_BYTES
+    found = tf.join(F.broadcast(w), "token") if small else splittable_join(tf, w, ["token"])
+    sums = found.groupBy(id_col).agg(F.sum("tf").alias("t"), *[
+        F.sum(F.col("tf") * F.col("ws")[i]).alias(f"s{i}") for i in range(len(rows))])
+    t = F.coalesce("t", F.lit(0))
+    scored = F.array(*[F.struct((-(F.lit(r["log_prior"]) - t * F.lit(r["log_norm"]) + F.coalesce(f"s{i}", F.lit(0.0)))).alias("ns"),
+                                F.lit(r["c"]).alias("c")) for i, r in enumerate(rows)])
     best = F.array_min(scored)
-    return per_doc.select(id_col, best["c"].alias("predicted"), (-best["ns"]).alias("score"))
+    return (docs.select(id_col).join(sums, id_col, "left")
+            .select(id_col, best["c"].alias("predicted"), (-best["ns"]).alias("score")))
 
 
 # ---------------------------------------------------------------- digest

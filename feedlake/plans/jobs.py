@@ -11,7 +11,7 @@ from .. import functions as fn
 from .. import schemas
 from ..operators import extract, lookup, messages, relational as rel, sinks, text as tx
 from ..operators.article_pages import blog_articles, blog_links, blog_table
-from ..operators.joins import splittable_join
+from ..operators.feeds import status_items, status_rows
 from ..operators.platform_pages import PROFILE_SPECS, page_items, profile_40002
 from ..operators.profiles import vip_info
 
@@ -26,7 +26,6 @@ class Inputs:
     pages      table_name, row_key, url, html (one version per key)
     users      user_id, name, followers_count, vip, ..: one row per user
     user_rows  the same without a key: several rows per user
-    profiles   user_id, page_url, page_html: the stored page of a user
     authors    user_id of users that have articles
     responses  user_id, body: landed follower-count answers
     """
@@ -35,7 +34,6 @@ class Inputs:
     pages: DataFrame | None = None
     users: DataFrame | None = None
     user_rows: DataFrame | None = None
-    profiles: DataFrame | None = None
     authors: DataFrame | None = None
     responses: DataFrame | None = None
 
@@ -113,12 +111,6 @@ def materialise(t: Inputs) -> DataFrame:
                        extract.title("page_html").alias("title"))
 
 
-def _profile_hits(t, users: DataFrame):
-    lk = splittable_join(users, t.profiles, ["user_id"], "left")
-    miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY)
-    return lk, miss
-
-
 def _lookup_pages(t: Inputs, users: DataFrame, prefix: str) -> tuple[DataFrame, Column]:
     """Users -> the page at ``prefix`` + user id (``page_url, url, html``) and the miss rule."""
     asked = users.select("user_id", messages.build_url(prefix, "user_id").alias("page_url"))
@@ -184,19 +176,12 @@ def article_fill(t: Inputs) -> DataFrame:
 
 
 def missing_articles(t: Inputs) -> DataFrame:
-    """JOB10: users without articles -> home page -> statuses (list items)
-    or recrawl task."""
+    """JOB10: users without articles -> home page -> every status (FEED7) or recrawl task."""
     u = rel.without_rows_in(t.users.select("user_id"), t.authors, "user_id")
-    lk, miss = _profile_hits(t, u)
-    ex = lk.where(~miss).select("user_id", "page_url",
-                                F.posexplode(extract.list_items("page_html")).alias("pos", "it"))
-    items = ex.select("user_id", F.col("pos").cast("int").alias("pos"), F.col("it.text").alias("title"),
-                      F.lit(None).cast("string").alias("task"))
-    home = messages.build_url(schemas.URLS[40001]["home_page"], "user_id")
-    tasks = lk.where(miss).select("user_id", F.lit(None).cast("int").alias("pos"),
-                                  F.lit(None).cast("string").alias("title"),
-                                  messages.crawl_task(F.lit(40001), home, schemas.RESULT_RECRAWL).alias("task"))
-    return items.unionByName(tasks)
+    lk, miss = _lookup_pages(t, u, schemas.URLS[40001]["home_page"])
+    docs = lk.where(~miss).select("page_url", extract.status_text(F.col("html")).alias("doc"))
+    items = status_rows(status_items(docs, ["page_url"]))
+    return items.unionByName(lk.where(miss).select("page_url", _task(40001, schemas.RESULT_RECRAWL)), allowMissingColumns=True)
 
 
 def follower_refresh(t: Inputs) -> DataFrame:

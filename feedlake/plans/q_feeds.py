@@ -114,11 +114,7 @@ SELECT event_id AS id, coalesce({TITLE_SQL}, '') AS title,
 FROM it""")
 def q_feed_statuses_batch(spark, d):
     """FEED7: every status, NULL title -> '', url by id, ts in seconds."""
-    s = _status(spark, d)
-    return s.select("id", F.coalesce("title", F.lit("")).alias("title"),
-                    F.concat(F.lit(STATUS1), F.col("id").cast("string")).alias("url"),
-                    F.floor(F.col("created_at") / 1000).cast("bigint").alias("ts_s"),
-                    "user_id", "retweet", "reply")
+    return feeds.status_rows(_status(spark, d)).drop("page_url")
 
 
 ACT_SQL = IT + f"""

@@ -10,21 +10,16 @@ from ..sources import standins
 from ..sources.site_pages import site_pages
 from ..sources.tables import table
 from . import jobs
-from .oracle_common import LI_HREF, LI_TEXT, crawl_task_sql
+from .oracle_common import crawl_task_sql
 from .q_text import DIGEST_SQL
 from .registry import query
 
-W = standins.with_ctes("articles", "page_store", "profile_index", "users", "user_rows")
+W = standins.with_ctes("articles", "page_store", "users", "user_rows")
 K = schemas.TOPK_ARTICLES
 BODY = ("array_to_string(list_transform(regexp_extract_all({h}, '<p>(.*?)</p>', 1), "
         "lambda p: regexp_replace(p, '<[^>]*>', '', 'g')), ' ')")
 ARTICLE_TEXT = "regexp_replace(regexp_extract({h}, '<article>(.*?)</article>', 1), '<[^>]*>', '', 'g')"
 TITLE = "regexp_extract({h}, '<title>([^<]*)</title>', 1)"
-MISS = "(page_url IS NULL OR page_html IS NULL OR page_url = '' OR page_html = '')"
-
-
-def _lit(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
 
 
 def _inputs(spark, d) -> jobs.Inputs:
@@ -32,7 +27,7 @@ def _inputs(spark, d) -> jobs.Inputs:
     orders, supplier = table(spark, d, "orders"), table(spark, d, "supplier")
     return jobs.Inputs(
         spark, standins.articles(spark, d), standins.page_store(spark, d), standins.users(spark, d),
-        standins.user_rows(spark, d), standins.profile_pages(spark, d),
+        standins.user_rows(spark, d),
         orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("user_id")),
         supplier.select(F.col("s_suppkey").alias("user_id"), F.concat(
             F.lit('{"count":'), F.col("s_acctbal").cast("bigint").cast("string"), F.lit("}")).alias("body")))
@@ -43,11 +38,6 @@ def _site_inputs(spark, d) -> jobs.Inputs:
     return replace(_inputs(spark, d), pages=site_pages(spark, d))
 
 
-def profile_lk(cand: str) -> str:
-    return (f"SELECT c.user_id, s.url AS page_url, s.html AS page_html FROM {cand} c "
-            f"LEFT JOIN profile_index i USING (user_id) LEFT JOIN page_store s ON s.page_id = i.page_id")
-
-
 @query("job_backfill_200", W + f""",
 top AS (SELECT * FROM articles WHERE platform_id = 40005 ORDER BY ts DESC, url LIMIT {K}),
 lk AS (SELECT t.platform_id, t.url, s.html FROM top t LEFT JOIN page_store s ON s.row_key = t.url
@@ -179,19 +169,22 @@ def q_job_article_fill(spark, d):
     return jobs.article_fill(_site_inputs(spark, d))
 
 
+STATUSES, STATUS = schemas.URLS[40001]["home_page"], schemas.URLS[40001]["status"]
+
+
 @query("job_missing_articles", W + f""",
-cand AS (SELECT user_id FROM users u WHERE NOT EXISTS
-         (SELECT 1 FROM orders o WHERE o.o_custkey = u.user_id AND o.o_orderpriority = '1-URGENT')),
-lk AS ({profile_lk('cand')}),
-ex AS (SELECT user_id, unnest(range(len(regexp_extract_all(page_html, {LI_HREF}, 1)))) AS pos,
-              unnest(regexp_extract_all(page_html, {LI_TEXT}, 1)) AS title FROM lk WHERE NOT {MISS})
-SELECT user_id, CAST(pos AS INTEGER) AS pos, title, CAST(NULL AS VARCHAR) AS task FROM ex
+lk AS (SELECT *, CAST(user_id AS VARCHAR) AS s, '{STATUSES}' || CAST(user_id AS VARCHAR) AS page_url, user_id % 8 = 7 AS miss FROM users u
+       WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = u.user_id AND o.o_orderpriority = '1-URGENT'))
+SELECT page_url, user_id * 10 + k AS id, CASE WHEN k % 2 = 1 THEN '' ELSE 'on ' || segment END AS title,
+  '{STATUS}' || CAST(user_id * 10 + k AS VARCHAR) AS url, (1460000000000 + user_id * 60000 + k) // 1000 AS ts_s, s AS user_id,
+  CAST(user_id % 13 AS INTEGER) AS retweet, CAST(k AS INTEGER) AS reply, CAST(NULL AS VARCHAR) AS task
+FROM (SELECT *, unnest(range(user_id % 3)) AS k FROM lk WHERE NOT miss) t
 UNION ALL
-SELECT user_id, NULL, NULL, {crawl_task_sql("40001", _lit(schemas.URLS[40001]['home_page']) + " || CAST(user_id AS VARCHAR)", "2")}
-FROM lk WHERE {MISS}""")
+SELECT page_url, {_null('BIGINT', 'VARCHAR', 'VARCHAR', 'BIGINT', 'VARCHAR', 'INTEGER', 'INTEGER')},
+  {crawl_task_sql('40001', 'page_url', '2')} FROM lk WHERE miss""")
 def q_job_missing_articles(spark, d):
-    """JOB10."""
-    return jobs.missing_articles(_inputs(spark, d))
+    """JOB10 through FEED7."""
+    return jobs.missing_articles(_site_inputs(spark, d))
 
 
 @query("job_follower_refresh", W + """

@@ -86,6 +86,18 @@ def info_json() -> Column:
     return F.when(F.col("user_id") % 11 == 0, F.substring(doc, 1, 20)).otherwise(doc)
 
 
+def status_html() -> Column:
+    """40001: a home page with uid % 3 statuses in a script; every second one untitled."""
+    uid = F.col("user_id")
+    i = F.when(uid % 3 > 0, F.sequence(F.lit(0).cast("long"), uid % 3 - 1)).otherwise(F.array().cast("array<bigint>"))
+    rows = F.transform(i, lambda k: cat(
+        '{"id":', _text(uid * 10 + k), ',"user_id":', _text(uid), ',"title":', F.when(k % 2 == 1, "null").otherwise(
+            cat('"on ', F.col("segment"), '"')), ',"created_at":', _text(1460000000000 + uid * 60000 + k), ',"retweet_count":',
+        _text(uid % 13), ',"reply_count":', _text(k), ',"retweeted_status":null}'))
+    return cat("<html><head><title>", F.col("name"), '</title></head><body><script>var a = 1;</script><script>SNB.data.statuses = {"statuses":[',
+               F.array_join(rows, ","), "]};\n  SNB.data.statusType = 1;</script></body></html>")
+
+
 def site_pages(spark: SparkSession, d: str) -> DataFrame:
     """``table_name, row_key, url, html`` of all users' crawled pages."""
     u, uid = standins.users(spark, d), F.col("user_id")
@@ -101,6 +113,7 @@ def site_pages(spark: SparkSession, d: str) -> DataFrame:
         F.col("k") < (uid + F.col("page")) % 3)
     page, k = F.col("page"), F.col("k")
     parts = [
+        rows(u.where(uid % 8 != 7), 40001, cat(schemas.URLS[40001]["home_page"], s), status_html()),
         rows(u.where(uid % 5 != 4), 40002, cat(schemas.URLS[40002]["home_page"], s), blog_home_html()),
         rows(u.where(uid % 7 != 6), 40002, lists, blog_list_html(one, True)),
         rows(more.where((uid + page) % 5 != 0), 40002, cat(lists, "?page=", _text(page)), blog_list_html(page, False)),
