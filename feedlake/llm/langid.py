@@ -36,6 +36,8 @@ from .crf import LONGEST_WORD, Model, posteriors, train
 #: The training sample: rows of a label, rows of all (at least one of each label), characters of a row.
 DOCS_PER_LANG, DOCS, SNIPPET = 300, 15_000, 600
 FOLDS, UNKNOWN = 5, "und"
+#: Labels whose counts are broadcast.
+MOST_BROADCAST = 10_000
 #: Word i weighs 1 / (1 + i / OPENING), at least FLOOR: all from 0.1 on do equally well on the training folds.
 OPENING, FLOOR = 20, 0.25
 _RUN = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
@@ -60,11 +62,12 @@ def snippets(docs: DataFrame) -> DataFrame:
     rows = (bounded_batches(docs).select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"),
                                          F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("h"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0)))
-    most = max(1, min(DOCS_PER_LANG, DOCS // max(1, rows.select("lang").distinct().count())))
+    labels = rows.select("lang").distinct().count()
+    most = max(1, min(DOCS_PER_LANG, DOCS // max(1, labels)))
     count = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    count = F.broadcast(count) if labels <= MOST_BROADCAST else count
     share = F.col("h").cast("double") / 2.0**64 + 0.5
     order = Window.partitionBy("lang").orderBy("h", "snippet")
-    # few labels, many rows: the counts are small enough for Spark to broadcast, or AQE splits the join
     return (rows.join(count, "lang").where(share < 4.0 * max(most, 8) / F.col("n"))
             .select("lang", "h", F.substring("text", at.cast("int") + 1, F.lit(SNIPPET)).alias("snippet"))
             .withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("lang", "snippet"))
