@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..operators import messages, sinks
 from ..operators.keyed_tables import BucketTable
 from ..sources import standins
