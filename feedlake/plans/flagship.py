@@ -17,7 +17,7 @@ from .. import schemas
 from ..operators import lookup, messages
 from ..operators import platform_items as pi
 from ..operators.keyed_tables import KeyedLog
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import standins
 
 MARKER_SCHEMA = "page_url string, last_key string"
@@ -49,20 +49,24 @@ def notices_to_pages(notices: DataFrame, store: DataFrame, platforms: DataFrame)
     return pages, all_rejects, miss_rows
 
 
-def page_markers(spark: SparkSession, d: str) -> DataFrame:
-    """Marker table ``(page_url, last_key)`` for the stored pages, as left by
-    an earlier crawl: page_id%4 = 0 -> the 3rd item, 1 -> the newest item
-    (nothing new), 2 -> no marker, 3 -> a key no longer on the page."""
-    s = (standins.feed_store(spark, d).where("html <> ''").withColumnRenamed("url", "page_url")
-         .withColumnRenamed("html", "page_html")
-         .join(F.broadcast(schemas.platforms(spark).select("platform_id", "marker_kind")), "platform_id"))
-    p = with_items(s, ["page_id", "marker_kind", "page_url"])
+def earlier_markers(pages: DataFrame) -> DataFrame:
+    """Marker table ``(page_url, last_key)`` as left by an earlier crawl of pages
+    (``page_id, marker_kind, page_url, items, newest``): page_id%4 = 0 -> the 3rd item,
+    1 -> the newest item (nothing new), 2 -> no marker, 3 -> a key no longer on the page."""
     k = F.col("page_id") % 4
     third = F.try_element_at("items", F.lit(3))
     by_kind = F.when(F.col("marker_kind") == "ts", third["ts"].cast("string")).otherwise(third["key"])
     gone = F.when(F.col("marker_kind") == "ts", F.lit("1")).otherwise(F.lit("gone"))
-    return p.where(k != 2).select("page_url", F.when(k == 0, by_kind).when(k == 1, F.col("newest")).otherwise(gone)
-                                  .alias("last_key"))
+    return pages.where(k != 2).select("page_url", F.when(k == 0, by_kind).when(k == 1, F.col("newest")).otherwise(gone)
+                                      .alias("last_key"))
+
+
+def page_markers(spark: SparkSession, d: str) -> DataFrame:
+    """``earlier_markers`` of all stored pages."""
+    s = (standins.feed_store(spark, d).where("html <> ''").withColumnRenamed("url", "page_url")
+         .withColumnRenamed("html", "page_html")
+         .join(F.broadcast(schemas.platforms(spark).select("platform_id", "marker_kind")), "platform_id"))
+    return earlier_markers(with_items(s, ["page_id", "marker_kind", "page_url"]))
 
 
 def unseen_items(pages: DataFrame) -> DataFrame:
@@ -90,9 +94,15 @@ def article_rows(new: DataFrame) -> DataFrame:
 
 
 def feed_increments(spark: SparkSession, d: str) -> DataFrame:
+    """Each announced page is found and walked once: its items are written and read
+    for the markers of the earlier crawl and for what is new."""
     store = standins.feed_store(spark, d)
     pages, _, _ = notices_to_pages(standins.messages(spark, d, store), store, schemas.platforms(spark))
-    return article_rows(new_items(pages, page_markers(spark, d)))
+    path = scratch_path(spark, "flagship-pages")
+    pages.write.parquet(path)
+    pages = spark.read.schema(pages.schema).parquet(path)
+    ids = store.select("page_id", F.col("url").alias("page_url"))
+    return article_rows(new_items(pages, earlier_markers(pages.join(ids, "page_url"))))
 
 
 # ---------------------------------------------------------------------------

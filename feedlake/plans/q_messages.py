@@ -1,11 +1,13 @@
 """Proof queries: message handling and page sources (MSG, SRC)."""
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import lookup, messages
 from ..operators import extract
+from ..operators.charset import decoded
 from ..sources import standins
 from ..sources.tables import table
 from ..session import scratch_path
@@ -285,6 +287,39 @@ def q_src_decode(spark, d):
     return p.select("page_id", F.length(dec).alias("decoded_len"), (dec == text).alias("same"))
 
 
+#: Letters of the documents and a character of the GBK and Big5 charsets for each.
+LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâçîïôûùœáíóúñ"
+HAN = "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨露結為霜金生麗水玉出崑岡劍號巨闕"[:len(LETTERS)]
+
+
+@query("src_detect", f"""
+SELECT doc_id, CASE WHEN charset = 'cp1252' AND NOT regexp_matches(text, '[^\\x00-\\x7F]') THEN 'utf-8' ELSE charset END AS charset,
+  length(text) AS n_chars, md5(text) AS text_md5 FROM (
+  SELECT doc_id, ['utf-8', 'gbk', 'big5', 'cp1252'][CAST(doc_id % 4 AS INTEGER) + 1] AS charset,
+    CASE WHEN doc_id % 4 IN (1, 2) THEN translate(lower(text), '{LETTERS}', '{HAN}') ELSE text END AS text FROM documents) t""")
+def q_src_detect(spark, d):
+    """SRC4: whole texts landed in four charsets (by id), two of them written in Han
+    characters, are read back by the detector: charset, length and digest of the text (one
+    without accents is the same bytes in UTF-8 and Windows-1252)."""
+    docs = table(spark, d, "documents")
+    k = F.col("doc_id") % 4
+    text = F.when(k.isin(1, 2), F.translate(F.lower("text"), LETTERS, HAN)).otherwise(F.col("text"))
+    name = F.element_at(F.array(*[F.lit(c) for c in ("utf-8", "gbk", "big5", "cp1252")]), (k + 1).cast("int"))
+    landed = docs.select("doc_id", _encoded(text, name).alias("raw"))
+    found = landed.select("doc_id", decoded(F.col("raw")).alias("f"))
+    return found.select("doc_id", "f.charset", F.length("f.text").cast("bigint").alias("n_chars"), F.md5("f.text").alias("text_md5"))
+
+
+def _encoded(text, charset):
+    """The bytes of a text in a charset (how the pages were landed)."""
+
+    @F.arrow_udf("binary")
+    def run(texts: pa.Array, names: pa.Array) -> pa.Array:
+        return pa.array([t.as_py().encode(n.as_py()) if t.is_valid else None for t, n in zip(texts, names)], pa.binary())
+
+    return run(text, charset)
+
+
 @query("src_seed_list", W_USERS + """
 SELECT DISTINCT home_page AS url FROM users WHERE vip OR followers_count > 500""")
 def q_src_seed_list(spark, d):

@@ -1,7 +1,7 @@
-"""Enrichment stream, saved models, phrases, unspaced scripts, friend lists."""
+"""Enrichment stream, saved models, phrases, unspaced scripts, friend lists, charsets."""
 import os
 
-
+from pyspark.sql import functions as F
 
 from feedlake.operators import friend_lists
 from feedlake.operators import text as tx
@@ -97,3 +97,15 @@ def test_posts_of_documents(spark):
     row = enrich.as_posts(spark.createDataFrame([(5, "title\nbody")], "doc_id long, text string")).first()
     assert (row.title, row.text) == ("title", "title\nbody") and row.url.endswith("5")
 
+
+
+def test_charset_detection(spark):
+    from feedlake.operators.charset import decoded
+    han = "今天天气很好我们去公园看花"
+    cases = [("plain", "utf-8", "utf-8"), ("Grüße, très déjà vu", "cp1252", "cp1252"), ("Grüße 天", "utf-8", "utf-8"),
+             (han, "gbk", "gbk"), (han + " abc 123. " + han, "gbk", "gbk"), ("今天天氣很好我們去公園看花", "big5", "big5"), ("", "gbk", "utf-8"),
+             (han * 2000, "gbk", "gbk")]
+    rows = [(i, t.encode(c)) for i, (t, c, _) in enumerate(cases)] + [(90, None), (91, b"\xff\xff\x81")]
+    got = {r.i: r.f for r in spark.createDataFrame(rows, "i int, b binary").select("i", decoded(F.col("b")).alias("f")).collect()}
+    assert [(got[i].text, got[i].charset) for i in range(len(cases))] == [(t, c) for t, _, c in cases]
+    assert got[90] is None and got[91].text
