@@ -102,11 +102,15 @@ def fanout(df: DataFrame, urls: dict[str, Column], kind_col: str = "kind",
     return df.select("*", F.inline(arr))
 
 
-def list_page_tasks(spark: SparkSession, pages: int = schemas.LIST_PAGES_40003) -> DataFrame:
-    """MSG10: crawl tasks for the list pages 1..``pages`` of platform 40003."""
+def list_page_requests(spark: SparkSession, pages: int = schemas.LIST_PAGES_40003) -> DataFrame:
+    """MSG10: ``page_no, url`` of the list pages 1..``pages`` of platform 40003."""
     url = F.concat(F.lit(schemas.URLS[40003]["list_page"]), F.col("page_no").cast("string"))
-    return (spark.range(1, pages + 1).toDF("page_no")
-            .select("page_no", crawl_task(F.lit(40003), url, schemas.RESULT_CRAWL).alias("task")))
+    return spark.range(1, pages + 1).toDF("page_no").select("page_no", url.alias("url"))
+
+
+def list_page_tasks(spark: SparkSession, pages: int = schemas.LIST_PAGES_40003) -> DataFrame:
+    """MSG10: crawl tasks for the list pages."""
+    return list_page_requests(spark, pages).select("page_no", crawl_task(F.lit(40003), "url", schemas.RESULT_CRAWL).alias("task"))
 
 
 def page_range(df: DataFrame, lo, hi, col: str = "page_no") -> DataFrame:

@@ -9,6 +9,7 @@ from ..operators import lookup, messages
 from ..operators import extract
 from ..operators.charset import decoded
 from ..sources import standins
+from ..sources.site_pages import site_pages
 from ..sources.tables import table
 from ..session import scratch_path
 from .oracle_common import PARSED_SQL, PLATFORMS_SQL, article_task_sql, crawl_task_sql
@@ -164,6 +165,7 @@ SELECT user_id,
   {_lit(U[40003]['author'])} || CAST(user_id AS VARCHAR) AS author_url,
   {_lit(U[40002]['article_list'])} || CAST(user_id AS VARCHAR) || '/1' AS list_url,
   {_lit(U[40005]['home_page'])} || CAST(user_id AS VARCHAR) AS home_url,
+  'http://blog.cnfol.com/' || CAST(user_id AS VARCHAR) || '/myfocus/friend' AS focus_url,
   'http://blog.cnfol.com/' || CAST(user_id AS VARCHAR) AS blog_home_url,
   'http://www.taoguba.com.cn/Article/' || CAST(user_id AS VARCHAR) AS article_url,
   'http://xueqiu.com/about/mobile-xueqiu/' || CAST(user_id AS VARCHAR) AS status_url
@@ -179,6 +181,7 @@ def q_msg_build_urls(spark, d):
         messages.build_url(U[40003]["author"], "user_id").alias("author_url"),
         messages.build_url(U[40002]["article_list"], "user_id", "/1").alias("list_url"),
         messages.build_url(U[40005]["home_page"], "user_id").alias("home_url"),
+        messages.build_url(U[40002]["home_page"], "user_id", schemas.FOCUS_LIST).alias("focus_url"),
         messages.build_url(U[40002]["home_page"], "user_id").alias("blog_home_url"),
         messages.build_url(U[40004]["article"], "user_id").alias("article_url"),
         messages.build_url(U[40001]["status"], "user_id").alias("status_url"))
@@ -212,6 +215,21 @@ def q_msg_page_range(spark, d):
                              F.lit("/"), F.col("page_no").cast("string")).alias("url"))
 
 
+@query("msg_list_pages", W_USERS + f""",
+p AS (SELECT page_no, {_lit(U[40003]['list_page'])} || CAST(page_no AS VARCHAR) AS url
+      FROM (SELECT unnest(range(1, {schemas.LIST_PAGES_40003} + 1)) AS page_no) t)
+SELECT page_no, p.url, u.user_id IS NOT NULL AS hit, CAST(length(u.name) + length('<html><p></p></html>') AS INTEGER) AS html_len,
+  CASE WHEN u.user_id IS NULL THEN {{crawl_task_sql('40003', 'p.url', '0')}} END AS task
+FROM p LEFT JOIN users u ON u.user_id = p.page_no AND u.user_id % 9 = 0""".replace("{crawl_task_sql('40003', 'p.url', '0')}", crawl_task_sql('40003', 'p.url', '0')))
+def q_msg_list_pages(spark, d):
+    """MSG10: the generated list pages 1..2024 are looked up; a missing one gives its
+    crawl task."""
+    lk = lookup.lookup_by_url(messages.list_page_requests(spark), site_pages(spark, d), "url", ("url", "html"))
+    miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY)
+    return lk.select("page_no", "url", (~miss).alias("hit"), F.length("page_html").alias("html_len"),
+                     F.when(miss, messages.crawl_task(F.lit(40003), "url", schemas.RESULT_CRAWL)).alias("task"))
+
+
 @query("src_script_payload", """
 SELECT page_id,
   CAST(regexp_extract(list_filter(regexp_extract_all(html, '<script>(.*?)</script>', 1),

@@ -107,6 +107,7 @@ URLS = {
     },
 }
 # Operating constants.
+FOCUS_LIST = "/myfocus/friend"   # 40002: the accounts a user follows, after the home page
 TOPK_ARTICLES = 3000          # recrawl and summary back-fill
 LIST_PAGES_40003 = 2024       # list pages seeded for platform 40003
 FOLLOWER_GATE_EXPAND = 100    # > 100: expand (40001)

@@ -118,6 +118,7 @@ def site_pages(spark: SparkSession, d: str) -> DataFrame:
         rows(u.where(uid % 7 != 6), 40002, lists, blog_list_html(one, True)),
         rows(more.where((uid + page) % 5 != 0), 40002, cat(lists, "?page=", _text(page)), blog_list_html(page, False)),
         rows(links.where((uid + k) % 4 != 3), 40002, link(page, k), blog_article_html(F.lit("2016-05-11 10:00"))),
+        rows(u.where(uid % 9 == 0), 40003, cat(schemas.URLS[40003]["list_page"], s), cat("<html><p>", F.col("name"), "</p></html>")),
         rows(u.where(uid % 5 != 3), 40004, cat(schemas.URLS[40004]["blog"], s), blog_table_html()),
         rows(u.where(uid % 6 != 5), 40004, cat(schemas.URLS[40004]["user_info"], s), info_json()),
     ]
