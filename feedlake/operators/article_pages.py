@@ -12,7 +12,7 @@ from ..functions import dates
 from ..functions.urls import after_marker, last_segment
 from ..session import bound_batches
 from . import messages
-from .platform_pages import page_items, walked
+from .platform_pages import page_items, walked, walked_areas
 
 # Tags, classes and ids of the pages; see platform_pages.SPECS.
 BLOG_ARTICLE = {40002: {
@@ -41,6 +41,11 @@ BLOG_TABLE = {40004: {
         "title": ("a", (), "attr", "title", 0, None), "href": ("a", (), "attr", "href", 0, None),
         "icon": ("img", (), "attr", "src", 0, None), "cells": ("td", (), "list", None, 0, None),
     }}}
+CARD = {"item": (None, ("[tbinfo]",), None),
+        "fields": {"content": (None, ("[node-type=feed_list_content]",), "list", None, 0, None),
+                   "reason": (None, ("[node-type=feed_list_reason]",), "list", None, 0, None)}}
+AUTHOR_LIST = [{"item": ("tr", (), "#list1"), "fields": {"link": ("a", (), "attr", "href", 0, None)}},
+               {"item": (None, ("#list1",), None), "fields": {}}]
 RECOMMEND_ICON = "icon43.gif"
 READ_UNIT = "次"
 
@@ -99,6 +104,51 @@ def paid_articles(pages: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:
                     F.when(bad, messages.crawl_task(F.lit(40003), "page_url", schemas.RESULT_CRAWL)).alias("task"))
 
 
+def card_bodies(pages: DataFrame) -> DataFrame:
+    """ART5: ``pages(.., html)`` -> the same columns without html, ``title`` and ``body``
+    of a 40005 detail page: the html inside the JSON document of the last script that
+    names the detail view (else of the first script), of it the first card's content
+    and the reason it quotes, joined by a space. A script that is no JSON object gives
+    the empty body; a page without a script, a document without html or html without a
+    card is broken: body NULL."""
+    bound_batches(pages.sparkSession)
+    keep = [c for c in pages.columns if c != "html"]
+    head, tail = len(schemas.SCRIPT_HEAD), len(schemas.SCRIPT_TAIL)
+    html = F.col("html").cast("string")
+    scripts = F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*>.*?</script>"), 0)
+    named = F.filter(scripts, lambda s: s.contains(schemas.DETAIL_SCRIPT))
+    script = F.coalesce(F.try_element_at(named, F.lit(-1)), F.try_element_at(scripts, F.lit(1)))
+    title = F.replace(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(schemas.DETAIL_TITLE_SUFFIX), F.lit(""))
+    whole = F.length(script) >= head + tail
+    doc = F.try_parse_json(F.when(whole, F.substring(script, F.lit(head + 1), F.length(script) - (head + tail))))
+    read = pages.select(*keep, title.alias("title"), whole.alias("_whole"), doc.alias("_doc"))
+    inner = F.try_variant_get("_doc", "$.html", "string")
+    is_object = F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False))
+    read = read.select(*keep, "title", "_whole", is_object.alias("_object"), inner.alias("_html"))
+    read = read.select(*keep, "title", "_whole", "_object", F.get(walked(F.col("_html"), CARD), F.lit(0)).alias("_card"))
+
+    def text(name: str) -> Column:
+        parts = F.from_json(F.try_element_at("_card", F.lit(name)), "array<string>")
+        return F.trim(F.regexp_replace(F.coalesce(F.array_join(parts, " "), F.lit("")), r"\s+", " "))
+
+    body = F.when(F.col("_card").isNotNull(), F.concat(text("content"), F.lit(" "), text("reason")))
+    return read.select(*keep, "title", F.when(F.col("_whole") & ~F.col("_object"), F.lit("")).otherwise(body).alias("body"))
+
+
+def author_links(pages: DataFrame) -> DataFrame:
+    """FEED10: ``pages(page_url, html)`` of 40003 authors -> ``page_url, links`` (addresses
+    of their articles in page order, up to the first row without a link) and ``broken``:
+    such a row, or no list at all."""
+    bound_batches(pages.sparkSession)
+    read = pages.select("page_url", walked_areas(F.col("html").cast("string"), AUTHOR_LIST).alias("xs"))
+    link = F.transform(F.filter("xs", lambda x: x["area"] == 0), lambda x: F.try_element_at(x["fields"], F.lit("link")))
+    read = read.select("page_url", link.alias("l"), F.exists("xs", lambda x: x["area"] == 1).alias("listed"))
+    stop = F.array_position(F.transform("l", lambda x: x.isNull()), True)
+    kept = F.when(stop == 0, F.col("l")).otherwise(F.slice("l", F.lit(1), stop.cast("int") - 1))
+    links = F.transform(kept, lambda x: F.concat(F.lit(schemas.MOER_HOST), x))
+    return read.select("page_url", links.alias("links"), (~F.col("listed") | (stop > 0)).alias("broken"))
+
+
 def blog_table(pages: DataFrame, zone: str = "Asia/Shanghai") -> DataFrame:
     """FEED8: rows of a 40004 blog table without its head and foot row, up to
     the first row that does not parse; that row's place carries the recrawl task."""

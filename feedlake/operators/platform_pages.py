@@ -26,8 +26,10 @@ VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "embe
 
 # ---------------------------------------------------------------------------
 # The platforms' page structure (tags and class names).
+# item: (tag or None, required classes, inside-class); "own": (field, attribute) of the
+#   item itself; "first": only items inside the first element of the inside-class
 # field: (tag, required classes, mode, attribute, occurrence, inside-class)
-#   mode: text | attr | count | list
+#   mode: text | attr | count | list; occurrence -1 of an attribute: the last
 # ---------------------------------------------------------------------------
 SPECS = {
     40002: {
@@ -93,13 +95,26 @@ def _classes(attrs) -> set[str]:
     return set((dict(attrs).get("class") or "").split())
 
 
-def _has(cls: set[str], needed, el_id: str | None = None) -> bool:
-    """``needed``: class names, and ``#id`` entries matched against the id."""
+def _has(cls: set[str], needed, attrs: dict) -> bool:
+    """``needed``: class names, ``#id`` entries matched against the id, and ``[name]``
+    or ``[name=value]`` entries against the other attributes."""
     if needed is None:
         return True
-    needed = needed.split() if isinstance(needed, str) else needed
-    ids = [n[1:] for n in needed if n.startswith("#")]
-    return set(n for n in needed if not n.startswith("#")) <= cls and all(el_id == i for i in ids)
+    for n in needed.split() if isinstance(needed, str) else needed:
+        if n.startswith("#"):
+            if attrs.get("id") != n[1:]:
+                return False
+        elif n.startswith("["):
+            name, eq, value = n[1:-1].partition("=")
+            if name not in attrs or (eq and attrs[name] != value):
+                return False
+        elif n not in cls:
+            return False
+    return True
+
+
+def _conds(within) -> list[str]:
+    return [] if within is None else [within] if isinstance(within, str) else list(within)
 
 
 def _cond_ok(cond: str, tag: str, cls: set[str], el_id: str | None) -> bool:
@@ -117,6 +132,8 @@ class _ItemWalker(HTMLParser):
         self.item_tag, self.item_classes, self.item_within = spec["item"]
         self.fields = spec["fields"]
         self.cover_class = spec.get("cover_class")
+        self.own = spec.get("own")
+        self.first_area, self.areas = spec.get("first", False), 0
         self.stack = []          # (tag, classes, [capture ids])
         self.item_depth = None
         self.cur = None
@@ -127,11 +144,13 @@ class _ItemWalker(HTMLParser):
 
     def _inside(self, within, from_depth=0):
         """Every condition is met by some open ancestor (from ``from_depth``)."""
-        if within is None:
-            return True
-        conds = [within] if isinstance(within, str) else list(within)
         scope = self.stack[from_depth:]
-        return all(any(_cond_ok(c, t, k, i) for t, k, i, _ in scope) for c in conds)
+        return all(any(_cond_ok(c, t, k, i) for t, k, i, _ in scope) for c in _conds(within))
+
+    def _opens_area(self, tag, cls, el_id):
+        """The element is the innermost one the items' place asks for, in no other such."""
+        *outer, last = _conds(self.item_within)
+        return _cond_ok(last, tag, cls, el_id) and self._inside(outer) and not self._inside(self.item_within)
 
     def handle_starttag(self, tag, attrs):
         cls = _classes(attrs)
@@ -139,20 +158,25 @@ class _ItemWalker(HTMLParser):
         el_id = a.get("id")
         opened = []
         if self.item_depth is None:
-            if tag == self.item_tag and _has(cls, self.item_classes, el_id) and self._inside(self.item_within):
+            if self.first_area and self._opens_area(tag, cls, el_id):
+                self.areas += 1
+            if (self.item_tag is None or tag == self.item_tag) and _has(cls, self.item_classes, a) \
+                    and self._inside(self.item_within) and (not self.first_area or self.areas == 1):
                 self.item_depth = len(self.stack)
                 self.cur = {"_cover": "1" if self.cover_class and self.cover_class in cls else "0"}
                 self.counts = {}
+                if self.own and a.get(self.own[1]) is not None:
+                    self.cur[self.own[0]] = a[self.own[1]]
         else:
             for name, (ftag, fcls, mode, attr, nth, within) in self.fields.items():
-                if (ftag is not None and tag != ftag) or not _has(cls, fcls, el_id) \
+                if (ftag is not None and tag != ftag) or not _has(cls, fcls, a) \
                         or not self._inside(within, self.item_depth):
                     continue
                 k = self.counts.get(name, 0)
                 self.counts[name] = k + 1
                 if mode == "count":
                     self.cur[name] = str(k + 1)
-                elif mode == "attr" and k == nth:
+                elif mode == "attr" and nth in (k, -1):
                     self.cur[name] = a.get(attr) or ""
                 elif (mode == "text" and k == nth) or mode == "list":
                     self._cid += 1
@@ -214,6 +238,49 @@ def _items(spec, html: str | None) -> list:
     return w.finish()
 
 
+class _AreaWalker(HTMLParser):
+    """Several item specs in one pass over a page."""
+    def __init__(self, specs):
+        super().__init__(convert_charrefs=True)
+        self.walkers = [_ItemWalker(s) for s in specs]
+
+    def handle_starttag(self, tag, attrs):
+        for w in self.walkers:
+            w.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        for w in self.walkers:
+            w.handle_endtag(tag)
+
+    def handle_data(self, data):
+        for w in self.walkers:
+            w.handle_data(data)
+
+
+def area_items(specs: list, html: str | None) -> list:
+    """(number of the spec, place among its items, raw fields) of all items of a page."""
+    w = _AreaWalker(specs)
+    try:
+        w.feed(html or "")
+        w.close()
+    except AssertionError:  # as in _items
+        pass
+    return [(n, i, x) for n, one in enumerate(w.walkers) for i, x in enumerate(one.finish())]
+
+
+def walked_areas(html: Column, specs: list) -> Column:
+    """Array of (area, pos, fields) of a page walked once for several item specs."""
+    fields = pa.map_(pa.string(), pa.string())
+    out = pa.list_(pa.struct([("area", pa.int32()), ("pos", pa.int32()), ("fields", fields)]))
+
+    @F.arrow_udf("array<struct<area: int, pos: int, fields: map<string,string>>>")
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([[{"area": n, "pos": i, "fields": list(x.items())} for n, i, x in area_items(specs, h.as_py())]
+                         for h in pages], out)
+
+    return run(html)
+
+
 def items_of(platform_id: int | None, html: str | None) -> list:
     """Raw item fields of one page; none for a platform without an HTML feed."""
     spec = SPECS.get(platform_id)

@@ -99,6 +99,13 @@ def _token_counts(texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a table scan, dealt out anew where it has fewer splits than there are cores
+    (a table in one row group is one task, however large); others stay as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:
     """(doc, kept columns, token, tf) in one pass over the documents."""
     return docs.select(id_col, *keep, F.inline(token_counts(text_col)))

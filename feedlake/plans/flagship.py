@@ -31,16 +31,18 @@ def with_items(hits: DataFrame, keep: list[str]) -> DataFrame:
     return found.withColumn("newest", pi.newest(F.col("marker_kind"), F.col("items")))
 
 
-def notices_to_pages(notices: DataFrame, store: DataFrame, platforms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def notices_to_pages(notices: DataFrame, store: DataFrame, platforms: DataFrame,
+                     buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """-> (pages, rejects, misses). ``pages`` has one row per announced page
-    with its ordered item array and no html column."""
+    with its ordered item array and no html column. ``buckets``: of a store that is
+    a bucketed table; its html is then not shuffled."""
     good, rejects = messages.parse(notices)
     routed, unknown = messages.route(good, platforms)
     # A page announced twice is looked up once, for its first notice: the store
     # holds one version per key, so the repeat would find every item seen.
     first = F.min(F.struct("msg_seq", "platform_id", "marker_kind", "needs_login")).alias("f")
     requests = routed.groupBy("key_name", "pos_name").agg(first).select("key_name", "pos_name", "f.*")
-    looked = lookup.lookup(requests, store)
+    looked = lookup.lookup(requests, store, buckets=buckets)
     hits, misses = lookup.split_hits(looked, lookup.MISS_NULL_OR_EMPTY)
     pages = with_items(hits, ["platform_id", "marker_kind", "needs_login", "page_url"])
     all_rejects = rejects.select("msg_seq", "value", "reason").unionByName(
@@ -130,9 +132,9 @@ def next_markers(pages: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def run_increment(spark: SparkSession, notices: DataFrame, store: DataFrame, platforms: DataFrame,
-                  root: str, run_id: int, initial_markers: DataFrame | None = None) -> None:
+                  root: str, run_id: int, initial_markers: DataFrame | None = None, buckets: int | None = None) -> None:
     ensure_checkpoint_dir(spark)
-    pages, rejects, _ = notices_to_pages(notices, store, platforms)
+    pages, rejects, _ = notices_to_pages(notices, store, platforms, buckets)
     pages = pages.checkpoint(eager=True)    # read twice below; html already dropped
     log, written_log = marker_log(spark, root), article_log(spark, root)
     if initial_markers is not None:   # from before the first run (ids count from 0)

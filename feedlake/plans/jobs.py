@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from .. import schemas
 from ..operators import extract, lookup, messages, relational as rel, sinks, text as tx
-from ..operators.article_pages import blog_articles, blog_links, blog_table
+from ..operators.article_pages import author_links, blog_articles, blog_links, blog_table, card_bodies, paid_articles
 from ..operators.feeds import status_items, status_rows
+from ..operators.keyed_tables import BucketTable
 from ..operators.platform_pages import PROFILE_SPECS, page_items, profile_40002
 from ..operators.profiles import vip_info
 
@@ -28,6 +29,9 @@ class Inputs:
     user_rows  the same without a key: several rows per user
     authors    user_id of users that have articles
     responses  user_id, body: landed follower-count answers
+
+    page_buckets: the number of buckets where ``pages`` is a bucketed table
+    (``sources.page_store.write_bucketed``); its html is then not shuffled.
     """
     spark: SparkSession
     articles: DataFrame | None = None
@@ -36,6 +40,7 @@ class Inputs:
     user_rows: DataFrame | None = None
     authors: DataFrame | None = None
     responses: DataFrame | None = None
+    page_buckets: int | None = None
 
 
 def _order():
@@ -52,39 +57,50 @@ def article_text(html) -> F.Column:
     return extract.text_of(F.regexp_extract(html, "<article>(.*?)</article>", 1))
 
 
-def _by_url(t, df):
-    return lookup.lookup_by_url(df, t.pages, "url", ("html",))
-
-
 def backfill_200(t: Inputs) -> DataFrame:
-    """JOB1 (40005): newest 3000, summary NULL -> page; miss or empty body ->
-    recrawl task; hit -> body cut 200 -> keyed update rows."""
+    """JOB1 (40005): newest 3000, summary NULL -> detail page -> its body (ART5) cut to
+    200 -> keyed update rows; a missing or broken page gives a recrawl task."""
     a = t.articles.where(F.col("platform_id") == 40005)
     todo = rel.topk_then_filter(a, _order(), K, F.col("summary").isNull()).select("platform_id", "url")
-    lk = _by_url(t, todo)
-    miss = lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None)
-    return lk.select("url",
-                     F.when(~miss, fn.cut(body_text("page_html"), schemas.SUMMARY_CUT_40005)).alias("summary"),
-                     F.when(miss, messages.crawl_task("platform_id", "url", schemas.RESULT_RECRAWL)).alias("task"))
+    lk = lookup.extracted(todo, t.pages, lambda p: card_bodies(p).select("table_name", "page_url", "body"), t.page_buckets)
+    task = messages.crawl_task("platform_id", "url", schemas.RESULT_RECRAWL)
+    return lk.select("url", F.substring("body", 1, schemas.SUMMARY_CUT_40005).alias("summary"),
+                     F.when(F.col("body").isNull(), task).alias("task"))
+
+
+def write_summaries(t: Inputs, table: BucketTable, version: int, tasks: str) -> None:
+    """JOB1 with its writes: summaries are set by url in ``table`` (url, summary), of
+    which only the touched buckets are rewritten, the tasks go to the folder ``tasks``.
+    The rows are written first and both read from there; a replay writes the same."""
+    path = f"{tasks}/rows/version={version}"
+    rows = backfill_200(t)
+    rows.write.mode("overwrite").parquet(path)
+    rows = t.spark.read.schema(rows.schema).parquet(path)
+    table.update(rows.where("task is null").groupBy("url").agg(F.min("summary").alias("summary")), ["summary"], version)
+    rows.where("task is not null").select(F.col("task").alias("value")).write.mode("overwrite").text(f"{tasks}/tasks/version={version}")
 
 
 def backfill_300(t: Inputs) -> DataFrame:
     """JOB2 (40001): newest 3000, summary NULL -> page -> article text ->
     digest; digest and summary (cut 300) set together; misses ignored."""
     a = t.articles.where(F.col("platform_id") == 40001)
-    todo = rel.topk_then_filter(a, _order(), K, F.col("summary").isNull()).select("url")
-    lk = _by_url(t, todo)
-    hits = lk.where(~lookup.is_miss(lookup.MISS_NULL_OR_EMPTY, url=None))
-    docs = hits.select(F.col("url").alias("doc_id"), article_text("page_html").alias("text"))
-    dg = docs.select(F.col("doc_id").alias("url"), tx.digest("text").alias("digest"))
+    todo = rel.topk_then_filter(a, _order(), K, F.col("summary").isNull()).select("platform_id", "url")
+
+    def digests(pages):
+        return pages.where("html <> ''").select("table_name", "page_url", tx.digest(article_text("html")).alias("digest"))
+
+    dg = lookup.extracted(todo, t.pages, digests, t.page_buckets).where("hit")
     return dg.select("url", "digest", fn.intercept("digest", schemas.SUMMARY_CUT).alias("summary"))
 
 
 def history_missing(t: Inputs) -> DataFrame:
     """JOB3: urls without summary and their stored content (listed only)."""
-    a = t.articles.where(F.col("summary").isNull()).select("url")
-    return _by_url(t, a).select("url", F.length("page_html").alias("content_len"),
-                                       F.md5("page_html").alias("content_md5"))
+    a = t.articles.where(F.col("summary").isNull()).select("platform_id", "url")
+    return lookup.extracted(a, t.pages, _measured, t.page_buckets).select("url", "content_len", "content_md5")
+
+
+def _measured(pages: DataFrame) -> DataFrame:
+    return pages.select("table_name", "page_url", F.length("html").alias("content_len"), F.md5("html").alias("content_md5"))
 
 
 def recrawl(t: Inputs) -> DataFrame:
@@ -94,21 +110,30 @@ def recrawl(t: Inputs) -> DataFrame:
 
 
 def materialise(t: Inputs) -> DataFrame:
-    """JOB5: the four platforms' urls with a non-empty summary -> stored
-    page -> content table (url -> content, last write wins).
+    """JOB5: the four platforms' urls with a non-empty summary -> stored page ->
+    what is kept of its content; ``write_contents`` is the write.
 
     One scan with ``platform_id IN (...)`` instead of four per-platform
     views (on the partitioned table each view prunes to its partition; on a
-    derived platform column four views would scan four times). Last write
-    wins is resolved on the keys (url, ts) before the lookup, so the html
-    joins once and is never aggregated."""
-    a = t.articles
-    urls = a.where(F.col("platform_id").isin(40001, 40002, 40003, 40004) & (F.col("summary") != ""))
-    latest = urls.groupBy("url").agg(F.max("ts").alias("ts"))
-    lk = lookup.lookup_by_url(latest, t.pages, "url", ("html",))
-    hits = lk.where(F.col("page_html").isNotNull())
-    return hits.select("url", F.length("page_html").alias("content_len"), F.md5("page_html").alias("content_md5"),
-                       extract.title("page_html").alias("title"))
+    derived platform column four views would scan four times)."""
+    hits = _stored_contents(t)
+    return hits.select(F.col("page_url").alias("url"), F.length("html").alias("content_len"), F.md5("html").alias("content_md5"),
+                       extract.title("html").alias("title"))
+
+
+def _stored_contents(t: Inputs) -> DataFrame:
+    """``table_name, page_url, html`` of JOB5's urls. The store holds one version a key,
+    so each is found once, however many catalogue rows name it."""
+    urls = t.articles.where(F.col("platform_id").isin(40001, 40002, 40003, 40004) & (F.col("summary") != ""))
+    return lookup.found_pages(urls, t.pages, t.page_buckets).where(F.col("html").isNotNull())
+
+
+def write_contents(t: Inputs, table: BucketTable, version: int) -> None:
+    """JOB5 with its write: ``table`` (url, content, run) gets the found pages by url; of
+    two runs the later one's content stays. Only the buckets of the found urls are
+    rewritten; a replayed version gives the same table."""
+    found = _stored_contents(t).select(F.col("page_url").alias("url"), F.col("html").alias("content"))
+    table.put(found.withColumn("run", F.lit(version)), "run", version)
 
 
 def _lookup_pages(t: Inputs, users: DataFrame, prefix: str) -> tuple[DataFrame, Column]:
@@ -184,6 +209,24 @@ def missing_articles(t: Inputs) -> DataFrame:
     return items.unionByName(lk.where(miss).select("page_url", _task(40001, schemas.RESULT_RECRAWL)), allowMissingColumns=True)
 
 
+def author_fill(t: Inputs) -> DataFrame:
+    """JOB11: all 40003 users -> author page -> its links (FEED10) -> article pages ->
+    article rows (ART7). An author page that is not stored is taken again (task 2); a
+    broken one (no list, or a row without a link: what stands before it counts) and
+    missing or broken article pages give crawl tasks (0)."""
+    asked = t.users.select("user_id", messages.build_url(schemas.URLS[40003]["author"], "user_id").alias("page_url"))
+    lk = lookup.lookup_by_url(asked.select("page_url").distinct(), t.pages, "page_url", ("html",), prefix="")
+    lost = F.col("html").isNull()
+    read = author_links(lk.where(~lost))
+    links = read.select(F.explode("links").alias("page_url")).distinct()
+    arts = lookup.lookup_by_url(links, t.pages, "page_url", ("html",), prefix="")
+    rows = paid_articles(arts.where(~lost).withColumn("id", F.lit(0)))
+    tasks = (lk.where(lost).select("page_url", _task(40003, schemas.RESULT_RECRAWL))
+             .unionByName(read.where("broken").select("page_url", _task(40003, schemas.RESULT_CRAWL)))
+             .unionByName(arts.where(lost).select("page_url", _task(40003, schemas.RESULT_CRAWL))))
+    return rows.unionByName(tasks, allowMissingColumns=True)
+
+
 def follower_refresh(t: Inputs) -> DataFrame:
     """JOB13: landed fans-count responses -> keyed update of followers. The
     response source is a parameter (Q9). Unparsable responses leave the row
@@ -196,4 +239,4 @@ def follower_refresh(t: Inputs) -> DataFrame:
 
 #: Jobs by name, for the command line.
 JOBS = {f.__name__: f for f in (backfill_200, backfill_300, history_missing, recrawl, materialise, vip_home, blog_pages,
-                                vip_fill, article_fill, missing_articles, follower_refresh)}
+                                vip_fill, article_fill, missing_articles, author_fill, follower_refresh)}

@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..sources import standins
+from ..operators.keyed_tables import BucketTable
+from ..session import scratch_path
+from ..sources import page_store
+from ..sources import site_pages as site
 from ..sources.site_pages import site_pages
 from ..sources.tables import table
 from . import jobs
 from .oracle_common import crawl_task_sql
+from .q_platform_pages import DETAIL_CTE
 from .q_text import DIGEST_SQL
 from .registry import query
 
 W = standins.with_ctes("articles", "page_store", "users", "user_rows")
 K = schemas.TOPK_ARTICLES
-BODY = ("array_to_string(list_transform(regexp_extract_all({h}, '<p>(.*?)</p>', 1), "
-        "lambda p: regexp_replace(p, '<[^>]*>', '', 'g')), ' ')")
 ARTICLE_TEXT = "regexp_replace(regexp_extract({h}, '<article>(.*?)</article>', 1), '<[^>]*>', '', 'g')"
 TITLE = "regexp_extract({h}, '<title>([^<]*)</title>', 1)"
 
@@ -38,16 +41,40 @@ def _site_inputs(spark, d) -> jobs.Inputs:
     return replace(_inputs(spark, d), pages=site_pages(spark, d))
 
 
-@query("job_backfill_200", W + f""",
+def _detail_inputs(spark, d) -> jobs.Inputs:
+    """The same with 40005's detail pages as the page table."""
+    return replace(_inputs(spark, d), pages=site.detail_pages(spark, d))
+
+
+TODO_40005 = f"""{DETAIL_CTE},
 top AS (SELECT * FROM articles WHERE platform_id = 40005 ORDER BY ts DESC, url LIMIT {K}),
-lk AS (SELECT t.platform_id, t.url, s.html FROM top t LEFT JOIN page_store s ON s.row_key = t.url
-       WHERE t.summary IS NULL)
-SELECT url, CASE WHEN html IS NULL OR html = '' THEN NULL ELSE substring({BODY.format(h='html')}, 1, 200) END AS summary,
-       CASE WHEN html IS NULL OR html = '' THEN {crawl_task_sql('platform_id', 'url', '2')} END AS task
-FROM lk""")
+todo AS (SELECT t.platform_id, t.url, substring(s.body, 1, 200) AS summary, s.body IS NULL AS failed
+         FROM top t LEFT JOIN detail s USING (url) WHERE t.summary IS NULL)"""
+
+
+@query("job_backfill_200", W + f""",{TODO_40005}
+SELECT url, summary, CASE WHEN failed THEN {crawl_task_sql('platform_id', 'url', '2')} END AS task FROM todo""")
 def q_job_backfill_200(spark, d):
-    """JOB1."""
-    return jobs.backfill_200(_inputs(spark, d))
+    """JOB1 through ART5."""
+    return jobs.backfill_200(_detail_inputs(spark, d))
+
+
+@query("job_backfill_200_write", W + f""",{TODO_40005}
+SELECT 'row' AS kind, a.url, CASE WHEN NOT t.failed THEN t.summary ELSE a.summary END AS summary, CAST(NULL AS VARCHAR) AS task
+FROM articles a LEFT JOIN todo t USING (url) WHERE a.platform_id = 40005
+UNION ALL
+SELECT 'task', NULL, NULL, {crawl_task_sql('platform_id', 'url', '2')} FROM todo WHERE failed""")
+def q_job_backfill_200_write(spark, d):
+    """JOB1 with its writes (SNK6, replayed once): the articles after the update, and the tasks."""
+    t = _detail_inputs(spark, d)
+    root = scratch_path(spark, "backfill")
+    table = BucketTable(spark, f"{root}/articles", ["url"], "url string, summary string", 16)
+    table.create(t.articles.where("platform_id = 40005").select("url", "summary"))
+    for version in (1, 1):
+        jobs.write_summaries(t, table, version, root)
+    tasks = spark.read.text(f"{root}/tasks/version=1").withColumnRenamed("value", "task")
+    return table.current().select(F.lit("row").alias("kind"), "url", "summary").unionByName(
+        tasks.select(F.lit("task").alias("kind"), "task"), allowMissingColumns=True)
 
 
 @query("job_backfill_300", W + f""",
@@ -89,6 +116,26 @@ def q_job_materialise(spark, d):
     return jobs.materialise(_inputs(spark, d))
 
 
+@query("job_content_table", W + """,
+urls AS (SELECT url, ts FROM articles WHERE platform_id IN (40001, 40002, 40003, 40004) AND summary != ''),
+found AS (SELECT u.url, u.ts, CASE WHEN u.ts % 4 = 1 THEN s.html || '<!-- old -->' ELSE s.html END AS content
+          FROM urls u JOIN page_store s ON s.row_key = u.url WHERE s.html IS NOT NULL)
+SELECT url, CAST(length(content) AS INTEGER) AS content_len, md5(content) AS content_md5, CAST(CASE WHEN ts % 4 = 1 THEN 1 ELSE 2 END AS INTEGER) AS run FROM found""")
+def q_job_content_table(spark, d):
+    """JOB5 with its write (SNK8), over a page store in buckets whose html is not shuffled:
+    a run over older pages and all articles, then one over the pages as they are and half
+    of the articles, replayed once. The table keeps the later content of each url."""
+    t, buckets = _inputs(spark, d), 16
+    old = t.pages.withColumn("html", F.concat("html", F.lit("<!-- old -->")))
+    table = BucketTable(spark, scratch_path(spark, "contents"), ["url"], "url string, content string, run int", 16)
+    for version, pages, articles in ((1, old, t.articles), (2, t.pages, t.articles.where("ts % 4 <> 1"))):
+        store = page_store.write_bucketed(pages.select("table_name", "row_key", "url", "html"), page_store.fresh_name("pages"),
+                                          buckets, scratch_path(spark, "page-store"))
+        for _ in range(version):   # the second run is replayed
+            jobs.write_contents(replace(t, pages=store, articles=articles, page_buckets=buckets), table, version)
+    return table.current().select("url", F.length("content").alias("content_len"), F.md5("content").alias("content_md5"), "run")
+
+
 def _null(*types: str) -> str:
     return ", ".join(f"CAST(NULL AS {t})" for t in types)
 
@@ -187,6 +234,30 @@ def q_job_missing_articles(spark, d):
     return jobs.missing_articles(_site_inputs(spark, d))
 
 
+PAID = schemas.URLS[40003]
+
+
+@query("job_author_fill", W + f""",
+lk AS (SELECT *, CAST(user_id AS VARCHAR) AS s, '{PAID["author"]}' || CAST(user_id AS VARCHAR) AS author, user_id % 5 = 1 AS miss,
+         user_id % 10 = 7 AS unlisted, user_id % 13 = 0 AND user_id % 3 = 2 AS torn FROM users),
+art AS (SELECT *, '{PAID["article"]}' || CAST(user_id * 10 + k AS VARCHAR) AS page_url, (user_id + k) % 4 = 2 AS lost, user_id % 19 = 0 AS bad
+        FROM (SELECT *, unnest(range(user_id % 3)) AS k FROM lk WHERE NOT miss AND NOT unlisted) t WHERE NOT (torn AND k = 1))
+SELECT page_url, CASE WHEN NOT bad THEN s END AS user_id, CASE WHEN NOT bad THEN name END AS title,
+  CASE WHEN NOT bad THEN CAST(user_id * 2 AS INTEGER) END AS read_count,
+  CASE WHEN NOT bad THEN CAST(CASE WHEN user_id % 3 = 0 THEN user_id % 50 ELSE 0 END AS INTEGER) END AS buy_count,
+  CASE WHEN NOT bad THEN CAST(CASE WHEN user_id % 4 = 0 THEN (user_id % 9) + 0.5 ELSE 0 END AS DOUBLE) END AS price,
+  CASE WHEN NOT bad THEN CAST(1468463935 AS BIGINT) END AS ts_s, CASE WHEN bad THEN {crawl_task_sql('40003', 'page_url', '0')} END AS task
+FROM art WHERE NOT lost
+UNION ALL
+SELECT page_url, {_null('VARCHAR', 'VARCHAR', 'INTEGER', 'INTEGER', 'DOUBLE', 'BIGINT')}, {crawl_task_sql('40003', 'page_url', 'result')}
+FROM (SELECT author AS page_url, 2 AS result FROM lk WHERE miss
+      UNION ALL SELECT author, 0 FROM lk WHERE NOT miss AND (unlisted OR torn)
+      UNION ALL SELECT page_url, 0 FROM art WHERE lost) x""")
+def q_job_author_fill(spark, d):
+    """JOB11 through FEED10 and ART7."""
+    return jobs.author_fill(replace(_inputs(spark, d), pages=site.author_pages(spark, d)))
+
+
 @query("job_follower_refresh", W + """
 SELECT u.user_id, CASE WHEN s.s_suppkey IS NOT NULL THEN CAST(trunc(s.s_acctbal) AS BIGINT)
                        ELSE u.followers_count END AS followers_count,

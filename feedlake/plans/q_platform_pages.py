@@ -103,13 +103,25 @@ FROM (SELECT *, 'http://moer.jiemian.com/articleDetails.htm?articleId=' || CAST(
 def q_art_page_40003(spark, d):
     """ART7 through article pages: read count, time, buyers (default 0), price
     (default 0.0); a read count that does not parse gives a crawl task."""
-    uid, s = _ids()
-    html = _cat('<html><a class="author-avatar" href="authorHome.htm?theId=', s, '">x</a><div class="article-container"><h2>', F.col("name"),
-                '</h2></div><div class="summary-footer"><span><i>浏览：', F.when(uid % 19 == 0, "many").otherwise((uid * 2).cast("string")),
-                "次</i><i>时间：2016年07月14日 10:38:55</i>", F.when(uid % 3 == 0, _cat("<i>", (uid % 50).cast("string"), "</i>")).otherwise(""),
-                "</span></div>", F.when(uid % 4 == 0, _cat('<div class="float-r goOrder"><strong>', (uid % 9).cast("string"), ".5</strong></div>"))
-                .otherwise(""), "</html>")
-    return ap.paid_articles(_pages(spark, d, _cat(schemas.URLS[40003]["article"], s), html))
+    return ap.paid_articles(_pages(spark, d, _cat(schemas.URLS[40003]["article"], _ids()[1]), site.paid_article_html()))
+
+
+#: What the detail pages of 40005 say, stated from the given pages.
+DETAIL_CTE = """
+raw AS (SELECT *, regexp_replace(array_to_string(regexp_extract_all(html, '<p>(.*?)</p>', 1), ' '), '<[^>]*>', '', 'g') AS content,
+          regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS reason FROM page_store WHERE platform_id = 40005),
+detail AS (SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+  CASE WHEN html = '' THEN NULL WHEN page_id % 7 = 1 THEN '' WHEN page_id % 11 = 3 THEN NULL ELSE
+    trim(regexp_replace(replace(replace(content, '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) || ' ' ||
+    trim(regexp_replace(replace(replace(reason, '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) END AS body FROM raw)"""
+
+
+@query("art_page_40005", standins.with_ctes("page_store") + f""",{DETAIL_CTE}
+SELECT url AS page_url, title, body FROM detail""")
+def q_art_page_40005(spark, d):
+    """ART5 through detail pages: html nested in a script's JSON document, the first
+    card's content and reason; broken documents and pages without a card."""
+    return ap.card_bodies(site.detail_pages(spark, d).select(F.col("url").alias("page_url"), "html"))
 
 
 @query("feed_blog_table", W + f"""

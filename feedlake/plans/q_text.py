@@ -125,7 +125,7 @@ def q_nlp_tokens_unspaced(spark, d):
 
 
 def _lang_model(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label"))
+    docs = tx.spread(table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("label")))
     return docs, tx.nb_train(tx.term_counts(docs, keep=("label",)), docs.select("doc_id", "label"))
 
 

@@ -101,6 +101,7 @@ URLS = {
         "blog": "http://www.taoguba.com.cn/blog/",
         "article": "http://www.taoguba.com.cn/Article/",
         "image": "http://image.taoguba.com.cn/img/",
+        "top_page": "http://www.taoguba.com.cn/viewMoreTop?topFlag=R&pageNo=",
     },
     40005: {
         "home_page": "http://weibo.com/",
@@ -110,6 +111,7 @@ URLS = {
 FOCUS_LIST = "/myfocus/friend"   # 40002: the accounts a user follows, after the home page
 TOPK_ARTICLES = 3000          # recrawl and summary back-fill
 LIST_PAGES_40003 = 2024       # list pages seeded for platform 40003
+TOP_PAGES_40004 = 5           # pages of top writers seeded for platform 40004
 FOLLOWER_GATE_EXPAND = 100    # > 100: expand (40001)
 FOLLOWER_GATE_VIP = 500       # > 500: VIP candidate (40002); < 500: badge check
 SUMMARY_CUT_40005 = 200
@@ -118,6 +120,9 @@ DIGEST_CUT = 500              # digest and stock string (40004)
 HEADLINE_CUT = 30
 OWNER_MARK = "- 雪球"          # page title: owner before it (40001)
 CARDS_SCRIPT = "pl.content.homefeed.index"   # script that holds the cards (40005)
+DETAIL_SCRIPT = "pl.content.weiboDetail.index"   # script that holds an article (40005)
+SCRIPT_HEAD, SCRIPT_TAIL = "<script>FM.view(", ")</script>"   # around a script's document (40005)
+DETAIL_TITLE_SUFFIX = "- 微博"   # removed from page titles (40005)
 OWN_TOPIC = (40001,)          # platforms whose article tasks go to a topic of their own
 MOER_HOST = "http://moer.jiemian.com/"
 WEIBO_HOST = "http://weibo.com"

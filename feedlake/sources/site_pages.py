@@ -98,14 +98,125 @@ def status_html() -> Column:
                F.array_join(rows, ","), "]};\n  SNB.data.statusType = 1;</script></body></html>")
 
 
+def paid_article_html() -> Column:
+    """40003: an article page of a user; the read count of some does not parse."""
+    uid = F.col("user_id")
+    return cat('<html><a class="author-avatar" href="authorHome.htm?theId=', _text(uid), '">x</a><div class="article-container"><h2>',
+               F.col("name"), '</h2></div><div class="summary-footer"><span><i>浏览：', F.when(uid % 19 == 0, "many").otherwise(_text(uid * 2)),
+               "次</i><i>时间：2016年07月14日 10:38:55</i>", F.when(uid % 3 == 0, cat("<i>", _text(uid % 50), "</i>")).otherwise(""),
+               "</span></div>", F.when(uid % 4 == 0, cat('<div class="float-r goOrder"><strong>', _text(uid % 9), ".5</strong></div>"))
+               .otherwise(""), "</html>")
+
+
+def paid_link(k: Column) -> Column:
+    return cat("articleDetails.htm?articleId=", _text(F.col("user_id") * 10 + k))
+
+
+def author_html() -> Column:
+    """40003: an author's page with uid % 3 articles; the second row of some has no link,
+    some have no list."""
+    uid = F.col("user_id")
+    ks = F.when(uid % 3 > 0, F.sequence(F.lit(0).cast("long"), uid % 3 - 1)).otherwise(F.array().cast("array<bigint>"))
+    rows = F.transform(ks, lambda k: F.when((uid % 13 == 0) & (k == 1), "<tr><td>gone</td></tr>").otherwise(
+        cat('<tr><td><a href="', paid_link(k), '">t</a></td><td><a href="other">o</a></td></tr>')))
+    name = F.when(uid % 10 == 7, "list2").otherwise("list1")
+    return cat('<html><table id="', name, '">', F.array_join(rows, ""), "</table></html>")
+
+
+def author_pages(spark: SparkSession, d: str) -> DataFrame:
+    """40003: author and article pages of all users; some never crawled."""
+    u, uid, k = standins.users(spark, d), F.col("user_id"), F.col("k")
+    at = schemas.URLS[40003]
+    arts = u.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1).cast("long")))).where((uid + k) % 4 != 2)
+    return _rows(u.where(uid % 5 != 1), 40003, cat(at["author"], _text(uid)), author_html()).unionByName(
+        _rows(arts, 40003, cat(at["home_page"], paid_link(k)), paid_article_html()))
+
+
+def detail_pages(spark: SparkSession, d: str) -> DataFrame:
+    """40005: the stored pages of that platform as detail pages. The paragraphs of a given
+    page are the content of its card, the headline is the reason; by page id some documents
+    are cut short (%7 = 1), some have no card (%11 = 3); empty pages stay empty."""
+    p, pid = standins.page_store(spark, d).where("platform_id = 40005"), F.col("page_id")
+    body = F.regexp_replace(F.array_join(F.regexp_extract_all("html", F.lit("<p>(.*?)</p>"), 1), " "), "<[^>]*>", "")
+    reason = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)
+    card = cat('<div class="WB"><div ', F.when(pid % 11 == 3, "data-id").otherwise("tbinfo"), '="ouid=1"><div node-type="feed_list_content"> ', body,
+               '</div><div node-type="feed_list_reason">', reason, '</div></div><div tbinfo="ouid=2">',
+               '<div node-type="feed_list_content">second card</div></div></div>')
+    card = F.when(pid % 11 == 3, F.regexp_replace(card, '<div tbinfo.*$', "</div>")).otherwise(card)
+    doc = F.to_json(F.struct(F.lit(schemas.DETAIL_SCRIPT).alias("ns"), card.alias("html")))
+    doc = F.when(pid % 7 == 1, F.substring(doc, F.lit(1), F.length(doc) - 2)).otherwise(doc)
+    html = cat("<html><head><title>", F.regexp_extract("html", "<title>([^<]*)</title>", 1), schemas.DETAIL_TITLE_SUFFIX,
+               "</title></head><body><script>var config = {};</script>", schemas.SCRIPT_HEAD, doc, schemas.SCRIPT_TAIL, "</body></html>")
+    return p.select("page_id", "table_name", "row_key", "url", F.when(F.col("html") == "", "").otherwise(html).alias("html"))
+
+
+PANEL_USERS = 64   # users on one landed home page
+
+
+def _panels(u: DataFrame, html) -> DataFrame:
+    """Landed home pages ``chunk, html`` that list ``PANEL_USERS`` users each, by id."""
+    many = u.groupBy((F.col("user_id") / PANEL_USERS).cast("long").alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.col("user_id"))).alias("ids"))
+    return many.select("chunk", html.alias("html"))
+
+
+def _each(area: int, areas: int, row) -> Column:
+    """``row(id)`` of the users whose id gives ``area``, in order."""
+    return F.array_join(F.transform(F.filter("ids", lambda x: x % areas == area), row), "")
+
+
+def blog_portals(spark: SparkSession, d: str) -> DataFrame:
+    """40002: landed home pages with three panels and a fourth, of the second one's class,
+    that is not read; users go to the panels by id % 4."""
+    home = schemas.URLS[40002]["home_page"]
+    at = lambda x: cat(home, _text(x))
+    again = cat(home, "0")
+    rows = [lambda x: cat('<p><a class="user" href="', at(x), '">u</a><a class="pic" href="', again, '">p</a></p>'),
+            lambda x: cat('<li><a href="', at(x), '">u</a><a href="', again, '">more</a></li>'),
+            lambda x: cat('<li><a href="', again, '">stock</a><a href="', at(x), '">u</a></li>'),
+            lambda x: cat('<li><a href="', at(x), '">u</a></li>')]
+    one, two, three, four = (_each(i, 4, r) for i, r in enumerate(rows))
+    listed = '<ul class="BlogMUl BlockStyle1 Ml30 Fl Mt10">'
+    html = cat('<html><a class="user" href="', again, '">me</a><div id="gowell">', one, "</div>", listed, two, "</ul>", '<div id="goStock"><ul>',
+               three, "</ul></div>", listed, four, "</ul></html>")
+    return _panels(standins.users(spark, d), html).select(cat(home, "?seen=", _text(F.col("chunk"))).alias("page_url"), "html")
+
+
+def writer_portals(spark: SparkSession, d: str) -> DataFrame:
+    """40004: landed home pages; the panel of the week lists the users with id % 2 = 0,
+    a second one is not read."""
+    rows = lambda x: cat('<li><a href="blog/', _text(x), '">u</a></li>')
+    html = cat('<html><ul class="tgb_mr05">', _each(0, 2, rows), '</ul><ul class="tgb_mr05">', _each(1, 2, rows), "</ul></html>")
+    return _panels(standins.users(spark, d), html).select(
+        cat(schemas.URLS[40004]["home_page"], "?seen=", _text(F.col("chunk"))).alias("page_url"), "html")
+
+
+TOP_USERS = 20   # users on a page of top writers
+
+
+def top_pages(spark: SparkSession, d: str) -> DataFrame:
+    """40004: landed pages 1.. of top writers, the most followed first (a top-k report);
+    page 4 was never crawled."""
+    k = TOP_USERS * schemas.TOP_PAGES_40004
+    top = standins.users(spark, d).orderBy(F.col("followers_count").desc(), "user_id").limit(k)
+    ids = F.array_sort(F.collect_list(F.struct(-F.col("followers_count"), "user_id")))
+    pages = top.agg(ids.alias("xs")).select(F.posexplode(F.transform("xs", lambda x: x["user_id"])).alias("i", "uid"))
+    no = (F.col("i") / TOP_USERS).cast("int") + 1
+    row = cat('<li><a href="blog/', _text(F.col("uid")), '">u</a><ul><li><a href="Article/1">a</a></li></ul></li>')
+    html = pages.groupBy(no.alias("no")).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col("i"), row.alias("r")))), lambda x: x["r"]), "").alias("rows"))
+    return _rows(html.where("no <> 4"), 40004, cat(schemas.URLS[40004]["top_page"], _text(F.col("no"))),
+                 cat('<html><ul><li><a href="blog/0">x</a></li></ul><div id="topics"><ul>', F.col("rows"), "</ul></div></html>"))
+
+
+def _rows(df: DataFrame, platform: int, url: Column, html: Column) -> DataFrame:
+    return df.select(F.lit(str(platform)).alias("table_name"), url.alias("row_key"), url.alias("url"), html.alias("html"))
+
+
 def site_pages(spark: SparkSession, d: str) -> DataFrame:
     """``table_name, row_key, url, html`` of all users' crawled pages."""
     u, uid = standins.users(spark, d), F.col("user_id")
-    s = _text(uid)
-
-    def rows(df, platform, url, html):
-        return df.select(F.lit(str(platform)).alias("table_name"), url.alias("row_key"), url.alias("url"), html.alias("html"))
-
+    s, rows = _text(uid), _rows
     lists = cat(schemas.URLS[40002]["article_list"], s)
     one = F.lit(1).cast("long")
     more = u.withColumn("page", F.explode(F.sequence(F.lit(2).cast("long"), F.lit(4).cast("long")))).where(F.col("page") <= pages_of())
