@@ -4,8 +4,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import friend_lists, graph, messages
+from ..operators import friend_lists, graph, messages, seeds
 from ..sources import graph as g
+from ..sources import site_pages as site
+from ..sources import standins
 from .oracle_common import crawl_task_sql
 from .registry import query
 
@@ -101,3 +103,49 @@ def q_grf_seeds(spark, d):
     """GRF4: one seed per panel (nation): the user with most followers."""
     n = g.nodes(spark, d)
     return n.groupBy("nation").agg(F.max_by("user_id", F.struct("followers", "user_id")).alias("user_id"))
+
+
+W_USERS = standins.with_ctes("users")
+PORTAL, WRITERS = schemas.URLS[40002]["home_page"], schemas.URLS[40004]
+
+
+@query("grf_panel_seeds", W_USERS + f"""
+SELECT '{PORTAL}?seen=' || CAST(user_id // {site.PANEL_USERS} AS VARCHAR) AS page_url, CAST(user_id % 4 AS INTEGER) AS panel,
+  CAST(row_number() OVER (PARTITION BY user_id // {site.PANEL_USERS}, user_id % 4 ORDER BY user_id) - 1 AS INTEGER) AS pos,
+  {crawl_task_sql('40002', f"'{PORTAL}' || CAST(user_id AS VARCHAR) || '{schemas.FOCUS_LIST}'", '0')} AS task
+FROM users WHERE user_id % 4 < 3""")
+def q_grf_panel_seeds(spark, d):
+    """GRF4 (40002): three panels of landed home pages, read in one walk, each by its own
+    link rule -> tasks for the accounts their users follow."""
+    return seeds.focus_tasks(site.blog_portals(spark, d))
+
+
+@query("grf_panel_users", W_USERS + f""",
+l AS (SELECT *, CAST(user_id AS VARCHAR) AS s FROM users WHERE user_id % 2 = 0),
+i AS (SELECT s, '{WRITERS["user_info"]}' || s AS url, name, user_id % 6 <> 5 AND user_id % 11 <> 0 AS hit FROM l),
+f AS (SELECT s, '{WRITERS["friend_list"]}' || s AS url, user_id % 3 <> 1 AS hit, user_id % 4 AS n, user_id % 11 = 5 AS broken FROM l)
+SELECT s AS user_id, 'info' AS kind, url, hit, CASE WHEN hit THEN name END AS name, CAST(NULL AS BIGINT) AS friends,
+  CASE WHEN NOT hit THEN {crawl_task_sql('40004', 'url', '0')} END AS task FROM i
+UNION ALL
+SELECT s, 'friends', url, hit, NULL, CASE WHEN hit AND NOT broken THEN n END,
+  {crawl_task_sql('40004', 'url', 'CASE WHEN NOT hit THEN 0 WHEN broken THEN 2 ELSE 1 END')} FROM f""")
+def q_grf_panel_users(spark, d):
+    """GRF4 (40004): users of the home page's panel -> info document and friend list,
+    read where stored, asked for where not."""
+    store = site.site_pages(spark, d).unionByName(site.friend_pages(spark, d))
+    return seeds.panel_users(site.writer_portals(spark, d), store)
+
+
+@query("msg_top_pages", W_USERS + f""",
+t AS (SELECT *, row_number() OVER (ORDER BY followers_count DESC, user_id) - 1 AS rn FROM users),
+w AS (SELECT CAST(user_id AS VARCHAR) AS s, rn // {site.TOP_USERS} + 1 AS no, CAST(rn % {site.TOP_USERS} AS INTEGER) AS pos FROM t
+      WHERE rn < {site.TOP_USERS * schemas.TOP_PAGES_40004} AND rn // {site.TOP_USERS} <> 3),
+p AS (SELECT unnest(range(1, {schemas.TOP_PAGES_40004} + 1)) AS no),
+k AS (SELECT * FROM (VALUES ('friends', '{WRITERS["friend_list"]}'), ('info', '{WRITERS["user_info"]}')) v(kind, prefix)),
+a AS (SELECT '{WRITERS["top_page"]}' || CAST(no AS VARCHAR) AS page_url, w.s, w.pos FROM p LEFT JOIN w USING (no))
+SELECT page_url, pos, s AS user_id, kind, {crawl_task_sql('40004', 'prefix || s', '0')} AS task FROM a, k WHERE s IS NOT NULL
+UNION ALL
+SELECT page_url, NULL, NULL, NULL, {crawl_task_sql('40004', 'page_url', '0')} FROM a WHERE s IS NULL""")
+def q_msg_top_pages(spark, d):
+    """MSG10 and GRF4 (40004): the generated pages 1..5 of top writers -> two tasks a writer."""
+    return seeds.top_writer_tasks(spark, site.top_pages(spark, d))

@@ -191,6 +191,16 @@ def writer_portals(spark: SparkSession, d: str) -> DataFrame:
         cat(schemas.URLS[40004]["home_page"], "?seen=", _text(F.col("chunk"))).alias("page_url"), "html")
 
 
+def friend_pages(spark: SparkSession, d: str) -> DataFrame:
+    """40004: users' friend lists with id % 4 friends; every eleventh is cut short, some
+    were never crawled."""
+    u, uid = standins.users(spark, d), F.col("user_id")
+    n = uid % 4
+    xml = cat('<root total="', _text(n), '">', F.repeat(F.lit('<keyword userID="1" userName="n"/>'), n.cast("int")), "</root>")
+    xml = F.when(uid % 11 == 5, F.substring(xml, F.lit(1), F.length(xml) - 5)).otherwise(xml)
+    return _rows(u.where(uid % 3 != 1), 40004, cat(schemas.URLS[40004]["friend_list"], _text(uid)), xml)
+
+
 TOP_USERS = 20   # users on a page of top writers
 
 
