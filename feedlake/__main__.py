@@ -25,19 +25,19 @@ import sys
 
 # The application's batch entry points, by what they do.
 JOBS = {
-    "summary-backfill-40005": "job_backfill_200",
+    "summary-backfill-40005": "job_backfill_200_write",
     "digest-backfill-40001": "job_backfill_300",
     "history-missing-summaries": "job_history_missing",
     "article-recrawl": "job_recrawl",
-    "content-materialise": "job_materialise",
+    "content-materialise": "job_content_table",
     "vip-home-pages-40002": "job_vip_home",
     "blog-pages-40002": "job_blog_pages",
-    "portrait-update-40002": "prof_portrait_update",
+    "portrait-update-40002": "prof_portrait_write",
     "vip-badge-check-40002": "str_seed_then_check",
     "vip-fill-40004": "job_vip_fill",
     "article-fill-40004": "job_article_fill",
     "known-user-recrawl-40004": "msg_fanout_two",
-    "article-fill-40003": "feed_links_hit_miss",
+    "article-fill-40003": "job_author_fill",
     "missing-articles-40001": "job_missing_articles",
     "extra-vip-seeds-40001": "src_seed_list",
     "follower-expansion-40001": "grf_threshold_bfs",

@@ -12,7 +12,7 @@ from ..functions import dates
 from ..functions.urls import after_marker, last_segment
 from ..session import bound_batches
 from . import messages
-from .platform_pages import page_items, walked, walked_areas
+from .platform_pages import SELF, page_items, walked, walked_areas
 
 # Tags, classes and ids of the pages; see platform_pages.SPECS.
 BLOG_ARTICLE = {40002: {
@@ -46,6 +46,11 @@ CARD = {"item": (None, ("[tbinfo]",), None),
                    "reason": (None, ("[node-type=feed_list_reason]",), "list", None, 0, None)}}
 AUTHOR_LIST = [{"item": ("tr", (), "#list1"), "fields": {"link": ("a", (), "attr", "href", 0, None)}},
                {"item": (None, ("#list1",), None), "fields": {}}]
+POST = [{"item": (None, ("p_coten",), None), "fields": {"text": (SELF, (), "text", None, 0, None)}},
+        {"item": ("img", (), "p_wenz"), "first": True,
+         "fields": {"src": (SELF, (), "attr", "src", 0, None), "lazy": (SELF, (), "attr", "data-original", 0, None)}},
+        {"item": (None, ("p_wenz",), None), "fields": {}}]
+POST_TITLE_SUFFIX, STYLE_HOST = "_淘股吧", "http://css.taoguba"
 RECOMMEND_ICON = "icon43.gif"
 READ_UNIT = "次"
 
@@ -135,6 +140,31 @@ def card_bodies(pages: DataFrame) -> DataFrame:
     return read.select(*keep, "title", F.when(F.col("_whole") & ~F.col("_object"), F.lit("")).otherwise(body).alias("body"))
 
 
+def posts_40004(pages: DataFrame) -> DataFrame:
+    """ART4: ``pages(.., html)`` -> the same columns without html, ``title`` without the
+    site's name, ``body`` (texts of all content blocks, joined by a space) and ``images``
+    of the first frame: the source, or the lazily loaded address where the source is
+    none, without the site's own decoration. A page without a frame is broken: body and
+    images NULL."""
+    bound_batches(pages.sparkSession)
+    keep = [c for c in pages.columns if c != "html"]
+    html = F.col("html").cast("string")
+    title = F.replace(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(POST_TITLE_SUFFIX), F.lit(""))
+    read = pages.select(*keep, title.alias("title"), walked_areas(html, POST).alias("_xs"))
+
+    def of(area: int) -> Column:
+        return F.transform(F.filter("_xs", lambda x: x["area"] == area), lambda x: x["fields"])
+
+    def address(x: Column) -> Column:
+        src, lazy = (F.coalesce(F.try_element_at(x, F.lit(k)), F.lit("")) for k in ("src", "lazy"))
+        return F.when(src.startswith("http://"), src).otherwise(lazy)
+
+    body = F.trim(F.regexp_replace(F.array_join(F.transform(of(0), lambda x: F.try_element_at(x, F.lit("text"))), " "), r"\s+", " "))
+    images = F.filter(F.transform(of(1), address), lambda u: ~u.startswith(STYLE_HOST))
+    framed = F.size(of(2)) > 0
+    return read.select(*keep, "title", F.when(framed, body).alias("body"), F.when(framed, images).alias("images"))
+
+
 def author_links(pages: DataFrame) -> DataFrame:
     """FEED10: ``pages(page_url, html)`` of 40003 authors -> ``page_url, links`` (addresses
     of their articles in page order, up to the first row without a link) and ``broken``:

@@ -11,6 +11,7 @@ expressions. Page order is kept in ``pos``; cover cards come first.
 from __future__ import annotations
 
 import json
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -21,15 +22,18 @@ from .. import schemas
 from ..functions import dates
 from ..functions.urls import after_marker, last_segment
 from ..session import bound_batches
+from . import messages
 
+SELF = "."
 VOID = {"br", "img", "meta", "link", "input", "hr", "area", "base", "col", "embed", "source", "wbr"}
 
 # ---------------------------------------------------------------------------
 # The platforms' page structure (tags and class names).
-# item: (tag or None, required classes, inside-class); "own": (field, attribute) of the
-#   item itself; "first": only items inside the first element of the inside-class
-# field: (tag, required classes, mode, attribute, occurrence, inside-class)
-#   mode: text | attr | count | list; occurrence -1 of an attribute: the last
+# item: (tag or None, required classes, inside-class); "first": only items inside the
+#   first element of the inside-class
+# field: (tag, required classes, mode, attribute, occurrence, inside-class); tag SELF: the
+#   item itself (text or attr); mode: text | attr | count | list; occurrence -1 of an
+#   attribute: the last
 # ---------------------------------------------------------------------------
 SPECS = {
     40002: {
@@ -73,6 +77,7 @@ PROFILE_SPECS = {
             "name": ("strong", (), "text", None, 0, "BloggerName"),
             "intro": (None, ("#BlogNameLoad",), "text", None, 0, None),
             "badges": (None, ("ApproveIco",), "count", None, 0, None),
+            "portrait": ("img", (), "attr", "src", 0, "BloggerPic"),
         },
     },
     40003: {
@@ -132,7 +137,6 @@ class _ItemWalker(HTMLParser):
         self.item_tag, self.item_classes, self.item_within = spec["item"]
         self.fields = spec["fields"]
         self.cover_class = spec.get("cover_class")
-        self.own = spec.get("own")
         self.first_area, self.areas = spec.get("first", False), 0
         self.stack = []          # (tag, classes, [capture ids])
         self.item_depth = None
@@ -165,8 +169,16 @@ class _ItemWalker(HTMLParser):
                 self.item_depth = len(self.stack)
                 self.cur = {"_cover": "1" if self.cover_class and self.cover_class in cls else "0"}
                 self.counts = {}
-                if self.own and a.get(self.own[1]) is not None:
-                    self.cur[self.own[0]] = a[self.own[1]]
+                for name, (ftag, _, mode, attr, _, _) in self.fields.items():
+                    if ftag == SELF and mode == "text":
+                        opened.append(self._open_cap(name))
+                    elif ftag == SELF and a.get(attr) is not None:
+                        self.cur[name] = a[attr]
+                if tag in VOID:
+                    for c in opened:
+                        self._close_cap(c)
+                    self._emit()
+                    return
         else:
             for name, (ftag, fcls, mode, attr, nth, within) in self.fields.items():
                 if (ftag is not None and tag != ftag) or not _has(cls, fcls, a) \
@@ -179,9 +191,7 @@ class _ItemWalker(HTMLParser):
                 elif mode == "attr" and nth in (k, -1):
                     self.cur[name] = a.get(attr) or ""
                 elif (mode == "text" and k == nth) or mode == "list":
-                    self._cid += 1
-                    self.caps[self._cid] = [name, []]
-                    opened.append(self._cid)
+                    opened.append(self._open_cap(name))
         if tag in VOID:
             for c in opened:
                 self._close_cap(c)
@@ -192,6 +202,11 @@ class _ItemWalker(HTMLParser):
         for _, parts in self.caps.values():
             parts.append(data)
 
+    def _open_cap(self, name) -> int:
+        self._cid += 1
+        self.caps[self._cid] = [name, []]
+        return self._cid
+
     def _close_cap(self, c):
         name, parts = self.caps.pop(c)
         text = "".join(parts).strip()
@@ -329,6 +344,50 @@ def profile_40003(items: DataFrame, page_url: Column) -> DataFrame:
                         F.when(fans.isNull(), 0).otherwise(1).alias("result"))
 
 
+# The two documents of a 40005 home page and what their html holds.
+HEAD_START, COUNT_START = '{"ns":"pl.header.head.index"', '{"ns":"","domid":"Pl_Core_T8CustomTriColumn__3"'
+VERIFIED_MARK = "key=profile_head&value=vuser_guest"
+HEAD_40005 = [{"item": (None, ("username",), None), "fields": {"text": (SELF, (), "text", None, 0, None)}},
+              {"item": ("img", (), None), "fields": {"src": (SELF, (), "attr", "src", 0, None)}},
+              {"item": (None, ("pf_intro",), None), "fields": {"text": (SELF, (), "text", None, 0, None)}}]
+COUNT_40005 = [{"item": ("td", (), None), "fields": {"n": ("strong", (), "text", None, 0, None)}}]
+
+
+def _first(areas: str, area: int, field: str, pos: int = 0) -> Column:
+    """A field of one item of walked areas: '' when the item lacks it, NULL without the item."""
+    item = F.get(F.filter(areas, lambda x: (x["area"] == area) & (x["pos"] == pos)), F.lit(0))
+    return F.when(item.isNotNull(), F.coalesce(F.try_element_at(item["fields"], F.lit(field)), F.lit("")))
+
+
+def profiles_40005(pages: DataFrame) -> DataFrame:
+    """PROF9: ``pages(page_url, html)`` -> user id (last part of the address), name,
+    portrait, introduction and verified mark from the html inside the page's head
+    document, followers from the second cell inside its counter document. A page that
+    lacks a document or one of these parts gives only its recrawl task (2); a portrait
+    without address is ''."""
+    bound_batches(pages.sparkSession)
+    script = rf"(?s){re.escape(schemas.SCRIPT_HEAD)}(.*?){re.escape(schemas.SCRIPT_TAIL)}"
+    docs = F.regexp_extract_all(F.col("html").cast("string"), F.lit(script), 1)
+
+    def inner(start: str) -> Column:
+        doc = F.get(F.filter("docs", lambda s: s.startswith(start)), F.lit(0))
+        return F.try_variant_get(F.try_parse_json(doc), "$.html", "string")
+
+    read = pages.select("page_url", docs.alias("docs"))
+    read = read.select("page_url", inner(HEAD_START).alias("head"), inner(COUNT_START).alias("counts"))
+    read = read.select("page_url", F.col("head").contains(VERIFIED_MARK).alias("vip"),
+                       walked_areas(F.col("head"), HEAD_40005).alias("h"), walked_areas(F.col("counts"), COUNT_40005).alias("c"))
+    text = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
+    row = read.select("page_url", "vip", text(_first("h", 0, "text")).alias("name"), _first("h", 1, "src").alias("portrait"),
+                      text(_first("h", 2, "text")).alias("introduction"),
+                      F.trim(_first("c", 0, "n", 1)).try_cast("int").alias("followers_count"))
+    parts = ["name", "portrait", "introduction", "followers_count", "vip"]
+    bad = F.exists(F.array(*[F.col(c).isNull() for c in parts]), lambda x: x)
+    return row.select("page_url", F.when(~bad, last_segment("page_url")).alias("user_id"),
+                      *[F.when(~bad, F.col(c)).alias(c) for c in parts],
+                      F.when(bad, messages.crawl_task(F.lit(40005), "page_url", schemas.RESULT_RECRAWL)).alias("task"))
+
+
 def _f(name: str) -> Column:
     return F.element_at(F.col("fields"), F.lit(name))
 

@@ -10,17 +10,17 @@ from .. import schemas
 from ..functions import json_get_or_default
 from ..session import bound_batches
 from . import friend_lists, lookup, messages
-from .platform_pages import walked_areas
+from .platform_pages import SELF, walked_areas
 
 # Panels of the home pages (ids, classes) and the list of top writers.
 # The link of an entry: the entry's own address, its first link or its last one.
 PORTAL_40002 = [
-    {"item": (None, ("user",), "#gowell"), "own": ("link", "href"), "fields": {}},
+    {"item": (None, ("user",), "#gowell"), "fields": {"link": (SELF, (), "attr", "href", 0, None)}},
     {"item": ("li", (), "BlogMUl BlockStyle1 Ml30 Fl Mt10"), "first": True,
      "fields": {"link": ("a", (), "attr", "href", 0, None)}},
     {"item": ("li", (), "#goStock"), "fields": {"link": ("a", (), "attr", "href", -1, None)}},
 ]
-PORTAL_40004 = [{"item": ("a", (), "tgb_mr05"), "first": True, "own": ("link", "href"), "fields": {}}]
+PORTAL_40004 = [{"item": ("a", (), "tgb_mr05"), "first": True, "fields": {"link": (SELF, (), "attr", "href", 0, None)}}]
 TOP_40004 = [{"item": ("li", (), ("#topics", "<ul")), "first": True, "fields": {"link": ("a", (), "attr", "href", 0, None)}}]
 USER_LINK = len("blog/")   # 40004: the id starts behind it
 

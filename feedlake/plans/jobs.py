@@ -15,6 +15,7 @@ from ..operators.feeds import status_items, status_rows
 from ..operators.keyed_tables import BucketTable
 from ..operators.platform_pages import PROFILE_SPECS, page_items, profile_40002
 from ..operators.profiles import vip_info
+from ..session import scratch_path
 
 K = schemas.TOPK_ARTICLES
 
@@ -147,6 +148,22 @@ def _task(platform: int, result: int) -> Column:
     return messages.crawl_task(F.lit(platform), "page_url", result).alias("task")
 
 
+def portraits(t: Inputs) -> DataFrame:
+    """PROF3 (40002): users -> home page -> the first image of the picture block;
+    ``user_id, portrait`` of the pages that have one."""
+    lk, _ = _lookup_pages(t, t.users.select("user_id").distinct(), schemas.URLS[40002]["home_page"])
+    items = page_items(lk.where(F.col("html").isNotNull()), 40002, "user_id", "html", PROFILE_SPECS)
+    portrait = F.try_element_at("fields", F.lit("portrait"))
+    return items.where(portrait.isNotNull()).select(F.col("id").alias("user_id"), portrait.alias("portrait"))
+
+
+def write_portraits(t: Inputs, table: BucketTable, version: int) -> None:
+    """PROF3 with its write (SNK6): only the buckets of the found users are rewritten."""
+    path = scratch_path(t.spark, "portraits")
+    portraits(t).write.parquet(path)   # read for its buckets and for the update
+    table.update(t.spark.read.parquet(path), ["portrait"], version)
+
+
 def vip_home(t: Inputs) -> DataFrame:
     """JOB6: VIP candidates -> home page -> profile (PROF1) or crawl task."""
     cand = rel.one_row_per_key(
@@ -239,4 +256,4 @@ def follower_refresh(t: Inputs) -> DataFrame:
 
 #: Jobs by name, for the command line.
 JOBS = {f.__name__: f for f in (backfill_200, backfill_300, history_missing, recrawl, materialise, vip_home, blog_pages,
-                                vip_fill, article_fill, missing_articles, author_fill, follower_refresh)}
+                                portraits, vip_fill, article_fill, missing_articles, author_fill, follower_refresh)}

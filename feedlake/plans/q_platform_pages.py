@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import article_pages as ap
 from ..operators import platform_pages as pp
+from ..operators.keyed_tables import BucketTable
+from ..session import scratch_path
 from ..sources import site_pages as site
 from ..sources import standins
+from . import jobs
 from .oracle_common import crawl_task_sql
 from .registry import query
 
@@ -124,6 +127,50 @@ def q_art_page_40005(spark, d):
     return ap.card_bodies(site.detail_pages(spark, d).select(F.col("url").alias("page_url"), "html"))
 
 
+@query("art_page_40004", standins.with_ctes("page_store") + """,
+raw AS (SELECT *, regexp_extract(html, '<h1>([^<]*)</h1>', 1) || ' ' ||
+          regexp_replace(array_to_string(regexp_extract_all(html, '<p>(.*?)</p>', 1), ' '), '<[^>]*>', '', 'g') AS content,
+          regexp_extract_all(html, '<li><a href="/([^"]*)">', 1) AS links, html = '' OR page_id % 9 = 4 AS broken
+        FROM page_store WHERE platform_id = 40004)
+SELECT url AS page_url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+  CASE WHEN NOT broken THEN trim(regexp_replace(replace(replace(content, '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) END AS body,
+  CASE WHEN NOT broken THEN array_to_string(list_filter(list_transform(links, lambda x, i:
+    CASE WHEN i % 3 = 1 THEN 'http://i.example/' || x WHEN i % 3 = 2 THEN 'http://lazy.example/' || x END), lambda x: x IS NOT NULL), ',') END AS images
+FROM raw""")
+def q_art_page_40004(spark, d):
+    """ART4 through posts: title without the site's name, all content blocks, images of
+    the frame by source or lazily loaded address; pages without a frame."""
+    return ap.posts_40004(site.post_pages(spark, d).select(F.col("url").alias("page_url"), "html")) \
+        .withColumn("images", F.array_join("images", ","))
+
+
+@query("prof_page_40005", W + f"""
+SELECT page_url, CASE WHEN NOT bad THEN s END AS user_id, CASE WHEN NOT bad THEN name END AS name,
+  CASE WHEN NOT bad THEN 'http://face/' || s || '.jpg' END AS portrait, CASE WHEN NOT bad THEN 'likes ' || segment END AS introduction,
+  CASE WHEN NOT bad THEN CAST(followers_count AS INTEGER) END AS followers_count, CASE WHEN NOT bad THEN user_id % 3 = 0 END AS vip,
+  CASE WHEN bad THEN {crawl_task_sql('40005', 'page_url', '2')} END AS task
+FROM (SELECT *, CAST(user_id AS VARCHAR) AS s, 'http://weibo.com/' || CAST(user_id AS VARCHAR) AS page_url,
+        user_id % 23 = 0 OR user_id % 19 = 0 OR user_id % 17 = 0 OR user_id % 13 = 0 AS bad FROM users) t""")
+def q_prof_page_40005(spark, d):
+    """PROF9 through home pages: head and counter documents in scripts."""
+    p = _pages(spark, d, _cat(schemas.URLS[40005]["home_page"], _ids()[1]), site.card_home_html())
+    return pp.profiles_40005(p.select("page_url", "html"))
+
+
+@query("prof_portrait_write", W + """
+SELECT user_id, CASE WHEN user_id % 5 <> 4 AND user_id % 4 IN (0, 3) THEN 'http://pic/' || CAST(user_id AS VARCHAR) || '.png' ELSE 'old' END AS portrait
+FROM users""")
+def q_prof_portrait_write(spark, d):
+    """PROF3 with its write: first image of the home page's picture block -> keyed update
+    (SNK6, replayed once); users without such a page or image keep what they had."""
+    t = jobs.Inputs(spark, users=standins.users(spark, d), pages=site.site_pages(spark, d))
+    table = BucketTable(spark, scratch_path(spark, "portrait_table"), ["user_id"], "user_id bigint, portrait string", 16)
+    table.create(t.users.select("user_id", F.lit("old").alias("portrait")))
+    for version in (1, 1):
+        jobs.write_portraits(t, table, version)
+    return table.current()
+
+
 @query("feed_blog_table", W + f"""
 SELECT page_url, CAST(i AS INTEGER) AS pos, CASE WHEN NOT bad THEN CAST(user_id AS VARCHAR) END AS user_id,
   CASE WHEN NOT bad THEN 'title ' || CAST(i AS VARCHAR) || ' of ' || name END AS title,

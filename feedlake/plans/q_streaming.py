@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators import lookup, messages
 from ..session import scratch_path
-from ..sources import standins
+from ..sources import page_store, standins
 from ..sources.tables import table
 from ..sources.dictionaries_text import keyword_dictionary
 from ..streaming import enrichment, feed
@@ -53,6 +53,20 @@ def q_str_stream_flagship(spark, d):
     return spark.read.parquet(f"{out}/articles").drop("batch")
 
 
+@query("str_two_stage_flagship", FLAGSHIP_SQL)
+def q_str_two_stage_flagship(spark, d):
+    """STR1/STR2 in the pruned form: the page table lies in key buckets, and a micro-batch
+    opens only the partitions of its own notices' keys."""
+    feed_pages, buckets = standins.feed_store(spark, d), 16
+    path = scratch_path(spark, "page_store")
+    page_store.write_store(feed_pages.select("table_name", "row_key", "url", "html"), path, buckets)
+    src, out = _land_notices(spark, d, feed_pages), scratch_path(spark, "two_stage_out")
+    _, q = feed.start_two_stage(spark, _notice_stream(spark, src), path, schemas.platforms(spark), flagship.page_markers(spark, d),
+                                scratch_path(spark, "two_stage_work"), out, buckets, available_now=True)
+    _run(q)
+    return spark.read.parquet(f"{out}/articles").drop("batch")
+
+
 @query("src_message_stream", standins.with_ctes("page_store", "messages") + f""", parsed AS ({PARSED_SQL})
 SELECT msg_seq, attr_id, key_name, pos_name, reason FROM parsed""")
 def q_src_message_stream(spark, d):

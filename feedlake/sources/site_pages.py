@@ -27,7 +27,9 @@ def blog_home_html() -> Column:
     """40002: a user's home page."""
     uid = F.col("user_id")
     return cat('<html><div class="BloggerName"><strong>', F.col("name"), '</strong></div><p id="BlogNameLoad">  likes ',
-               F.col("segment"), " </p>", F.when(uid % 3 == 0, '<i class="ApproveIco"></i>').otherwise(""), "</html>")
+               F.col("segment"), " </p>", F.when(uid % 3 == 0, '<i class="ApproveIco"></i>').otherwise(""),
+               F.when(uid % 4 == 1, "").otherwise(cat('<img src="logo.png"><div class="BloggerPic"><a>', F.when(uid % 4 == 2, "").otherwise(
+                   cat('<img src="http://pic/', _text(uid), '.png">')), "</a></div>")), "</html>")
 
 
 def blog_article_html(time: Column) -> Column:
@@ -150,6 +152,40 @@ def detail_pages(spark: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", "table_name", "row_key", "url", F.when(F.col("html") == "", "").otherwise(html).alias("html"))
 
 
+def post_pages(spark: SparkSession, d: str) -> DataFrame:
+    """40004: every stored page of that platform as a post. The headline and the paragraphs
+    are its content blocks, its links the images of the frame: by place the source, a
+    lazily loaded one, decoration; some pages (id %9 = 4) have no frame."""
+    p, pid = standins.page_store(spark, d).where("platform_id = 40004"), F.col("page_id")
+    body = F.regexp_replace(F.array_join(F.regexp_extract_all("html", F.lit("<p>(.*?)</p>"), 1), " "), "<[^>]*>", "")
+    links = F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)">'), 1)
+    images = F.transform(links, lambda x, i: F.when(i % 3 == 0, cat('<img src="http://i.example/', x, '">')).when(
+        i % 3 == 1, cat('<img src="/blank.gif" data-original="http://lazy.example/', x, '"/>')).otherwise(
+        cat('<img src="http://css.taoguba.com.cn/', x, '">')))
+    frame = F.when(pid % 9 == 4, "p_none").otherwise("p_wenz")
+    html = cat("<html><head><title>", F.regexp_extract("html", "<title>([^<]*)</title>", 1), '_淘股吧</title></head><img src="http://i.example/top">',
+               '<div class="p_coten">', F.regexp_extract("html", "<h1>([^<]*)</h1>", 1), '</div><div class="', frame, '"><div class="p_coten">', body,
+               "</div>", F.array_join(images, ""), '</div><div class="p_wenz2"><img src="http://i.example/foot"></div></html>')
+    return p.select("page_id", "table_name", "row_key", "url", F.when(F.col("html") == "", "").otherwise(html).alias("html"))
+
+
+def card_home_html() -> Column:
+    """40005: a user's home page of two documents; some without the counter document, with
+    one cell or with a count that is no number, some without introduction."""
+    uid = F.col("user_id")
+    head = F.to_json(F.struct(F.lit("pl.header.head.index").alias("ns"), cat(
+        '<div class="pf_photo"><img src="http://face/', _text(uid), '.jpg"></div><h1 class="username"> ', F.col("name"), " </h1>",
+        F.when(uid % 23 == 0, "").otherwise(cat('<div class="pf_intro">likes\n ', F.col("segment"), "</div>")),
+        F.when(uid % 3 == 0, '<a href="x?key=profile_head&value=vuser_guest">v</a>').otherwise("")).alias("html")))
+    cell = lambda c: cat("<td><a><strong>", c, "</strong></a></td>")
+    counts = F.to_json(F.struct(F.lit("").alias("ns"), F.lit("Pl_Core_T8CustomTriColumn__3").alias("domid"), cat(
+        "<table><tr>", cell(F.lit("12")), F.when(uid % 19 == 0, "").otherwise(cell(F.when(uid % 17 == 0, "many").otherwise(
+            _text(F.col("followers_count"))))), "</tr></table>").alias("html")))
+    script = lambda doc: cat(schemas.SCRIPT_HEAD, doc, schemas.SCRIPT_TAIL, "\n")
+    return cat("<html>", script(F.lit('{"ns":"pl.top.index","html":"<i></i>"}')), script(head),
+               F.when(uid % 13 == 0, "").otherwise(script(counts)), "</html>")
+
+
 PANEL_USERS = 64   # users on one landed home page
 
 
