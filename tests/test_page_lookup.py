@@ -148,3 +148,63 @@ def test_summaries_are_written_by_bucket_and_replayed(spark, tmp_path):
     tasks = [r.value for r in spark.read.text(str(tmp_path / "out/tasks/version=1")).collect()]
     assert sorted(re.search(r'"url":"(\w+)"', x)[1] for x in tasks) == ["u0", "u2", "u4", "u6", "u8", "u9"]
     assert all('"result":"2"' in x for x in tasks)
+
+
+def _post(images, frame="p_wenz"):
+    return (f'<html><head><title>Head_淘股吧</title></head><img src="http://i/out"><div class="p_coten"> a </div><div class="{frame}">'
+            f'<div class="p_coten">b &amp;\n c<br>d</div>{images}</div><div class="{frame}"><img src="http://i/second"></div></html>')
+
+
+@pytest.mark.parametrize("html, want", [
+    (_post('<img src="http://i/1"><img src="/b.gif" data-original="http://l/2"/><img src="http://css.taoguba.com.cn/x">'),
+     ("Head", "a b & cd", ["http://i/1", "http://l/2"])),
+    (_post('<img><img data-original="http://css.taoguba.com.cn/y">'), ("Head", "a b & cd", [""])),
+    (_post(""), ("Head", "a b & cd", [])),
+    (_post("", "other"), ("Head", None, None)), ("", ("", None, None)), (None, (None, None, None)),
+])
+def test_post_of_40004(spark, html, want):
+    df = spark.createDataFrame([("u", html)], "page_url string, html string")
+    assert tuple(ap.posts_40004(df).first())[1:] == want
+
+
+def _home(head=None, counts=None):
+    head = head if head is not None else ('<b class=\\"username\\"> Ann </b><img src=\\"f.png\\"><img src=\\"no\\"><p class=\\"pf_intro\\">x\\n y</p>'
+                                          'key=profile_head&value=vuser_guest')
+    counts = counts if counts is not None else "<td><strong>1</strong></td><td><i>of</i><strong>42</strong><strong>7</strong></td>"
+    return (f'<script>FM.view({{"ns":"pl.other","html":""}})</script>\n<script>FM.view({{"ns":"pl.header.head.index","html":"{head}"}})</script>'
+            f'\n<script>FM.view({{"ns":"","domid":"Pl_Core_T8CustomTriColumn__3","html":"{counts}"}})</script>')
+
+
+@pytest.mark.parametrize("html, want", [
+    (_home(), ("9", "Ann", "f.png", "x y", 42, True)),
+    (_home(head='<b class=\\"username\\">B</b><img><p class=\\"pf_intro\\"></p>'), ("9", "B", "", "", 42, False)),
+    (_home(head='<img src=\\"f\\"><p class=\\"pf_intro\\"></p>'), None),              # no name
+    (_home(counts="<td><strong>1</strong></td>"), None), (_home(counts="<td></td><td><strong>x</strong></td>"), None),
+    (_home().replace('"html":"<td>', '"html:<td>'), None), (_home().split("\n<script>FM.view({\"ns\":\"\"")[0], None), ("", None), (None, None),
+])
+def test_home_page_of_40005(spark, html, want):
+    r = pp.profiles_40005(spark.createDataFrame([("http://weibo.com/9", html)], "page_url string, html string")).first()
+    if want is None:
+        assert tuple(r)[1:-1] == (None,) * 6 and '"result":"2"' in r.task and '"attrid":"40005"' in r.task
+    else:
+        assert (r.user_id, r.name, r.portrait, r.introduction, r.followers_count, r.vip) == want and r.task is None
+
+
+def test_portraits_update_only_what_was_found(spark, tmp_path):
+    pages = spark.createDataFrame([("40002", f"http://blog.cnfol.com/{i}", "x", h) for i, h in enumerate(
+        ['<html><div class="BloggerPic"><img src="a.png"><img src="b.png"></div></html>', '<html><img src="c.png"></html>', "", None])],
+        "table_name string, row_key string, url string, html string")
+    users = spark.createDataFrame([(i,) for i in range(5)], "user_id long")
+    t = BucketTable(spark, str(tmp_path / "t"), ["user_id"], "user_id bigint, portrait string", 4)
+    t.create(users.select("user_id", F.lit("old").alias("portrait")))
+    jobs.write_portraits(jobs.Inputs(spark, users=users, pages=pages), t, 1)
+    assert {r.user_id: r.portrait for r in t.current().collect()} == {0: "a.png", 1: "old", 2: "old", 3: "old", 4: "old"}
+
+
+def test_texts_of_few_splits_are_spread(spark, tmp_path):
+    from feedlake.operators import text as tx
+    spark.range(50).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    many = spark.range(50).repartition(spark.sparkContext.defaultParallelism)
+    assert tx.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in tx.spread(one).collect()) == list(range(50)) and tx.spread(many) is many
