@@ -51,24 +51,24 @@ def notices_to_pages(notices: DataFrame, store: DataFrame, platforms: DataFrame,
     return pages, all_rejects, miss_rows
 
 
-def earlier_markers(pages: DataFrame) -> DataFrame:
-    """Marker table ``(page_url, last_key)`` as left by an earlier crawl of pages
+def earlier_markers(pages: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Marker table ``(kept columns, page_url, last_key)`` as left by an earlier crawl of pages
     (``page_id, marker_kind, page_url, items, newest``): page_id%4 = 0 -> the 3rd item,
     1 -> the newest item (nothing new), 2 -> no marker, 3 -> a key no longer on the page."""
     k = F.col("page_id") % 4
     third = F.try_element_at("items", F.lit(3))
     by_kind = F.when(F.col("marker_kind") == "ts", third["ts"].cast("string")).otherwise(third["key"])
     gone = F.when(F.col("marker_kind") == "ts", F.lit("1")).otherwise(F.lit("gone"))
-    return pages.where(k != 2).select("page_url", F.when(k == 0, by_kind).when(k == 1, F.col("newest")).otherwise(gone)
+    return pages.where(k != 2).select(*keep, "page_url", F.when(k == 0, by_kind).when(k == 1, F.col("newest")).otherwise(gone)
                                       .alias("last_key"))
 
 
-def page_markers(spark: SparkSession, d: str) -> DataFrame:
+def page_markers(spark: SparkSession, d: str, keep: tuple = ()) -> DataFrame:
     """``earlier_markers`` of all stored pages."""
     s = (standins.feed_store(spark, d).where("html <> ''").withColumnRenamed("url", "page_url")
          .withColumnRenamed("html", "page_html")
          .join(F.broadcast(schemas.platforms(spark).select("platform_id", "marker_kind")), "platform_id"))
-    return earlier_markers(with_items(s, ["page_id", "marker_kind", "page_url"]))
+    return earlier_markers(with_items(s, [*keep, "page_id", "marker_kind", "page_url"]), keep)
 
 
 def unseen_items(pages: DataFrame) -> DataFrame:

@@ -48,7 +48,8 @@ def q_str_stream_flagship(spark, d):
     src = _land_notices(spark, d, store)
     out = scratch_path(spark, "flagship_out")
     q = feed.start(spark, _notice_stream(spark, src), store, schemas.platforms(spark),
-                   flagship.page_markers(spark, d), out, scratch_path(spark, "flagship_ckpt"), available_now=True)
+                   flagship.page_markers(spark, d, ("platform_id",)), out, scratch_path(spark, "flagship_ckpt"),
+                   available_now=True)
     _run(q)
     return spark.read.parquet(f"{out}/articles").drop("batch")
 
@@ -61,8 +62,9 @@ def q_str_two_stage_flagship(spark, d):
     path = scratch_path(spark, "page_store")
     page_store.write_store(feed_pages.select("table_name", "row_key", "url", "html"), path, buckets)
     src, out = _land_notices(spark, d, feed_pages), scratch_path(spark, "two_stage_out")
-    _, q = feed.start_two_stage(spark, _notice_stream(spark, src), path, schemas.platforms(spark), flagship.page_markers(spark, d),
-                                scratch_path(spark, "two_stage_work"), out, buckets, available_now=True)
+    _, q = feed.start_two_stage(spark, _notice_stream(spark, src), path, schemas.platforms(spark),
+                                flagship.page_markers(spark, d, ("platform_id",)), scratch_path(spark, "two_stage_work"), out, buckets,
+                                available_now=True)
     _run(q)
     return spark.read.parquet(f"{out}/articles").drop("batch")
 

@@ -1,7 +1,9 @@
 """Keyed marker state (INC1-INC5 in streaming form).
 
-One group = one page url. Snapshots of a page are taken in the order of ``msg_seq``
-and each is paired with the marker left by the one before. The state holds, per
+One group = one page: a platform and an address, as in the page store (two platforms
+may hold pages under one address, whose markers are of different kinds). Snapshots of
+a page are taken in the order of ``msg_seq`` and each is paired with the marker left
+by the one before. The state holds, per
 page, the number of the last snapshot taken and the marker it left; a snapshot that
 arrives late, behind one that was already taken, moves no marker and yields no items
 (what it shows is older than what was emitted). A page's state lives for ``ttl`` after
@@ -10,7 +12,7 @@ table of written addresses keeps such a page from writing its articles again whe
 comes back.
 
 Markers from before the stream are its initial state, read once in the first
-micro-batch. The state is kept in RocksDB with changes as its checkpoints.
+micro-batch; one that names no platform counts for its address on each of them. The state is kept in RocksDB with changes as its checkpoints.
 
 The Python step sees one row per snapshot; the item array rides along as one
 JSON string that it never opens. Which items are new is decided afterwards by
@@ -18,13 +20,17 @@ the same expressions as in the batch form (``platform_items.unseen``).
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..schemas import PLATFORMS
+
 #: A number that grows with arrival (see ``sources.tables.message_stream``).
 SEQ = T.DecimalType(38, 0)
 SNAPSHOT = T.StructType([
@@ -62,11 +68,19 @@ def state_settings(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def as_long(text: str | None) -> int | None:
+    """``try_cast`` of a text as bigint."""
+    if text is None or not re.fullmatch(r"\s*[+-]?[0-9]+\s*", text) or not -2**63 <= int(text) < 2**63:
+        return None
+    return int(text)
+
+
 def next_marker(kind: str, last: str | None, new: str | None) -> str | None:
     """``platform_items.next_marker`` for one value."""
-    if new is None or last is None:
+    if kind != "ts":
         return last if new is None else new
-    return str(max(int(last), int(new))) if kind == "ts" else new
+    times = [t for t in (as_long(last), as_long(new)) if t is not None]
+    return str(max(times)) if times else None
 
 
 def walk(rows, seq: int | None, last: str | None):
@@ -102,7 +116,12 @@ class Markers(StatefulProcessor):
 
 
 def with_markers(pages: DataFrame, seeds: DataFrame, ttl_ms: int) -> DataFrame:
-    """A stream of snapshots -> the same rows with the marker before each."""
-    initial = seeds.where("page_url is not null and last_key is not null").select("page_url", "last_key")
-    return pages.groupBy("page_url").transformWithState(
-        Markers(ttl_ms), OUT_SCHEMA, "append", "processingTime", initial.groupBy("page_url"))
+    """A stream of snapshots -> the same rows with the marker before each. ``seeds``:
+    ``page_url, last_key`` and, where known, ``platform_id``."""
+    page, named = ["platform_id", "page_url"], F.array(F.col("platform_id").cast("int"))
+    each = F.array(*[F.lit(p[0]) for p in PLATFORMS])
+    of = F.when(F.col("platform_id").isNull(), each).otherwise(named) if "platform_id" in seeds.columns else each
+    known = seeds.where("page_url is not null and last_key is not null").select(F.explode(of).alias("platform_id"), "page_url", "last_key")
+    initial = known.groupBy(*page).agg(F.max("last_key").alias("last_key"))   # one a page, whatever the order
+    return pages.groupBy(*page).transformWithState(
+        Markers(ttl_ms), OUT_SCHEMA, "append", "processingTime", initial.groupBy(*page))

@@ -211,3 +211,31 @@ def test_record_order(spark):
     df = spark.createDataFrame(rows, "ms long, p int, o long").selectExpr("timestamp_millis(ms) t", "p", "o")
     got = [r.k for r in df.select(record_order("t", "p", "o").alias("k")).collect()]
     assert got == sorted(set(got)) and None not in got
+
+
+def test_address_on_two_platforms_keeps_two_markers(spark):
+    """A title marker and a time marker under one address: each page is walked against
+    its own, and the time is not read from the other's title."""
+    import os
+    root, url = tempfile.mkdtemp(prefix="feedlake-shared-"), "http://shared.example/7"
+    os.makedirs(f"{root}/src")
+    record = [{"actionName": "R", "actionID": str(i), "objectID": "7", "userID": "7", "userName": "u7",
+               "actionDate": f"2016-07-14 0{i}:00", "OtherID": str(i), "body": "b"} for i in (3, 2, 1)]
+    store = spark.createDataFrame([("40002", url, url, _page(["new", "seen"])), ("40004", url, url, json.dumps({"record": record}))],
+                                  "table_name string, row_key string, url string, html string")
+    seeds = spark.createDataFrame([(40002, url, "seen"), (40004, url, "1468432800000")],   # 02:00 in Shanghai
+                                  "platform_id int, page_url string, last_key string")
+    with open(f"{root}/src/a.json", "w") as f:
+        for seq, p in ((1, "40002"), (2, "40004"), (3, "40002"), (4, "40004")):
+            f.write(json.dumps({"msg_seq": seq, "value": json.dumps({"attr_id": p, "key_name": p, "pos_name": url})}) + "\n")
+    notices = spark.readStream.schema("msg_seq long, value string").json(f"{root}/src")
+    q = feed.start(spark, notices, store, schemas.platforms(spark), seeds, f"{root}/out", f"{root}/ck", True)
+    q.awaitTermination()
+    got = {(r.platform_id, r.url) for r in spark.read.parquet(f"{root}/out/articles").collect()}
+    assert got == {(40002, "http://blog.example/new"), (40004, "http://www.taoguba.com.cn/Article/7/3")}
+
+
+def test_time_marker_after_a_text():
+    from feedlake.streaming.markers import next_marker
+    assert next_marker("ts", "a title", "9") == "9" and next_marker("ts", "9", "a title") == "9"
+    assert next_marker("ts", "gone", None) is None and next_marker("ts", "7", None) == "7"
