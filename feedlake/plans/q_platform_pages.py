@@ -10,6 +10,7 @@ from .. import schemas
 from ..operators import article_pages as ap
 from ..operators import platform_pages as pp
 from ..operators.keyed_tables import BucketTable
+from ..operators.text import spread
 from ..session import scratch_path
 from ..sources import site_pages as site
 from ..sources import standins
@@ -27,7 +28,9 @@ def _ids():
 
 
 def _pages(spark, d, url, html):
-    return standins.users(spark, d).select(F.col("user_id").alias("id"), url.alias("page_url"), html.alias("html"))
+    """Pages of all users; the narrow rows are spread, so that a table in few splits is
+    not walked by few tasks."""
+    return spread(standins.users(spark, d)).select(F.col("user_id").alias("id"), url.alias("page_url"), html.alias("html"))
 
 
 def _cat(*parts):

@@ -208,3 +208,11 @@ def test_texts_of_few_splits_are_spread(spark, tmp_path):
     many = spark.range(50).repartition(spark.sparkContext.defaultParallelism)
     assert tx.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r.id for r in tx.spread(one).collect()) == list(range(50)) and tx.spread(many) is many
+
+
+@pytest.mark.parametrize("name", ["feed_blog_table"])
+def test_pages_of_users_in_one_split_are_walked_by_all_cores(spark, name):
+    from feedlake.plans.catalog import QUERIES
+    d = "/root/testdata/sf0.001"
+    assert spark.read.parquet(f"{d}/customer.parquet").rdd.getNumPartitions() == 1
+    assert QUERIES[name](spark, d).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
