@@ -210,7 +210,7 @@ def test_texts_of_few_splits_are_spread(spark, tmp_path):
     assert sorted(r.id for r in tx.spread(one).collect()) == list(range(50)) and tx.spread(many) is many
 
 
-@pytest.mark.parametrize("name", ["feed_blog_table", "prof_page_40003", "prof_page_40005"])
+@pytest.mark.parametrize("name", ["feed_blog_table", "prof_page_40003", "prof_page_40005", "art_page_40003"])
 def test_pages_of_users_in_one_split_are_walked_by_all_cores(spark, name):
     from feedlake.plans.catalog import QUERIES
     d = "/root/testdata/sf0.001"
