@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import dates
 from ..functions.urls import after_marker, last_segment
-from ..session import bound_batches
+from ..session import bound_batches, once
 from . import messages
 
 SELF = "."
@@ -293,7 +293,7 @@ def walked_areas(html: Column, specs: list) -> Column:
         return pa.array([[{"area": n, "pos": i, "fields": list(x.items())} for n, i, x in area_items(specs, h.as_py())]
                          for h in pages], out)
 
-    return run(html)
+    return once(run)(html)
 
 
 def items_of(platform_id: int | None, html: str | None) -> list:
@@ -310,7 +310,7 @@ def walked(html: Column, spec: dict) -> Column:
         return pa.array([[list(x.items()) for x in _items(spec, h.as_py())] for h in pages],
                         pa.list_(pa.map_(pa.string(), pa.string())))
 
-    return run(html)
+    return once(run)(html)
 
 
 def page_items(pages: DataFrame, platform_id: int, id_col: str = "page_id", html_col: str = "html",

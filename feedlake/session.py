@@ -72,3 +72,10 @@ def bound_batches(spark: SparkSession, size: str = "4m") -> None:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) is None:
         spark.conf.set(key, size)
+
+
+def once(udf):
+    """A costly Python function that is evaluated where it stands: a filter on its result
+    (also the one Spark infers for ``explode``) would otherwise be pushed below it, into
+    a scan of few splits perhaps, and the function be evaluated there a second time."""
+    return udf.asNondeterministic()

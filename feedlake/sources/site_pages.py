@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.text import spread
 from . import standins
 
 # --- fixed values: tags, classes and ids of the platforms' pages ---------------
@@ -127,7 +128,7 @@ def author_html() -> Column:
 
 def author_pages(spark: SparkSession, d: str) -> DataFrame:
     """40003: author and article pages of all users; some never crawled."""
-    u, uid, k = standins.users(spark, d), F.col("user_id"), F.col("k")
+    u, uid, k = spread(standins.users(spark, d)), F.col("user_id"), F.col("k")
     at = schemas.URLS[40003]
     arts = u.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(1).cast("long")))).where((uid + k) % 4 != 2)
     return _rows(u.where(uid % 5 != 1), 40003, cat(at["author"], _text(uid)), author_html()).unionByName(
@@ -261,7 +262,7 @@ def _rows(df: DataFrame, platform: int, url: Column, html: Column) -> DataFrame:
 
 def site_pages(spark: SparkSession, d: str) -> DataFrame:
     """``table_name, row_key, url, html`` of all users' crawled pages."""
-    u, uid = standins.users(spark, d), F.col("user_id")
+    u, uid = spread(standins.users(spark, d)), F.col("user_id")
     s, rows = _text(uid), _rows
     lists = cat(schemas.URLS[40002]["article_list"], s)
     one = F.lit(1).cast("long")
