@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import bound_batches, once, scratch_path
 from .joins import splittable_join
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -87,7 +87,7 @@ def remove_stop_words(tokens: DataFrame, stops: DataFrame) -> DataFrame:
 def token_counts(text) -> Column:
     """Array of (token, tf) of one text. Counting inside a row has no built-in
     expression; as an Arrow UDF it needs no shuffle of token occurrences."""
-    return F.arrow_udf(_token_counts, "array<struct<token: string, tf: bigint>>")(_c(text))
+    return once(F.arrow_udf(_token_counts, "array<struct<token: string, tf: bigint>>"))(_c(text))
 
 
 def _token_counts(texts: pa.Array) -> pa.Array:
@@ -107,7 +107,9 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:
-    """(doc, kept columns, token, tf) in one pass over the documents."""
+    """(doc, kept columns, token, tf) in one pass over the documents. Texts go to Python
+    in batches of bounded bytes."""
+    bound_batches(docs.sparkSession)
     return docs.select(id_col, *keep, F.inline(token_counts(text_col)))
 
 
@@ -138,6 +140,7 @@ def phrase_hits(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
     becomes one keyword automaton a task, which reads each text once; of a larger one
     the texts' token runs of the terms' lengths are joined with the terms."""
     spark = docs.sparkSession
+    bound_batches(spark)
     terms = (dictionary.select("term", token_array("term").alias("ts")).where(F.size("ts") > 0)
              .select("term", F.array_join("ts", " ").alias("key"), F.size("ts").alias("n")))
     lengths, size = terms.agg(F.array_sort(F.collect_set("n")), F.sum(F.octet_length("key") + F.octet_length("term"))).first()
@@ -291,7 +294,7 @@ def digest(text, k: int = 3) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([digest_of(t.as_py() or "", k) for t in texts], pa.string())
 
-    return run(_c(text))
+    return once(run)(_c(text))
 
 
 def cut_before_last_if_truncated(s, n: int, sep: str) -> Column:

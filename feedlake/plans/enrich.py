@@ -11,12 +11,13 @@ from .. import functions as fn
 from .. import schemas
 from ..operators import text as tx
 from ..operators.dictionary import stock_pairs_join
-from ..session import ensure_checkpoint_dir
+from ..session import bound_batches, ensure_checkpoint_dir
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, temp_digest): NULL when no sentence can be scored; '' for an
-    empty body."""
+    empty body. Texts go to Python in batches of bounded bytes."""
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", F.when(F.col("text") == "", F.lit("")).otherwise(tx.digest("text"))
                        .alias("temp_digest"))
 

@@ -216,3 +216,28 @@ def test_pages_of_users_in_one_split_are_walked_by_all_cores(spark, name):
     d = "/root/testdata/sf0.001"
     assert spark.read.parquet(f"{d}/customer.parquet").rdd.getNumPartitions() == 1
     assert QUERIES[name](spark, d).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def _walks_in_plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+
+
+def test_author_pages_are_spread_and_walked_once(spark):
+    """The filter Spark infers for ``explode`` does not walk the pages a second time."""
+    from feedlake.operators import article_pages as ap
+    from feedlake.sources import site_pages as site
+    pages = site.author_pages(spark, "/root/testdata/sf0.001")
+    assert pages.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    read = ap.author_links(pages.select(F.col("row_key").alias("page_url"), "html"))
+    assert _walks_in_plan(read.select(F.explode("links").alias("l"))) == 1
+
+
+def test_texts_are_read_once_in_bounded_batches(spark):
+    from feedlake.operators import text as tx
+    from feedlake.plans import enrich
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for make in (lambda: enrich.cuts(enrich.digests(docs)), lambda: tx.term_counts(docs)):
+        spark.conf.unset(key)
+        df = make()
+        assert _walks_in_plan(df) == 1 and spark.conf.get(key) == "4m"
