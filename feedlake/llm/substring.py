@@ -236,7 +236,10 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, m: int = MINIMISER,
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                                            pa.array(kept, pa.string())], ["n_words", "n_removed", "kept"])
 
+    # Spark would copy a deterministic function below a caller's filter on its result and
+    # run it twice, in twice as many Python workers
+    once = cut.asNondeterministic()
     text = F.col("row.text").cast("string")
     rows = packed(docs, "row").withColumn("tid", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
-    return (split_join(rows, spans, ["tid"], "left").select("row", cut(text, F.col("spans")).alias("r"))
+    return (split_join(rows, spans, ["tid"], "left").select("row", once(text, F.col("spans")).alias("r"))
             .select("row", "r.n_words", "r.n_removed", "r.kept"))

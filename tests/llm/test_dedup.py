@@ -163,6 +163,15 @@ def test_substring_cases(spark):
     assert cut(spark, []) == []
 
 
+def test_filtered_repeats_are_cut_once(spark):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(1, "a " * 40 + "b", 81), (2, "a " * 40 + "c", 81), (3, "alone", 5), (4, "a " * 39, 78)],
+                                 "doc_id long, text string, n_chars long")
+    found = corpus_pipeline.substring_dedup(spark, docs, SF0001)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, found.collect())) == [(1, "b", 1), (2, "c", 1), (3, "alone", 5)]
+
+
 def test_op10_equals_brute_force(spark):
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect())
     want = {d: (n, g, hashlib.sha256(k.encode()).hexdigest())
