@@ -68,6 +68,29 @@ def tokens_of(text: str) -> list[str]:
     return out
 
 
+#: What a code point is, found out when it first comes up: 1 no, 2 a token character of an unspaced script.
+_KIND = np.zeros(0x110000, np.int8)
+
+
+def counts_of(text: str) -> Counter:
+    """How often each of ``tokens_of(text)`` occurs. Bigrams are counted as pairs of
+    neighbouring code points, without a string for every occurrence."""
+    low = text.lower()
+    if not _UNSPACED.search(low):
+        return Counter(_TOKEN.findall(low))
+    found = Counter(_TOKEN.findall(_UNSPACED.sub(" ", low)))
+    points = np.frombuffer(low.encode("utf-32-le"), np.uint32)
+    fresh = np.unique(points[_KIND[points] == 0])
+    if len(fresh):
+        _KIND[fresh] = [2 if _UNSPACED.match(c) and _TOKEN.match(c) else 1 for c in map(chr, fresh.tolist())]
+    own = _KIND[points] == 2
+    pair = own[:-1] & own[1:]
+    keys, n = np.unique((points[:-1].astype(np.int64) << 21 | points[1:])[pair], return_counts=True)
+    found.update({chr(k >> 21) + chr(k & 0x1FFFFF): c for k, c in zip(keys.tolist(), n.tolist())})
+    found.update(map(chr, points[own & ~np.r_[False, pair] & ~np.r_[pair, False]].tolist()))
+    return found
+
+
 def doc_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per (document, token occurrence)."""
     return docs.select(id_col, F.explode(token_array(text_col)).alias("token"))
@@ -91,7 +114,7 @@ def token_counts(text) -> Column:
 
 
 def _token_counts(texts: pa.Array) -> pa.Array:
-    found = [Counter(tokens_of(t.as_py() or "")) for t in texts]
+    found = [counts_of(t.as_py() or "") for t in texts]
     ends = np.cumsum([0, *map(len, found)])
     rows = pa.StructArray.from_arrays(
         [pa.array([t for c in found for t in c], pa.string()), pa.array([n for c in found for n in c.values()], pa.int64())],
@@ -113,6 +136,14 @@ def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(id_col, *keep, F.inline(token_counts(text_col)))
 
 
+def token_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(token, n, n_docs): occurrences of each token and how many different documents have
+    it. Occurrences are counted inside their row, so that one row a (document, token)
+    leaves the scan."""
+    return (term_counts(docs, id_col, text_col).groupBy("token")
+            .agg(F.sum("tf").alias("n"), F.countDistinct(id_col).alias("n_docs")))
+
+
 # ---------------------------------------------------------------- dictionary tags
 FACETS = ["stock", "industry", "section"]
 

@@ -121,7 +121,7 @@ def q_nlp_tokens_unspaced(spark, d):
     """NLP3 on texts in scripts without spaces (the documents, their letters a-z as
     characters of such scripts; accented letters and digits stay): character bigrams."""
     docs = table(spark, d, "documents").select("doc_id", F.translate(F.lower("text"), LETTERS, HAN).alias("text"))
-    return tx.doc_tokens(docs).groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+    return tx.token_stats(docs)
 
 
 def _lang_model(spark, d):

@@ -1,6 +1,6 @@
 """Graph BFS against a Python BFS on random graphs; digest and naive Bayes
 on hand-written documents."""
-from collections import deque
+from collections import Counter, deque
 
 import pytest
 from hypothesis import given, settings
@@ -52,6 +52,22 @@ def test_bfs_runs_to_the_end_of_a_long_chain(spark):
         graph.expand(s, e, nodes, nodes, max_rounds=3)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="天地ひカ々〇⺀ー゙aé1 .-İß𠀀😀", max_size=30))
+def test_counts_of_equals_the_tokens(text):
+    assert tx.counts_of(text) == Counter(tx.tokens_of(text))
+
+
+def test_token_stats_leave_the_scan_counted(spark):
+    docs = spark.createDataFrame([(1, "天地天地 b2 b2"), (1, "天地"), (2, "天"), (None, "天地"), (3, None)], "doc_id long, text string")
+    got = {r.token: (r.n, r.n_docs) for r in tx.token_stats(docs).collect()}
+    assert got == {"天地": (4, 1), "地天": (1, 1), "b2": (2, 1), "天": (1, 1)}
+    from feedlake.plans.q_text import q_nlp_tokens_unspaced
+    from .conftest import SF0001
+    plan = q_nlp_tokens_unspaced(spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "explode" not in plan   # no row for every occurrence
+
+
 def test_digest_and_nb(spark):
     docs = spark.createDataFrame([
         (1, "Markets rose today. Markets rose again on strong demand. The weather was fine. Demand stays strong!"),
