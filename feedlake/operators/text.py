@@ -261,7 +261,7 @@ def nb_train(tf: DataFrame, labels: DataFrame, label_col: str = "label",
     return model, classes
 
 
-#: Bytes of token weights that every task may hold; larger ones are joined by a shuffle.
+#: Bytes of token weights that every task may hold: those of the most frequent tokens; rarer ones are joined by a shuffle.
 MOST_WEIGHT_BYTES = 64 << 20
 MOST_CLASSES = 512
 
@@ -273,10 +273,11 @@ def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFr
     in-vocabulary tokens.
 
     The model becomes one row a token with an array of its class weights, written so
-    that its size is known: up to ``MOST_WEIGHT_BYTES`` it is broadcast and no token
-    count is shuffled; a larger one meets the counts in a join AQE can split. One
-    aggregate sums all classes of a document, combined map-side. The classes (at most
-    ``MOST_CLASSES``; name and two numbers each) are literals of the plan. Every
+    that its size is known. The most frequent tokens' weights, up to ``MOST_WEIGHT_BYTES``,
+    are broadcast, and their counts, which are nearly all, are summed where they lie; only
+    counts of rarer tokens, one by one, and one row a document are shuffled, into a join
+    AQE can split. One aggregate sums all classes of a document, combined map-side. The
+    classes (at most ``MOST_CLASSES``; name and two numbers each) are literals of the plan. Every
     document gets a score (documents without a known token score by prior; without
     classes there is none: NULL). Ties -> smallest label."""
     spark = docs.sparkSession
@@ -289,14 +290,24 @@ def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFr
     rows.sort(key=lambda r: r["c"])
     by_class = F.map_from_entries(F.collect_list(F.struct(F.col(label_col).cast("string"), F.ln(F.col("n") + 1))))
     each = F.transform(F.array(*[F.lit(r["c"]) for r in rows]), lambda c: F.coalesce(F.try_element_at(F.col("m"), c), F.lit(0.0)))
-    w = model.where(F.col(label_col).isNotNull()).groupBy("token").agg(by_class.alias("m")).select("token", each.alias("ws"))
+    level = F.floor(F.log2(F.greatest("n", F.lit(1))) * 4).cast("int").alias("level")   # of how often the token occurs; at most 256
+    w = (model.where(F.col(label_col).isNotNull()).groupBy("token").agg(by_class.alias("m"), F.sum("n").alias("n"))
+         .select("token", each.alias("ws"), level))
     path = scratch_path(spark, "nb-weights")
     w.write.parquet(path)
     w = spark.read.schema(w.schema).parquet(path)
-    small = w.count() * (8 * len(rows) + 48) <= MOST_WEIGHT_BYTES
-    found = tf.join(F.broadcast(w), "token") if small else splittable_join(tf, w, ["token"])
-    sums = found.groupBy(id_col).agg(F.sum("tf").alias("t"), *[
-        F.sum(F.col("tf") * F.col("ws")[i]).alias(f"s{i}") for i in range(len(rows))])
+    room, least = MOST_WEIGHT_BYTES // (8 * len(rows) + 48), None   # the lowest level whose tokens all find room
+    for r in sorted(w.groupBy("level").agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+        room -= r["k"]
+        if room < 0:
+            break
+        least = r["level"]
+    weighed = [F.sum(F.col("tf") * F.col("ws")[i]).alias(f"s{i}") for i in range(len(rows))]
+    if room >= 0:
+        sums = tf.join(F.broadcast(w), "token").groupBy(id_col).agg(F.sum("tf").alias("t"), *weighed)
+    else:
+        common = F.lit(False) if least is None else F.col("level") >= least
+        sums = _sums_by_parts(tf, w.where(common), w.where(~common), weighed, id_col)
     t = F.coalesce("t", F.lit(0))
     scored = F.array(*[F.struct((-(F.lit(r["log_prior"]) - t * F.lit(r["log_norm"]) + F.coalesce(f"s{i}", F.lit(0.0)))).alias("ns"),
                                 F.lit(r["c"]).alias("c")) for i, r in enumerate(rows)])
@@ -305,6 +316,24 @@ def nb_predict(tf: DataFrame, model: DataFrame, classes: DataFrame, docs: DataFr
             .select(id_col, best["c"].alias("predicted"), (-best["ns"]).alias("score")))
 
 
+def _sums_by_parts(tf: DataFrame, common: DataFrame, rare: DataFrame, weighed: list[Column], id_col: str) -> DataFrame:
+    """``doc, t, s0, ..``: in-vocabulary tokens and weighted sums of each document. Counts
+    of ``common`` tokens become one row a document before anything is shuffled; each of the
+    others stays a row, which the shuffle takes to its weights in ``rare``."""
+    rest = F.col("ws").isNull()
+    names = [f"s{i}" for i in range(len(weighed))]
+    known = (tf.join(F.broadcast(common.select("token", "ws")), "token", "left")
+             .select(id_col, F.when(rest, F.col("token")).alias("token"), "tf", "ws")
+             .groupBy(id_col, "token").agg(F.sum("tf").alias("tf"), *weighed))
+    # a document's own row has no token and is dealt by the document
+    at = known.withColumn("_pk", F.when(F.col("token").isNull(), F.xxhash64(id_col)).otherwise(F.xxhash64("token")))
+    far = rare.select("token", F.xxhash64("token").alias("_pk"), "ws").hint("merge")   # its size in the file says little
+    own = F.col("token").isNull()
+    met = at.join(far, ["token", "_pk"], "left").select(id_col, F.when(own | F.col("ws").isNotNull(), F.col("tf")).alias("t"), *[
+        F.when(own, F.col(s)).otherwise(F.col("tf") * F.col("ws")[i]).alias(s) for i, s in enumerate(names)])
+    return met.groupBy(id_col).agg(F.sum("t").alias("t"), *[F.sum(s).alias(s) for s in names])
+
+
 # ---------------------------------------------------------------- digest
 def digest_of(text: str, k: int) -> str | None:
     """NLP1 re-aimed, for one text: score each sentence by the mean in-document

@@ -1,5 +1,6 @@
 """Graph BFS against a Python BFS on random graphs; digest and naive Bayes
 on hand-written documents."""
+import re
 from collections import Counter, deque
 
 import pytest
@@ -86,3 +87,23 @@ def test_digest_and_nb(spark):
     pred = {r.doc_id: r.predicted for r in tx.nb_predict(tx.term_counts(test), model, classes,
                                                          test).collect()}
     assert pred == {10: "pos", 11: "neg", 12: "pos"}   # unknown words -> prior (2 of 3 pos)
+
+
+def test_scores_do_not_depend_on_where_weights_lie(spark, monkeypatch):
+    """Weights that all tasks hold, those of no token, and those of frequent tokens only
+    give the same scores; then a frequent token's counts are summed before a shuffle."""
+    words = ["often"] * 8 + ["common"] * 4 + ["some", "some", "rare", "seldom", "once"]
+    rows = [(i, " ".join(words[i % 5:i % 5 + 9]) + f" own{i} own{i % 7}", "abc"[i % 3]) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (40, "", "a"), (41, "unknown words", None), (42, None, "b")],
+                                 "doc_id long, text string, label string")
+    model, classes = tx.nb_train(tx.term_counts(docs.where("doc_id <> 41"), keep=("label",)),
+                                 docs.where("doc_id <> 41").select("doc_id", "label"))
+    got, plans = [], []
+    for most in (1 << 20, 0, 6 * (8 * 3 + 48)):
+        monkeypatch.setattr(tx, "MOST_WEIGHT_BYTES", most)
+        pred = tx.nb_predict(tx.term_counts(docs), model, classes, docs)
+        plans.append(pred._jdf.queryExecution().executedPlan().toString())
+        got.append({r.doc_id: (r.predicted, round(r.score, 9)) for r in pred.collect()})
+    assert len(got[0]) == 43 and got[0] == got[1] == got[2]
+    held = r"BroadcastHashJoin \[token#\d+\], \[token#\d+\], LeftOuter"
+    assert re.search(held, plans[2]) and "SortMergeJoin [token" in plans[2]
