@@ -1,5 +1,6 @@
 """Graph BFS against a Python BFS on random graphs; digest and naive Bayes
 on hand-written documents."""
+import math
 import re
 from collections import Counter, deque
 
@@ -107,3 +108,30 @@ def test_scores_do_not_depend_on_where_weights_lie(spark, monkeypatch):
     assert len(got[0]) == 43 and got[0] == got[1] == got[2]
     held = r"BroadcastHashJoin \[token#\d+\], \[token#\d+\], LeftOuter"
     assert re.search(held, plans[2]) and "SortMergeJoin [token" in plans[2]
+
+
+def _digest_by_definition(text, k):
+    low = [(i, s, tx.tokens_of(s)) for i, s in enumerate(re.findall(tx.SENTENCE, text))]
+    counts = Counter(t for _, _, ts in low for t in ts)
+    scored = sorted((-math.floor(sum(counts[t] for t in ts) / len(ts) * 1e6 + 0.5), i, s) for i, s, ts in low if ts)[:k]
+    return " ".join(s.strip(" ") for _, _, s in sorted(scored, key=lambda x: x[1])) if scored else None
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab é.!?\n-天ſİΣ9²_", max_size=60), st.integers(1, 4))
+def test_digest_is_that_of_its_definition(text, k):
+    assert tx.digest_of(text, k) == _digest_by_definition(text, k)
+
+
+def test_ordinary_texts_take_the_fast_way(monkeypatch):
+    """Below the first character of ``_BEYOND`` both ways find the same tokens, and such
+    texts never take the slow one."""
+    chars = "".join(c + "x " for c in map(chr, range(0x530)))
+    slow = tx._TOKEN.findall(chars.lower())
+    monkeypatch.setattr(tx, "_TOKEN", None)
+    monkeypatch.setattr(tx, "_UNSPACED", None)
+    # a lower-case letter beyond it (of U+023A and U+023E) sends a text the slow way
+    assert [t for c in chars.split(" ") if not tx._BEYOND.search(c.lower()) for t in tx.tokens_of(c)] == [
+        t for t in slow if not tx._BEYOND.search(t)]
+    assert tx.counts_of("Grüße, naïve Grüße") == {"grüße": 2, "naïve": 1}
+    assert tx.digest_of("Déjà vu. Ça va!", 1) == "Déjà vu."
