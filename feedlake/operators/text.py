@@ -133,10 +133,16 @@ def _token_counts(texts: pa.Array) -> pa.Array:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a table scan, dealt out anew where it has fewer splits than there are cores
-    (a table in one row group is one task, however large); others stay as they are."""
+    """Rows of a table scan, dealt out anew where they lie in fewer splits than there are
+    cores, or one split has over twice its share of a core; others stay as they are. A row
+    group is read by one task, so a file in one row group is one task, however many
+    splits it has. The count reads no columns."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    held = scan.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    splits, most, rows = held.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
+    if not splits or splits >= cores and most * cores <= 2 * rows:
+        return scan
+    return scan.repartition(cores * math.ceil(scan.rdd.getNumPartitions() / cores))   # whole rounds of tasks
 
 
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:

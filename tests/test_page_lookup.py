@@ -210,6 +210,25 @@ def test_texts_of_few_splits_are_spread(spark, tmp_path):
     assert sorted(r.id for r in tx.spread(one).collect()) == list(range(50)) and tx.spread(many) is many
 
 
+def test_one_row_group_in_many_splits_is_spread(spark, tmp_path):
+    """Its rows are read by one task, whatever the number of splits."""
+    import shutil
+    from feedlake.plans.catalog import QUERIES
+    d, cores, key = tmp_path / "in", spark.sparkContext.defaultParallelism, "spark.sql.files.maxPartitionBytes"
+    shutil.copytree("/root/testdata/sf0.001", d)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    try:
+        scan = spark.read.parquet(f"{d}/customer.parquet")
+        assert scan.rdd.getNumPartitions() >= cores
+        assert scan.select(F.spark_partition_id()).distinct().count() == 1
+        for name in ("prof_page_40003", "prof_page_40005", "art_page_40003"):
+            walked = QUERIES[name](spark, str(d))
+            assert walked.select(F.spark_partition_id()).distinct().count() >= cores, name
+    finally:
+        spark.conf.set(key, before)
+
+
 @pytest.mark.parametrize("name", ["feed_blog_table", "prof_page_40003", "prof_page_40005", "art_page_40003"])
 def test_pages_of_users_in_one_split_are_walked_by_all_cores(spark, name):
     from feedlake.plans.catalog import QUERIES
