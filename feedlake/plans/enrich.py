@@ -22,6 +22,13 @@ def digests(docs: DataFrame) -> DataFrame:
                        .alias("temp_digest"))
 
 
+def digests_once(docs: DataFrame) -> DataFrame:
+    """``digests`` in a checkpoint, for results that read them in several branches, each of
+    which would make them anew from the texts."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    return digests(docs).checkpoint(eager=True)
+
+
 def rejects(dg: DataFrame) -> DataFrame:
     """NLP9: a document whose digest failed is not written."""
     return dg.where(F.col("temp_digest").isNull()).select("doc_id", F.lit("no_digest").alias("reason"))
@@ -101,7 +108,6 @@ def news_rows(ok: DataFrame, tagged: DataFrame, senti: DataFrame, posts: DataFra
 
 def news(docs: DataFrame, labels: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
     """NLP8: -> (article_info rows, news_info rows)."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    ok = cuts(digests(docs)).checkpoint(eager=True)   # small; read by four branches
+    ok = cuts(digests_once(docs))
     tagged, posts = tags(ok, dictionary), as_posts(docs)
     return info_rows(ok, tagged, posts, dictionary), news_rows(ok, tagged, sentiment(ok, docs, labels), posts)

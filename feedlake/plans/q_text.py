@@ -129,8 +129,8 @@ def _lang_model(spark, d):
     return docs, tx.nb_train(tx.term_counts(docs, keep=("label",)), docs.select("doc_id", "label"))
 
 
-def _ok(spark, d):
-    return enrich.cuts(enrich.digests(table(spark, d, "documents").select("doc_id", "text")))
+def _ok(spark, d, digests=enrich.digests):
+    return enrich.cuts(digests(table(spark, d, "documents").select("doc_id", "text")))
 
 
 LANG_NB = f"""
@@ -193,7 +193,7 @@ SELECT g.doc_id, CASE WHEN g.temp_digest = '' THEN -1 WHEN b.predicted = 'neg' T
 FROM digests g LEFT JOIN best b USING (doc_id) WHERE g.temp_digest IS NOT NULL""")
 def q_nlp_sentiment(spark, d):
     """NLP6: 'neg' -> 0, otherwise 1; empty digest -> -1."""
-    return enrich.sentiment(_ok(spark, d), table(spark, d, "documents"), table(spark, d, "labels"))
+    return enrich.sentiment(_ok(spark, d, enrich.digests_once), table(spark, d, "documents"), table(spark, d, "labels"))
 
 
 STOCK_SQL = f"""
@@ -216,7 +216,7 @@ FROM digests g LEFT JOIN cut USING (doc_id) WHERE g.temp_digest IS NOT NULL"""
 def q_nlp_stock_string(spark, d):
     """NLP7: stock names -> name=code pairs, cut 500 (tail dropped only when cut)."""
     kd = keyword_dictionary(spark, d)
-    return enrich.stock_strings(enrich.tags(_ok(spark, d), kd), kd)
+    return enrich.stock_strings(enrich.tags(_ok(spark, d, enrich.digests_once), kd), kd)
 
 
 def _with_unscorable(spark, d):

@@ -260,3 +260,10 @@ def test_texts_are_read_once_in_bounded_batches(spark):
         spark.conf.unset(key)
         df = make()
         assert _walks_in_plan(df) == 1 and spark.conf.get(key) == "4m"
+
+
+@pytest.mark.parametrize("name, walks", [("nlp_stock_string", 0), ("nlp_sentiment", 1)])
+def test_digests_of_all_branches_are_made_once(spark, name, walks):
+    """What is left in the plan are the term counts of the digests."""
+    from feedlake.plans.catalog import QUERIES
+    assert _walks_in_plan(QUERIES[name](spark, "/root/testdata/sf0.001")) == walks
